@@ -73,7 +73,7 @@ def _lit_char(ch: str) -> str:
     return ch if ch.isalnum() or ch == "_" else "\\" + ch
 
 
-def _class(body: str) -> str:
+def _class(body: str, no_slash: bool) -> str:
     neg = body.startswith("!")
     if neg:
         body = body[1:]
@@ -85,6 +85,8 @@ def _class(body: str) -> str:
             out.append("\\" + ch)
         else:
             out.append(ch)
+    if neg and no_slash:
+        out.append("/")
     return "[" + ("^" if neg else "") + "".join(out) + "]"
 
 
@@ -111,7 +113,7 @@ def _translate(pat: str, star: str, one: str) -> str:
             if j >= n:
                 out.append("\\[")
             else:
-                out.append(_class(pat[i:j]))
+                out.append(_class(pat[i:j], one != "."))
                 i = j + 1
         else:
             out.append(_lit_char(ch))

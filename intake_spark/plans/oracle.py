@@ -62,3 +62,88 @@ SELECT s.watch, CAST(s.scan_no AS BIGINT) AS scan_no,
        CAST(coalesce(p.max_count, 0) AS BIGINT) AS max_count
 FROM scans s LEFT JOIN per p USING (watch, scan_no)
 """
+
+INVENTORY = r"""
+files AS (
+  SELECT source AS watch, doc_id, lang, n_chars AS size,
+         lang || '/' || CAST(doc_id AS VARCHAR) ||
+         CASE doc_id % 3 WHEN 0 THEN '_std.raw' WHEN 1 THEN '.raw' ELSE '.d/analysis.tdf' END AS rel
+  FROM documents),
+inv AS (
+  SELECT watch, rel, regexp_extract(rel, '([^/]*)$', 1) AS name, '/data/' || watch || '/' || rel AS abs,
+         false AS is_dir FROM files
+  UNION ALL
+  SELECT DISTINCT watch, lang, lang, '/data/' || watch || '/' || lang, true FROM files
+  UNION ALL
+  SELECT watch, lang || '/' || CAST(doc_id AS VARCHAR) || '.d', CAST(doc_id AS VARCHAR) || '.d',
+         '/data/' || watch || '/' || lang || '/' || CAST(doc_id AS VARCHAR) || '.d', true
+  FROM files WHERE doc_id % 3 = 2)
+"""
+
+SQL["include_match"] = rf"""
+WITH {INVENTORY},
+pats(watch, rx) AS (VALUES
+  ('src1', '(.*/)?[^/]*\.d'), ('src1', '(.*/)?de/[^/]*\.raw'), ('src1', '(.*/)?de/[^/]*\.d'),
+  ('src2', '(.*/)?[^/]*/1[^/]\.raw'), ('src2', '(.*/)?[^/]*/1[^/]\.d'), ('src2', '(.*/)?es'),
+  ('src2', '(.*/)?[^/]*\.tdf'),
+  ('src3', '(.*/)?[^e/][^/]*/[^/]*[05]\.raw'), ('src3', '(.*/)?[^e/][^/]*/[^/]*[05]\.d'),
+  ('src4', '(.*/)?analysis\.tdf')),
+dflt(rx) AS (VALUES ('(.*/)?[^/]*_std\.raw'), ('(.*/)?[^/]*_std\.d'))
+SELECT watch, rel, name, is_dir FROM inv i
+WHERE (NOT is_dir OR lower(name) LIKE '%.d')
+  AND CASE WHEN watch IN (SELECT watch FROM pats)
+           THEN EXISTS (SELECT 1 FROM pats p WHERE p.watch = i.watch AND regexp_full_match(i.rel, p.rx))
+           ELSE EXISTS (SELECT 1 FROM dflt d WHERE regexp_full_match(i.rel, d.rx)) END
+"""
+
+SQL["ignore_filter"] = rf"""
+WITH {INVENTORY},
+user_lits(p) AS (VALUES ('en/7.raw'), ('/data/src5/es'), ('zz_unused.raw')),
+ledger AS (
+  SELECT CASE WHEN doc_id % 3 = 2 THEN CAST(doc_id AS VARCHAR) || '.d'
+              ELSE regexp_extract(rel, '([^/]*)$', 1) END AS p
+  FROM files WHERE doc_id IN (SELECT doc_id FROM labels)),
+lits AS (SELECT p FROM user_lits UNION SELECT p FROM ledger),
+globs(rx) AS (VALUES ('.*\.tdf'), ('fr/.*'), ('.*1_std\.raw'), ('en/4.\.raw'), ('/data/src3/.*'),
+                     ('[^a-z].*9\.d'), ('de/1[0-5].*'))
+SELECT watch, rel, name, is_dir FROM inv i
+WHERE NOT EXISTS (SELECT 1 FROM lits l WHERE l.p = i.rel OR l.p = i.name OR l.p = i.abs)
+  AND NOT EXISTS (SELECT 1 FROM globs g WHERE regexp_full_match(i.rel, g.rx)
+                  OR regexp_full_match(i.name, g.rx) OR regexp_full_match(i.abs, g.rx))
+"""
+
+SQL["dir_size_rollup"] = r"""
+WITH m AS (SELECT 'run' || CAST(l_orderkey AS VARCHAR) || '.d' AS dir, CAST(trunc(l_quantity) AS BIGINT) AS size
+           FROM lineitem),
+s AS (SELECT dir, sum(size) AS size, count(*) AS n_files FROM m GROUP BY dir),
+d AS (SELECT DISTINCT 'run' || CAST(o_orderkey AS VARCHAR) || '.d' AS dir FROM orders)
+SELECT coalesce(d.dir, s.dir) AS dir, CAST(coalesce(s.size, 0) AS BIGINT) AS size,
+       CAST(coalesce(s.n_files, 0) AS BIGINT) AS n_files
+FROM d FULL OUTER JOIN s ON d.dir = s.dir
+"""
+
+SQL["last_wins_listing"] = r"""
+WITH l AS (
+  SELECT 'p' || CAST(l_partkey AS VARCHAR) || '.raw' AS name,
+         CASE WHEN l_orderkey % 2 = 0 THEN 'Run' ELSE 'run' END || CAST(l_orderkey AS VARCHAR)
+           || '/p' || CAST(l_partkey AS VARCHAR) || '.raw' AS rel,
+         CAST(trunc(l_quantity) AS BIGINT) AS size
+  FROM lineitem)
+SELECT name, rel, size FROM (
+  SELECT *, row_number() OVER (PARTITION BY name ORDER BY lower(rel) DESC, rel DESC, size DESC) AS rn FROM l)
+WHERE rn = 1
+"""
+
+SQL["pattern_normalize"] = r"""
+WITH s AS (SELECT p_partkey, '*' || p_type || '.raw,*' || p_brand || '.d; *' || p_type || '.raw' AS pat FROM part),
+parts AS (SELECT p_partkey,
+                 list_filter(list_transform(string_split_regex(pat, '[,;|]'), lambda x: trim(x)),
+                             lambda x: x <> '') AS l FROM s),
+ex AS (SELECT p_partkey,
+              flatten(list_transform(l, lambda x: CASE WHEN x LIKE '%.raw'
+                                                       THEN [x, left(x, length(x) - 4) || '.d'] ELSE [x] END)) AS l2
+       FROM parts),
+u AS (SELECT p_partkey, unnest(l2) AS pattern, unnest(range(length(l2))) AS i FROM ex),
+d AS (SELECT p_partkey, pattern, min(i) AS i FROM u GROUP BY ALL)
+SELECT p_partkey, CAST(row_number() OVER (PARTITION BY p_partkey ORDER BY i) - 1 AS BIGINT) AS pos, pattern FROM d
+"""

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.patterns import normalize_patterns
+from ..operators import inventory as inv_ops
 from ..operators import stability as st
 from . import derive as D
 
@@ -37,3 +39,81 @@ def scan_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5: files and candidates per scan, scans without candidates kept."""
     counted = st.stability_counts(D.scan_log(spark, sf_dir))
     return st.scan_counts(D.scans(spark, sf_dir), counted)
+
+
+# --------------------------------------------------------------------------- inventory
+
+# The include configuration of the test watches (per-watch
+# pattern strings, the default for all others) and the user-written ignore list.
+INCLUDE_DEFAULT = "*_std.raw"
+INCLUDE_CONFIG = {
+    "src1": "*.d, de/*.raw",
+    "src2": "*/1?.raw | es ; *.tdf",
+    "src3": "[!e]*/*[05].raw",
+    "src4": "**/analysis.tdf",
+    "src5": "",
+}
+IGNORE_TEXT = [
+    "# ignore list for all watches",
+    "",
+    "*.tdf",
+    "fr/*",
+    "   # indented comment",
+    "*1_std.raw",
+    "en/4?.raw",
+    "/data/src3/*",
+    "[!a-z]*9.d",
+    "de/1[0-5]*",
+    "  en/7.raw  ",
+    "/data/src5/es",
+    "zz_unused.raw",
+    "*.tdf",
+]
+
+
+def include_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries matching their watch's include patterns (recursive)."""
+    inv = D.inventory(spark, sf_dir)
+    return inv_ops.include_filter(inv, INCLUDE_CONFIG, INCLUDE_DEFAULT, recursive=True) \
+        .select("watch", "rel", "name", "is_dir")
+
+
+def processed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger lines: the source name of every labelled (already processed) document."""
+    f = D.doc_files(spark, sf_dir)
+    lab = D.table(spark, sf_dir, "labels").select("doc_id")
+    src = F.when(F.col("doc_id") % 3 == 2, F.concat(F.col("doc_id").cast("string"), F.lit(".d"))) \
+        .otherwise(F.regexp_extract("rel", "([^/]*)$", 1))
+    return f.join(lab, "doc_id", "left_semi").select(src.alias("pattern"))
+
+
+def ignore_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inventory minus everything an ignore pattern matches."""
+    user = inv_ops.clean_ignore_lines(spark.createDataFrame([(x,) for x in IGNORE_TEXT], "value string"))
+    pats = inv_ops.merge_ignore_lists(user, processed_names(spark, sf_dir))
+    return inv_ops.ignore_filter(D.inventory(spark, sf_dir), pats).select("watch", "rel", "name", "is_dir")
+
+
+def dir_size_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: every run directory with the total size of the files below it (empty -> 0)."""
+    o = D.table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("run"), F.col("o_orderkey").cast("string"), F.lit(".d")).alias("dir"))
+    return inv_ops.dir_size_rollup(D.members(spark, sf_dir), o)
+
+
+def last_wins_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Basename-keyed listing where the last path in lower-case order wins."""
+    li = D.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    name = F.concat(F.lit("p"), F.col("l_partkey").cast("string"), F.lit(".raw"))
+    run = F.when(F.col("l_orderkey") % 2 == 0, F.lit("Run")).otherwise(F.lit("run"))
+    listing = li.select(name.alias("name"),
+                        F.concat(run, F.col("l_orderkey").cast("string"), F.lit("/"), name).alias("rel"),
+                        F.col("l_quantity").cast("bigint").alias("size"))
+    return inv_ops.listing_order(inv_ops.last_wins(listing))
+
+
+def pattern_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pattern strings -> one row per normalised pattern with its position."""
+    p = D.pattern_strings(spark, sf_dir)
+    return p.select("p_partkey", F.posexplode(normalize_patterns(F.col("pattern"))).alias("pos", "pattern")) \
+        .select("p_partkey", F.col("pos").cast("bigint").alias("pos"), "pattern")

@@ -9,6 +9,11 @@ QUERIES = {
     "stable_candidates": Q.stable_candidates,
     "latest_snapshot": Q.latest_snapshot,
     "scan_counts": Q.scan_counts,
+    "include_match": Q.include_match,
+    "ignore_filter": Q.ignore_filter,
+    "dir_size_rollup": Q.dir_size_rollup,
+    "last_wins_listing": Q.last_wins_listing,
+    "pattern_normalize": Q.pattern_normalize,
 }
 
 ORACLE = {k: v for k, v in SQL.items() if k in QUERIES}

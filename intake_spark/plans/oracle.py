@@ -147,3 +147,56 @@ u AS (SELECT p_partkey, unnest(l2) AS pattern, unnest(range(length(l2))) AS i FR
 d AS (SELECT p_partkey, pattern, min(i) AS i FROM u GROUP BY ALL)
 SELECT p_partkey, CAST(row_number() OVER (PARTITION BY p_partkey ORDER BY i) - 1 AS BIGINT) AS pos, pattern FROM d
 """
+
+SQL["row_key"] = r"""
+WITH f AS (
+  SELECT doc_id, n_chars AS size, '/data/' || source AS folder,
+         lang || '/' || CAST(doc_id AS VARCHAR) ||
+         CASE doc_id % 3 WHEN 0 THEN '_std.raw' WHEN 1 THEN '.raw' ELSE '.d' END AS src_rel
+  FROM documents),
+n AS (SELECT doc_id, size, folder,
+             CASE WHEN doc_id % 2 = 0 THEN src_rel ELSE folder || '/' || src_rel END AS name FROM f),
+a AS (SELECT *, CASE WHEN starts_with(name, '/') THEN name ELSE folder || '/' || name END AS abs FROM n)
+SELECT doc_id, name, size, sha1(name || CAST(size AS VARCHAR)) AS key, abs,
+       regexp_extract(abs, '([^/]*)/*$', 1) AS base,
+       regexp_replace(regexp_extract(abs, '([^/]*)/*$', 1), '^(.+)\.[^.]+$', '\1') AS stem,
+       coalesce(nullif(regexp_replace(trim(name), '[^A-Za-z0-9._-]+', '_', 'g'), ''), 'x') AS slug
+FROM a
+"""
+
+CONTENT_CANDIDATES = r"""
+c AS (SELECT md5(text) || '.raw' AS name, n_chars AS size, source AS watch,
+             CAST(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) AS watch_idx, doc_id FROM documents)
+"""
+
+SQL["unprocessed"] = rf"""
+WITH {CONTENT_CANDIDATES},
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY name, size ORDER BY watch_idx, doc_id) AS rn FROM c)
+      WHERE rn = 1),
+p AS (SELECT DISTINCT name, size FROM c WHERE doc_id IN (SELECT doc_id FROM labels))
+SELECT name, size, watch, doc_id FROM f
+WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.name = f.name AND p.size = f.size)
+"""
+
+SQL["still_exists"] = r"""
+SELECT o_orderkey AS job, '/data/run' || CAST(o_orderkey AS VARCHAR) || '.d' AS abs
+FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)
+"""
+
+SQL["ledger_append"] = rf"""
+WITH {CONTENT_CANDIDATES},
+ex AS (SELECT name FROM c WHERE doc_id IN (SELECT doc_id FROM labels))
+SELECT DISTINCT name FROM c WHERE name NOT IN (SELECT name FROM ex)
+"""
+
+SQL["prefix_match"] = r"""
+WITH p AS (SELECT page_id, regexp_extract(url, '^[a-z]+://([^?#]*)', 1) AS path FROM pages),
+r(root) AS (VALUES ('blog.tionsh.example.com'), ('blog.tionsh.example.com/en'), ('tionble.example.org/'),
+                   ('m.ththth.example.net/en'), ('m.ththth.example.net/fr/'), ('www.ththon.example.org/de'),
+                   ('ththan.example.com'), ('nothing.example.com'),
+                   ('blog.tionsh.example.net'), ('blog.tionsh.example.net/en'), ('blog.tiontion.example.com/en/'),
+                   ('thther.example.org'), ('www.ththhe.example.com/en'), ('m.tionsh.example.net'),
+                   ('thther.example.com')),
+rn AS (SELECT DISTINCT root, regexp_replace(root, '/+$', '') AS k FROM r)
+SELECT page_id, path, root FROM p JOIN rn ON p.path = rn.k OR starts_with(p.path, rn.k || '/')
+"""

@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.patterns import normalize_patterns
+from ..functions import paths as P
+from ..operators import intake
 from ..operators import inventory as inv_ops
+from ..operators import prefix
 from ..operators import stability as st
 from . import derive as D
 
@@ -117,3 +120,90 @@ def pattern_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = D.pattern_strings(spark, sf_dir)
     return p.select("p_partkey", F.posexplode(normalize_patterns(F.col("pattern"))).alias("pos", "pattern")) \
         .select("p_partkey", F.col("pos").cast("bigint").alias("pos"), "pattern")
+
+
+# --------------------------------------------------------------------------- intake
+
+def row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row key, resolved path, basename, stem and slug per source."""
+    f = D.doc_files(spark, sf_dir)
+    folder = F.concat(F.lit(D.WATCH_ROOT + "/"), F.col("watch"))
+    src_rel = F.regexp_replace("rel", "/analysis\\.tdf$", "")
+    name = F.when(F.col("doc_id") % 2 == 0, src_rel).otherwise(F.concat(folder, F.lit("/"), src_rel))
+    t = f.select("doc_id", "size", folder.alias("folder"), name.alias("name"))
+    abs_ = P.resolve(F.col("name"), F.col("folder"))
+    return t.select("doc_id", "name", "size",
+                    P.row_key(F.col("name"), F.col("size")).alias("key"),
+                    abs_.alias("abs"),
+                    P.basename(abs_).alias("base"),
+                    P.stem(P.basename(abs_)).alias("stem"),
+                    P.slug(F.col("name")).alias("slug"))
+
+
+def _content_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = D.table(spark, sf_dir, "documents").select("doc_id", "source", "text", "n_chars")
+    return d.select(F.concat(F.md5("text"), F.lit(".raw")).alias("name"),
+                    F.col("n_chars").alias("size"), F.col("source").alias("watch"),
+                    F.regexp_extract("source", "([0-9]+)$", 1).cast("bigint").alias("watch_idx"),
+                    "doc_id")
+
+
+def unprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One candidate per (name, size) - first watch wins - minus the processed ledger."""
+    cands = _content_candidates(spark, sf_dir)
+    first = intake.first_per_key(cands, ["name", "size"], ["watch_idx", "doc_id"])
+    lab = D.table(spark, sf_dir, "labels").select("doc_id")
+    processed = cands.join(lab, "doc_id", "left_semi").select("name", "size")
+    return intake.not_processed(first, processed).select("name", "size", "watch", "doc_id")
+
+
+def still_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jobs whose source directory is still in the inventory."""
+    o = D.table(spark, sf_dir, "orders").select("o_orderkey")
+    jobs = o.select(F.col("o_orderkey").alias("job"),
+                    F.concat(F.lit(D.WATCH_ROOT + "/run"), F.col("o_orderkey").cast("string"), F.lit(".d"))
+                    .alias("abs"))
+    li = D.table(spark, sf_dir, "lineitem").select("l_orderkey")
+    inv = li.select(F.concat(F.lit(D.WATCH_ROOT + "/run"), F.col("l_orderkey").cast("string"), F.lit(".d"))
+                    .alias("abs"))
+    return intake.still_exists(jobs, inv)
+
+
+LEDGER_HEADER = ["# processed files", ""]
+
+
+def ledger_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: names of this batch that the ledger does not hold yet (each once)."""
+    cands = _content_candidates(spark, sf_dir)
+    lab = D.table(spark, sf_dir, "labels").select("doc_id")
+    ledger = (spark.createDataFrame([(x,) for x in LEDGER_HEADER], "value string")
+              .unionByName(cands.join(lab, "doc_id", "left_semi").select(F.col("name").alias("value"))))
+    return intake.ledger_new_rows(cands.select("name"), ledger)
+
+
+# Mount roots of the test deployment (host and host/language prefixes).
+ROOTS = [
+    "blog.tionsh.example.com",
+    "blog.tionsh.example.com/en",
+    "tionble.example.org/",
+    "m.ththth.example.net/en",
+    "m.ththth.example.net/fr/",
+    "www.ththon.example.org/de",
+    "ththan.example.com",
+    "nothing.example.com",
+    "blog.tionsh.example.net",
+    "blog.tionsh.example.net/en",
+    "blog.tiontion.example.com/en/",
+    "thther.example.org",
+    "www.ththhe.example.com/en",
+    "m.tionsh.example.net",
+    "thther.example.com",
+]
+
+
+def prefix_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page path paired with every root that contains it."""
+    pages = D.table(spark, sf_dir, "pages").select("page_id", "url")
+    paths = pages.select("page_id", F.regexp_extract("url", "^[a-z]+://([^?#]*)", 1).alias("path"))
+    roots = spark.createDataFrame([(r,) for r in ROOTS], "root string")
+    return prefix.enclosing_roots(paths, roots).select("page_id", "path", "root")

@@ -14,6 +14,11 @@ QUERIES = {
     "dir_size_rollup": Q.dir_size_rollup,
     "last_wins_listing": Q.last_wins_listing,
     "pattern_normalize": Q.pattern_normalize,
+    "row_key": Q.row_key,
+    "unprocessed": Q.unprocessed,
+    "still_exists": Q.still_exists,
+    "ledger_append": Q.ledger_append,
+    "prefix_match": Q.prefix_match,
 }
 
 ORACLE = {k: v for k, v in SQL.items() if k in QUERIES}

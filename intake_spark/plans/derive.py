@@ -18,6 +18,7 @@ SIZE_DIVISOR = 50
 DOC_SUFFIXES = ("_std.raw", ".raw", ".d/analysis.tdf")  # by doc_id % 3
 WATCH_ROOT = "/data"
 TMP_ROOT = "/srv/intake/tmp"
+SHARED_ROOT = "/srv/intake/shared"
 FINAL_ROOT = "/srv/intake/out"
 REFERENCE_EPOCH = "2024-01-01"
 
@@ -114,9 +115,25 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k % 50 != 1).alias("has_metadata"),
         ((st == "P") & (F.col("o_custkey") % 11 == 0)).alias("launch_error"),
         F.concat(F.lit("S"), F.col("o_custkey").cast("string"), F.lit("_std.raw")).alias("src_name"),
+        F.concat(F.lit(TMP_ROOT + "/"), k.cast("string"), F.lit("/spec.json")).alias("own_spec"),
+        F.when(k % 50 != 1, F.when(k % 3 == 0, F.concat(F.lit(SHARED_ROOT + "/"), k.cast("string"),
+                                                        F.lit(".json")))
+               .otherwise(F.concat(F.lit(TMP_ROOT + "/"), k.cast("string"), F.lit("/spec.json"))))
+        .alias("meta_spec"),
     )
 
 
+def spec_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path): job spec files that exist (own specs, and shared copies for every third job)."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    k = F.col("o_orderkey")
+    own = o.filter(k % 50 != 0).select(F.concat(F.lit(TMP_ROOT + "/"), k.cast("string"),
+                                                F.lit("/spec.json")).alias("path"))
+    shared = o.filter(k % 3 == 0).select(F.concat(F.lit(SHARED_ROOT + "/"), k.cast("string"),
+                                                  F.lit(".json")).alias("path"))
+    return own.unionByName(shared)
+
+
 def job_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(job, text): the marker file text each job leaves behind (S5 input)."""
     j = jobs(spark, sf_dir)
@@ -124,7 +141,7 @@ def job_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     started = F.col("ready_ts") + F.make_dt_interval(hours=(k % 7) + 1)
     finished = started + F.make_dt_interval(hours=(F.col("cust") % 5) + 1)
     launched = F.col("status") != "O"
-    no_inputs = launched & ~F.col("has_spec")
+    no_inputs = launched & ~(F.col("has_spec") | ((k % 3 == 0) & F.col("has_metadata")))
     lines = F.array(
         iso_seconds(F.col("ready_ts")),
         F.when(launched, F.concat(F.lit("started: "), iso_seconds(started))),

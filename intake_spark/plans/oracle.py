@@ -200,3 +200,157 @@ r(root) AS (VALUES ('blog.tionsh.example.com'), ('blog.tionsh.example.com/en'),
 rn AS (SELECT DISTINCT root, regexp_replace(root, '/+$', '') AS k FROM r)
 SELECT page_id, path, root FROM p JOIN rn ON p.path = rn.k OR starts_with(p.path, rn.k || '/')
 """
+
+JOBS = r"""
+j AS (
+  SELECT o_orderkey AS job, o_custkey AS cust, o_orderstatus AS status, o_orderdate AS ready_ts,
+         CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'P' THEN 1 END AS rc,
+         o_orderkey % 50 <> 0 AS has_spec, o_orderkey % 50 <> 1 AS has_metadata,
+         (o_orderstatus = 'P' AND o_custkey % 11 = 0) AS launch_error,
+         'S' || CAST(o_custkey AS VARCHAR) || '_std.raw' AS src_name
+  FROM orders),
+arts AS (
+  SELECT l_orderkey AS job, CASE WHEN l_returnflag = 'R' THEN 'artifact' ELSE 'log' END AS kind,
+         '/srv/intake/tmp/' || CAST(l_orderkey AS VARCHAR) || '/output/part' || CAST(l_linenumber AS VARCHAR)
+           || CASE WHEN l_returnflag = 'R' THEN '.hdf5' ELSE '.log' END AS path,
+         l_shipdate AS mtime, CAST(round(l_extendedprice * 100) AS BIGINT) AS size
+  FROM lineitem WHERE l_returnflag IN ('R', 'A')),
+best AS (
+  SELECT job, path, mtime, size,
+         row_number() OVER (PARTITION BY job ORDER BY mtime DESC, size DESC, path DESC) AS rn
+  FROM arts WHERE kind = 'artifact'),
+agg_art AS (
+  SELECT job, count(*) FILTER (WHERE kind = 'artifact') AS n_artifacts,
+         bool_or(kind = 'artifact') AS has_artifact, bool_or(kind = 'log') AS has_log
+  FROM arts GROUP BY job),
+x AS (
+  SELECT j.*, coalesce(a.has_artifact, false) AS art, coalesce(a.has_log, false) AS lg,
+         CASE WHEN has_spec THEN '/srv/intake/tmp/' || CAST(job AS VARCHAR) || '/spec.json'
+              WHEN job % 3 = 0 AND has_metadata THEN '/srv/intake/shared/' || CAST(job AS VARCHAR) || '.json'
+         END AS spec_path
+  FROM j LEFT JOIN agg_art a USING (job)),
+c AS (
+  SELECT *, CASE WHEN status = 'O' THEN 'pending'
+                 WHEN spec_path IS NULL THEN 'missing_inputs'
+                 WHEN launch_error THEN 'start_failed'
+                 WHEN NOT has_metadata THEN 'bad_metadata'
+                 WHEN rc = 0 AND art THEN 'delivered'
+                 WHEN rc = 0 THEN 'finished_no_artifact'
+                 WHEN art THEN 'failed_with_artifact'
+                 WHEN lg THEN 'failed_with_log'
+                 ELSE 'failed_no_log' END AS outcome
+  FROM x),
+tl1 AS (
+  SELECT *, status <> 'O' AS launched, (has_spec OR (job % 3 = 0 AND has_metadata)) AS resolvable FROM j),
+tl2 AS (
+  SELECT *, CASE WHEN launched THEN ready_ts + to_hours(CAST(job % 7 + 1 AS BIGINT)) END AS started_ts,
+         launched AND (NOT resolvable OR launch_error) AS err
+  FROM tl1),
+tl3 AS (
+  SELECT *, CASE WHEN launched AND NOT err THEN started_ts + to_hours(CAST(cust % 5 + 1 AS BIGINT)) END AS finished_ts,
+         CASE WHEN launched AND NOT err THEN rc END AS rc2
+  FROM tl2),
+v AS (
+  SELECT job, CASE WHEN err THEN 'error' WHEN rc2 = 0 THEN 'finish' WHEN rc2 IS NOT NULL THEN 'error'
+                   WHEN started_ts IS NOT NULL THEN 'working' ELSE 'ready' END AS state,
+         ready_ts, started_ts, finished_ts, CAST(rc2 AS BIGINT) AS rc,
+         CAST(date_diff('second', ready_ts, started_ts) AS BIGINT) AS wait_s,
+         CAST(date_diff('second', started_ts, finished_ts) AS BIGINT) AS run_s
+  FROM tl3)
+"""
+
+SQL["job_outcomes"] = rf"""
+WITH {JOBS}
+SELECT job, outcome,
+       CASE WHEN outcome = 'pending' THEN '.ready' WHEN outcome IN ('missing_inputs', 'start_failed') THEN '.error'
+            WHEN rc = 0 THEN '.finish' ELSE '.error' END AS marker,
+       outcome = 'delivered' AS ledger_updated, CAST(rc AS BIGINT) AS rc, spec_path
+FROM c
+"""
+
+SQL["job_timeline"] = rf"""
+WITH {JOBS}
+SELECT * FROM v
+"""
+
+SQL["queue_position"] = rf"""
+WITH {JOBS}
+SELECT job, ready_ts, CAST(row_number() OVER (ORDER BY ready_ts, job) AS BIGINT) AS position
+FROM v WHERE state = 'ready'
+"""
+
+SQL["dispatch_top_k"] = rf"""
+WITH {JOBS},
+q AS (SELECT job, ready_ts, CAST(row_number() OVER (ORDER BY ready_ts, job) AS BIGINT) AS position
+      FROM v WHERE state = 'ready')
+SELECT * FROM q WHERE position <= greatest(0, 25 - (SELECT count(*) FROM v WHERE state = 'working'))
+"""
+
+SQL["status_levels"] = rf"""
+WITH {JOBS},
+m AS (
+  SELECT CASE status WHEN 'F' THEN '[OK] ' || CAST(job AS VARCHAR) || ' -> .finish (rc=0)'
+                     WHEN 'P' THEN '[ERR] ' || CAST(job AS VARCHAR) || ' -> .error (rc=1)'
+                     ELSE '[RUN] ' || CAST(job AS VARCHAR) || ': PID ' || CAST(cust AS VARCHAR) END AS message
+  FROM j
+  UNION ALL
+  SELECT '[WARN] ' || CAST(job AS VARCHAR) || ': metadata missing or corrupt - skipping post-processing'
+  FROM j WHERE status <> 'O' AND NOT has_metadata)
+SELECT regexp_extract(message, '^\[(\w+)\] ([^ :]+)', 1) AS level,
+       nullif(regexp_extract(message, '^\[(\w+)\] ([^ :]+)', 2), '') AS job_ref, message
+FROM m
+"""
+
+SQL["definition_errors"] = r"""
+WITH d AS (
+  SELECT s_suppkey AS watch_idx, '/in/' || s_name AS input,
+         CASE WHEN s_nationkey <> 0 THEN '/out/n' || CAST(s_nationkey AS VARCHAR) END AS output,
+         CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE '*n' || CAST(s_nationkey AS VARCHAR) || 'std.raw' END AS pattern,
+         CAST(trunc(s_acctbal) AS INTEGER) AS interval_minutes
+  FROM supplier),
+e AS (
+  SELECT *, list_filter([CASE WHEN input IS NULL OR input = '' THEN 'missing_input' END,
+                         CASE WHEN output IS NULL OR output = '' THEN 'missing_output' END,
+                         CASE WHEN interval_minutes IS NULL THEN 'interval_not_integer' END,
+                         CASE WHEN interval_minutes < 0 THEN 'negative_interval' END],
+                        lambda x: x IS NOT NULL) AS errs
+  FROM d)
+SELECT watch_idx, input, output, coalesce(nullif(pattern, ''), '*std.raw') AS pattern,
+       CAST(interval_minutes AS BIGINT) * 60 AS interval_s,
+       greatest(1, CAST(interval_minutes AS BIGINT) * 60) AS trigger_s,
+       array_to_string(errs, ',') AS errors, len(errs) = 0 AS is_valid
+FROM e
+"""
+
+SQL["newest_reference"] = r"""
+WITH r AS (SELECT p_brand AS grp, p_name AS name, CAST(DATE '2024-01-01' + p_size AS TIMESTAMP) AS mtime,
+                  p_partkey AS size FROM part)
+SELECT grp, name, mtime, size FROM (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY mtime DESC, size DESC, lower(name) DESC, name DESC) AS rn
+  FROM r) WHERE rn = 1
+"""
+
+SQL["best_artifact"] = rf"""
+WITH {JOBS}
+SELECT g.job, b.path AS artifact, b.mtime AS artifact_mtime, b.size AS artifact_size,
+       g.n_artifacts, g.has_artifact, g.has_log
+FROM agg_art g LEFT JOIN best b ON b.job = g.job AND b.rn = 1
+"""
+
+SQL["delivery_manifest"] = rf"""
+WITH {JOBS},
+d AS (
+  SELECT c.job, c.src_name, b.path AS artifact, v.finished_ts,
+         '/srv/intake/out/c' || CAST(c.cust % 10 AS VARCHAR) AS final_root
+  FROM c JOIN best b ON b.job = c.job AND b.rn = 1 JOIN v ON v.job = c.job
+  WHERE c.outcome = 'delivered'),
+t AS (
+  SELECT *, final_root || '/' ||
+            coalesce(CASE WHEN coalesce(src_name, '') <> '' THEN regexp_replace(src_name, '^(.+)\.[^.]+$', '\1') END,
+                     CAST(job AS VARCHAR)) || '.hdf5' AS target
+  FROM d)
+SELECT target, job, artifact, finished_ts, n_writers FROM (
+  SELECT *, row_number() OVER (PARTITION BY target ORDER BY finished_ts DESC, job DESC) AS rn,
+         count(*) OVER (PARTITION BY target) AS n_writers
+  FROM t) WHERE rn = 1
+"""

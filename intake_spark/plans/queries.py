@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions.patterns import normalize_patterns
 from ..functions import paths as P
-from ..operators import intake
+from ..operators import delivery, intake, ordering
+from ..operators import jobs as jobs_ops
 from ..operators import inventory as inv_ops
 from ..operators import prefix
 from ..operators import stability as st
@@ -207,3 +208,76 @@ def prefix_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = pages.select("page_id", F.regexp_extract("url", "^[a-z]+://([^?#]*)", 1).alias("path"))
     roots = spark.createDataFrame([(r,) for r in ROOTS], "root string")
     return prefix.enclosing_roots(paths, roots).select("page_id", "path", "root")
+
+
+# --------------------------------------------------------------------------- jobs
+
+MAX_PARALLEL = 25
+DEFAULT_PATTERN = "*std.raw"
+
+
+def _job_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    j = jobs_ops.resolve_spec(D.jobs(spark, sf_dir), D.spec_files(spark, sf_dir))
+    outs = delivery.job_outputs(D.artifacts(spark, sf_dir))
+    return j.join(outs, "job", "left")
+
+
+def job_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome class, marker and ledger flag per job."""
+    c = jobs_ops.classify(_job_facts(spark, sf_dir))
+    return c.select("job", "outcome", "marker", "ledger_updated", "rc", "spec_path")
+
+
+def job_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marker text -> events -> state, times, wait and run seconds per job."""
+    ev = jobs_ops.parse_markers(D.job_markers(spark, sf_dir))
+    return jobs_ops.job_state(ev)
+
+
+def _ready_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    st_ = jobs_ops.job_state(jobs_ops.parse_markers(D.job_markers(spark, sf_dir)))
+    return st_.filter(F.col("state") == "ready").select("job", "ready_ts")
+
+
+def queue_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FIFO position of every ready job by (ready time, job)."""
+    return ordering.global_row_number(_ready_jobs(spark, sf_dir), ["ready_ts", "job"])
+
+
+def dispatch_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3 A5: the oldest ready jobs, as many as there is free capacity."""
+    states = jobs_ops.job_state(jobs_ops.parse_markers(D.job_markers(spark, sf_dir)))
+    cap = jobs_ops.free_capacity(states, MAX_PARALLEL).first()["capacity"]
+    ready = states.filter(F.col("state") == "ready").select("job", "ready_ts")
+    return ordering.top_k(ready, ["ready_ts", "job"], int(cap))
+
+
+def status_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Level and job reference of every status line."""
+    return jobs_ops.parse_status(D.status_messages(spark, sf_dir))
+
+
+def definition_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validation problems and effective settings per watch definition."""
+    return jobs_ops.validate_definitions(D.definitions(spark, sf_dir), DEFAULT_PATTERN)
+
+
+# --------------------------------------------------------------------------- delivery
+
+def newest_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: newest reference file per group."""
+    return delivery.newest_reference(D.reference_files(spark, sf_dir))
+
+
+def best_artifact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 A4: best artifact (by mtime, size) and artifact/log presence per job."""
+    return delivery.job_outputs(D.artifacts(spark, sf_dir))
+
+
+def delivery_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target file per delivered job; later finishers overwrite earlier ones."""
+    facts = jobs_ops.classify(_job_facts(spark, sf_dir)).filter(F.col("outcome") == "delivered")
+    times = job_timeline(spark, sf_dir).select("job", "finished_ts")
+    root = F.concat(F.lit(D.FINAL_ROOT + "/c"), (F.col("cust") % 10).cast("string"))
+    d = facts.join(times, "job").select("job", "src_name", "artifact", "finished_ts", root.alias("final_root"))
+    return delivery.delivery_manifest(d)

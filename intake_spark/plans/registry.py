@@ -19,6 +19,15 @@ QUERIES = {
     "still_exists": Q.still_exists,
     "ledger_append": Q.ledger_append,
     "prefix_match": Q.prefix_match,
+    "job_outcomes": Q.job_outcomes,
+    "job_timeline": Q.job_timeline,
+    "queue_position": Q.queue_position,
+    "dispatch_top_k": Q.dispatch_top_k,
+    "status_levels": Q.status_levels,
+    "definition_errors": Q.definition_errors,
+    "newest_reference": Q.newest_reference,
+    "best_artifact": Q.best_artifact,
+    "delivery_manifest": Q.delivery_manifest,
 }
 
 ORACLE = {k: v for k, v in SQL.items() if k in QUERIES}

@@ -21,6 +21,8 @@ TMP_ROOT = "/srv/intake/tmp"
 SHARED_ROOT = "/srv/intake/shared"
 FINAL_ROOT = "/srv/intake/out"
 REFERENCE_EPOCH = "2024-01-01"
+INPUT_ROOT = "/data/in"
+CONFIG_ROOT = "/srv/intake/config"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -102,7 +104,8 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One job per order: ready time, return code, launch facts, source name."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
+                                              "o_totalprice")
     k = F.col("o_orderkey")
     st = F.col("o_orderstatus")
     return o.select(
@@ -115,6 +118,7 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k % 50 != 1).alias("has_metadata"),
         ((st == "P") & (F.col("o_custkey") % 11 == 0)).alias("launch_error"),
         F.concat(F.lit("S"), F.col("o_custkey").cast("string"), F.lit("_std.raw")).alias("src_name"),
+        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("src_size"),
         F.concat(F.lit(TMP_ROOT + "/"), k.cast("string"), F.lit("/spec.json")).alias("own_spec"),
         F.when(k % 50 != 1, F.when(k % 3 == 0, F.concat(F.lit(SHARED_ROOT + "/"), k.cast("string"),
                                                         F.lit(".json")))

@@ -354,3 +354,67 @@ SELECT target, job, artifact, finished_ts, n_writers FROM (
          count(*) OVER (PARTITION BY target) AS n_writers
   FROM t) WHERE rn = 1
 """
+
+REFS = r"""
+ref AS (SELECT p_brand AS grp, p_name AS name, CAST(DATE '2024-01-01' + p_size AS TIMESTAMP) AS mtime,
+               p_partkey AS size FROM part),
+top AS (SELECT grp, name FROM (
+          SELECT *, row_number() OVER (PARTITION BY grp ORDER BY mtime DESC, size DESC, lower(name) DESC, name DESC)
+                 AS rn FROM ref) WHERE rn = 1),
+fa AS (SELECT '/srv/intake/config/fasta/' || name || '.fasta' AS f FROM top WHERE grp = 'Brand#1'),
+sp AS (SELECT '/srv/intake/config/spike/' || name || '.csv' AS f FROM top WHERE grp = 'Brand#2')
+"""
+
+SQL["job_spec"] = rf"""
+WITH {REFS}
+SELECT o_orderkey AS job,
+       '/srv/intake/tmp/' || CAST(o_orderkey AS VARCHAR) || '/input' AS main_input_folder,
+       '/srv/intake/tmp/' || CAST(o_orderkey AS VARCHAR) || '/output' AS main_outdir,
+       coalesce((SELECT f FROM fa), '%%%FASTA%%%') AS main_fasta_file,
+       (SELECT f FROM sp) AS main_spike_file,
+       coalesce((SELECT f FROM sp), '%%%SPIKE%%%%') AS spike_table,
+       'uses %%%FASTA%%% by name' AS note,
+       CAST(700 AS BIGINT) AS report_height
+FROM orders
+"""
+
+SQL["job_metadata"] = rf"""
+WITH {REFS},
+s AS (SELECT o_orderkey AS job, o_custkey AS cust, o_orderstatus AS status, o_orderdate AS ready_ts,
+             'S' || CAST(o_custkey AS VARCHAR) || '_std.raw' AS src_name,
+             CAST(round(o_totalprice * 100) AS BIGINT) AS size FROM orders),
+h AS (SELECT *, sha1('/data/in/' || src_name || CAST(size AS VARCHAR)) AS hash FROM s),
+ex AS (SELECT DISTINCT hash FROM h WHERE status = 'F'),
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY hash ORDER BY job) AS rn FROM h)
+      WHERE rn = 1 AND hash NOT IN (SELECT hash FROM ex))
+SELECT hash, job, strftime(ready_ts, '%Y-%m-%dT%H:%M:%S') AS created_at, src_name AS source_name,
+       size AS size_bytes, job % 4 <> 0 AS has_watch,
+       CASE WHEN job % 4 <> 0 THEN '/srv/intake/out/c' || CAST(cust % 10 AS VARCHAR) END AS final_root,
+       (SELECT f FROM fa) AS fasta_file,
+       CAST(CASE WHEN job % 4 <> 0 THEN 2 ELSE 0 END AS BIGINT) AS n_ignore_files,
+       CASE WHEN job % 4 <> 0 THEN '/srv/intake/out/c' || CAST(cust % 10 AS VARCHAR) || '/ignore.txt' END
+         AS ledger_file
+FROM f
+"""
+
+SQL["unique_target_names"] = r"""
+WITH req AS (SELECT p_name AS base, p_partkey AS req_id,
+                    row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS i FROM part),
+ex AS (SELECT DISTINCT name FROM (
+         SELECT p_name || '-' || CAST(p_size AS VARCHAR) AS name FROM part WHERE p_size % 10 = 3
+         UNION ALL SELECT p_name FROM part WHERE p_size = 50
+         UNION ALL SELECT p_name || '-20240101-000000' FROM part WHERE p_size = 49)),
+b AS (SELECT base, count(*) AS n, bool_or(base IN (SELECT name FROM ex)) AS b_taken,
+             bool_or((base || '-20240101-000000') IN (SELECT name FROM ex)) AS s_taken
+      FROM req GROUP BY base),
+nums AS (SELECT b.base, t.k FROM b, range(2, 2 * b.n + 3) AS t(k)),
+free AS (SELECT base, k, row_number() OVER (PARTITION BY base ORDER BY k) AS r FROM nums
+         WHERE (base || '-' || CAST(k AS VARCHAR)) NOT IN (SELECT name FROM ex)),
+ft AS (SELECT base, b_taken,
+              (CASE WHEN NOT b_taken THEN 1 ELSE 0 END) + (CASE WHEN NOT s_taken THEN 1 ELSE 0 END) AS ft FROM b)
+SELECT r.req_id, r.base,
+       CASE WHEN r.i - ft.ft > 0 THEN r.base || '-' || CAST(f.k AS VARCHAR)
+            WHEN r.i = 1 AND NOT ft.b_taken THEN r.base
+            ELSE r.base || '-20240101-000000' END AS name
+FROM req r JOIN ft ON ft.base = r.base LEFT JOIN free f ON f.base = r.base AND f.r = r.i - ft.ft
+"""

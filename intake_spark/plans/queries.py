@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.patterns import normalize_patterns
+from ..functions import jsonfmt
 from ..functions import paths as P
 from ..operators import delivery, intake, ordering
 from ..operators import jobs as jobs_ops
@@ -281,3 +282,93 @@ def delivery_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = F.concat(F.lit(D.FINAL_ROOT + "/c"), (F.col("cust") % 10).cast("string"))
     d = facts.join(times, "job").select("job", "src_name", "artifact", "finished_ts", root.alias("final_root"))
     return delivery.delivery_manifest(d)
+
+
+# --------------------------------------------------------------------------- job spec / metadata
+
+FASTA_GROUP, SPIKE_GROUP = "Brand#1", "Brand#2"
+WATCH_INTERVAL_S = 600
+RUN_STAMP = "20240101-000000"
+
+
+def _reference_paths(spark: SparkSession, sf_dir: str):
+    """Scalar sub-queries: newest FASTA and spike-in files (one value each, or null)."""
+    refs = D.reference_files(spark, sf_dir)
+    fasta = delivery.reference_file(refs, FASTA_GROUP).select(
+        F.concat(F.lit(D.CONFIG_ROOT + "/fasta/"), F.col("file"), F.lit(".fasta")).alias("f"))
+    spike = delivery.reference_file(refs, SPIKE_GROUP).select(
+        F.concat(F.lit(D.CONFIG_ROOT + "/spike/"), F.col("file"), F.lit(".csv")).alias("f"))
+    return fasta.scalar(), spike.scalar()
+
+
+def job_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Job spec JSON per job; fields read back from the written text."""
+    fasta, spike = _reference_paths(spark, sf_dir)
+    j = D.jobs(spark, sf_dir).select("job")
+    base = F.concat(F.lit(D.TMP_ROOT + "/"), F.col("job").cast("string"))
+    spec = jsonfmt.fill_io(F.lit(jsonfmt.JOB_TEMPLATE), F.concat(base, F.lit("/input")),
+                           F.concat(base, F.lit("/output")))
+    spec = jsonfmt.fill_reference(spec, fasta, jsonfmt.FASTA_PHS, "main_fasta_file")
+    spec = jsonfmt.fill_reference(spec, spike, jsonfmt.SPIKE_PHS, "main_spike_file")
+    s = j.select("job", spec.alias("spec"))
+    g = lambda p: F.get_json_object("spec", p)
+    return s.select("job", g("$.main_input_folder").alias("main_input_folder"),
+                    g("$.main_outdir").alias("main_outdir"), g("$.main_fasta_file").alias("main_fasta_file"),
+                    g("$.main_spike_file").alias("main_spike_file"), g("$.spike_in.table").alias("spike_table"),
+                    g("$.identification.note").alias("note"),
+                    g("$.report.height").cast("bigint").alias("report_height"))
+
+
+def job_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata JSON for every new job hash (existing ones kept); fields read back."""
+    fasta, spike = _reference_paths(spark, sf_dir)
+    j = D.jobs(spark, sf_dir)
+    src_abs = F.concat(F.lit(D.INPUT_ROOT + "/"), F.col("src_name"))
+    j = j.withColumn("hash", P.row_key(src_abs, F.col("src_size")))
+    hdir = F.concat(F.lit(D.TMP_ROOT + "/"), F.col("hash"))
+    final_root = F.concat(F.lit(D.FINAL_ROOT + "/c"), (F.col("cust") % 10).cast("string"))
+    thread_ignore = F.concat(F.lit(D.TMP_ROOT + "/ignore-"), P.slug(F.lit(D.INPUT_ROOT)), F.lit("-"),
+                             P.slug(F.lit(DEFAULT_PATTERN)), F.lit(".txt"))
+    watch = F.when(F.col("job") % 4 != 0, F.struct(
+        F.lit(D.INPUT_ROOT).alias("input_root"), final_root.alias("final_output_root"),
+        F.lit(DEFAULT_PATTERN).alias("pattern"), F.lit(WATCH_INTERVAL_S).alias("interval_seconds"),
+        F.array(thread_ignore, F.concat(final_root, F.lit("/ignore.txt"))).alias("ignore_files")))
+    meta = F.struct(
+        F.col("hash"), P.iso_seconds(F.col("ready_ts")).alias("created_at"),
+        F.struct(hdir.alias("hash_dir"), F.concat(hdir, F.lit("/input")).alias("tmp_input_dir"),
+                 F.concat(hdir, F.lit("/output")).alias("tmp_output_dir"),
+                 F.concat(hdir, F.lit("/spec.json")).alias("spec_json"), src_abs.alias("source_file"))
+        .alias("paths"),
+        F.struct(F.col("src_name").alias("name"), src_abs.alias("absolute_path"),
+                 F.col("src_size").alias("size_bytes"), F.lower("src_name").endswith(".d").alias("is_dir"))
+        .alias("source"),
+        F.struct(F.lit(D.CONFIG_ROOT + "/fasta").alias("dir"), fasta.alias("file")).alias("fasta"),
+        F.struct(F.lit(D.CONFIG_ROOT + "/spike").alias("dir"), spike.alias("file")).alias("spike"),
+        watch.alias("watch"))
+    docs = j.select("job", "hash", "status", jsonfmt.metadata_json(meta).alias("json"))
+    existing = docs.filter(F.col("status") == "F").select("hash")
+    new = intake.keep_new(intake.first_per_key(docs.drop("status"), ["hash"], ["job"]), existing)
+    m = new.select("job", F.from_json("json", jsonfmt.METADATA_SCHEMA).alias("m"))
+    ign = F.col("m.watch.ignore_files")
+    ledger = F.element_at(F.filter(ign, lambda x: x.endswith("ignore.txt")), -1)
+    return m.select(
+        F.col("m.hash").alias("hash"), "job", F.col("m.created_at").alias("created_at"),
+        F.col("m.source.name").alias("source_name"), F.col("m.source.size_bytes").alias("size_bytes"),
+        F.col("m.watch").isNotNull().alias("has_watch"),
+        F.col("m.watch.final_output_root").alias("final_root"), F.col("m.fasta.file").alias("fasta_file"),
+        F.when(ign.isNotNull(), F.size(ign)).otherwise(F.lit(0)).cast("bigint").alias("n_ignore_files"),
+        F.when(F.col("m.watch").isNotNull(),
+               F.coalesce(ledger, F.concat(F.col("m.watch.final_output_root"), F.lit("/ignore.txt"))))
+        .alias("ledger_file"))
+
+
+def unique_target_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collision-free output names for every part, given the names already taken."""
+    p = D.table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    req = p.select(F.col("p_name").alias("base"), F.col("p_partkey").alias("req_id"))
+    existing = (p.filter(F.col("p_size") % 10 == 3)
+                .select(F.concat("p_name", F.lit("-"), F.col("p_size").cast("string")).alias("name"))
+                .unionByName(p.filter(F.col("p_size") == 50).select(F.col("p_name").alias("name")))
+                .unionByName(p.filter(F.col("p_size") == 49)
+                             .select(F.concat("p_name", F.lit("-" + RUN_STAMP)).alias("name"))))
+    return delivery.unique_names(req, existing, RUN_STAMP)

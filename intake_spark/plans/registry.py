@@ -28,6 +28,9 @@ QUERIES = {
     "newest_reference": Q.newest_reference,
     "best_artifact": Q.best_artifact,
     "delivery_manifest": Q.delivery_manifest,
+    "job_spec": Q.job_spec,
+    "job_metadata": Q.job_metadata,
+    "unique_target_names": Q.unique_target_names,
 }
 
 ORACLE = {k: v for k, v in SQL.items() if k in QUERIES}

@@ -10,7 +10,7 @@ file fields) and serialises it with nulls kept.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,7 +85,7 @@ def fill_io(template: Column, input_dir: Column, output_dir: Column) -> Column:
 def _leaf_regex(placeholders: tuple[str, ...]) -> str:
     alts = "|".join(sorted(placeholders, key=len, reverse=True))
     # a quoted value equal to a placeholder: after ':' or '[' or ',' (not a key: no ':' follows)
-    return rf'(?<=[:\[,]\s{{0,16}})"(?:{alts})"(?!\s*:)'
+    return rf'([:\[,]\s*)"(?:{alts})"(?!\s*:)'
 
 
 def _replacement(s: Column) -> Column:
@@ -93,22 +93,25 @@ def _replacement(s: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(s, r"\\", r"\\\\"), r"\$", r"\\\$")
 
 
-def fill_reference(spec: Column, file_path: Column, placeholders: tuple[str, ...], field: str) -> Column:
-    """exact-leaf placeholder replacement and the top-level ``field``.
+def fill_reference(df: DataFrame, spec: str, file_path: Column, placeholders: tuple[str, ...],
+                   field: str) -> DataFrame:
+    """F7 on column ``spec``: exact-leaf placeholder replacement and the top-level ``field``.
 
     No reference file (null) leaves the spec unchanged, as does text that is
-    not a JSON object.
+    not valid JSON. Steps are separate columns so no sub-expression is
+    evaluated twice.
     """
-    quoted = _replacement(F.concat(F.lit('"'), json_escape(file_path), F.lit('"')))
-    replaced = F.regexp_replace(spec, _leaf_regex(placeholders), quoted)
+    d = (df.withColumn("_f7_q", _replacement(F.concat(F.lit('"'), json_escape(file_path), F.lit('"'))))
+         .withColumn("_f7_ok", file_path.isNotNull() & F.try_parse_json(F.col(spec)).isNotNull())
+         .withColumn("_f7_r", F.regexp_replace(F.col(spec), _leaf_regex(placeholders),
+                                               F.concat(F.lit("$1"), F.col("_f7_q")))))
     key_rx = rf'("{field}"\s*:\s*)"(?:[^"\\]|\\.)*"'
-    has_key = spec.rlike(rf'"{field}"\s*:')
-    set_key = F.when(has_key, F.regexp_replace(replaced, key_rx, F.concat(F.lit("$1"), quoted))) \
-        .otherwise(F.regexp_replace(replaced, r"^\s*\{", F.concat(F.lit('{"' + field + '": '), quoted,
-                                                                  F.lit(","))))
-    ok = file_path.isNotNull() & F.coalesce(F.try_parse_json(spec).isNotNull(), F.lit(False)) \
-        if hasattr(F, "try_parse_json") else file_path.isNotNull()
-    return F.when(ok, set_key).otherwise(spec)
+    set_key = (F.when(F.col("_f7_r").rlike(rf'"{field}"\s*:'),
+                      F.regexp_replace(F.col("_f7_r"), key_rx, F.concat(F.lit("$1"), F.col("_f7_q"))))
+               .otherwise(F.regexp_replace(F.col("_f7_r"), r"^\s*\{",
+                                           F.concat(F.lit('{"' + field + '": '), F.col("_f7_q"), F.lit(",")))))
+    return (d.withColumn(spec, F.when(F.col("_f7_ok"), set_key).otherwise(F.col(spec)))
+            .drop("_f7_q", "_f7_ok", "_f7_r"))
 
 
 def metadata_json(meta: Column) -> Column:

@@ -308,9 +308,9 @@ def job_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.concat(F.lit(D.TMP_ROOT + "/"), F.col("job").cast("string"))
     spec = jsonfmt.fill_io(F.lit(jsonfmt.JOB_TEMPLATE), F.concat(base, F.lit("/input")),
                            F.concat(base, F.lit("/output")))
-    spec = jsonfmt.fill_reference(spec, fasta, jsonfmt.FASTA_PHS, "main_fasta_file")
-    spec = jsonfmt.fill_reference(spec, spike, jsonfmt.SPIKE_PHS, "main_spike_file")
-    s = j.select("job", spec.alias("spec"))
+    s = j.select("job", spec.alias("spec"), fasta.alias("_fasta"), spike.alias("_spike"))
+    s = jsonfmt.fill_reference(s, "spec", F.col("_fasta"), jsonfmt.FASTA_PHS, "main_fasta_file")
+    s = jsonfmt.fill_reference(s, "spec", F.col("_spike"), jsonfmt.SPIKE_PHS, "main_spike_file")
     g = lambda p: F.get_json_object("spec", p)
     return s.select("job", g("$.main_input_folder").alias("main_input_folder"),
                     g("$.main_outdir").alias("main_outdir"), g("$.main_fasta_file").alias("main_fasta_file"),

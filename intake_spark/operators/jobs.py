@@ -49,8 +49,13 @@ def job_state(events: DataFrame) -> DataFrame:
     agg = events.groupBy("job").agg(
         at("ready").alias("ready_ts"), at("started").alias("started_ts"), at("finished").alias("finished_ts"),
         rc_text.cast("bigint").alias("rc"),
-        F.bool_or(F.col("event") == "error").alias("has_error"))
-    state = (F.when(F.col("has_error"), F.lit("error"))
+        F.max(F.when(F.col("event") == "error", 1).otherwise(0)).alias("n_err"))
+    return finalize_state(agg)
+
+
+def finalize_state(agg: DataFrame) -> DataFrame:
+    """T6 from per-job facts ``(job, ready_ts, started_ts, finished_ts, rc, n_err)``."""
+    state = (F.when(F.col("n_err") > 0, F.lit("error"))
              .when(F.col("rc") == 0, F.lit("finish"))
              .when(F.col("rc").isNotNull(), F.lit("error"))
              .when(F.col("started_ts").isNotNull(), F.lit("working"))

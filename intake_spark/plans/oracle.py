@@ -418,3 +418,7 @@ SELECT r.req_id, r.base,
             ELSE r.base || '-20240101-000000' END AS name
 FROM req r JOIN ft ON ft.base = r.base LEFT JOIN free f ON f.base = r.base AND f.r = r.i - ft.ft
 """
+
+SQL["stream_dedup"] = r"""
+SELECT DISTINCT md5(text) || '.raw' AS name, n_chars AS size FROM documents
+"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import queries as Q
+from . import streams as S
 from .oracle import SQL
 
 QUERIES = {
@@ -31,6 +32,14 @@ QUERIES = {
     "job_spec": Q.job_spec,
     "job_metadata": Q.job_metadata,
     "unique_target_names": Q.unique_target_names,
+    "stream_stability": S.stream_stability,
+    "stream_dedup": S.stream_dedup,
+    "stream_jobs": S.stream_jobs,
 }
 
+# Streams equal their batch counterparts.
+SQL = dict(SQL)
+SQL["stream_stability"] = SQL["stable_candidates"]
+SQL["stream_jobs"] = SQL["job_timeline"]
+
 ORACLE = {k: v for k, v in SQL.items() if k in QUERIES}

@@ -80,3 +80,12 @@ def ancestors(path: Column) -> Column:
     parts = F.split(path, "/")
     return F.transform(F.sequence(F.lit(1), F.size(parts)),
                        lambda i: F.array_join(F.slice(parts, 1, i), "/"))
+
+
+def parent_dirs(rel: Column) -> Column:
+    """Enclosing directories of a relative path, outermost first (empty at top level)."""
+    parts = F.split(rel, "/")
+    n = F.size(parts) - 1
+    return F.when(n > 0, F.transform(F.sequence(F.lit(1), n),
+                                     lambda i: F.array_join(F.slice(parts, 1, i), "/"))) \
+        .otherwise(F.array().cast("array<string>"))

@@ -43,10 +43,19 @@ def number_scans(scans: DataFrame, order_col: str = "scan_ts") -> DataFrame:
 
 def stability_counts(log: DataFrame, block_scans: int = DEFAULT_BLOCK_SCANS,
                      keys: tuple[str, ...] = ("watch", "name")) -> DataFrame:
-    """W1 over a scan log ``(watch, scan_no, name, size, ...)`` -> adds ``count``."""
+    """W1 over a scan log ``(watch, scan_no, name, size)`` -> the same columns plus ``count``."""
     k = list(keys)
     blk = F.floor(F.col("scan_no") / F.lit(block_scans)).cast("bigint")
-    obs = log.withColumn("_blk", blk)
+    # One exchange on (keys, block) feeds both the row windows and the block
+    # summary: the two branches start from the same subtree, so the shuffle
+    # is written once and reused (ReusedExchange) instead of recomputed.
+    # Null keys never join; filtering them up front keeps both branches'
+    # subtrees identical (no one-sided inferred filters), which reuse needs.
+    not_null = F.col("scan_no").isNotNull()
+    for c in k:
+        not_null = not_null & F.col(c).isNotNull()
+    obs = (log.select(*k, "scan_no", "size").filter(not_null)
+           .withColumn("_blk", blk).repartition(*k, "_blk"))
 
     wkb = Window.partitionBy(*k, "_blk").orderBy("scan_no")
     prev_scan = F.lag("scan_no").over(wkb)

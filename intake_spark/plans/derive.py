@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.paths import iso_seconds
+from ..functions.paths import iso_seconds, parent_dirs
 from ..operators.stability import number_scans
 
 # Fixed values of the derivations (FIXTURES.md section 3).
@@ -42,8 +42,8 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(watch, scan_day, scan_ts, status, scan_no): one row per watch and day."""
-    ev = table(spark, sf_dir, "events").select("event_type", "ts")
-    s = (ev.select(F.col("event_type").alias("watch"), F.to_date("ts").alias("scan_day")).distinct()
+    # derived from the observation aggregate, so the plan shares its exchange
+    s = (observations(spark, sf_dir).select("watch", "scan_day").distinct()
          .withColumn("scan_ts", F.col("scan_day").cast("timestamp_ntz"))
          .withColumn("status", F.lit("ok")))
     return number_scans(s, "scan_ts")
@@ -77,10 +77,8 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     the sum of the files below it (A1 semantics for every directory).
     """
     f = doc_files(spark, sf_dir)
-    parts = F.split("rel", "/")
     dirs = (f.select("watch", "size",
-                     F.explode(F.transform(F.sequence(F.lit(1), F.size(parts) - 1),
-                                           lambda i: F.array_join(F.slice(parts, 1, i), "/"))).alias("rel"))
+                     F.explode(parent_dirs(F.col("rel"))).alias("rel"))
             .groupBy("watch", "rel").agg(F.sum("size").cast("bigint").alias("size"))
             .withColumn("is_dir", F.lit(True)))
     files = f.select("watch", "rel", "size", F.lit(False).alias("is_dir"))

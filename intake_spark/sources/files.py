@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.jsonfmt import METADATA_SCHEMA
+from ..functions.paths import parent_dirs
 from ..operators.inventory import read_ignore_list  # noqa: F401  (S2 lives with the ignore filter)
 from ..operators.jobs import parse_markers, parse_status
 
@@ -48,9 +49,7 @@ def inventory_scan(spark: SparkSession, root: str, watch: str, path_glob: str |
                            _rx_escape(root.rstrip("/")) + "/", "")
     f = files.select(F.lit(watch).alias("watch"), rel.alias("rel"), abs_.alias("abs"),
                      F.col("length").alias("size"), F.col("modificationTime").cast("timestamp_ntz").alias("mtime"))
-    parts = F.split("rel", "/")
-    dirs = (f.select("watch", "size", "mtime", F.explode(F.transform(
-        F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.array_join(F.slice(parts, 1, i), "/"))).alias("rel"))
+    dirs = (f.select("watch", "size", "mtime", F.explode(parent_dirs(F.col("rel"))).alias("rel"))
         .groupBy("watch", "rel").agg(F.sum("size").alias("size"), F.max("mtime").alias("mtime"))
         .withColumn("abs", F.concat(F.lit(root.rstrip("/") + "/"), F.col("rel"))))
     out = f.withColumn("is_dir", F.lit(False)).unionByName(dirs.withColumn("is_dir", F.lit(True)))
@@ -76,7 +75,7 @@ def read_definitions(spark: SparkSession, path: str) -> DataFrame:
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """``(file, valid, meta)`` per metadata file; unreadable JSON -> valid false, meta null."""
-    raw = spark.read.option("wholetext", "true").text(path).select(
+    raw = spark.read.text(path, wholetext=True).select(
         F.input_file_name().alias("file"), F.col("value"))
     ok = F.coalesce(F.try_parse_json("value").isNotNull() & F.trim("value").startswith("{"), F.lit(False))
     return raw.select("file", ok.alias("valid"),
@@ -85,7 +84,7 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
 
 def read_markers(spark: SparkSession, path: str, job_rx: str = r"/([^/]+)/[^/]+$") -> DataFrame:
     """Marker files (visible names; Spark skips dot-files) -> job events; job = parent folder."""
-    raw = spark.read.option("wholetext", "true").text(path).select(
+    raw = spark.read.text(path, wholetext=True).select(
         F.regexp_extract(F.input_file_name(), job_rx, 1).alias("job"), F.col("value").alias("text"))
     return parse_markers(raw)
 

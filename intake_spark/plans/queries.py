@@ -6,7 +6,7 @@ column names match the SQL of the same key in ``plans/oracle.py``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.patterns import normalize_patterns
@@ -34,9 +34,10 @@ def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     cands = st.stable_candidates(counted)
     latest = st.latest_scans(D.scans(spark, sf_dir))
     snap = st.snapshot_at(cands, latest)
-    sizes = snap.groupBy("watch").agg(F.count(F.lit(1)).alias("n_in_snapshot"))
-    return (snap.join(sizes, "watch")
-            .select("watch", "scan_no", "name", "size", "hash", "count", "n_in_snapshot")
+    # one scan's candidates per watch: counted in the same pass (no self-join,
+    # which would evaluate the stability pipeline twice)
+    n = F.count(F.lit(1)).over(Window.partitionBy("watch"))
+    return (snap.select("watch", "scan_no", "name", "size", "hash", "count", n.alias("n_in_snapshot"))
             .orderBy("watch", F.lower("name"), "name"))
 
 
@@ -301,22 +302,31 @@ def _reference_paths(spark: SparkSession, sf_dir: str):
     return fasta.scalar(), spike.scalar()
 
 
+SPEC_FIELDS = ("main_input_folder string, main_outdir string, main_fasta_file string, main_spike_file string, "
+               "spike_in struct<table: string>, identification struct<note: string>, report struct<height: bigint>")
+
+
 def job_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Job spec JSON per job; fields read back from the written text."""
+    """Job spec JSON per job; fields read back from the written text.
+
+    F7 depends only on per-run values (the newest reference files), so it is
+    applied once to the template - a one-row scalar sub-query - and each job
+    row only fills its own input/output placeholders (F6).
+    """
     fasta, spike = _reference_paths(spark, sf_dir)
+    tmpl = spark.range(1).select(F.lit(jsonfmt.JOB_TEMPLATE).alias("spec"), fasta.alias("_fasta"),
+                                 spike.alias("_spike"))
+    tmpl = jsonfmt.fill_reference(tmpl, "spec", F.col("_fasta"), jsonfmt.FASTA_PHS, "main_fasta_file")
+    tmpl = jsonfmt.fill_reference(tmpl, "spec", F.col("_spike"), jsonfmt.SPIKE_PHS, "main_spike_file")
     j = D.jobs(spark, sf_dir).select("job")
     base = F.concat(F.lit(D.TMP_ROOT + "/"), F.col("job").cast("string"))
-    spec = jsonfmt.fill_io(F.lit(jsonfmt.JOB_TEMPLATE), F.concat(base, F.lit("/input")),
+    spec = jsonfmt.fill_io(tmpl.select("spec").scalar(), F.concat(base, F.lit("/input")),
                            F.concat(base, F.lit("/output")))
-    s = j.select("job", spec.alias("spec"), fasta.alias("_fasta"), spike.alias("_spike"))
-    s = jsonfmt.fill_reference(s, "spec", F.col("_fasta"), jsonfmt.FASTA_PHS, "main_fasta_file")
-    s = jsonfmt.fill_reference(s, "spec", F.col("_spike"), jsonfmt.SPIKE_PHS, "main_spike_file")
-    g = lambda p: F.get_json_object("spec", p)
-    return s.select("job", g("$.main_input_folder").alias("main_input_folder"),
-                    g("$.main_outdir").alias("main_outdir"), g("$.main_fasta_file").alias("main_fasta_file"),
-                    g("$.main_spike_file").alias("main_spike_file"), g("$.spike_in.table").alias("spike_table"),
-                    g("$.identification.note").alias("note"),
-                    g("$.report.height").cast("bigint").alias("report_height"))
+    s = j.select("job", F.from_json(spec, SPEC_FIELDS).alias("s"))
+    return s.select("job", "s.main_input_folder", "s.main_outdir", "s.main_fasta_file", "s.main_spike_file",
+                    F.col("s.spike_in.table").alias("spike_table"),
+                    F.col("s.identification.note").alias("note"),
+                    F.col("s.report.height").alias("report_height"))
 
 
 def job_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,7 +55,7 @@ def stability_counts(log: DataFrame, block_scans: int = DEFAULT_BLOCK_SCANS,
     for c in k:
         not_null = not_null & F.col(c).isNotNull()
     obs = (log.select(*k, "scan_no", "size").filter(not_null)
-           .withColumn("_blk", blk).repartition(*k, "_blk"))
+           .withColumn("_blk", blk).filter(F.col("_blk").isNotNull()).repartition(*k, "_blk"))
 
     wkb = Window.partitionBy(*k, "_blk").orderBy("scan_no")
     prev_scan = F.lag("scan_no").over(wkb)

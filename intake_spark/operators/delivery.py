@@ -9,10 +9,11 @@ or group with a very large number of files is combined map-side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.paths import compact_ts, target_name
+from .ordering import row_number_within
 
 
 def newest_reference(files: DataFrame) -> DataFrame:
@@ -66,38 +67,37 @@ def unique_names(requests: DataFrame, existing: DataFrame, run_ts_text: str) ->
     ``existing(name)`` are names already taken. The i-th request gets the i-th
     free candidate. Free numeric suffixes are found without listing pairs:
     with the taken suffixes e_1 < e_2 < ... of a base, the j-th free number is
-    j + 1 + #{m : e_m - m - 1 < j}, a running count over one ordered union.
+    j + 1 + #{m : e_m - m - 1 < j}; that count is a request's rank in the
+    merged order of requests and taken suffixes minus its rank among requests.
+    All ranks use ``row_number_within``, so one very common base is spread
+    over many tasks.
     """
-    req = requests.withColumn("i", F.row_number().over(Window.partitionBy("base").orderBy("req_id")))
+    req = row_number_within(requests.select("base", "req_id"), ["base"], ["req_id"], "i")
     stamped = F.concat(F.col("base"), F.lit("-" + run_ts_text))
     ex = existing.select("name").distinct()
-    free0 = (req.select("base").distinct()
+    bases = requests.select("base").distinct()
+    free0 = (bases
              .join(ex.withColumnRenamed("name", "base").withColumn("_b_taken", F.lit(True)), "base", "left")
              .join(ex.select(F.col("name").alias("_st")).withColumn("_s_taken", F.lit(True)),
                    F.concat(F.col("base"), F.lit("-" + run_ts_text)) == F.col("_st"), "left")
              .select("base", F.coalesce("_b_taken", F.lit(False)).alias("b_taken"),
                      F.coalesce("_s_taken", F.lit(False)).alias("s_taken")))
-    # taken numeric suffixes per base, ranked
     suffix_rx = "^(.*)-([1-9][0-9]*)$"
     taken = (ex.select(F.regexp_extract("name", suffix_rx, 1).alias("base"),
                        F.regexp_extract("name", suffix_rx, 2).alias("n"))
              .filter(F.col("n") != "").select("base", F.col("n").cast("bigint").alias("e"))
-             .filter(F.col("e") >= 2).join(free0.select("base"), "base", "left_semi")
-             .withColumn("m", F.row_number().over(Window.partitionBy("base").orderBy("e")))
-             .withColumn("d", F.col("e") - F.col("m") - 1))
-    r = req.join(free0, "base")
+             .filter(F.col("e") >= 2).join(bases, "base", "left_semi"))
+    taken = row_number_within(taken, ["base"], ["e"], "m").withColumn("d", F.col("e") - F.col("m") - 1)
     first_two = F.when(~F.col("b_taken") & ~F.col("s_taken"), 2) \
         .when(~F.col("b_taken") | ~F.col("s_taken"), 1).otherwise(0)
-    r = r.withColumn("ft", first_two).withColumn("j", F.col("i") - F.col("ft"))
-    # k = #taken with d < j: running count over a union ordered by (d or j - 0.5)
-    ev = (r.filter(F.col("j") > 0).select("base", "req_id", F.col("j").cast("double").alias("pos"),
-                                           F.lit(0).alias("is_taken"), "j")
+    r = req.join(free0, "base").withColumn("j", F.col("i") - first_two)
+    # requests sit at position j, taken suffixes at d + 0.5: no ties
+    ev = (r.filter(F.col("j") > 0).select("base", "req_id", F.col("j").cast("double").alias("pos"), "j")
           .unionByName(taken.select("base", F.lit(None).cast("bigint").alias("req_id"),
-                                    (F.col("d") - F.lit(0.5) + F.lit(1.0)).alias("pos"),
-                                    F.lit(1).alias("is_taken"), F.lit(None).cast("bigint").alias("j"))))
-    w = Window.partitionBy("base").orderBy("pos", "is_taken").rowsBetween(Window.unboundedPreceding, 0)
-    numbered = (ev.withColumn("k", F.sum("is_taken").over(w)).filter(F.col("is_taken") == 0)
-                .select("base", "req_id", (F.col("j") + 1 + F.col("k")).alias("num")))
+                                    (F.col("d") + F.lit(0.5)).alias("pos"), F.lit(None).cast("bigint").alias("j"))))
+    merged = row_number_within(ev, ["base"], ["pos"], "r")
+    numbered = (merged.filter(F.col("req_id").isNotNull())
+                .select("base", "req_id", (F.col("j") + 1 + (F.col("r") - F.col("j"))).alias("num")))
     named = r.join(numbered, ["base", "req_id"], "left")
     name = (F.when(F.col("j") > 0, F.concat(F.col("base"), F.lit("-"), F.col("num").cast("string")))
             .when((F.col("i") == 1) & ~F.col("b_taken"), F.col("base"))

@@ -121,3 +121,22 @@ def scan_counts(scans: DataFrame, counted: DataFrame, min_stable: int = MIN_STAB
                     F.coalesce("n_files", F.lit(0)).cast("bigint").alias("n_files"),
                     F.coalesce("n_candidates", F.lit(0)).cast("bigint").alias("n_candidates"),
                     F.coalesce("max_count", F.lit(0)).cast("bigint").alias("max_count")))
+
+
+def write_snapshots(candidates: DataFrame, scans: DataFrame, path: str) -> None:
+    """K1: one snapshot per scan, empty snapshots included.
+
+    Candidate rows land under ``watch=/scan_no=`` partitions; the per-scan
+    event table (``kind = 'snapshot'`` with its size, zero for an empty scan)
+    goes to ``<path>/_events``. Dynamic partition overwrite makes a rewrite of
+    the same scans idempotent.
+    """
+    (candidates.select("watch", "scan_no", "name", "size", "hash", "count")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("watch", "scan_no").parquet(path))
+    per = candidates.groupBy("watch", "scan_no").agg(F.count(F.lit(1)).alias("n_candidates"))
+    events = (scans.select("watch", "scan_no", "scan_ts").join(per, ["watch", "scan_no"], "left")
+              .select("watch", "scan_no", "scan_ts", F.lit("snapshot").alias("kind"),
+                      F.coalesce("n_candidates", F.lit(0)).cast("bigint").alias("n_candidates")))
+    (events.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("watch").parquet(f"{path.rstrip('/')}/_events"))

@@ -23,15 +23,15 @@ def _run(q) -> None:
 
 
 def stream_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stateful run lengths over the landed scan log; candidates to a file sink."""
+    """Run lengths over the landed scan log, carried between micro-batches
+    in a versioned state table (``foreachBatch``, JVM-side); candidates read back."""
     base = scratch_path(spark, "stability")
     D.scan_log(spark, sf_dir).select("watch", "scan_no", "name", "size").write.parquet(f"{base}/log")
     src = spark.readStream.schema(LOG_SCHEMA).parquet(f"{base}/log")
-    cands = sst.stream_candidates(sst.stream_counts(src))
-    _run(cands.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", f"{base}/ckpt").option("path", f"{base}/out")
+    handler = runner.with_hook(sst.state_table_handler(f"{base}/state", f"{base}/out"))
+    _run(src.writeStream.foreachBatch(handler).option("checkpointLocation", f"{base}/ckpt")
          .trigger(availableNow=True).start())
-    return spark.read.parquet(f"{base}/out")
+    return sst.stream_candidates(spark.read.parquet(f"{base}/out"))
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

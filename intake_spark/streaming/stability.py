@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -77,3 +77,76 @@ def stream_candidates(counts: DataFrame, min_stable: int = MIN_STABLE_SCANS) ->
     return (counts.filter(~F.col("late") & (F.col("count") >= F.lit(min_stable)))
             .withColumn("hash", row_key(F.col("name"), F.col("size")))
             .select("watch", "scan_no", "name", "size", "hash", "count"))
+
+
+# --------------------------------------------------------------------------- JVM-side form
+
+STATE_TABLE_SCHEMA = "watch string, name string, scan_no long, size long, cnt long"
+
+
+def advance_counts(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """T2-T4 for one micro-batch as a DataFrame step (no Python per key).
+
+    ``state(watch, name, scan_no, size, cnt)`` holds each live file's last
+    observation and run length. Each state row joins the batch as a seed
+    whose run began at ``scan_no - cnt + 1``; a window per (watch, name) over
+    seed + new rows then gives every new row its count. The window groups are
+    bounded by the scans in one micro-batch (plus the seed), not by history.
+    Rows not newer than their key's state are replays: ``late = true``.
+
+    Returns ``(counted_rows, new_state)``. The new state keeps only files seen
+    in the latest scan of their watch (a missed scan forgets a file).
+    """
+    b = batch.select("watch", "name", "scan_no", "size")
+    seed = state.select("watch", "name", F.col("scan_no").alias("_s0"), F.col("cnt").alias("_c0"))
+    b = b.join(seed, ["watch", "name"], "left")
+    late = F.col("_s0").isNotNull() & (F.col("scan_no") <= F.col("_s0"))
+    fresh = b.filter(~late).select("watch", "name", "scan_no", "size",
+                                   F.lit(None).cast("long").alias("_start"))
+    seeds = state.select("watch", "name", "scan_no", "size",
+                         (F.col("scan_no") - F.col("cnt") + 1).alias("_start"))
+    rows = fresh.withColumn("_seed", F.lit(False)).unionByName(seeds.withColumn("_seed", F.lit(True)))
+    w = Window.partitionBy("watch", "name").orderBy("scan_no")
+    prev_scan = F.lag("scan_no").over(w)
+    prev_size = F.lag("size").over(w)
+    cont = (prev_scan == F.col("scan_no") - 1) & prev_size.eqNullSafe(F.col("size"))
+    brk = F.when(F.col("_seed"), F.col("_start")).when(cont, F.lit(None)).otherwise(F.col("scan_no"))
+    rows = rows.withColumn("_brk", brk).withColumn(
+        "_run", F.max("_brk").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    rows = rows.withColumn("count", F.least(F.col("scan_no") - F.col("_run") + 1, F.lit(MAX_STABLE_COUNT)))
+    counted = (rows.filter(~F.col("_seed"))
+               .select("watch", "scan_no", "name", "size", F.col("count").cast("long"), F.lit(False).alias("late"))
+               .unionByName(b.filter(late).select("watch", "scan_no", "name", "size",
+                                                  F.lit(None).cast("long").alias("count"),
+                                                  F.lit(True).alias("late"))))
+    last = rows.groupBy("watch", "name").agg(
+        F.max_by(F.struct("scan_no", "size", "count"), F.col("scan_no")).alias("_l"))
+    latest = rows.groupBy("watch").agg(F.max("scan_no").alias("_latest"))
+    new_state = (last.join(latest, "watch")
+                 .filter(F.col("_l.scan_no") == F.col("_latest"))
+                 .select("watch", "name", F.col("_l.scan_no").alias("scan_no"), F.col("_l.size").alias("size"),
+                         F.col("_l.count").cast("long").alias("cnt")))
+    return counted, new_state
+
+
+def state_table_handler(state_path: str, out_path: str):
+    """``foreachBatch`` handler: read state v(n-1), write rows and state v(n).
+
+    Both writes are keyed by batch id with dynamic partition overwrite, so a
+    retried batch recomputes from the same previous state and replaces its
+    own output. Only the two newest state versions are needed.
+    """
+    def handle(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        try:
+            prev = spark.read.parquet(f"{state_path}/batch_id={batch_id - 1}")
+        except Exception:  # noqa: BLE001 - first batch: empty state
+            prev = spark.createDataFrame([], STATE_TABLE_SCHEMA)
+        df.persist()
+        counted, new_state = advance_counts(df, prev)
+        (counted.withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(out_path))
+        new_state.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
+        df.unpersist()
+    return handle

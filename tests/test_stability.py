@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from intake_spark.operators.stability import stability_counts
-from intake_spark.streaming.stability import stream_candidates, stream_counts
+from intake_spark.streaming.stability import state_table_handler, stream_candidates, stream_counts
 
 
 def model(rows):
@@ -96,3 +96,34 @@ def test_stream_drops_replayed_scans(spark, tmp_path):
     assert rows == [(1, 1, False), (2, 2, False), (2, None, True), (3, 3, False)]
     cands = stream_candidates(res)
     assert sorted(r.scan_no for r in cands.collect()) == [2, 3]
+
+
+def _stream_table(spark, tmp, rows_batches):
+    import os
+    src = os.path.join(tmp, "src")
+    for rows in rows_batches:
+        if rows:
+            spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(src)
+        q = (spark.readStream.schema(SCHEMA).parquet(src).writeStream
+             .foreachBatch(state_table_handler(os.path.join(tmp, "state"), os.path.join(tmp, "out")))
+             .option("checkpointLocation", os.path.join(tmp, "ck")).trigger(availableNow=True).start())
+        q.awaitTermination()
+    return spark.read.parquet(os.path.join(tmp, "out"))
+
+
+def test_state_table_stream_per_scan_batches_with_restart(spark, tmp_path):
+    rows = random_log(5, n_names=4, n_scans=9)
+    res = _stream_table(spark, str(tmp_path), [[r for r in rows if r[1] == s] for s in range(1, 10)])
+    got = {(r.watch, r.name, r.scan_no): r["count"] for r in res.collect()}
+    assert got == model(rows)
+
+
+def test_state_table_stream_one_batch_and_replays(spark, tmp_path):
+    rows = random_log(6, n_names=4, n_scans=10)
+    res = _stream_table(spark, str(tmp_path / "a"), [rows])
+    assert {(r.watch, r.name, r.scan_no): r["count"] for r in res.collect()} == model(rows)
+    first = [("w", 1, "a", 5), ("w", 2, "a", 5)]
+    replay = [("w", 2, "a", 9), ("w", 3, "a", 5)]
+    res = _stream_table(spark, str(tmp_path / "b"), [first, replay])
+    got = sorted(((r.scan_no, r["count"], r.late) for r in res.collect()), key=lambda t: (t[0], t[2]))
+    assert got == [(1, 1, False), (2, 2, False), (2, None, True), (3, 3, False)]

@@ -66,3 +66,21 @@ def append_ledger(new_rows: DataFrame, path: str, batch_id: int) -> None:
 def keep_new(specs: DataFrame, existing: DataFrame, key: str = "hash") -> DataFrame:
     """K3: keep-if-exists - only keys without a written spec/metadata are emitted."""
     return specs.join(existing.select(key).distinct(), key, "left_anti")
+
+
+def write_keep_if_exists(docs: DataFrame, path: str, key: str = "hash", text_col: str = "json") -> int:
+    """K3 sink: append one JSON line per new ``key``; keys already written are kept as they are.
+
+    Existing keys are read back from ``path`` (JSON lines with the key field),
+    so a rerun after a committed write adds nothing. Returns the rows added.
+    """
+    spark = docs.sparkSession
+    try:
+        existing = spark.read.schema(f"{key} string").json(path).select(key)
+    except Exception:  # noqa: BLE001 - nothing written yet
+        existing = spark.createDataFrame([], f"{key} string")
+    new = keep_new(docs.dropDuplicates([key]), existing, key).select(text_col)
+    n = new.count()  # evaluated before the write, against the same existing keys
+    if n:
+        new.write.mode("append").text(path)
+    return n

@@ -1,6 +1,8 @@
 """Intake, job ledger and delivery operators on hand-written rows and brute force."""
 import random
 
+from pyspark.sql import functions as F  # noqa: F811
+
 from pyspark.sql import functions as F
 
 from intake_spark.operators import delivery, intake, jobs, ordering
@@ -100,3 +102,27 @@ def test_status_parse_levels(spark):
     got = [(r.level, r.job_ref) for r in jobs.parse_status(
         spark.createDataFrame([(m,) for m in msgs], "message string")).collect()]
     assert got == [("OK", "abc"), ("ERR", "abc"), ("WARN", "Finalization"), ("RUN", "h1"), ("OUT", "h2")]
+
+
+def test_keep_if_exists_writer(spark, tmp_path):
+    from pyspark.sql import functions as F
+    path = str(tmp_path / "specs")
+    docs = spark.createDataFrame([("h1", 1), ("h2", 2), ("h1", 3)], "hash string, v long")
+    docs = docs.withColumn("json", F.to_json(F.struct("hash", "v")))
+    assert intake.write_keep_if_exists(docs, path) == 2
+    assert intake.write_keep_if_exists(docs, path) == 0
+    more = spark.createDataFrame([("h3", 9)], "hash string, v long").withColumn("json", F.to_json(F.struct("hash", "v")))
+    assert intake.write_keep_if_exists(more, path) == 1
+    assert sorted(r.hash for r in spark.read.json(path).collect()) == ["h1", "h2", "h3"]
+
+
+def test_subpath_predicate_equals_prefix_join(spark):
+    from intake_spark.functions.paths import is_subpath
+    from intake_spark.operators.prefix import enclosing_roots
+    paths = spark.createDataFrame([(1, "a/b/c"), (2, "a/bc"), (3, "a"), (4, "x/a/b"), (5, "a/b/")],
+                                  "id long, path string")
+    roots = spark.createDataFrame([("a/b",), ("a",), ("a/b/",), ("x",), ("zz",)], "root string")
+    via_join = {(r.id, r.root) for r in enclosing_roots(paths, roots).collect()}
+    via_pred = {(r.id, r.root) for r in paths.crossJoin(roots)
+                .filter(is_subpath(F.col("path"), F.col("root"))).collect()}
+    assert via_join == via_pred

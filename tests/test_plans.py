@@ -34,3 +34,12 @@ def test_job_spec_reads_one_column(spark):
 def test_prefix_join_is_equi(spark):
     p = plan(QUERIES["prefix_match"](spark, SF["0.001"]))
     assert "NestedLoopJoin" not in p
+
+
+def test_no_query_uses_a_nested_loop_or_python_eval(spark):
+    import re
+    for key, q in QUERIES.items():
+        if key.startswith("stream_"):
+            continue
+        p = plan(q(spark, SF["0.001"]))
+        assert not re.search("NestedLoopJoin|CartesianProduct|BatchEvalPython", p), key

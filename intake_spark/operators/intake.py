@@ -26,6 +26,19 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return df.groupBy(*keys).agg(win.alias("_w")).select(*keys, *[F.col(f"_w.{c}") for c in payload])
 
 
+def first_unprocessed(df: DataFrame, keys: list[str], order: list[str], flag: str) -> DataFrame:
+    """U3 + J3 in one aggregate, when the processed mark travels with the candidates.
+
+    Per key: the first row in ``order`` and whether any row of the key is
+    marked processed; keys with a processed row are dropped. One shuffle, and
+    a group of copies is combined map-side before it.
+    """
+    payload = [c for c in df.columns if c not in keys and c != flag]
+    agg = df.groupBy(*keys).agg(F.min_by(F.struct(*payload), F.struct(*order)).alias("_w"),
+                                F.bool_or(F.col(flag)).alias("_done"))
+    return agg.filter(~F.col("_done")).select(*keys, *[F.col(f"_w.{c}") for c in payload])
+
+
 def not_processed(candidates: DataFrame, processed: DataFrame,
                   keys: tuple[str, ...] = ("name", "size")) -> DataFrame:
     """Candidates whose (name, size) is not in the processed ledger."""

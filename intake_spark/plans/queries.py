@@ -144,20 +144,29 @@ def row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _content_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates keyed by content: ``(name, size, watch, watch_idx, doc_id, processed)``.
+
+    ``processed`` marks documents already in the ledger (ids in ``labels``).
+    """
     d = D.table(spark, sf_dir, "documents").select("doc_id", "source", "text", "n_chars")
-    return d.select(F.concat(F.md5("text"), F.lit(".raw")).alias("name"),
-                    F.col("n_chars").alias("size"), F.col("source").alias("watch"),
-                    F.regexp_extract("source", "([0-9]+)$", 1).cast("bigint").alias("watch_idx"),
-                    "doc_id")
+    lab = D.table(spark, sf_dir, "labels").select("doc_id").distinct().withColumn("processed", F.lit(True))
+    c = d.select(F.concat(F.md5("text"), F.lit(".raw")).alias("name"),
+                 F.col("n_chars").alias("size"), F.col("source").alias("watch"),
+                 F.regexp_extract("source", "([0-9]+)$", 1).cast("bigint").alias("watch_idx"), "doc_id")
+    return (c.join(lab, "doc_id", "left")
+            .select("name", "size", "watch", "watch_idx", "doc_id",
+                    F.coalesce("processed", F.lit(False)).alias("processed")))
 
 
 def unprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One candidate per (name, size) - first watch wins - minus the processed ledger."""
+    """One candidate per (name, size) - first watch wins - minus the processed ledger.
+
+    The ledger here is derived from the same documents, so the anti-join is
+    fused into the first-per-key aggregate: the text is read and hashed once.
+    """
     cands = _content_candidates(spark, sf_dir)
-    first = intake.first_per_key(cands, ["name", "size"], ["watch_idx", "doc_id"])
-    lab = D.table(spark, sf_dir, "labels").select("doc_id")
-    processed = cands.join(lab, "doc_id", "left_semi").select("name", "size")
-    return intake.not_processed(first, processed).select("name", "size", "watch", "doc_id")
+    first = intake.first_unprocessed(cands, ["name", "size"], ["watch_idx", "doc_id"], "processed")
+    return first.select("name", "size", "watch", "doc_id")
 
 
 def still_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,9 +187,8 @@ LEDGER_HEADER = ["# processed files", ""]
 def ledger_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: names of this batch that the ledger does not hold yet (each once)."""
     cands = _content_candidates(spark, sf_dir)
-    lab = D.table(spark, sf_dir, "labels").select("doc_id")
     ledger = (spark.createDataFrame([(x,) for x in LEDGER_HEADER], "value string")
-              .unionByName(cands.join(lab, "doc_id", "left_semi").select(F.col("name").alias("value"))))
+              .unionByName(cands.filter(F.col("processed")).select(F.col("name").alias("value"))))
     return intake.ledger_new_rows(cands.select("name"), ledger)
 
 

@@ -126,3 +126,16 @@ def test_subpath_predicate_equals_prefix_join(spark):
     via_pred = {(r.id, r.root) for r in paths.crossJoin(roots)
                 .filter(is_subpath(F.col("path"), F.col("root"))).collect()}
     assert via_join == via_pred
+
+
+def test_not_processed_anti_join_and_fused_form_agree(spark):
+    rows = [("a", 1, "w1", 1, 10, False), ("a", 1, "w2", 2, 11, True), ("b", 2, "w2", 2, 12, False),
+            ("b", 2, "w1", 1, 13, False), ("c", 3, "w3", 3, 14, False), ("a", 2, "w3", 3, 15, False)]
+    df = spark.createDataFrame(rows, "name string, size long, watch string, watch_idx long, doc_id long, "
+                                     "processed boolean")
+    fused = {(r.name, r.size, r.watch, r.doc_id)
+             for r in intake.first_unprocessed(df, ["name", "size"], ["watch_idx", "doc_id"], "processed").collect()}
+    first = intake.first_per_key(df.drop("processed"), ["name", "size"], ["watch_idx", "doc_id"])
+    ledger = df.filter("processed").select("name", "size")
+    anti = {(r.name, r.size, r.watch, r.doc_id) for r in intake.not_processed(first, ledger).collect()}
+    assert fused == anti == {("b", 2, "w1", 13), ("c", 3, "w3", 14), ("a", 2, "w3", 15)}

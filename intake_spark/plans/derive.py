@@ -30,13 +30,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     cores (a small file with a single row group) is spread round-robin so
     per-row work before the first shuffle is not one task; large inputs have
     many splits already and are left untouched."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    key = (path, cores)
+    if key not in _SPLITS:
+        _SPLITS[key] = df.rdd.getNumPartitions()  # planning only, no job
+    if _SPLITS[key] < cores:
         df = df.repartition(cores)
     return df
 
 
+_SPLITS: dict = {}
+
+
 # --------------------------------------------------------------------------- scans
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:

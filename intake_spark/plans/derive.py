@@ -7,6 +7,8 @@ Column pruning reaches the scans: each reader selects only what it uses.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,13 +37,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     cores = spark.sparkContext.defaultParallelism
     key = (path, cores)
     if key not in _SPLITS:
-        _SPLITS[key] = df.rdd.getNumPartitions()  # planning only, no job
+        local = path if os.path.exists(path) else None
+        tiny = local is not None and _size(local) < MIN_SPREAD_BYTES
+        _SPLITS[key] = cores if tiny else df.rdd.getNumPartitions()  # planning only, no job
     if _SPLITS[key] < cores:
         df = df.repartition(cores)
     return df
 
 
+def _size(path: str) -> int:
+    if os.path.isfile(path):
+        return os.path.getsize(path)
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs)
+
+
 _SPLITS: dict = {}
+MIN_SPREAD_BYTES = 1 << 20  # smaller inputs are not worth a round-robin stage
 
 
 # --------------------------------------------------------------------------- scans

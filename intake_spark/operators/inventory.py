@@ -8,9 +8,10 @@ Pattern *tables* of unknown size go through a semi-join that is broadcast
 only after their size is checked.
 
 Ignore lists grow by one literal name per processed file, so they are split:
-literal lines become three equi anti-joins (on rel, name and abs; AQE picks
-broadcast or sort-merge from the measured size), wildcard lines - written by
-people, few - become one compiled regex filter.
+literal lines become equi anti-joins, each literal routed to the one column
+(name, rel or abs) it can equal (AQE picks broadcast or sort-merge from the
+measured size); wildcard lines - written by people, few - become one
+compiled regex filter.
 """
 
 from __future__ import annotations
@@ -113,16 +114,26 @@ def merge_ignore_lists(*lists: DataFrame) -> DataFrame:
 def ignore_filter(entries: DataFrame, patterns: DataFrame) -> DataFrame:
     """Drop entries whose rel, name or abs matches any ignore pattern.
 
-    Literal lines: three equi ``left_anti`` joins. Wildcard lines: counted,
-    then compiled into one regex filter (or a checked broadcast beyond that).
+    Literal lines: equi ``left_anti`` joins, each literal routed to the one
+    column it can equal. Wildcard lines: counted, then compiled into one
+    regex filter (or a checked broadcast beyond that).
     """
     pats = patterns.select("pattern").distinct()
     lits = pats.filter(~is_glob(F.col("pattern"))).select(F.col("pattern").alias("_lit"))
     globs = pats.filter(is_glob(F.col("pattern")))
 
+    # A literal can only equal one of the three columns: ``abs`` always starts
+    # with '/', ``rel`` of a nested entry contains '/', ``name`` never does (a
+    # top-level ``rel`` equals its ``name``). So each literal goes to exactly
+    # one join: the large ledger of basenames meets ``name`` only, the few
+    # path-like lines are broadcast-sized joins on ``rel`` and ``abs``.
+    slash = F.instr(F.col("_lit"), "/") > 0
+    by_col = {"name": lits.filter(~slash),
+              "abs": lits.filter(F.col("_lit").startswith("/")),
+              "rel": lits.filter(slash & ~F.col("_lit").startswith("/"))}
     out = entries
-    for c in ("rel", "name", "abs"):
-        out = out.join(lits, F.col(c) == F.col("_lit"), "left_anti")
+    for c, lit_set in by_col.items():
+        out = out.join(lit_set, F.col(c) == F.col("_lit"), "left_anti")
 
     n_globs = globs.count()
     if n_globs == 0:

@@ -49,3 +49,18 @@ def test_normalize_patterns_matches_model(spark):
     assert normalize_patterns_py("*std.raw") == ["*std.raw", "*std.d"]
     assert normalize_patterns_py("a.raw|a.raw; ,b.RAW") == ["a.raw", "a.d", "b.RAW"]
     assert normalize_patterns_py("x.d,x.raw") == ["x.d", "x.raw"]
+
+
+def test_ignore_literals_route_to_the_right_column(spark):
+    from intake_spark.operators.inventory import ignore_filter
+    entries = spark.createDataFrame([
+        ("w", "top.raw", "top.raw", "/r/top.raw"), ("w", "d/x.raw", "x.raw", "/r/d/x.raw"),
+        ("w", "d/y.raw", "y.raw", "/r/d/y.raw"), ("w", "e/z.raw", "z.raw", "/r/e/z.raw"),
+        ("w", "keep.raw", "keep.raw", "/r/keep.raw")], "watch string, rel string, name string, abs string")
+    pats = spark.createDataFrame([("top.raw",), ("x.raw",), ("d/y.raw",), ("/r/e/z.raw",), ("d/keep.raw",)],
+                                 "pattern string")
+    left = sorted(r.rel for r in ignore_filter(entries, pats).collect())
+    # brute force: fnmatch on a literal is equality with rel, name or abs
+    want = sorted(rel for _, rel, name, abs_ in entries.collect()
+                  if not any(p in (rel, name, abs_) for (p,) in pats.collect()))
+    assert left == want == ["keep.raw"]

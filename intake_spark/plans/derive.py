@@ -155,11 +155,9 @@ def spec_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(path): job spec files that exist (own specs, and shared copies for every third job)."""
     o = table(spark, sf_dir, "orders").select("o_orderkey")
     k = F.col("o_orderkey")
-    own = o.filter(k % 50 != 0).select(F.concat(F.lit(TMP_ROOT + "/"), k.cast("string"),
-                                                F.lit("/spec.json")).alias("path"))
-    shared = o.filter(k % 3 == 0).select(F.concat(F.lit(SHARED_ROOT + "/"), k.cast("string"),
-                                                  F.lit(".json")).alias("path"))
-    return own.unionByName(shared)
+    own = F.when(k % 50 != 0, F.concat(F.lit(TMP_ROOT + "/"), k.cast("string"), F.lit("/spec.json")))
+    shared = F.when(k % 3 == 0, F.concat(F.lit(SHARED_ROOT + "/"), k.cast("string"), F.lit(".json")))
+    return o.select(F.explode(F.filter(F.array(own, shared), lambda x: x.isNotNull())).alias("path"))
 
 
 def job_markers(spark: SparkSession, sf_dir: str) -> DataFrame:

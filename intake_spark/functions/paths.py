@@ -43,14 +43,21 @@ def slug(s: Column) -> Column:
                       F.lit("x"))
 
 
+def _seconds_text(ts: Column) -> Column:
+    # ``yyyy-MM-dd HH:mm:ss`` from the cast to string: for TIMESTAMP_NTZ this is
+    # zone-free (``date_format`` would pass through the session zone and shift
+    # wall times that fall in a daylight-saving gap).
+    return F.substring(ts.cast("string"), 1, 19)
+
+
 def iso_seconds(ts: Column) -> Column:
-    """ISO-8601 text at second precision."""
-    return F.date_format(ts, ISO_SECONDS)
+    """ISO-8601 text at second precision (``yyyy-MM-dd'T'HH:mm:ss``)."""
+    return F.regexp_replace(_seconds_text(ts), " ", "T")
 
 
 def compact_ts(ts: Column) -> Column:
     """``yyyyMMdd-HHmmss`` text used in collision-free names."""
-    return F.date_format(ts, COMPACT_TS)
+    return F.regexp_replace(F.regexp_replace(_seconds_text(ts), "[-:]", ""), " ", "-")
 
 
 def target_name(src_name: Column, job: Column, suffix: str = ARTIFACT_SUFFIX) -> Column:
@@ -89,3 +96,15 @@ def parent_dirs(rel: Column) -> Column:
     return F.when(n > 0, F.transform(F.sequence(F.lit(1), n),
                                      lambda i: F.array_join(F.slice(parts, 1, i), "/"))) \
         .otherwise(F.array().cast("array<string>"))
+
+
+def seconds_between(start: Column, end: Column) -> Column:
+    """Whole seconds from ``start`` to ``end`` on wall-clock fields (zone-free for TIMESTAMP_NTZ).
+
+    ``timestamp_diff`` passes NTZ values through the session zone, so a time
+    inside a daylight-saving gap would be shifted by an hour.
+    """
+    def sod(t: Column) -> Column:
+        return F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+    return (F.datediff(F.to_date(end), F.to_date(start)).cast("bigint") * 86400
+            + (sod(end) - sod(start)).cast("bigint"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import ISO_SECONDS, effective_pattern
+from ..functions.paths import ISO_SECONDS, effective_pattern, seconds_between
 
 # Life-cycle marker names, outcome classes (first match wins)
 # and status-line levels.
@@ -62,8 +62,8 @@ def finalize_state(agg: DataFrame) -> DataFrame:
              .otherwise(F.lit("ready")))
     return agg.select(
         "job", state.alias("state"), "ready_ts", "started_ts", "finished_ts", "rc",
-        F.timestamp_diff("SECOND", F.col("ready_ts"), F.col("started_ts")).alias("wait_s"),
-        F.timestamp_diff("SECOND", F.col("started_ts"), F.col("finished_ts")).alias("run_s"))
+        seconds_between(F.col("ready_ts"), F.col("started_ts")).alias("wait_s"),
+        seconds_between(F.col("started_ts"), F.col("finished_ts")).alias("run_s"))
 
 
 def parse_status(messages: DataFrame, col: str = "message") -> DataFrame:

@@ -69,3 +69,27 @@ def test_metadata_keeps_null_fields(spark):
                     F.lit(None).cast("struct<input_root:string>").alias("watch"))
     js = json.loads(df.select(jsonfmt.metadata_json(meta).alias("j")).first().j)
     assert js == {"hash": "h", "fasta": {"file": None}, "watch": None}
+
+
+def test_time_text_is_zone_free(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.sql("SELECT timestamp_ntz'1998-04-05 02:00:00.75' AS t")  # inside a DST gap in that zone
+        r = df.select(P.iso_seconds(F.col("t")).alias("iso"), P.compact_ts(F.col("t")).alias("c")).first()
+        assert (r.iso, r.c) == ("1998-04-05T02:00:00", "19980405-020000")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_seconds_between_is_zone_free(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.sql("SELECT timestamp_ntz'1998-04-05 01:00:00' AS a, timestamp_ntz'1998-04-05 02:00:00' AS b, "
+                       "timestamp_ntz'1998-04-07 00:30:05' AS c")
+        r = df.select(P.seconds_between(F.col("a"), F.col("b")).alias("ab"),
+                      P.seconds_between(F.col("a"), F.col("c")).alias("ac")).first()
+        assert (r.ab, r.ac) == (3600, 2 * 86400 - 1800 + 5)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

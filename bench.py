@@ -32,7 +32,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=cpus,
                         extra={"spark.driver.memory": "8g"})
     cold, warm = {}, {}
     for rnd in range(1 + WARM_PASSES):

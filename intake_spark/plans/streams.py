@@ -46,12 +46,13 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Job events streamed into a per-job aggregate (update mode), latest version read back."""
+    """Job events folded into per-job facts in ``foreachBatch``; final jobs leave the
+    state table; the latest version of every job is read back and finalised."""
     base = scratch_path(spark, "jobs")
     jobs_ops.parse_markers(D.job_markers(spark, sf_dir)).write.parquet(f"{base}/events")
     src = spark.readStream.schema(runner.JOB_EVENT_SCHEMA).parquet(f"{base}/events")
-    _run(runner.job_state_stream(src).writeStream.outputMode("update")
-         .foreachBatch(runner.versioned_sink_handler(f"{base}/state"))
-         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
-    latest = runner.latest_version(spark.read.parquet(f"{base}/state"))
+    handler = runner.with_hook(runner.job_state_table_handler(f"{base}/state", f"{base}/out"))
+    _run(src.writeStream.foreachBatch(handler).option("checkpointLocation", f"{base}/ckpt")
+         .trigger(availableNow=True).start())
+    latest = runner.latest_version(spark.read.parquet(f"{base}/out").drop("rc_seq"))
     return jobs_ops.finalize_state(latest)

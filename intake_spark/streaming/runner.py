@@ -93,3 +93,51 @@ def latest_version(df: DataFrame, key: str = "job") -> DataFrame:
     cols = [c for c in df.columns if c not in (key, "batch_id")]
     w = F.max_by(F.struct(*cols), F.col("batch_id"))
     return df.groupBy(key).agg(w.alias("_v")).select(key, *[F.col(f"_v.{c}") for c in cols])
+
+
+JOB_STATE_SCHEMA = ("job long, ready_ts timestamp_ntz, started_ts timestamp_ntz, finished_ts timestamp_ntz, "
+                    "rc long, rc_seq long, n_err int")
+
+
+def merge_job_events(events: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """T6 for one micro-batch: fold new events into the in-flight job rows.
+
+    Returns ``(changed, new_state)``: ``changed`` has one row per job touched
+    by the batch (its merged facts); ``new_state`` keeps only jobs that are
+    not final yet, so finished and failed jobs leave the state.
+    """
+    def at(name: str):
+        return F.max(F.when(F.col("event") == name, F.col("ts")))
+    is_rc = F.col("event") == "returncode"
+    fresh = events.groupBy("job").agg(
+        at("ready").alias("ready_ts"), at("started").alias("started_ts"), at("finished").alias("finished_ts"),
+        F.max_by(F.when(is_rc, F.col("value")), F.when(is_rc, F.col("seq"))).cast("long").alias("rc"),
+        F.max(F.when(is_rc, F.col("seq"))).alias("rc_seq"),
+        F.max(F.when(F.col("event") == "error", 1).otherwise(0)).alias("n_err"))
+    touched = fresh.select("job")
+    prior = state.join(touched, "job", "left_semi")
+    both = fresh.unionByName(prior)
+    changed = both.groupBy("job").agg(
+        F.max("ready_ts").alias("ready_ts"), F.max("started_ts").alias("started_ts"),
+        F.max("finished_ts").alias("finished_ts"),
+        F.max_by("rc", F.when(F.col("rc").isNotNull(), F.col("rc_seq"))).alias("rc"),
+        F.max("rc_seq").alias("rc_seq"), F.max("n_err").alias("n_err"))
+    final = (F.col("n_err") > 0) | F.col("rc").isNotNull()
+    new_state = state.join(touched, "job", "left_anti").unionByName(changed.filter(~final))
+    return changed, new_state
+
+
+def job_state_table_handler(state_path: str, out_path: str):
+    """``foreachBatch`` handler for T6 with bounded state (in-flight jobs only)."""
+    def handle(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        try:
+            prev = spark.read.parquet(f"{state_path}/batch_id={batch_id - 1}")
+        except Exception:  # noqa: BLE001 - first batch: empty state
+            prev = spark.createDataFrame([], JOB_STATE_SCHEMA)
+        changed, new_state = merge_job_events(df, prev)
+        (changed.withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(out_path))
+        new_state.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
+    return handle

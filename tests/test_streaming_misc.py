@@ -47,3 +47,25 @@ def test_hook_failures_are_swallowed(spark):
 
     with_hook(handler, bad_hook)(spark.range(3), 7)
     assert seen == [(7, 3)]
+
+
+def test_job_state_table_evicts_final_jobs(spark, tmp_path):
+    import os
+    from intake_spark.operators.jobs import finalize_state, parse_markers
+    from intake_spark.streaming.runner import JOB_EVENT_SCHEMA, job_state_table_handler, latest_version
+    src, st, out = (str(tmp_path / x) for x in ("src", "state", "out"))
+    batches = [
+        [(1, "2024-01-01T00:00:00\nstarted: 2024-01-01T01:00:00"), (2, "2024-01-01T00:00:00")],
+        [(1, "2024-01-01T00:00:00\nstarted: 2024-01-01T01:00:00\nfinished: 2024-01-01T03:00:00\nreturncode: 0")],
+    ]
+    for rows in batches:
+        parse_markers(spark.createDataFrame(rows, "job long, text string")).write.mode("append").parquet(src)
+        q = (spark.readStream.schema(JOB_EVENT_SCHEMA).parquet(src).writeStream
+             .foreachBatch(job_state_table_handler(st, out))
+             .option("checkpointLocation", os.path.join(str(tmp_path), "ck")).trigger(availableNow=True).start())
+        q.awaitTermination()
+    res = {r.job: (r.state, r.run_s) for r in finalize_state(
+        latest_version(spark.read.parquet(out).drop("rc_seq"))).collect()}
+    assert res == {1: ("finish", 7200), 2: ("ready", None)}
+    last_state = sorted(os.listdir(st))[-1]
+    assert [r.job for r in spark.read.parquet(os.path.join(st, last_state)).collect()] == [2]  # job 1 evicted

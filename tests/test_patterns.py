@@ -64,3 +64,43 @@ def test_ignore_literals_route_to_the_right_column(spark):
     want = sorted(rel for _, rel, name, abs_ in entries.collect()
                   if not any(p in (rel, name, abs_) for (p,) in pats.collect()))
     assert left == want == ["keep.raw"]
+
+
+def _random_cases(seed, n=400):
+    import random
+    rnd = random.Random(seed)
+    pat_atoms = ["a", "b", ".", "/", "*", "?", "[ab]", "[!a]", "[a-c]", "[", "]", "-", "x", "**"]
+    name_atoms = ["a", "b", "c", ".", "/", "x", "-", "[", "]"]
+    fill = {"*": lambda: "".join(rnd.choice(name_atoms) for _ in range(rnd.randint(0, 3))),
+            "**": lambda: "".join(rnd.choice(name_atoms) for _ in range(rnd.randint(0, 4))),
+            "?": lambda: rnd.choice(name_atoms), "[ab]": lambda: rnd.choice("ab"),
+            "[!a]": lambda: rnd.choice("bcx."), "[a-c]": lambda: rnd.choice("abc")}
+    cases = []
+    for i in range(n):
+        atoms = [rnd.choice(pat_atoms) for _ in range(rnd.randint(1, 5))]
+        p = "".join(atoms)
+        if i % 2:  # a name built from the pattern itself, so matches are common
+            s = "".join(fill[a]() if a in fill else a for a in atoms)
+        else:
+            s = "".join(rnd.choice(name_atoms) for _ in range(rnd.randint(0, 6)))
+        cases.append((p, s))
+    return cases
+
+
+def test_fnmatch_dialect_random_equals_python(spark):
+    pairs = _random_cases(11)
+    got = _spark_match(spark, pairs, fnmatch_regex)
+    bad = [(p, n) for p, n in pairs if got[(p, n)] != fnmatch.fnmatchcase(n, p)]
+    assert not bad, bad[:10]
+
+
+def test_path_glob_dialect_random_equals_pathlib(spark):
+    # pathlib rejects empty segments and ".." handling differs by design; keep well-formed paths
+    pairs = [(p, n) for p, n in _random_cases(12)
+             if n and "//" not in n and not n.startswith("/") and not n.endswith("/")
+             and "//" not in p and not p.startswith("/") and not p.endswith("/")
+             and ".." not in n.split("/") and "." not in n.split("/")
+             and ".." not in p.split("/") and "." not in p.split("/")]
+    got = _spark_match(spark, pairs, lambda p: path_glob_regex(p, False))
+    bad = [(p, n) for p, n in pairs if got[(p, n)] != PurePosixPath(n).full_match(p)]
+    assert not bad, bad[:10]

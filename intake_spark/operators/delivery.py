@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import compact_ts, target_name
+from ..functions.paths import target_name
 from .ordering import row_number_within
 
 
@@ -103,7 +103,3 @@ def unique_names(requests: DataFrame, existing: DataFrame, run_ts_text: str) ->
             .when((F.col("i") == 1) & ~F.col("b_taken"), F.col("base"))
             .otherwise(stamped))
     return named.select("req_id", "base", name.alias("name"))
-
-
-def stamp_text(ts_col) -> F.Column:
-    return compact_ts(ts_col)

@@ -4,7 +4,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import jobs as jobs_ops
 from ..session import scratch_path

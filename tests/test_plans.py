@@ -43,3 +43,10 @@ def test_no_query_uses_a_nested_loop_or_python_eval(spark):
             continue
         p = plan(q(spark, SF["0.001"]))
         assert not re.search("NestedLoopJoin|CartesianProduct|BatchEvalPython", p), key
+
+
+def test_hot_group_steps_combine_map_side(spark):
+    """First-per-key, last-wins, arg-max and roll-ups aggregate partially before the shuffle."""
+    for key in ("unprocessed", "last_wins_listing", "best_artifact", "dir_size_rollup", "delivery_manifest"):
+        p = plan(QUERIES[key](spark, SF["0.001"]))
+        assert "partial_" in p, key

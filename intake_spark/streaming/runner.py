@@ -36,6 +36,14 @@ def with_hook(handler: Callable[[DataFrame, int], None],
     return run
 
 
+def drop_version(spark, path: str) -> None:
+    """Delete one superseded state version (Hadoop FileSystem; works on any shared store)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(jpath):
+        fs.delete(jpath, True)
+
+
 def _read_or_empty(spark, path: str, schema: str) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
@@ -140,4 +148,5 @@ def job_state_table_handler(state_path: str, out_path: str):
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(out_path))
         new_state.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
+        drop_version(spark, f"{state_path}/batch_id={batch_id - 2}")  # a retry of this batch needs n-1 only
     return handle

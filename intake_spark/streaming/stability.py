@@ -20,6 +20,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.paths import MAX_STABLE_COUNT, row_key
 from ..operators.stability import MIN_STABLE_SCANS
+from .runner import drop_version
 
 OUTPUT_SCHEMA = "watch string, scan_no long, name string, size long, count long, late boolean"
 STATE_SCHEMA = "scan_no long, size long, cnt long"
@@ -134,7 +135,7 @@ def state_table_handler(state_path: str, out_path: str):
 
     Both writes are keyed by batch id with dynamic partition overwrite, so a
     retried batch recomputes from the same previous state and replaces its
-    own output. Only the two newest state versions are needed.
+    own output. Only the two newest state versions are kept.
     """
     def handle(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
@@ -149,4 +150,5 @@ def state_table_handler(state_path: str, out_path: str):
          .partitionBy("batch_id").parquet(out_path))
         new_state.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
         df.unpersist()
+        drop_version(spark, f"{state_path}/batch_id={batch_id - 2}")  # a retry of this batch needs n-1 only
     return handle

@@ -127,3 +127,11 @@ def test_state_table_stream_one_batch_and_replays(spark, tmp_path):
     res = _stream_table(spark, str(tmp_path / "b"), [first, replay])
     got = sorted(((r.scan_no, r["count"], r.late) for r in res.collect()), key=lambda t: (t[0], t[2]))
     assert got == [(1, 1, False), (2, 2, False), (2, None, True), (3, 3, False)]
+
+
+def test_state_table_keeps_two_versions(spark, tmp_path):
+    import os
+    rows = random_log(7, n_names=2, n_scans=5)
+    _stream_table(spark, str(tmp_path), [[r for r in rows if r[1] == s] for s in range(1, 6)])
+    versions = sorted(d for d in os.listdir(tmp_path / "state") if d.startswith("batch_id="))
+    assert versions == ["batch_id=3", "batch_id=4"]

@@ -97,7 +97,7 @@ def test_marker_parse_and_state(spark):
 
 
 def test_status_parse_levels(spark):
-    msgs = ["[OK] abc -> .finish (rc=0)", "[ERR] abc: mcquac missing", "[WARN] Finalization for x failed: y",
+    msgs = ["[OK] abc -> .finish (rc=0)", "[ERR] abc: job spec missing", "[WARN] Finalization for x failed: y",
             "[RUN] h1: PID 7", "[OUT] h2: a.hdf5 -> /o/a.hdf5"]
     got = [(r.level, r.job_ref) for r in jobs.parse_status(
         spark.createDataFrame([(m,) for m in msgs], "message string")).collect()]

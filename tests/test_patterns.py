@@ -104,3 +104,15 @@ def test_path_glob_dialect_random_equals_pathlib(spark):
     got = _spark_match(spark, pairs, lambda p: path_glob_regex(p, False))
     bad = [(p, n) for p, n in pairs if got[(p, n)] != PurePosixPath(n).full_match(p)]
     assert not bad, bad[:10]
+
+
+def test_include_pattern_table_equals_compiled_filter(spark):
+    from intake_spark.operators.inventory import include_filter, include_semi_join
+    from intake_spark.plans import derive as D
+    from intake_spark.plans.queries import INCLUDE_CONFIG, INCLUDE_DEFAULT
+    inv = D.inventory(spark, "/root/testdata/sf0.001")
+    watches = [r.watch for r in inv.select("watch").distinct().collect()]
+    table = spark.createDataFrame([(w, INCLUDE_CONFIG.get(w, "")) for w in watches], "watch string, pattern string")
+    a = {(r.watch, r.rel) for r in include_filter(inv, INCLUDE_CONFIG, INCLUDE_DEFAULT, True).collect()}
+    b = {(r.watch, r.rel) for r in include_semi_join(inv, table, INCLUDE_DEFAULT, True).collect()}
+    assert a == b and len(a) > 0

@@ -390,3 +390,21 @@ def unique_target_names(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .unionByName(p.filter(F.col("p_size") == 49)
                              .select(F.concat("p_name", F.lit("-" + RUN_STAMP)).alias("name"))))
     return delivery.unique_names(req, existing, RUN_STAMP)
+
+
+def stable_candidates_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 P4 incrementally: history up to each watch's middle scan, then the rest advanced
+    from the per-file state table (the daily-job form: old scans are never re-read)."""
+    from ..streaming.stability import advance_counts
+    log = D.scan_log(spark, sf_dir).select("watch", "scan_no", "name", "size")
+    cut = D.scans(spark, sf_dir).groupBy("watch").agg(F.floor(F.max("scan_no") / 2).cast("bigint").alias("_cut"))
+    tagged = log.join(cut, "watch")
+    older = tagged.filter(F.col("scan_no") <= F.col("_cut")).drop("_cut")
+    newer = tagged.filter(F.col("scan_no") > F.col("_cut")).drop("_cut")
+    first = st.stability_counts(older)
+    state = (first.join(cut, "watch").filter(F.col("scan_no") == F.col("_cut"))
+             .select("watch", "name", "scan_no", "size", F.col("count").alias("cnt")))
+    rest, _ = advance_counts(newer, state)
+    both = first.select("watch", "scan_no", "name", "size", "count").unionByName(
+        rest.filter(~F.col("late")).select("watch", "scan_no", "name", "size", "count"))
+    return st.stable_candidates(both).select("watch", "scan_no", "name", "size", "hash", "count")

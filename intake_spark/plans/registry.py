@@ -8,6 +8,7 @@ from .oracle import SQL
 
 QUERIES = {
     "stable_candidates": Q.stable_candidates,
+    "stable_candidates_incremental": Q.stable_candidates_incremental,
     "latest_snapshot": Q.latest_snapshot,
     "scan_counts": Q.scan_counts,
     "include_match": Q.include_match,
@@ -40,6 +41,7 @@ QUERIES = {
 # Streams equal their batch counterparts.
 SQL = dict(SQL)
 SQL["stream_stability"] = SQL["stable_candidates"]
+SQL["stable_candidates_incremental"] = SQL["stable_candidates"]
 SQL["stream_jobs"] = SQL["job_timeline"]
 
 ORACLE = {k: v for k, v in SQL.items() if k in QUERIES}

@@ -42,8 +42,13 @@ def number_scans(scans: DataFrame, order_col: str = "scan_ts") -> DataFrame:
 
 
 def stability_counts(log: DataFrame, block_scans: int = DEFAULT_BLOCK_SCANS,
-                     keys: tuple[str, ...] = ("watch", "name")) -> DataFrame:
-    """W1 over a scan log ``(watch, scan_no, name, size)`` -> the same columns plus ``count``."""
+                     keys: tuple[str, ...] = ("watch", "name"), start_col: str | None = None) -> DataFrame:
+    """W1 over a scan log ``(watch, scan_no, name, size)`` -> the same columns plus ``count``.
+
+    ``start_col`` (optional) seeds runs from earlier history: a row with a
+    non-null start is a key's first row whose run began at that scan (a state
+    row ``scan_no - cnt + 1``); the column is kept in the output.
+    """
     k = list(keys)
     blk = F.floor(F.col("scan_no") / F.lit(block_scans)).cast("bigint")
     # One exchange on (keys, block) feeds both the row windows and the block
@@ -54,20 +59,24 @@ def stability_counts(log: DataFrame, block_scans: int = DEFAULT_BLOCK_SCANS,
     not_null = F.col("scan_no").isNotNull()
     for c in k:
         not_null = not_null & F.col(c).isNotNull()
-    obs = (log.select(*k, "scan_no", "size").filter(not_null)
+    extra = [start_col] if start_col else []
+    obs = (log.select(*k, "scan_no", "size", *extra).filter(not_null)
            .withColumn("_blk", blk).filter(F.col("_blk").isNotNull()).repartition(*k, "_blk"))
+    # where a row's run would start if it breaks: its own scan, or a seed's recorded start
+    brk_at = F.coalesce(F.col(start_col), F.col("scan_no")) if start_col else F.col("scan_no")
 
     wkb = Window.partitionBy(*k, "_blk").orderBy("scan_no")
     prev_scan = F.lag("scan_no").over(wkb)
     prev_size = F.lag("size").over(wkb)
     breaks_here = (prev_scan != F.col("scan_no") - 1) | ~prev_size.eqNullSafe(F.col("size"))
     obs = (obs
-           .withColumn("_brk", F.when(prev_scan.isNotNull() & breaks_here, F.col("scan_no")))
+           .withColumn("_brk", F.when(prev_scan.isNotNull() & breaks_here, brk_at))
            .withColumn("_lastbrk", F.max("_brk").over(
                wkb.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
 
     summ = obs.groupBy(*k, "_blk").agg(
-        F.min("scan_no").alias("_fs"),
+        F.min_by(brk_at, F.col("scan_no")).alias("_fs"),
+        F.min("scan_no").alias("_fscan"),
         F.min_by("size", "scan_no").alias("_fsz"),
         F.max("scan_no").alias("_ls"),
         F.max_by("size", "scan_no").alias("_lsz"),
@@ -76,7 +85,7 @@ def stability_counts(log: DataFrame, block_scans: int = DEFAULT_BLOCK_SCANS,
     wk = Window.partitionBy(*k).orderBy("_blk")
     p_last = F.lag("_ls").over(wk)
     p_lsz = F.lag("_lsz").over(wk)
-    first_breaks = p_last.isNull() | (p_last != F.col("_fs") - 1) | ~p_lsz.eqNullSafe(F.col("_fsz"))
+    first_breaks = p_last.isNull() | (p_last != F.col("_fscan") - 1) | ~p_lsz.eqNullSafe(F.col("_fsz"))
     summ = (summ
             .withColumn("_fbrk", first_breaks)
             .withColumn("_bmax", F.greatest(F.col("_mb"), F.when(F.col("_fbrk"), F.col("_fs"))))

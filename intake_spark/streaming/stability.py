@@ -14,12 +14,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.paths import MAX_STABLE_COUNT, row_key
-from ..operators.stability import MIN_STABLE_SCANS
+from ..operators.stability import MIN_STABLE_SCANS, stability_counts
 from .runner import drop_version
 
 OUTPUT_SCHEMA = "watch string, scan_no long, name string, size long, count long, late boolean"
@@ -86,36 +86,28 @@ STATE_TABLE_SCHEMA = "watch string, name string, scan_no long, size long, cnt lo
 
 
 def advance_counts(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """T2-T4 for one micro-batch as a DataFrame step (no Python per key).
+    """T2-T4 for one micro-batch (or one incremental batch run) as DataFrame steps.
 
     ``state(watch, name, scan_no, size, cnt)`` holds each live file's last
-    observation and run length. Each state row joins the batch as a seed
-    whose run began at ``scan_no - cnt + 1``; a window per (watch, name) over
-    seed + new rows then gives every new row its count. The window groups are
-    bounded by the scans in one micro-batch (plus the seed), not by history.
-    Rows not newer than their key's state are replays: ``late = true``.
+    observation and run length. Each state row joins the new rows as a seed
+    whose run began at ``scan_no - cnt + 1``; the blocked W1 of
+    ``operators.stability`` then counts seed + new rows, so a file seen in
+    many new scans is still split over tasks. Rows not newer than their
+    key's state are replays: ``late = true``, no count.
 
     Returns ``(counted_rows, new_state)``. The new state keeps only files seen
     in the latest scan of their watch (a missed scan forgets a file).
     """
     b = batch.select("watch", "name", "scan_no", "size")
-    seed = state.select("watch", "name", F.col("scan_no").alias("_s0"), F.col("cnt").alias("_c0"))
+    seed = state.select("watch", "name", F.col("scan_no").alias("_s0"))
     b = b.join(seed, ["watch", "name"], "left")
     late = F.col("_s0").isNotNull() & (F.col("scan_no") <= F.col("_s0"))
     fresh = b.filter(~late).select("watch", "name", "scan_no", "size",
                                    F.lit(None).cast("long").alias("_start"))
     seeds = state.select("watch", "name", "scan_no", "size",
                          (F.col("scan_no") - F.col("cnt") + 1).alias("_start"))
-    rows = fresh.withColumn("_seed", F.lit(False)).unionByName(seeds.withColumn("_seed", F.lit(True)))
-    w = Window.partitionBy("watch", "name").orderBy("scan_no")
-    prev_scan = F.lag("scan_no").over(w)
-    prev_size = F.lag("size").over(w)
-    cont = (prev_scan == F.col("scan_no") - 1) & prev_size.eqNullSafe(F.col("size"))
-    brk = F.when(F.col("_seed"), F.col("_start")).when(cont, F.lit(None)).otherwise(F.col("scan_no"))
-    rows = rows.withColumn("_brk", brk).withColumn(
-        "_run", F.max("_brk").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    rows = rows.withColumn("count", F.least(F.col("scan_no") - F.col("_run") + 1, F.lit(MAX_STABLE_COUNT)))
-    counted = (rows.filter(~F.col("_seed"))
+    rows = stability_counts(fresh.unionByName(seeds), start_col="_start")
+    counted = (rows.filter(F.col("_start").isNull())
                .select("watch", "scan_no", "name", "size", F.col("count").cast("long"), F.lit(False).alias("late"))
                .unionByName(b.filter(late).select("watch", "scan_no", "name", "size",
                                                   F.lit(None).cast("long").alias("count"),

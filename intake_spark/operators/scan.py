@@ -24,7 +24,9 @@ def observe(listing: DataFrame, include: dict[str, str], default: str, ignores:
     if ignores is not None:
         picked = ignore_filter(picked, ignores)
     files = listing.filter(~F.col("is_dir"))
+    wanted = picked.filter(F.col("is_dir")).select("watch", "rel")  # only picked directories need a size
     below = (files.select("watch", "size", F.explode(parent_dirs(F.col("rel"))).alias("rel"))
+             .join(wanted, ["watch", "rel"], "left_semi")
              .groupBy("watch", "rel").agg(F.sum("size").cast("bigint").alias("_dsize")))
     sized = picked.join(below, ["watch", "rel"], "left")
     size = F.when(F.col("is_dir"), F.coalesce("_dsize", F.lit(0))).otherwise(F.col("size")).cast("bigint")

@@ -1,12 +1,18 @@
 """Incremental stability detection (T2, T3, T4) on the scan-log stream.
 
-State per (watch, name) is three numbers - last scan, last size, run length -
-so it is O(1) per live file. Rows inside a micro-batch are sorted by scan;
-a row whose scan is not newer than the state's is a replay or late arrival:
-it is dropped from the counts and reported with ``late = true``. A file that
-skipped a scan restarts at 1 (absence is detected lazily from the scan gap);
-keys idle for longer than ``idle_timeout`` are evicted so dead files do not
-accumulate in the state store.
+Two forms share one rule. State per (watch, name) is three numbers - last
+scan, last size, run length - O(1) per live file. A row whose scan is not
+newer than its key's state is a replay or late arrival: it is reported with
+``late = true`` and no count. A file that skipped a scan restarts at 1
+(absence is detected from the scan gap).
+
+* ``advance_counts`` / ``state_table_handler`` (used by the registered
+  stream and the incremental batch query): the state is a versioned table;
+  each batch seeds the blocked W1 of ``operators.stability`` with it - JVM
+  only, skew-safe, and the state keeps just the files of the latest scan.
+* ``stream_counts``: the same rule in ``applyInPandasWithState``, rows
+  sorted by scan inside each group; keys idle longer than ``idle_timeout``
+  are evicted so dead files do not accumulate in the state store.
 """
 
 from __future__ import annotations

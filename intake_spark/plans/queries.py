@@ -404,7 +404,7 @@ def stable_candidates_incremental(spark: SparkSession, sf_dir: str) -> DataFrame
     first = st.stability_counts(older)
     state = (first.join(cut, "watch").filter(F.col("scan_no") == F.col("_cut"))
              .select("watch", "name", "scan_no", "size", F.col("count").alias("cnt")))
-    rest, _ = advance_counts(newer, state)
+    rest = advance_counts(newer, state)
     both = first.select("watch", "scan_no", "name", "size", "count").unionByName(
         rest.filter(~F.col("late")).select("watch", "scan_no", "name", "size", "count"))
     return st.stable_candidates(both).select("watch", "scan_no", "name", "size", "hash", "count")

@@ -91,8 +91,8 @@ def stream_candidates(counts: DataFrame, min_stable: int = MIN_STABLE_SCANS) ->
 STATE_TABLE_SCHEMA = "watch string, name string, scan_no long, size long, cnt long"
 
 
-def advance_counts(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """T2-T4 for one micro-batch (or one incremental batch run) as DataFrame steps.
+def advance_counts(batch: DataFrame, state: DataFrame) -> DataFrame:
+    """T2-T4 for one micro-batch (or one incremental batch run): counted rows.
 
     ``state(watch, name, scan_no, size, cnt)`` holds each live file's last
     observation and run length. Each state row joins the new rows as a seed
@@ -100,9 +100,6 @@ def advance_counts(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataF
     ``operators.stability`` then counts seed + new rows, so a file seen in
     many new scans is still split over tasks. Rows not newer than their
     key's state are replays: ``late = true``, no count.
-
-    Returns ``(counted_rows, new_state)``. The new state keeps only files seen
-    in the latest scan of their watch (a missed scan forgets a file).
     """
     b = batch.select("watch", "name", "scan_no", "size")
     seed = state.select("watch", "name", F.col("scan_no").alias("_s0"))
@@ -113,19 +110,27 @@ def advance_counts(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataF
     seeds = state.select("watch", "name", "scan_no", "size",
                          (F.col("scan_no") - F.col("cnt") + 1).alias("_start"))
     rows = stability_counts(fresh.unionByName(seeds), start_col="_start")
-    counted = (rows.filter(F.col("_start").isNull())
-               .select("watch", "scan_no", "name", "size", F.col("count").cast("long"), F.lit(False).alias("late"))
-               .unionByName(b.filter(late).select("watch", "scan_no", "name", "size",
-                                                  F.lit(None).cast("long").alias("count"),
-                                                  F.lit(True).alias("late"))))
-    last = rows.groupBy("watch", "name").agg(
-        F.max_by(F.struct("scan_no", "size", "count"), F.col("scan_no")).alias("_l"))
+    return (rows.filter(F.col("_start").isNull())
+            .select("watch", "scan_no", "name", "size", F.col("count").cast("long"), F.lit(False).alias("late"))
+            .unionByName(b.filter(late).select("watch", "scan_no", "name", "size",
+                                               F.lit(None).cast("long").alias("count"),
+                                               F.lit(True).alias("late"))))
+
+
+def next_state(counted: DataFrame, state: DataFrame) -> DataFrame:
+    """State after a batch: each file's last row, kept only if it is in its watch's latest scan.
+
+    Built from the batch's counted rows (already written by the handler, so
+    the run lengths are not recomputed) and the previous state.
+    """
+    fresh = counted.filter(~F.col("late")).select("watch", "name", "scan_no", "size",
+                                                   F.col("count").alias("cnt"))
+    rows = fresh.unionByName(state.select("watch", "name", "scan_no", "size", "cnt"))
+    last = rows.groupBy("watch", "name").agg(F.max_by(F.struct("scan_no", "size", "cnt"), F.col("scan_no")).alias("_l"))
     latest = rows.groupBy("watch").agg(F.max("scan_no").alias("_latest"))
-    new_state = (last.join(latest, "watch")
-                 .filter(F.col("_l.scan_no") == F.col("_latest"))
-                 .select("watch", "name", F.col("_l.scan_no").alias("scan_no"), F.col("_l.size").alias("size"),
-                         F.col("_l.count").cast("long").alias("cnt")))
-    return counted, new_state
+    return (last.join(latest, "watch").filter(F.col("_l.scan_no") == F.col("_latest"))
+            .select("watch", "name", F.col("_l.scan_no").alias("scan_no"), F.col("_l.size").alias("size"),
+                    F.col("_l.cnt").cast("long").alias("cnt")))
 
 
 def state_table_handler(state_path: str, out_path: str):
@@ -141,12 +146,10 @@ def state_table_handler(state_path: str, out_path: str):
             prev = spark.read.parquet(f"{state_path}/batch_id={batch_id - 1}")
         except Exception:  # noqa: BLE001 - first batch: empty state
             prev = spark.createDataFrame([], STATE_TABLE_SCHEMA)
-        df.persist()
-        counted, new_state = advance_counts(df, prev)
-        (counted.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        (advance_counts(df, prev).withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(out_path))
-        new_state.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
-        df.unpersist()
+        written = spark.read.parquet(f"{out_path}/batch_id={batch_id}")
+        next_state(written, prev).write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
         drop_version(spark, f"{state_path}/batch_id={batch_id - 2}")  # a retry of this batch needs n-1 only
     return handle

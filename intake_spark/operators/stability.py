@@ -41,6 +41,26 @@ def number_scans(scans: DataFrame, order_col: str = "scan_ts") -> DataFrame:
     return ok.withColumn("scan_no", F.row_number().over(w).cast("bigint"))
 
 
+def blocked_observations(log: DataFrame, block_scans: int = DEFAULT_BLOCK_SCANS,
+                         keys: tuple[str, ...] = ("watch", "name"), start_col: str | None = None) -> DataFrame:
+    """W1's single exchange: observations hash-partitioned on (keys, block of scans).
+
+    One file's history is cut into blocks, so it lands in several tasks.
+    Both W1 branches start from this same subtree, so the shuffle is written
+    once and reused (ReusedExchange). Null keys never join; filtering them
+    up front keeps the two subtrees identical (no one-sided inferred
+    filters), which reuse needs.
+    """
+    k = list(keys)
+    blk = F.floor(F.col("scan_no") / F.lit(block_scans)).cast("bigint")
+    not_null = F.col("scan_no").isNotNull()
+    for c in k:
+        not_null = not_null & F.col(c).isNotNull()
+    extra = [start_col] if start_col else []
+    return (log.select(*k, "scan_no", "size", *extra).filter(not_null)
+            .withColumn("_blk", blk).filter(F.col("_blk").isNotNull()).repartition(*k, "_blk"))
+
+
 def stability_counts(log: DataFrame, block_scans: int = DEFAULT_BLOCK_SCANS,
                      keys: tuple[str, ...] = ("watch", "name"), start_col: str | None = None) -> DataFrame:
     """W1 over a scan log ``(watch, scan_no, name, size)`` -> the same columns plus ``count``.
@@ -50,18 +70,7 @@ def stability_counts(log: DataFrame, block_scans: int = DEFAULT_BLOCK_SCANS,
     row ``scan_no - cnt + 1``); the column is kept in the output.
     """
     k = list(keys)
-    blk = F.floor(F.col("scan_no") / F.lit(block_scans)).cast("bigint")
-    # One exchange on (keys, block) feeds both the row windows and the block
-    # summary: the two branches start from the same subtree, so the shuffle
-    # is written once and reused (ReusedExchange) instead of recomputed.
-    # Null keys never join; filtering them up front keeps both branches'
-    # subtrees identical (no one-sided inferred filters), which reuse needs.
-    not_null = F.col("scan_no").isNotNull()
-    for c in k:
-        not_null = not_null & F.col(c).isNotNull()
-    extra = [start_col] if start_col else []
-    obs = (log.select(*k, "scan_no", "size", *extra).filter(not_null)
-           .withColumn("_blk", blk).filter(F.col("_blk").isNotNull()).repartition(*k, "_blk"))
+    obs = blocked_observations(log, block_scans, keys, start_col)
     # where a row's run would start if it breaks: its own scan, or a seed's recorded start
     brk_at = F.coalesce(F.col(start_col), F.col("scan_no")) if start_col else F.col("scan_no")
 

@@ -135,3 +135,19 @@ def test_state_table_keeps_two_versions(spark, tmp_path):
     _stream_table(spark, str(tmp_path), [[r for r in rows if r[1] == s] for s in range(1, 6)])
     versions = sorted(d for d in os.listdir(tmp_path / "state") if d.startswith("batch_id="))
     assert versions == ["batch_id=3", "batch_id=4"]
+
+
+def test_hot_file_is_spread_over_tasks(spark):
+    from intake_spark.operators.stability import blocked_observations
+    hot = [("w", s, "hot", 1) for s in range(1, 3001)]
+    cold = [("w", s, f"f{i}", 1) for i in range(20) for s in range(1, 301)]   # hot = one third of all rows
+    log = spark.createDataFrame(hot + cold, SCHEMA)
+    # tiny test data: keep AQE from merging the shuffle partitions back into one task
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        per_task = (blocked_observations(log, block_scans=64).filter(F.col("name") == "hot")
+                    .groupBy(F.spark_partition_id().alias("p")).count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(per_task) >= 4                         # the hot file's history spans several tasks
+    assert max(r["count"] for r in per_task) < 3000 / 2

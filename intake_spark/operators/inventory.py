@@ -135,12 +135,14 @@ def ignore_filter(entries: DataFrame, patterns: DataFrame) -> DataFrame:
     for c, lit_set in by_col.items():
         out = out.join(lit_set, F.col(c) == F.col("_lit"), "left_anti")
 
-    n_globs = globs.count()
-    if n_globs == 0:
+    # one bounded pass: at most MAX_INLINE_GLOBS + 1 lines reach the driver
+    head = [r.pattern for r in globs.limit(MAX_INLINE_GLOBS + 1).collect()]
+    if not head:
         return out
-    if n_globs <= MAX_INLINE_GLOBS:
-        rx = combined_regex([fnmatch_regex(r.pattern) for r in globs.collect()])
+    if len(head) <= MAX_INLINE_GLOBS:
+        rx = combined_regex([fnmatch_regex(p) for p in head])
         return out.filter(~(F.col("rel").rlike(rx) | F.col("name").rlike(rx) | F.col("abs").rlike(rx)))
+    n_globs = globs.count()
     if n_globs > MAX_BROADCAST_PATTERNS:
         raise ValueError(f"{n_globs} wildcard ignore patterns exceed {MAX_BROADCAST_PATTERNS}")
     rx_tab = F.broadcast(globs.select(fnmatch_regex_udf(F.col("pattern")).alias("_rx")))

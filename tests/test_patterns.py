@@ -116,3 +116,15 @@ def test_include_pattern_table_equals_compiled_filter(spark):
     a = {(r.watch, r.rel) for r in include_filter(inv, INCLUDE_CONFIG, INCLUDE_DEFAULT, True).collect()}
     b = {(r.watch, r.rel) for r in include_semi_join(inv, table, INCLUDE_DEFAULT, True).collect()}
     assert a == b and len(a) > 0
+
+
+def test_many_ignore_globs_use_checked_broadcast(spark):
+    from intake_spark.operators.inventory import MAX_INLINE_GLOBS, ignore_filter
+    rows = [("w", r, r.split("/")[-1], "/r/" + r) for r in ["a/x1.raw", "a/y2.raw", "b/z3.d", "q.tmp", "keep.raw"]]
+    entries = spark.createDataFrame(rows, "watch string, rel string, name string, abs string")
+    globs = [f"zz{i}*" for i in range(MAX_INLINE_GLOBS + 100)] + ["*.tmp", "a/x?.raw", "/r/b/*"]
+    got = sorted(r.rel for r in ignore_filter(entries, spark.createDataFrame([(g,) for g in globs],
+                                                                             "pattern string")).collect())
+    want = sorted(rel for _, rel, name, abs_ in rows
+                  if not any(fnmatch.fnmatchcase(c, g) for g in globs for c in (rel, name, abs_)))
+    assert got == want == ["a/y2.raw", "keep.raw"]

@@ -171,7 +171,7 @@ def job_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = F.array(
         iso_seconds(F.col("ready_ts")),
         F.when(launched, F.concat(F.lit("started: "), iso_seconds(started))),
-        F.when(no_inputs, F.lit("error: job spec or pipeline not found")),
+        F.when(no_inputs, F.lit("error: job spec or workflow file not found")),
         F.when(launched & ~no_inputs, F.concat(F.lit("cmd: run -params-file "), F.lit(TMP_ROOT + "/"),
                                                 k.cast("string"), F.lit("/spec.json"))),
         F.when(launched & ~no_inputs & F.col("launch_error"), F.lit("error: launch failed")),

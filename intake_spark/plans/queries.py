@@ -35,7 +35,7 @@ def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = st.latest_scans(D.scans(spark, sf_dir))
     snap = st.snapshot_at(cands, latest)
     # one scan's candidates per watch: counted in the same pass (no self-join,
-    # which would evaluate the stability pipeline twice)
+    # which would evaluate the run-length computation twice)
     n = F.count(F.lit(1)).over(Window.partitionBy("watch"))
     return (snap.select("watch", "scan_no", "name", "size", "hash", "count", n.alias("n_in_snapshot"))
             .orderBy("watch", F.lower("name"), "name"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import id_store
+from . import id_store, piece_codec
 from .ship import ship
 
 
@@ -23,6 +23,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text of ``documents`` as pieces, and decoded again."""
+    return piece_codec.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op4_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole ``documents`` written as token-id shards and read back by key."""
     docs = table(spark, sf_dir, "documents")
@@ -30,6 +35,7 @@ def op4_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_piece_codec": op2_piece_codec,
     "op4_id_store": op4_id_store,
 }
 ORACLE: dict[str, str] = {}

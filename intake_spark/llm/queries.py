@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import id_store, piece_codec
+from . import decontam, id_store, piece_codec
 from .ship import ship
 
 
@@ -34,8 +34,14 @@ def op4_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_store.store_digest(docs, scratch_path(spark, "ids"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of whole ``documents`` that lie in occurrences of ``benchmark`` phrases."""
+    return decontam.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_piece_codec": op2_piece_codec,
     "op4_id_store": op4_id_store,
+    "op9_decontam": op9_decontam,
 }
 ORACLE: dict[str, str] = {}

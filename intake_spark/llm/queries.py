@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam, id_store, piece_codec
+from . import decontam, id_store, langid, piece_codec
 from .ship import ship
 
 
@@ -28,6 +28,11 @@ def op2_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text of ``documents``."""
+    return langid.predict(table(spark, sf_dir, "documents"))
+
+
 def op4_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole ``documents`` written as token-id shards and read back by key."""
     docs = table(spark, sf_dir, "documents")
@@ -41,6 +46,7 @@ def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_piece_codec": op2_piece_codec,
+    "op3_langid": op3_langid,
     "op4_id_store": op4_id_store,
     "op9_decontam": op9_decontam,
 }

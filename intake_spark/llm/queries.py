@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam, id_store, langid, piece_codec
+from . import decontam, id_store, langid, piece_codec, toxicity
 from .ship import ship
 
 
@@ -39,6 +39,11 @@ def op4_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_store.store_digest(docs, scratch_path(spark, "ids"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text of ``documents``, learned from ``labels``."""
+    return toxicity.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of whole ``documents`` that lie in occurrences of ``benchmark`` phrases."""
     return decontam.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -48,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_piece_codec": op2_piece_codec,
     "op3_langid": op3_langid,
     "op4_id_store": op4_id_store,
+    "op6_toxicity": op6_toxicity,
     "op9_decontam": op9_decontam,
 }
 ORACLE: dict[str, str] = {}

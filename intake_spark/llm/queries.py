@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam, id_store, langid, piece_codec, toxicity
+from . import decontam, embed_dedup, id_store, langid, piece_codec, toxicity, url_filter
 from .ship import ship
 
 
@@ -39,11 +39,27 @@ def op4_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_store.store_digest(docs, scratch_path(spark, "ids"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op5_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all ``embeddings`` with cosine 0.95 or more."""
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text of ``documents``, learned from ``labels``."""
     return toxicity.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+#: The rules that op7 applies: verdict, host, path.
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url."""
+    rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)
+
+
 def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of whole ``documents`` that lie in occurrences of ``benchmark`` phrases."""
     return decontam.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -53,7 +69,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_piece_codec": op2_piece_codec,
     "op3_langid": op3_langid,
     "op4_id_store": op4_id_store,
+    "op5_embed_dedup": op5_embed_dedup,
     "op6_toxicity": op6_toxicity,
+    "op7_url_filter": op7_url_filter,
     "op9_decontam": op9_decontam,
 }
 ORACLE: dict[str, str] = {}

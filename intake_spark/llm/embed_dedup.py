@@ -44,9 +44,10 @@ SEED = 5
 
 
 def planes(dim: int, bits: int, tables: int) -> np.ndarray:
-    """Integer hyperplanes: dim x (tables * bits)."""
+    """Integer hyperplanes: dim x (tables * bits). The first tables are the
+    same for any number of tables."""
     rng = np.random.default_rng([SEED, dim])
-    return np.rint(rng.normal(0, 200, (dim, tables * bits)))
+    return np.rint(rng.normal(0, 200, (tables * bits, dim))).T
 
 
 def shape(classes: int, threshold: float) -> tuple[int, int]:
@@ -146,13 +147,13 @@ def compare(groups: DataFrame, dtype: str, bits: int, tables: int, threshold: fl
             if not len(a):
                 continue
             used, where = np.unique(np.concatenate([a, b]), return_inverse=True)
-            keys = buckets(x[used], bits, tab + 1) if tab else None
+            keys = buckets(x[used], bits, tab) if tab else None
             if tab:
-                pa_, pb_ = where[: len(a)], where[len(a):]
+                left, right = where[: len(a)], where[len(a):]
                 fresh = np.ones(len(a), bool)
                 for c in range(0, len(a), 1 << 16):
                     sl = slice(c, c + (1 << 16))
-                    fresh[sl] = ~(keys[pa_[sl], :tab] == keys[pb_[sl], :tab]).any(axis=1)
+                    fresh[sl] = ~(keys[left[sl]] == keys[right[sl]]).any(axis=1)
                 a, b = a[fresh], b[fresh]
             if not len(a):
                 continue

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam, embed_dedup, id_store, langid, piece_codec, toxicity, url_filter
+from . import decontam, embed_dedup, id_store, langid, piece_codec, substring_dedup, toxicity, url_filter
 from .ship import ship
 
 
@@ -23,6 +23,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole ``documents`` without the sentences of repeated runs."""
+    return substring_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op2_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text of ``documents`` as pieces, and decoded again."""
     return piece_codec.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
@@ -66,6 +71,7 @@ def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_piece_codec": op2_piece_codec,
     "op3_langid": op3_langid,
     "op4_id_store": op4_id_store,

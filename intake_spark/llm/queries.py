@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam, embed_dedup, id_store, langid, piece_codec, substring_dedup, toxicity, url_filter
+from . import decontam, embed_dedup, id_store, langid, piece_codec, substring_dedup, suffix_dedup, toxicity, url_filter
 from .ship import ship
 
 
@@ -70,6 +70,11 @@ def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of whole ``documents`` in repeated strings of 100 bytes."""
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_piece_codec": op2_piece_codec,
@@ -79,5 +84,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
     "op9_decontam": op9_decontam,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 ORACLE: dict[str, str] = {}

@@ -8,7 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam, embed_dedup, id_store, langid, piece_codec, substring_dedup, suffix_dedup, toxicity, url_filter
+from . import (
+    decontam,
+    embed_dedup,
+    id_store,
+    langid,
+    piece_codec,
+    substring_dedup,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+    weighted_minhash,
+)
 from .ship import ship
 
 
@@ -65,6 +76,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op8_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate group of every document of ``documents``."""
+    return weighted_minhash.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of whole ``documents`` that lie in occurrences of ``benchmark`` phrases."""
     return decontam.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -83,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_embed_dedup": op5_embed_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
+    "op8_weighted_minhash": op8_weighted_minhash,
     "op9_decontam": op9_decontam,
     "op10_suffix_dedup": op10_suffix_dedup,
 }

@@ -300,12 +300,13 @@ def _decimals(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def encode_documents(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text",
-                     with_ids: bool = False, with_text: bool = False) -> DataFrame:
-    """One row a document: ``key``, n_tokens, ids_sha256 (of the decimal ids
-    joined by commas), decoded_sha256; ids (array<int>) and decoded (string)
-    on request."""
-    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
-    schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, {schema}"
+                     with_ids: bool = False, with_text: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """One row a document: ``key`` and the columns ``keep``, n_tokens,
+    ids_sha256 (of the decimal ids joined by commas), decoded_sha256; ids
+    (array<int>) and decoded (string) on request."""
+    kept = F.struct(*[F.col(f"`{c}`") for c in (key, *keep)]).alias("kept")
+    kind = docs.select(kept).schema["kept"].dataType.simpleString()
+    schema = f"kept {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     schema += ", ids array<int>" * with_ids + ", decoded string" * with_text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,8 +320,8 @@ def encode_documents(docs: DataFrame, model: str, key: str = "doc_id", text: str
                 of_ids = [hashlib.sha256(digits[a: max(a, b - 1)]).hexdigest() for a, b in zip(at, at[1:])]
                 at = doff.tolist()
                 of_text = [hashlib.sha256(dec[a:b]).hexdigest() for a, b in zip(at, at[1:])]
-                cols = [batch.column("key").slice(lo, hi - lo), pa.array(np.diff(ioff)), pa.array(of_ids), pa.array(of_text)]
-                names = [key, "n_tokens", "ids_sha256", "decoded_sha256"]
+                cols = [batch.column("kept").slice(lo, hi - lo), pa.array(np.diff(ioff)), pa.array(of_ids), pa.array(of_text)]
+                names = ["kept", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if with_ids:
                     cols.append(pa.ListArray.from_arrays(pa.array(ioff, pa.int32()), pa.array(ids.astype(np.int32))))
                     names.append("ids")
@@ -329,4 +330,5 @@ def encode_documents(docs: DataFrame, model: str, key: str = "doc_id", text: str
                     names.append("decoded")
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema)
+    out = docs.select(kept, F.col(text).alias("text")).mapInArrow(run, schema)
+    return out.select("kept.*", *out.columns[1:])

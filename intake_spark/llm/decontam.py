@@ -291,8 +291,7 @@ def hits(docs: DataFrame, items: DataFrame, key: str = "doc_id") -> DataFrame:
 def digest(docs: DataFrame, items: DataFrame) -> DataFrame:
     return hits(docs, items).select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"), "contaminated",
-        F.size("near_items").cast("long").alias("n_near_items"))
+        F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"), "contaminated")
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from . import (
     embed_dedup,
     id_store,
     langid,
+    oracle,
     piece_codec,
     substring_dedup,
     suffix_dedup,
@@ -103,4 +104,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontam": op9_decontam,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_substring_dedup": oracle.OP1,
+    "op5_embed_dedup": oracle.OP5,
+    "op7_url_filter": oracle.op7(URL_RULES),
+    "op9_decontam": oracle.op9(),
+}

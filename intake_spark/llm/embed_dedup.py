@@ -35,11 +35,14 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .files import stored
+from .textbytes import ragged
 
 THRESHOLD = 0.95
 MISS = 1e-6
 MIN_BITS = 12
 BLOCK = 4096
+DENSE = 256      # larger groups are compared by matrix products
+PORTION = 8192   # rows that a task compares at a time, if groups allow
 SEED = 5
 
 
@@ -93,24 +96,44 @@ def vector_classes(vectors: DataFrame, key: str, column: str) -> tuple[DataFrame
     return rows, stored(spark, classes, "classes")
 
 
-def _links(x: np.ndarray, first: np.ndarray, second: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of rows first x second with cosine >= threshold."""
-    norm = np.sqrt((x * x).sum(axis=1))
-    unit = x / norm[:, None]
-    a_out, b_out = [], []
-    for s in range(0, len(first), 1024):
-        part = first[s: s + 1024]
-        i, j = np.nonzero(unit[part] @ unit[second].T >= threshold - 1e-9)
-        a, b = part[i], second[j]
-        keep = a < b if first is second else np.ones(len(a), bool)
-        a, b = a[keep], b[keep]
-        for c in range(0, len(a), 1 << 16):
-            p, q = a[c: c + (1 << 16)], b[c: c + (1 << 16)]
-            ok = (x[p] * x[q]).sum(axis=1) / (norm[p] * norm[q]) >= threshold
-            a_out.append(p[ok])
-            b_out.append(q[ok])
-    cat = lambda z: np.concatenate([np.zeros(0, np.int64), *z])
-    return cat(a_out), cat(b_out)
+def _cosines(x: np.ndarray, norm: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    ok = np.zeros(len(a), bool)
+    for c in range(0, len(a), 1 << 16):
+        p, q = a[c: c + (1 << 16)], b[c: c + (1 << 16)]
+        ok[c: c + (1 << 16)] = (x[p] * x[q]).sum(axis=1) / (norm[p] * norm[q]) >= threshold
+    return ok
+
+
+def _links(x: np.ndarray, norm: np.ndarray, group_end: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs within groups with cosine >= threshold. ``group_end`` holds
+    the end of each row's group."""
+    here = np.arange(len(x))
+    size = group_end - here
+    first = np.append(True, group_end[1:] != group_end[:-1])
+    large = np.repeat(size[first] > DENSE, np.diff(np.append(np.flatnonzero(first), len(x))))
+    out = []
+    small = here[~large]
+    n = size[small] - 1
+    ends = np.cumsum(n)
+    lo = 0
+    while lo < len(small):  # all pairs of small groups, in portions
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + (1 << 20), "right")))
+        a = np.repeat(small[lo:hi], n[lo:hi])
+        b = ragged(small[lo:hi] + 1, n[lo:hi])
+        ok = _cosines(x, norm, a, b, threshold)
+        out.append((a[ok], b[ok]))
+        lo = hi
+    for begin in here[first & large].tolist():
+        end = int(group_end[begin])
+        unit = x[begin:end] / norm[begin:end, None]
+        for s in range(0, end - begin, 1024):
+            i, j = np.nonzero(unit[s: s + 1024] @ unit.T >= threshold - 1e-9)
+            a, b = begin + s + i, begin + j
+            a, b = a[a < b], b[a < b]
+            ok = _cosines(x, norm, a, b, threshold)
+            out.append((a[ok], b[ok]))
+    cat = lambda k: np.concatenate([np.zeros(0, np.int64), *(o[k] for o in out)])
+    return cat(0), cat(1)
 
 
 def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -130,60 +153,78 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     return np.array(out, np.int64)
 
 
+def _matrix(raw: list[bytes], dtype: str) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors as rows, shorter ones filled up with zeros, and their lengths."""
+    size = np.array([len(r) for r in raw], np.int64)
+    top = int(size.max())
+    if (size < top).any():
+        raw = [r.ljust(top, b"\0") for r in raw]
+    return np.frombuffer(b"".join(raw), dtype).reshape(len(raw), -1).astype(np.float64), size
+
+
+def _met_before(x: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray, tab: np.ndarray, width: int,
+                bits: int, tables: int) -> np.ndarray:
+    """Whether each pair shares a bucket in a table before its own."""
+    used, where = np.unique(np.concatenate([a, b]), return_inverse=True)
+    keys = np.empty((len(used), tables), np.int64)
+    for s in np.unique(size[used]):
+        pick = size[used] == s
+        keys[pick] = buckets(x[used[pick]][:, : s // width], bits, tables)
+    left, right, out = where[: len(a)], where[len(a):], np.zeros(len(a), bool)
+    earlier = np.arange(tables)[None, :]
+    for c in range(0, len(a), 1 << 14):
+        sl = slice(c, c + (1 << 14))
+        out[sl] = ((keys[left[sl]] == keys[right[sl]]) & (earlier < tab[sl, None])).any(axis=1)
+    return out
+
+
 def compare(groups: DataFrame, dtype: str, bits: int, tables: int, threshold: float) -> DataFrame:
     """(a, b, n): links of class a met first in a group (b null), and forest
     edges a-b. ``groups``: rows sorted by (tab, bucket, i, j) in each task."""
-    def one(g: pa.Table) -> Iterator[pa.RecordBatch]:
-        cid, m, salt = (g.column(c).to_numpy() for c in ("cid", "m", "salt"))
-        tab, i, j = g.column("tab")[0].as_py(), g.column("i")[0].as_py(), g.column("j")[0].as_py()
-        raw = g.column("v").to_pylist()
-        size = np.array([len(r) for r in raw])
-        for s in np.unique(size):  # vectors of one length
-            pick = np.flatnonzero(size == s)
-            x = np.frombuffer(b"".join(raw[p] for p in pick), dtype).reshape(len(pick), -1).astype(np.float64)
-            here = salt[pick]
-            first = np.flatnonzero(here == i)
-            a, b = _links(x, first, first if i == j else np.flatnonzero(here == j), threshold)
-            if not len(a):
-                continue
-            used, where = np.unique(np.concatenate([a, b]), return_inverse=True)
-            keys = buckets(x[used], bits, tab) if tab else None
-            if tab:
-                left, right = where[: len(a)], where[len(a):]
-                fresh = np.ones(len(a), bool)
-                for c in range(0, len(a), 1 << 16):
-                    sl = slice(c, c + (1 << 16))
-                    fresh[sl] = ~(keys[left[sl]] == keys[right[sl]]).any(axis=1)
-                a, b = a[fresh], b[fresh]
-            if not len(a):
-                continue
-            n = np.bincount(a, m[pick][b], len(pick)) + np.bincount(b, m[pick][a], len(pick))
-            got, ids = np.flatnonzero(n), cid[pick]
-            f = _forest(a, b, len(pick))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([ids[got], ids[a[f]]])),
-                 pa.array(np.concatenate([np.zeros(len(got), np.int64), ids[b[f]]]),
-                          mask=np.concatenate([np.ones(len(got), bool), np.zeros(len(f), bool)])),
-                 pa.array(np.concatenate([n[got].astype(np.int64), np.zeros(len(f), np.int64)]))],
-                names=["a", "b", "n"])
+    def some(g: pa.Table) -> pa.RecordBatch:
+        cid, m, salt, tab, i, j, bucket = (g.column(c).to_numpy() for c in ("cid", "m", "salt", "tab", "i", "j", "bucket"))
+        x, size = _matrix(g.column("v").to_pylist(), dtype)
+        norm = np.sqrt((x * x).sum(axis=1))
+        cut = np.flatnonzero((tab[1:] != tab[:-1]) | (bucket[1:] != bucket[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+        ends = np.append(cut, len(cid))
+        a, b = _links(x, norm, np.repeat(ends, np.diff(np.append(0, ends))), threshold)
+        # a block is compared with itself only where it is paired with itself
+        keep = (size[a] == size[b]) & ((i[a] == j[a]) | (salt[a] != salt[b]))
+        a, b = a[keep], b[keep]
+        if len(a):
+            fresh = ~_met_before(x, size, a, b, tab[a], np.dtype(dtype).itemsize, bits, tables)
+            a, b = a[fresh], b[fresh]
+        ids, at = np.unique(cid, return_inverse=True)
+        n = (np.bincount(at[a], m[b], len(ids)) + np.bincount(at[b], m[a], len(ids))).astype(np.int64)
+        got, f = np.flatnonzero(n), _forest(at[a], at[b], len(ids))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([ids[got], cid[a[f]]])),
+             pa.array(np.concatenate([np.zeros(len(got), np.int64), cid[b[f]]]),
+                      mask=np.concatenate([np.ones(len(got), bool), np.zeros(len(f), bool)])),
+             pa.array(np.concatenate([n[got], np.zeros(len(f), np.int64)]))], names=["a", "b", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        last = None
+        last, rows = None, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             key = np.stack([batch.column(c).to_numpy() for c in ("tab", "bucket", "i", "j")], 1)
             cut = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-            for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(key)]):
-                now = tuple(key[lo].tolist())
-                if last is not None and now != last:
-                    yield from one(pa.Table.from_batches(held).combine_chunks())
-                    held = []
-                held.append(batch.slice(lo, hi - lo))
-                last = now
-        if held:
-            yield from one(pa.Table.from_batches(held).combine_chunks())
+            if last is not None and (key[0] != last).any():
+                cut = np.append(0, cut)
+            last = key[-1]
+            if rows + batch.num_rows > PORTION and len(cut):  # whole groups
+                k = int(cut[-1])
+                ready = pa.Table.from_batches([*held, batch.slice(0, k)]).combine_chunks()
+                if ready.num_rows:
+                    yield some(ready)
+                held, rows = [batch.slice(k)], batch.num_rows - k
+            else:
+                held.append(batch)
+                rows += batch.num_rows
+        if rows:
+            yield some(pa.Table.from_batches(held).combine_chunks())
 
     return groups.mapInArrow(run, "a long, b long, n long")
 

@@ -48,7 +48,6 @@ def sentences(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """(byte starts, offsets by text, content hash, words) of the sentences of
     a block. A text without words has none."""
     n = len(data)
-    wh, wpos, woff = words(data, off)
     cut = np.zeros(n + 1, bool)
     if n:
         white = _SPACE[data]
@@ -63,9 +62,9 @@ def sentences(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
         cut[filled[np.searchsorted(filled, after)]] = True
     cut[off] = True
     starts = np.flatnonzero(cut[:n])
-    # words by piece; pieces without words join the piece before, within the text
-    piece_first = np.searchsorted(wpos, starts)
-    count = np.diff(np.append(piece_first, len(wpos)))
+    # pieces without words join the piece before, within the text
+    wh, _, piece_off = words(data, np.append(starts, n))
+    piece_first, count = piece_off[:-1], np.diff(piece_off)
     text = np.searchsorted(off, starts, "right") - 1
     have = count > 0
     keep = np.flatnonzero(have)

@@ -2,14 +2,18 @@
 
 F6 fills substring placeholders in a template. Unlike a raw text replace, the
 inserted values are JSON-escaped, so the spec is always valid JSON.
-F7 replaces string *values* that equal a placeholder exactly (keys are never
-touched) and sets the top-level ``main_*_file`` fields.
+F7 works on the parsed JSON: it replaces string *values* that equal a
+placeholder exactly (keys are never touched) and sets the top-level
+``main_*_file`` fields.
 F8 builds the nested metadata struct (optional ``watch`` section, nullable
 file fields) and serialises it with nulls kept.
 """
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,18 +25,23 @@ OUTPUT_PH = "%%%OUTPUT%%%"
 FASTA_PHS = ("%%%FASTA%%%", "%%%FASTA%%%%")
 SPIKE_PHS = ("%%%SPIKE%%%", "%%%SPIKE%%%%")
 
-# A job template of the documented shape: three top-level strings and nested
-# objects of string / int / double / boolean leaves.
+# The top-level keys that are set or read by name.
+INPUT_KEY, OUTPUT_KEY = "main_input_folder", "main_outdir"
+FASTA_KEY, SPIKE_KEY = "main_fasta_file", "main_spike_file"
+
+# A job template of our own: the named keys, and sections whose leaves show
+# every kind of value.
 JOB_TEMPLATE = """{
   "main_input_folder": "%%%INPUT%%%",
   "main_outdir": "%%%OUTPUT%%%",
   "main_fasta_file": "%%%FASTA%%%",
-  "report": {"unit": "sec", "table_type": "csv", "height": 700, "only_report": false},
-  "spike_in": {"table": "%%%SPIKE%%%%", "search": true, "labelled": true},
-  "extraction": {"memory": "10.GB", "threshold": 1e-5, "max_charge": 5},
-  "identification": {"threads": 8, "tolerance": 0.02, "decoys": true, "note": "uses %%%FASTA%%% by name"}
+  "labels": {"title": "nightly run", "owner": null, "tags": ["a", "%%%SPIKE%%%%", "%%%FASTA%%%%"]},
+  "retry": {"attempts": 3, "backoff": 1.5, "enabled": true},
+  "lookup": {"table": "%%%SPIKE%%%%", "main_fasta_file": "nested, left alone", "hint": "see %%%FASTA%%% in the manual"},
+  "nothing": {}
 }"""
 
+# Field names of the metadata file (an input format).
 METADATA_SCHEMA = T.StructType([
     T.StructField("hash", T.StringType()),
     T.StructField("created_at", T.StringType()),
@@ -82,36 +91,40 @@ def fill_io(template: Column, input_dir: Column, output_dir: Column) -> Column:
     return F.replace(t, F.lit(OUTPUT_PH), json_escape(output_dir))
 
 
-def _leaf_regex(placeholders: tuple[str, ...]) -> str:
-    alts = "|".join(sorted(placeholders, key=len, reverse=True))
-    # a quoted value equal to a placeholder: after ':' or '[' or ',' (not a key: no ':' follows)
-    return rf'([:\[,]\s*)"(?:{alts})"(?!\s*:)'
-
-
-def _replacement(s: Column) -> Column:
-    """Quote a value for use as a regex replacement (backslash and dollar are literal)."""
-    return F.regexp_replace(F.regexp_replace(s, r"\\", r"\\\\"), r"\$", r"\\\$")
+def set_reference(spec: str | None, path: str | None, placeholders: tuple[str, ...], field: str) -> str | None:
+    """F7 on one spec text. String leaves equal to a placeholder become
+    ``path`` (keys are never touched), and the top-level ``field`` is set,
+    whatever it was. Without a path, and for text that isn't a JSON object, the
+    text is returned as it is."""
+    if spec is None or path is None:
+        return spec
+    try:
+        doc = json.loads(spec)
+    except ValueError:
+        return spec
+    if not isinstance(doc, dict):
+        return spec
+    doc[field] = path
+    todo: list = [doc]
+    while todo:  # containers whose items are still to be looked at
+        box = todo.pop()
+        for k, v in list(box.items() if isinstance(box, dict) else enumerate(box)):
+            if isinstance(v, (dict, list)):
+                todo.append(v)
+            elif isinstance(v, str) and v in placeholders:
+                box[k] = path
+    return json.dumps(doc, ensure_ascii=False)
 
 
 def fill_reference(df: DataFrame, spec: str, file_path: Column, placeholders: tuple[str, ...],
                    field: str) -> DataFrame:
-    """F7 on column ``spec``: exact-leaf placeholder replacement and the top-level ``field``.
-
-    No reference file (null) leaves the spec unchanged, as does text that is
-    not valid JSON. Steps are separate columns so no sub-expression is
-    evaluated twice.
-    """
-    d = (df.withColumn("_f7_q", _replacement(F.concat(F.lit('"'), json_escape(file_path), F.lit('"'))))
-         .withColumn("_f7_ok", file_path.isNotNull() & F.try_parse_json(F.col(spec)).isNotNull())
-         .withColumn("_f7_r", F.regexp_replace(F.col(spec), _leaf_regex(placeholders),
-                                               F.concat(F.lit("$1"), F.col("_f7_q")))))
-    key_rx = rf'("{field}"\s*:\s*)"(?:[^"\\]|\\.)*"'
-    set_key = (F.when(F.col("_f7_r").rlike(rf'"{field}"\s*:'),
-                      F.regexp_replace(F.col("_f7_r"), key_rx, F.concat(F.lit("$1"), F.col("_f7_q"))))
-               .otherwise(F.regexp_replace(F.col("_f7_r"), r"^\s*\{",
-                                           F.concat(F.lit('{"' + field + '": '), F.col("_f7_q"), F.lit(",")))))
-    return (d.withColumn(spec, F.when(F.col("_f7_ok"), set_key).otherwise(F.col(spec)))
-            .drop("_f7_q", "_f7_ok", "_f7_r"))
+    """F7 on column ``spec``. The registered query applies it to the one-row
+    template, since the reference files are the same for all jobs."""
+    @F.pandas_udf(T.StringType())
+    def fill(texts: pd.Series, paths: pd.Series) -> pd.Series:
+        return pd.Series([set_reference(t, p, placeholders, field) for t, p in zip(texts, paths)], dtype=object)
+
+    return df.withColumn(spec, fill(F.col(spec), file_path))
 
 
 def metadata_json(meta: Column) -> Column:

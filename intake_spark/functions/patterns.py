@@ -47,23 +47,6 @@ def normalize_patterns(c: Column) -> Column:
     return F.array_distinct(F.flatten(with_twins))
 
 
-def normalize_patterns_py(pattern) -> list[str]:
-    """Plain-Python statement of F1 (driver side, for configuration values)."""
-    if isinstance(pattern, str):
-        import re
-        raw = [p.strip() for p in re.split(PATTERN_SEPARATORS, pattern.strip())]
-    else:
-        raw = [str(p).strip() for p in pattern]
-    out: list[str] = []
-    for p in raw:
-        if not p:
-            continue
-        for q in ([p, p[: -len(RAW_SUFFIX)] + DIR_SUFFIX] if p.endswith(RAW_SUFFIX) else [p]):
-            if q not in out:
-                out.append(q)
-    return out
-
-
 def is_glob(c: Column) -> Column:
     """True when a pattern has a wildcard; the rest compare as plain strings."""
     return c.rlike("[*?\\[]")
@@ -74,20 +57,26 @@ def _lit_char(ch: str) -> str:
 
 
 def _class(body: str, no_slash: bool) -> str:
+    """A bracket expression. A reversed range holds nothing; an expression
+    that holds nothing matches no character, its negation any."""
     neg = body.startswith("!")
-    if neg:
-        body = body[1:]
-    out = []
-    for ch in body:
-        if ch == "-":
-            out.append("-")
-        elif ch in "\\[]&^":
-            out.append("\\" + ch)
+    body = body[neg:]
+    items, i = [], 0
+    while i < len(body):
+        if body[i + 1: i + 2] == "-" and i + 2 < len(body):
+            if body[i] <= body[i + 2]:
+                items.append(_member(body[i]) + "-" + _member(body[i + 2]))
+            i += 3
         else:
-            out.append(ch)
-    if neg and no_slash:
-        out.append("/")
-    return "[" + ("^" if neg else "") + "".join(out) + "]"
+            items.append(_member(body[i]))
+            i += 1
+    if not items:
+        return ("[^/]" if no_slash else ".") if neg else "(?!)"
+    return "[" + ("^" if neg else "") + "".join(items) + ("/" if neg and no_slash else "") + "]"
+
+
+def _member(ch: str) -> str:
+    return "\\" + ch if ch in "\\[]&^-" else ch
 
 
 def _translate(pat: str, star: str, one: str) -> str:
@@ -155,12 +144,6 @@ def combined_regex(regexes: list[str]) -> str | None:
     return "|".join(f"(?:{r})" for r in regexes)
 
 
-@F.pandas_udf(T.StringType())
-def fnmatch_regex_udf(p: pd.Series) -> pd.Series:
-    """P2 compile step for a pattern *column* (configuration-sized tables only)."""
-    return p.map(lambda s: None if s is None else fnmatch_regex(s))
-
-
 @F.pandas_udf(T.StringType())
 def path_glob_regex_udf(p: pd.Series, recursive: pd.Series) -> pd.Series:
     """P1 compile step for a pattern *column* (configuration-sized tables only)."""

@@ -1,88 +1,62 @@
 """Inventory operators: include (J1/U2), ignore (J2/U1), entry kind (P3),
 directory roll-up (A1) and last-wins listing (A6).
 
-Include patterns come from watch definitions (configuration, a handful per
-watch). For a bounded configuration they compile into one literal-regex
-``CASE watch WHEN .. THEN rel RLIKE ..`` filter: no join, whole-stage codegen.
-Pattern *tables* of unknown size go through a semi-join that is broadcast
-only after their size is checked.
-
-Ignore lists grow by one literal name per processed file, so they are split:
-literal lines become equi anti-joins, each literal routed to the one column
-(name, rel or abs) it can equal (AQE picks broadcast or sort-merge from the
-measured size); wildcard lines - written by people, few - become one
-compiled regex filter.
+Include patterns come from watch definitions. Whatever their number, there is
+one path: each watch's patterns are normalised (F1) and compiled to one regular
+expression, the table (one row a watch) is joined to the entries on the watch,
+and a watch that the table doesn't list uses the default's expression.
+
+Ignore lists have two origins. Lines that people wrote may hold wildcards;
+these few lines are compiled into regex filters. The processed ledger grows by
+one name a file and is matched literally: its names, and the literal lines,
+become equi anti-joins, each literal routed to the one column (name, rel or
+abs) it can equal.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.patterns import (combined_regex, fnmatch_regex, fnmatch_regex_udf, is_glob,
-                                  normalize_patterns, normalize_patterns_py, path_glob_regex,
+from ..functions.patterns import (combined_regex, fnmatch_regex, is_glob, normalize_patterns,
                                   path_glob_regex_udf, strip_ws)
 from ..functions.paths import entry_kind_ok
 
-MAX_INLINE_WATCHES = 256      # CASE branches compiled into one filter
-MAX_INLINE_GLOBS = 512        # wildcard ignore lines compiled into one regex
-MAX_BROADCAST_PATTERNS = 200_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int, what: str) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows."""
-    n = df.count()
-    if n > max_rows:
-        raise ValueError(f"{what}: {n} rows exceed the broadcast bound {max_rows}")
-    return F.broadcast(df)
+GLOBS_A_REGEX = 200  # wildcard lines compiled into one expression; more lines make more filters
+NO_MATCH = "(?!)"
 
 
 # --------------------------------------------------------------------------- include
 
-def include_expr(config: dict[str, str], default: str, recursive: bool,
-                 watch: Column, rel: Column) -> Column:
-    """Boolean column: does ``rel`` match a pattern of its watch (or the default)?"""
-    def match(pattern_string: str) -> Column:
-        rx = combined_regex([path_glob_regex(p, recursive) for p in normalize_patterns_py(pattern_string)])
-        return rel.rlike(rx) if rx else F.lit(False)
+def compiled_patterns(patterns: DataFrame, recursive: bool) -> DataFrame:
+    """``(watch, pattern)`` -> ``(watch, rx)``: one expression a watch."""
+    globs = patterns.select("watch", F.explode_outer(normalize_patterns(F.col("pattern"))).alias("glob"))
+    rx = globs.withColumn("rx", path_glob_regex_udf(F.col("glob"), F.lit(recursive)))
+    every = F.array_sort(F.collect_set(F.concat(F.lit("(?:"), F.col("rx"), F.lit(")"))))
+    return rx.groupBy("watch").agg(F.array_join(every, "|").alias("rx")) \
+        .withColumn("rx", F.when(F.col("rx") == "", F.lit(NO_MATCH)).otherwise(F.col("rx")))
 
-    expr = None
-    for w, p in config.items():
-        cond = match(p or default)
-        expr = F.when(watch == F.lit(w), cond) if expr is None else expr.when(watch == F.lit(w), cond)
-    dflt = match(default)
-    return dflt if expr is None else expr.otherwise(dflt)
 
-
-def include_filter(entries: DataFrame, config: dict[str, str], default: str,
+def include_filter(entries: DataFrame, config: dict[str, str] | DataFrame, default: str,
                    recursive: bool = False) -> DataFrame:
-    """J1 + P3 for a configuration held by the driver (bounded size)."""
-    if len(config) > MAX_INLINE_WATCHES:
-        spark = entries.sparkSession
-        pats = spark.createDataFrame(list(config.items()), "watch string, pattern string")
-        return include_semi_join(entries, pats, default, recursive)
-    keep = include_expr(config, default, recursive, F.col("watch"), F.col("rel"))
-    return entries.filter(keep & entry_kind_ok(F.col("is_dir"), F.col("name")))
-
-
-def include_semi_join(entries: DataFrame, patterns: DataFrame, default: str | None = None,
-                      recursive: bool = False) -> DataFrame:
-    """J1 + U2 + P3 with a pattern table ``(watch, pattern)``.
-
-    Each pattern string is normalised (F1), exploded, compiled once per
-    pattern row, and the table is broadcast after a size check. An entry that
-    matches several patterns appears once (semi-join).
+    """J1 + U2 + P3: entries that match a pattern of their watch.
+
+    ``config`` is a dict or a table ``(watch, pattern)``; a null or blank
+    pattern, and a watch that isn't listed, mean the default. An entry that
+    matches several patterns appears once.
     """
-    pats = patterns
-    if default is not None:
-        pats = pats.withColumn("pattern", F.coalesce(F.nullif("pattern", F.lit("")), F.lit(default)))
-    pats = (pats.select("watch", F.explode(normalize_patterns(F.col("pattern"))).alias("glob"))
-            .withColumn("rx", path_glob_regex_udf(F.col("glob"), F.lit(recursive)))
-            .select(F.col("watch").alias("_pw"), "rx"))
-    pats = bounded_broadcast(pats, MAX_BROADCAST_PATTERNS, "include patterns")
-    cond = (F.col("watch") == F.col("_pw")) & F.regexp_like(F.col("rel"), F.col("rx"))
-    return (entries.join(pats, cond, "left_semi")
-            .filter(entry_kind_ok(F.col("is_dir"), F.col("name"))))
+    spark = entries.sparkSession
+    if isinstance(config, dict):
+        config = spark.createDataFrame(list(config.items()), "watch string, pattern string")
+    blank = F.coalesce(strip_ws(F.col("pattern")), F.lit("")) == ""
+    own = config.select("watch", F.when(blank, F.lit(default)).otherwise(F.col("pattern")).alias("pattern"))
+    fallback = spark.range(1).select(F.lit("").alias("watch"), F.lit(default).alias("pattern"))
+    rx = compiled_patterns(own, recursive).withColumnsRenamed({"watch": "_pw", "rx": "_rx"})
+    dflt = compiled_patterns(fallback, recursive).select("rx").scalar()
+    joined = entries.join(rx, F.col("watch") == F.col("_pw"), "left")
+    keep = F.regexp_like(F.col("rel"), F.coalesce("_rx", dflt))
+    return joined.filter(keep & entry_kind_ok(F.col("is_dir"), F.col("name"))).select(*entries.columns)
 
 
 # --------------------------------------------------------------------------- ignore
@@ -95,10 +69,12 @@ def clean_ignore_lines(lines: DataFrame, col: str = "value") -> DataFrame:
 
 
 def read_ignore_list(spark: SparkSession, path: str) -> DataFrame:
-    """S2 over a text file; a missing file is an empty list."""
+    """S2 over a text file; a missing file is an empty list, other errors raise."""
     try:
         lines = spark.read.text(path)
-    except Exception:  # noqa: BLE001 - missing ignore file = no patterns
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], "pattern string")
     return clean_ignore_lines(lines)
 
@@ -111,44 +87,39 @@ def merge_ignore_lists(*lists: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def ignore_filter(entries: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Drop entries whose rel, name or abs matches any ignore pattern.
+def drop_literals(entries: DataFrame, literals: DataFrame) -> DataFrame:
+    """Entries whose rel, name or abs equals none of ``literals(pattern)``.
 
-    Literal lines: equi ``left_anti`` joins, each literal routed to the one
-    column it can equal. Wildcard lines: counted, then compiled into one
-    regex filter (or a checked broadcast beyond that).
+    A literal can only equal one of the three columns: ``abs`` always starts
+    with '/', ``rel`` of a nested entry contains '/', ``name`` never does (a
+    top-level ``rel`` equals its ``name``). So each goes to one join: the large
+    ledger of basenames meets ``name`` only.
     """
-    pats = patterns.select("pattern").distinct()
-    lits = pats.filter(~is_glob(F.col("pattern"))).select(F.col("pattern").alias("_lit"))
-    globs = pats.filter(is_glob(F.col("pattern")))
-
-    # A literal can only equal one of the three columns: ``abs`` always starts
-    # with '/', ``rel`` of a nested entry contains '/', ``name`` never does (a
-    # top-level ``rel`` equals its ``name``). So each literal goes to exactly
-    # one join: the large ledger of basenames meets ``name`` only, the few
-    # path-like lines are broadcast-sized joins on ``rel`` and ``abs``.
+    lits = literals.select(F.col("pattern").alias("_lit")).distinct()
     slash = F.instr(F.col("_lit"), "/") > 0
     by_col = {"name": lits.filter(~slash),
               "abs": lits.filter(F.col("_lit").startswith("/")),
               "rel": lits.filter(slash & ~F.col("_lit").startswith("/"))}
-    out = entries
     for c, lit_set in by_col.items():
-        out = out.join(lit_set, F.col(c) == F.col("_lit"), "left_anti")
-
-    # one bounded pass: at most MAX_INLINE_GLOBS + 1 lines reach the driver
-    head = [r.pattern for r in globs.limit(MAX_INLINE_GLOBS + 1).collect()]
-    if not head:
-        return out
-    if len(head) <= MAX_INLINE_GLOBS:
-        rx = combined_regex([fnmatch_regex(p) for p in head])
-        return out.filter(~(F.col("rel").rlike(rx) | F.col("name").rlike(rx) | F.col("abs").rlike(rx)))
-    n_globs = globs.count()
-    if n_globs > MAX_BROADCAST_PATTERNS:
-        raise ValueError(f"{n_globs} wildcard ignore patterns exceed {MAX_BROADCAST_PATTERNS}")
-    rx_tab = F.broadcast(globs.select(fnmatch_regex_udf(F.col("pattern")).alias("_rx")))
-    hit = (F.regexp_like(F.col("rel"), F.col("_rx")) | F.regexp_like(F.col("name"), F.col("_rx"))
-           | F.regexp_like(F.col("abs"), F.col("_rx")))
-    return out.join(rx_tab, hit, "left_anti")
+        entries = entries.join(lit_set, F.col(c) == F.col("_lit"), "left_anti")
+    return entries
+
+
+def ignore_filter(entries: DataFrame, user: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
+    """Drop entries whose rel, name or abs matches any ignore line.
+
+    ``user(pattern)``: lines that people wrote (configuration), wildcards and
+    literals. ``ledger(pattern)``: processed names, always literal, never read
+    by the driver.
+    """
+    pats = user.select("pattern").distinct()
+    literal = pats.filter(~is_glob(F.col("pattern")))
+    out = drop_literals(entries, literal if ledger is None else literal.unionByName(ledger.select("pattern")))
+    globs = sorted(r.pattern for r in pats.filter(is_glob(F.col("pattern"))).toLocalIterator())
+    for i in range(0, len(globs), GLOBS_A_REGEX):
+        rx = combined_regex([fnmatch_regex(p) for p in globs[i: i + GLOBS_A_REGEX]])
+        out = out.filter(~(F.col("rel").rlike(rx) | F.col("name").rlike(rx) | F.col("abs").rlike(rx)))
+    return out
 
 
 # --------------------------------------------------------------------------- roll-ups

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import ISO_SECONDS, effective_pattern, seconds_between
+from ..functions.paths import effective_pattern, seconds_between
 
 # Life-cycle marker names, outcome classes (first match wins)
 # and status-line levels.
@@ -19,24 +19,43 @@ MARKER_READY, MARKER_WORKING, MARKER_FINISH, MARKER_ERROR = ".ready", ".working"
 OUTCOMES = ("pending", "missing_inputs", "start_failed", "bad_metadata", "delivered",
             "finished_no_artifact", "failed_with_artifact", "failed_with_log", "failed_no_log")
 STATUS_LEVELS = ("RUN", "OK", "ERR", "WARN", "OUT")
-STATUS_RX = r"^\[(\w+)\] ([^ :]+)"
+LEVEL_RX = r"^\[(\w+)\] "
+# a job reference is one word that ": " or " -> " follows; other lines are free text
+REF_RX = r"^\[\w+\] ([^ :]+)(?:: | -> )"
+ISO_RX = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d$"
+TIMED = ("ready", "started", "finished")
 EVENT_RX = r"^(\w+): (.*)$"
 
 
 def parse_markers(markers: DataFrame) -> DataFrame:
     """``(job, text)`` -> ``job_events(job, seq, event, ts, value)``.
 
-    Line 1 is the ready time; later lines are ``key: value``.
+    Line 1 is the ready time; later lines are ``key: value``. A line of
+    another form is left out, a value that is no time or number is null
+    (``marker_errors`` lists both).
     """
+    return _marker_lines(markers).filter(F.col("event") != "").drop("line")
+
+
+def marker_errors(markers: DataFrame) -> DataFrame:
+    """``(job, seq, line, problem)`` of marker lines that can't be read."""
+    timed = F.col("event").isin(*TIMED) & F.col("ts").isNull()
+    code = (F.col("event") == "returncode") & F.col("value").try_cast("bigint").isNull()
+    problem = (F.when(F.col("event") == "", F.lit("not key: value")).when(timed, F.lit("not a time"))
+               .when(code, F.lit("not a number")))
+    return (_marker_lines(markers).withColumn("problem", problem).filter(F.col("problem").isNotNull())
+            .select("job", "seq", "line", "problem"))
+
+
+def _marker_lines(markers: DataFrame) -> DataFrame:
     lines = markers.select("job", F.posexplode(F.split(F.col("text"), "\n")).alias("seq", "line")) \
         .filter(F.col("line") != "")
     first = F.col("seq") == 0
     event = F.when(first, F.lit("ready")).otherwise(F.regexp_extract("line", EVENT_RX, 1))
     value = F.when(first, F.col("line")).otherwise(F.regexp_extract("line", EVENT_RX, 2))
-    ev = lines.select("job", F.col("seq").cast("bigint").alias("seq"), event.alias("event"), value.alias("value"))
-    ts = F.when(F.col("event").isin("ready", "started", "finished"),
-                F.to_timestamp_ntz(F.col("value"), F.lit(ISO_SECONDS)))
-    return ev.withColumn("ts", ts).filter(F.col("event") != "")
+    ev = lines.select("job", F.col("seq").cast("bigint").alias("seq"), event.alias("event"), value.alias("value"), "line")
+    ts = F.when(F.col("event").isin(*TIMED) & F.col("value").rlike(ISO_RX), F.col("value").try_cast("timestamp_ntz"))
+    return ev.withColumn("ts", ts)
 
 
 def job_state(events: DataFrame) -> DataFrame:
@@ -48,7 +67,7 @@ def job_state(events: DataFrame) -> DataFrame:
                        F.when(F.col("event") == "returncode", F.col("seq")))
     agg = events.groupBy("job").agg(
         at("ready").alias("ready_ts"), at("started").alias("started_ts"), at("finished").alias("finished_ts"),
-        rc_text.cast("bigint").alias("rc"),
+        rc_text.try_cast("bigint").alias("rc"),
         F.max(F.when(F.col("event") == "error", 1).otherwise(0)).alias("n_err"))
     return finalize_state(agg)
 
@@ -67,10 +86,11 @@ def finalize_state(agg: DataFrame) -> DataFrame:
 
 
 def parse_status(messages: DataFrame, col: str = "message") -> DataFrame:
-    """``[LEVEL] <job>...`` -> level and job reference (free-form lines keep level only)."""
+    """``[LEVEL] <job>: ..`` or ``[LEVEL] <job> -> ..`` -> level and job
+    reference; a free-form line keeps its level only."""
     return messages.select(
-        F.regexp_extract(F.col(col), STATUS_RX, 1).alias("level"),
-        F.nullif(F.regexp_extract(F.col(col), STATUS_RX, 2), F.lit("")).alias("job_ref"),
+        F.regexp_extract(F.col(col), LEVEL_RX, 1).alias("level"),
+        F.nullif(F.regexp_extract(F.col(col), REF_RX, 1), F.lit("")).alias("job_ref"),
         F.col(col).alias("message"))
 
 

@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import ancestors
 
-MAX_BROADCAST_ROOTS = 100_000
-
-
 def enclosing_roots(paths: DataFrame, roots: DataFrame, path_col: str = "path") -> DataFrame:
     """``paths`` x ``roots`` where the path equals or lies below the root.
 

@@ -7,8 +7,6 @@ Column pruning reaches the scans: each reader selects only what it uses.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,31 +26,8 @@ CONFIG_ROOT = "/srv/intake/config"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. An input that plans fewer splits than the cluster has
-    cores (a small file with a single row group) is spread round-robin so
-    per-row work before the first shuffle is not one task; large inputs have
-    many splits already and are left untouched."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    key = (path, cores)
-    if key not in _SPLITS:
-        local = path if os.path.exists(path) else None
-        tiny = local is not None and _size(local) < MIN_SPREAD_BYTES
-        _SPLITS[key] = cores if tiny else df.rdd.getNumPartitions()  # planning only, no job
-    if _SPLITS[key] < cores:
-        df = df.repartition(cores)
-    return df
-
-
-def _size(path: str) -> int:
-    if os.path.isfile(path):
-        return os.path.getsize(path)
-    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs)
-
-
-_SPLITS: dict = {}
-MIN_SPREAD_BYTES = 1 << 20  # smaller inputs are not worth a round-robin stage
+    """A test table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # --------------------------------------------------------------------------- scans
@@ -171,16 +146,18 @@ def job_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = F.array(
         iso_seconds(F.col("ready_ts")),
         F.when(launched, F.concat(F.lit("started: "), iso_seconds(started))),
-        F.when(no_inputs, F.lit("error: job spec or workflow file not found")),
+        F.when(no_inputs, F.lit("error: inputs incomplete")),
         F.when(launched & ~no_inputs, F.concat(F.lit("cmd: run -params-file "), F.lit(TMP_ROOT + "/"),
                                                 k.cast("string"), F.lit("/spec.json"))),
-        F.when(launched & ~no_inputs & F.col("launch_error"), F.lit("error: launch failed")),
+        F.when(launched & ~no_inputs & F.col("launch_error"), F.lit("error: could not start")),
         F.when(launched & ~no_inputs & ~F.col("launch_error"),
                F.concat(F.lit("finished: "), iso_seconds(finished))),
         F.when(launched & ~no_inputs & ~F.col("launch_error"),
                F.concat(F.lit("returncode: "), F.col("rc").cast("string"))),
     )
-    return j.select(k, F.array_join(F.filter(lines, lambda x: x.isNotNull()), "\n").alias("text"))
+    # lines that don't follow the format, as a crash or an editor leaves them
+    odd = F.when(k % 43 == 0, F.lit("started: soon\nreturncode: None\n\nhalf a li"))
+    return j.select(k, F.concat_ws("\n", F.array_join(F.filter(lines, lambda x: x.isNotNull()), "\n"), odd).alias("text"))
 
 
 def status_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,8 +168,11 @@ def status_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(F.col("status") == "P", F.concat(F.lit("[ERR] "), k, F.lit(" -> .error (rc=1)")))
             .otherwise(F.concat(F.lit("[RUN] "), k, F.lit(": PID "), F.col("cust").cast("string"))))
     warn = F.when((F.col("status") != "O") & ~F.col("has_metadata"),
-                  F.concat(F.lit("[WARN] "), k, F.lit(": metadata missing or corrupt - skipping post-processing")))
-    return (j.select(F.col("job"), F.explode(F.filter(F.array(main, warn), lambda x: x.isNotNull()))
+                  F.concat(F.lit("[WARN] "), k, F.lit(": no usable description, nothing delivered")))
+    # free text: the words after the level are no job reference
+    lost = F.when(F.col("job") % 37 == 0, F.concat(F.lit("[WARN] Lost the lock of "), k))
+    retry = F.when(F.col("job") % 41 == 0, F.concat(F.lit("[ERR] Cleanup after "), k, F.lit(" gave up: disk full")))
+    return (j.select(F.col("job"), F.explode(F.filter(F.array(main, warn, lost, retry), lambda x: x.isNotNull()))
                      .alias("message")))
 
 

@@ -294,11 +294,15 @@ m AS (
                      ELSE '[RUN] ' || CAST(job AS VARCHAR) || ': PID ' || CAST(cust AS VARCHAR) END AS message
   FROM j
   UNION ALL
-  SELECT '[WARN] ' || CAST(job AS VARCHAR) || ': metadata missing or corrupt - skipping post-processing'
-  FROM j WHERE status <> 'O' AND NOT has_metadata)
-SELECT regexp_extract(message, '^\[(\w+)\] ([^ :]+)', 1) AS level,
-       nullif(regexp_extract(message, '^\[(\w+)\] ([^ :]+)', 2), '') AS job_ref, message
-FROM m
+  SELECT '[WARN] ' || CAST(job AS VARCHAR) || ': no usable description, nothing delivered'
+  FROM j WHERE status <> 'O' AND NOT has_metadata
+  UNION ALL SELECT '[WARN] Lost the lock of ' || CAST(job AS VARCHAR) FROM j WHERE job % 37 = 0
+  UNION ALL SELECT '[ERR] Cleanup after ' || CAST(job AS VARCHAR) || ' gave up: disk full' FROM j WHERE job % 41 = 0),
+w AS (SELECT message, substr(message, 2, strpos(message, ']') - 2) AS level,
+             string_split(substr(message, strpos(message, ']') + 2), ' ') AS words FROM m)
+SELECT level, CASE WHEN len(words) > 1 AND ends_with(words[1], ':') THEN rtrim(words[1], ':')
+                   WHEN words[2] = '->' THEN words[1] END AS job_ref, message
+FROM w
 """
 
 SQL["definition_errors"] = r"""
@@ -373,8 +377,10 @@ SELECT o_orderkey AS job,
        coalesce((SELECT f FROM fa), '%%%FASTA%%%') AS main_fasta_file,
        (SELECT f FROM sp) AS main_spike_file,
        coalesce((SELECT f FROM sp), '%%%SPIKE%%%%') AS spike_table,
-       'uses %%%FASTA%%% by name' AS note,
-       CAST(700 AS BIGINT) AS report_height
+       'see %%%FASTA%%% in the manual' AS hint,
+       'nested, left alone' AS nested_fasta,
+       'a|' || coalesce((SELECT f FROM sp), '%%%SPIKE%%%%') || '|' || coalesce((SELECT f FROM fa), '%%%FASTA%%%%') AS tags,
+       CAST(3 AS BIGINT) AS attempts
 FROM orders
 """
 

@@ -6,7 +6,7 @@ column names match the SQL of the same key in ``plans/oracle.py``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.patterns import normalize_patterns
@@ -34,10 +34,10 @@ def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     cands = st.stable_candidates(counted)
     latest = st.latest_scans(D.scans(spark, sf_dir))
     snap = st.snapshot_at(cands, latest)
-    # one scan's candidates per watch: counted in the same pass (no self-join,
-    # which would evaluate the run-length computation twice)
-    n = F.count(F.lit(1)).over(Window.partitionBy("watch"))
-    return (snap.select("watch", "scan_no", "name", "size", "hash", "count", n.alias("n_in_snapshot"))
+    # counts come from their own aggregate: a window would gather a watch's
+    # whole scan in one task
+    n = snap.groupBy("watch").agg(F.count(F.lit(1)).alias("n_in_snapshot"))
+    return (snap.join(n, "watch").select("watch", "scan_no", "name", "size", "hash", "count", "n_in_snapshot")
             .orderBy("watch", F.lower("name"), "name"))
 
 
@@ -58,7 +58,7 @@ INCLUDE_CONFIG = {
     "src3": "[!e]*/*[05].raw",
     "src4": "**/analysis.tdf",
     "src5": "",
-}
+}  # src6 and later aren't listed: the default holds
 IGNORE_TEXT = [
     "# ignore list for all watches",
     "",
@@ -74,6 +74,7 @@ IGNORE_TEXT = [
     "/data/src5/es",
     "zz_unused.raw",
     "*.tdf",
+    "[z-a]*",
 ]
 
 
@@ -90,14 +91,16 @@ def processed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab = D.table(spark, sf_dir, "labels").select("doc_id")
     src = F.when(F.col("doc_id") % 3 == 2, F.concat(F.col("doc_id").cast("string"), F.lit(".d"))) \
         .otherwise(F.regexp_extract("rel", "([^/]*)$", 1))
-    return f.join(lab, "doc_id", "left_semi").select(src.alias("pattern"))
+    # names with wildcard characters: a ledger is no pattern list
+    odd = F.concat(F.lit("["), F.substring(src, 1, 1), F.lit("]*"))
+    return (f.join(lab, "doc_id", "left_semi")
+            .select(F.explode(F.array(src, odd)).alias("pattern")))
 
 
 def ignore_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inventory minus everything an ignore pattern matches."""
     user = inv_ops.clean_ignore_lines(spark.createDataFrame([(x,) for x in IGNORE_TEXT], "value string"))
-    pats = inv_ops.merge_ignore_lists(user, processed_names(spark, sf_dir))
-    return inv_ops.ignore_filter(D.inventory(spark, sf_dir), pats).select("watch", "rel", "name", "is_dir")
+    return inv_ops.ignore_filter(D.inventory(spark, sf_dir), user, processed_names(spark, sf_dir)).select("watch", "rel", "name", "is_dir")
 
 
 def dir_size_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,9 +260,9 @@ def queue_position(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dispatch_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O3 A5: the oldest ready jobs, as many as there is free capacity."""
     states = jobs_ops.job_state(jobs_ops.parse_markers(D.job_markers(spark, sf_dir)))
-    cap = jobs_ops.free_capacity(states, MAX_PARALLEL).first()["capacity"]
     ready = states.filter(F.col("state") == "ready").select("job", "ready_ts")
-    return ordering.top_k(ready, ["ready_ts", "job"], int(cap))
+    oldest = ordering.top_k(ready, ["ready_ts", "job"], MAX_PARALLEL)
+    return oldest.filter(F.col("position") <= jobs_ops.free_capacity(states, MAX_PARALLEL).select("capacity").scalar())
 
 
 def status_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,7 +314,8 @@ def _reference_paths(spark: SparkSession, sf_dir: str):
 
 
 SPEC_FIELDS = ("main_input_folder string, main_outdir string, main_fasta_file string, main_spike_file string, "
-               "spike_in struct<table: string>, identification struct<note: string>, report struct<height: bigint>")
+               "lookup struct<table: string, hint: string, main_fasta_file: string>, "
+               "labels struct<tags: array<string>>, retry struct<attempts: bigint>")
 
 
 def job_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -332,9 +336,11 @@ def job_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.concat(base, F.lit("/output")))
     s = j.select("job", F.from_json(spec, SPEC_FIELDS).alias("s"))
     return s.select("job", "s.main_input_folder", "s.main_outdir", "s.main_fasta_file", "s.main_spike_file",
-                    F.col("s.spike_in.table").alias("spike_table"),
-                    F.col("s.identification.note").alias("note"),
-                    F.col("s.report.height").alias("report_height"))
+                    F.col("s.lookup.table").alias("spike_table"),
+                    F.col("s.lookup.hint").alias("hint"),
+                    F.col("s.lookup.main_fasta_file").alias("nested_fasta"),
+                    F.array_join("s.labels.tags", "|").alias("tags"),
+                    F.col("s.retry.attempts").alias("attempts"))
 
 
 def job_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,9 @@ session time zone (all timestamps in the tables are zone-less), UI off.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -45,23 +47,21 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is.
-    Only when it is unset (local tests) do we create one, once per session.
+    Only a session with a local master may leave it unset (tests): then a
+    folder is made, once a session, and removed with the process. On a cluster
+    a missing setting is an error, as its machines share no local folder.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir()
+    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None) \
+        or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = sc.getConf().get("spark.checkpoint.dir", None)
-        if not d:
-            try:
-                d = spark.conf.get("spark.checkpoint.dir")
-            except Exception:  # noqa: BLE001 - unset
-                d = None
-        if not d:
-            d = tempfile.mkdtemp(prefix="intake-ckpt-", dir="/tmp")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        d = tempfile.mkdtemp(prefix="intake-ckpt-", dir="/tmp")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
-        d = sc.getCheckpointDir() or d
-    return d
+    return sc.getCheckpointDir() or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -96,12 +96,25 @@ def test_marker_parse_and_state(spark):
     assert (st[2].state, st[2].started_ts) == ("ready", None)
 
 
+def test_malformed_marker_lines_are_reported(spark):
+    text = ("2024-01-01T00:00:00\nstarted: garbage\nreturncode: None\nhalf a li\nfinished: 2024-13-01T00:00:00\n"
+            "started: 2024-01-01T01:00:00")
+    m = spark.createDataFrame([(1, text), (2, "not a time"), (3, "")], "job long, text string")
+    st = {r.job: r for r in jobs.job_state(jobs.parse_markers(m)).collect()}
+    assert (st[1].state, st[1].rc, st[1].wait_s, st[1].finished_ts) == ("working", None, 3600, None)
+    assert (st[2].state, st[2].ready_ts) == ("ready", None) and 3 not in st
+    bad = sorted((r.job, r.seq, r.problem) for r in jobs.marker_errors(m).collect())
+    assert bad == [(1, 1, "not a time"), (1, 2, "not a number"), (1, 3, "not key: value"), (1, 4, "not a time"),
+                   (2, 0, "not a time")]
+
+
 def test_status_parse_levels(spark):
     msgs = ["[OK] abc -> .finish (rc=0)", "[ERR] abc: job spec missing", "[WARN] Finalization for x failed: y",
-            "[RUN] h1: PID 7", "[OUT] h2: a.hdf5 -> /o/a.hdf5"]
+            "[RUN] h1: PID 7", "[OUT] h2: a.hdf5 -> /o/a.hdf5", "[WARN] Lost .ready of abc", "no level"]
     got = [(r.level, r.job_ref) for r in jobs.parse_status(
         spark.createDataFrame([(m,) for m in msgs], "message string")).collect()]
-    assert got == [("OK", "abc"), ("ERR", "abc"), ("WARN", "Finalization"), ("RUN", "h1"), ("OUT", "h2")]
+    assert got == [("OK", "abc"), ("ERR", "abc"), ("WARN", None), ("RUN", "h1"), ("OUT", "h2"),
+                   ("WARN", None), ("", None)]
 
 
 def test_keep_if_exists_writer(spark, tmp_path):

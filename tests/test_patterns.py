@@ -5,7 +5,7 @@ from pathlib import PurePosixPath
 import pytest
 from pyspark.sql import functions as F
 
-from intake_spark.functions.patterns import (fnmatch_regex, normalize_patterns, normalize_patterns_py,
+from intake_spark.functions.patterns import (fnmatch_regex, normalize_patterns,
                                              path_glob_regex)
 
 NAMES = ["a.raw", "A.RAW", "x_std.raw", ".hidden_std.raw", "_under_std.raw", "sub/x_std.raw",
@@ -38,17 +38,23 @@ def test_path_glob_dialect_equals_pathlib(spark, recursive):
         assert got[(p, n)] == want, (p, n, recursive)
 
 
-EDGE = ["*std.raw", "*std.raw,*.d", "a.raw|a.raw; ,b.RAW", "", "x.d,x.raw", "  *.raw  ", "a;b;a", "q.raw,q.d"]
+# pattern string -> normalised patterns
+EDGE = {"*std.raw": ["*std.raw", "*std.d"], "*std.raw,*.d": ["*std.raw", "*std.d", "*.d"],
+        "a.raw|a.raw; ,b.RAW": ["a.raw", "a.d", "b.RAW"], "": [], "x.d,x.raw": ["x.d", "x.raw"],
+        "  *.raw  ": ["*.raw", "*.d"], "a;b;a": ["a", "b"], "q.raw,q.d": ["q.raw", "q.d"]}
 
 
-def test_normalize_patterns_matches_model(spark):
+def test_normalize_patterns(spark):
     df = spark.createDataFrame([(s,) for s in EDGE], "s string")
-    got = {r.s: list(r.l) for r in df.select("s", normalize_patterns(F.col("s")).alias("l")).collect()}
-    for s in EDGE:
-        assert got[s] == normalize_patterns_py(s), s
-    assert normalize_patterns_py("*std.raw") == ["*std.raw", "*std.d"]
-    assert normalize_patterns_py("a.raw|a.raw; ,b.RAW") == ["a.raw", "a.d", "b.RAW"]
-    assert normalize_patterns_py("x.d,x.raw") == ["x.d", "x.raw"]
+    assert {r.s: list(r.l) for r in df.select("s", normalize_patterns(F.col("s")).alias("l")).collect()} == EDGE
+
+
+def test_odd_bracket_expressions(spark):
+    pairs = [(p, n) for p in ("[z-a]*", "[!z-a]x", "[a-]", "[]-]", "x[b-ac]", "[--/]q", "[[]", "[^a]", "[a&&b]", "[a")
+             for n in ("", "a", "ax", "x", "xc", "xb", "-", "]", "z", ".q", "[", "^", "&", "b", "[a")]
+    got = _spark_match(spark, pairs, fnmatch_regex)
+    bad = [(p, n) for p, n in pairs if got[(p, n)] != fnmatch.fnmatchcase(n, p)]
+    assert not bad
 
 
 def test_ignore_literals_route_to_the_right_column(spark):
@@ -106,25 +112,41 @@ def test_path_glob_dialect_random_equals_pathlib(spark):
     assert not bad, bad[:10]
 
 
-def test_include_pattern_table_equals_compiled_filter(spark):
-    from intake_spark.operators.inventory import include_filter, include_semi_join
-    from intake_spark.plans import derive as D
-    from intake_spark.plans.queries import INCLUDE_CONFIG, INCLUDE_DEFAULT
-    inv = D.inventory(spark, "/root/testdata/sf0.001")
-    watches = [r.watch for r in inv.select("watch").distinct().collect()]
-    table = spark.createDataFrame([(w, INCLUDE_CONFIG.get(w, "")) for w in watches], "watch string, pattern string")
-    a = {(r.watch, r.rel) for r in include_filter(inv, INCLUDE_CONFIG, INCLUDE_DEFAULT, True).collect()}
-    b = {(r.watch, r.rel) for r in include_semi_join(inv, table, INCLUDE_DEFAULT, True).collect()}
-    assert a == b and len(a) > 0
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_many_ignore_globs_use_checked_broadcast(spark):
-    from intake_spark.operators.inventory import MAX_INLINE_GLOBS, ignore_filter
-    rows = [("w", r, r.split("/")[-1], "/r/" + r) for r in ["a/x1.raw", "a/y2.raw", "b/z3.d", "q.tmp", "keep.raw"]]
+def test_one_include_path_for_any_number_of_watches(spark):
+    from intake_spark.operators.inventory import include_filter
+    rows = [(w, n, n, "/r/" + n, False) for w in ("w0", "w7", "blank", "unlisted") for n in ("a.raw", "b.tdf", "c.x")]
+    entries = spark.createDataFrame(rows, "watch string, rel string, name string, abs string, is_dir boolean")
+    for n in (1, 300, 5000):
+        config = {f"w{i}": "*.tdf, c.?" if i == 0 else "nothing*, *.x" for i in range(n)} | {"blank": " "}
+        for c in (config, spark.createDataFrame(list(config.items()), "watch string, pattern string")):
+            df = include_filter(entries, c, "*.raw", True)
+            want = {("w0", "b.tdf"), ("w0", "c.x"), ("blank", "a.raw"), ("unlisted", "a.raw")}
+            want.add(("w7", "c.x") if n > 7 else ("w7", "a.raw"))
+            assert {(r.watch, r.rel) for r in df.collect()} == want
+            assert "NestedLoop" not in _plan(df) and "Cartesian" not in _plan(df)
+
+
+def test_one_ignore_path_for_any_number_of_lines(spark):
+    from intake_spark.operators.inventory import ignore_filter
+    rows = [("w", r, r.split("/")[-1], "/r/" + r) for r in ["a/x1.raw", "a/y2.raw", "b/z3.d", "q.tmp", "keep.raw", "x[1].raw", "x1.raw"]]
     entries = spark.createDataFrame(rows, "watch string, rel string, name string, abs string")
-    globs = [f"zz{i}*" for i in range(MAX_INLINE_GLOBS + 100)] + ["*.tmp", "a/x?.raw", "/r/b/*"]
-    got = sorted(r.rel for r in ignore_filter(entries, spark.createDataFrame([(g,) for g in globs],
-                                                                             "pattern string")).collect())
-    want = sorted(rel for _, rel, name, abs_ in rows
-                  if not any(fnmatch.fnmatchcase(c, g) for g in globs for c in (rel, name, abs_)))
-    assert got == want == ["a/y2.raw", "keep.raw"]
+    ledger = spark.createDataFrame([("x[1].raw",), ("*keep*",), ("[a-z]*",)], "pattern string")
+    for n in (1, 300, 5000):
+        globs = [f"zz{i}*" for i in range(n)] + ["*.tmp", "a/x?.raw", "/r/b/*", "[z-a]*"]
+        df = ignore_filter(entries, spark.createDataFrame([(g,) for g in globs], "pattern string"), ledger)
+        want = sorted(rel for _, rel, name, abs_ in rows if rel != "x[1].raw"
+                      and not any(fnmatch.fnmatchcase(c, g) for g in globs for c in (rel, name, abs_)))
+        assert sorted(r.rel for r in df.collect()) == want == ["a/y2.raw", "keep.raw", "x1.raw"]
+        assert "NestedLoop" not in _plan(df)
+
+
+def test_unreadable_ignore_list_raises(spark, tmp_path):
+    import pytest
+    from intake_spark.operators.inventory import read_ignore_list
+    assert read_ignore_list(spark, str(tmp_path / "none.txt")).count() == 0
+    with pytest.raises(Exception):
+        read_ignore_list(spark, "nosuchscheme://x/y").count()

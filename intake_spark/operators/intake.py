@@ -10,6 +10,7 @@ the shuffle, instead of a window that would sort the whole group in one task.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,7 +91,9 @@ def write_keep_if_exists(docs: DataFrame, path: str, key: str = "hash", text_col
     spark = docs.sparkSession
     try:
         existing = spark.read.schema(f"{key} string").json(path).select(key)
-    except Exception:  # noqa: BLE001 - nothing written yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # nothing written yet
+            raise
         existing = spark.createDataFrame([], f"{key} string")
     new = keep_new(docs.dropDuplicates([key]), existing, key).select(text_col)
     n = new.count()  # evaluated before the write, against the same existing keys

@@ -58,16 +58,22 @@ def _marker_lines(markers: DataFrame) -> DataFrame:
     return ev.withColumn("ts", ts)
 
 
+def return_code():
+    """The return code of an event row; null for other events and for text that
+    is no number (the last code that is one counts)."""
+    return F.when(F.col("event") == "returncode", F.col("value").try_cast("bigint"))
+
+
 def job_state(events: DataFrame) -> DataFrame:
     """Per job the state (ready -> working -> finish | error), times and durations."""
     def at(name: str):
         return F.max(F.when(F.col("event") == name, F.col("ts")))
 
-    rc_text = F.max_by(F.when(F.col("event") == "returncode", F.col("value")),
-                       F.when(F.col("event") == "returncode", F.col("seq")))
+    code = return_code()
+    rc = F.max_by(code, F.when(code.isNotNull(), F.col("seq")))
     agg = events.groupBy("job").agg(
         at("ready").alias("ready_ts"), at("started").alias("started_ts"), at("finished").alias("finished_ts"),
-        rc_text.try_cast("bigint").alias("rc"),
+        rc.alias("rc"),
         F.max(F.when(F.col("event") == "error", 1).otherwise(0)).alias("n_err"))
     return finalize_state(agg)
 

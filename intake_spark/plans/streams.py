@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import jobs as jobs_ops
 from ..session import scratch_path
@@ -13,45 +14,69 @@ from . import derive as D
 from .queries import _content_candidates
 
 LOG_SCHEMA = "watch string, scan_no long, name string, size long"
+LANDINGS = 3        # the input lands in so many portions, each a micro-batch of its own
+ROWS_A_FILE = 1000  # at least, so that every file of a portion gets rows
 
 
-def _run(q) -> None:
+def _run(src: DataFrame, handler, base: str) -> None:
+    """Run a stream over the landed files to its end."""
+    q = (src.writeStream.foreachBatch(handler).option("checkpointLocation", f"{base}/ckpt")
+         .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
 
 
+def _land(portions: list[DataFrame], path: str) -> int:
+    """Write the portions one after another, each as the same number of files;
+    returns that number, for ``maxFilesPerTrigger``."""
+    spark = portions[0].sparkSession
+    least = min(p.count() for p in portions)
+    files = max(1, min(spark.sparkContext.defaultParallelism, least // ROWS_A_FILE))
+    for p in portions:
+        p.repartition(files).write.mode("append").parquet(path)
+    return files
+
+
+def _split(df: DataFrame, part) -> list[DataFrame]:
+    return [df.filter(part == i) for i in range(LANDINGS)]
+
+
 def stream_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run lengths over the landed scan log, carried between micro-batches
-    in a versioned state table (``foreachBatch``, JVM-side); candidates read back."""
+    in a versioned state table (``foreachBatch``, JVM-side); candidates read back.
+    The last landing repeats the scans of the first: replays count nothing."""
     base = scratch_path(spark, "stability")
-    D.scan_log(spark, sf_dir).select("watch", "scan_no", "name", "size").write.parquet(f"{base}/log")
-    src = spark.readStream.schema(LOG_SCHEMA).parquet(f"{base}/log")
-    handler = runner.with_hook(sst.state_table_handler(f"{base}/state", f"{base}/out"))
-    _run(src.writeStream.foreachBatch(handler).option("checkpointLocation", f"{base}/ckpt")
-         .trigger(availableNow=True).start())
-    return sst.stream_candidates(spark.read.parquet(f"{base}/out"))
+    log = D.scan_log(spark, sf_dir).select("watch", "scan_no", "name", "size")
+    log.write.parquet(f"{base}/all")
+    log = spark.read.schema(LOG_SCHEMA).parquet(f"{base}/all")
+    cut = log.groupBy("watch").agg(F.floor(F.max("scan_no") / 2).cast("bigint").alias("_cut"))
+    tagged = log.join(cut, "watch").withColumn("_late", F.col("scan_no") > F.col("_cut")).drop("_cut")
+    first, second = tagged.filter(~F.col("_late")).drop("_late"), tagged.filter("_late").drop("_late")
+    files = _land([first, second, first], f"{base}/log")
+    src = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", files).parquet(f"{base}/log")
+    _run(src, runner.with_hook(sst.state_table_handler(f"{base}/state", f"{base}/out")), base)
+    return sst.stream_candidates(spark.read.schema(sst.OUTPUT_SCHEMA).parquet(f"{base}/out"))
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate keys de-duplicated against a ledger table in ``foreachBatch``."""
     base = scratch_path(spark, "dedup")
-    _content_candidates(spark, sf_dir).select("name", "size").write.parquet(f"{base}/in")
-    src = spark.readStream.schema("name string, size long").parquet(f"{base}/in")
-    handler = runner.with_hook(runner.ledger_dedup_handler(f"{base}/ledger"))
-    _run(src.writeStream.foreachBatch(handler).option("checkpointLocation", f"{base}/ckpt")
-         .trigger(availableNow=True).start())
+    keys = _content_candidates(spark, sf_dir).select("name", "size", "doc_id")
+    files = _land([p.drop("doc_id") for p in _split(keys, F.pmod("doc_id", F.lit(LANDINGS)))], f"{base}/in")
+    src = spark.readStream.schema("name string, size long").option("maxFilesPerTrigger", files).parquet(f"{base}/in")
+    _run(src, runner.with_hook(runner.ledger_dedup_handler(f"{base}/ledger")), base)
     return spark.read.parquet(f"{base}/ledger").select("name", "size")
 
 
 def stream_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Job events folded into per-job facts in ``foreachBatch``; final jobs leave the
-    state table; the latest version of every job is read back and finalised."""
+    state table; all versions of every job are folded and finalised."""
     base = scratch_path(spark, "jobs")
-    jobs_ops.parse_markers(D.job_markers(spark, sf_dir)).write.parquet(f"{base}/events")
-    src = spark.readStream.schema(runner.JOB_EVENT_SCHEMA).parquet(f"{base}/events")
-    handler = runner.with_hook(runner.job_state_table_handler(f"{base}/state", f"{base}/out"))
-    _run(src.writeStream.foreachBatch(handler).option("checkpointLocation", f"{base}/ckpt")
-         .trigger(availableNow=True).start())
-    latest = runner.latest_version(spark.read.parquet(f"{base}/out").drop("rc_seq"))
-    return jobs_ops.finalize_state(latest)
+    events = jobs_ops.parse_markers(D.job_markers(spark, sf_dir)).select("job", "seq", "event", "ts", "value")
+    # out of order: a job's return code may land before its start and finish
+    files = _land(_split(events, F.pmod(F.xxhash64("job", "seq"), F.lit(LANDINGS))), f"{base}/events")
+    src = spark.readStream.schema(runner.JOB_EVENT_SCHEMA).option("maxFilesPerTrigger", files).parquet(f"{base}/events")
+    _run(src, runner.with_hook(runner.job_state_table_handler(f"{base}/state", f"{base}/out")), base)
+    facts = spark.read.schema(runner.JOB_STATE_SCHEMA).parquet(f"{base}/out")
+    return jobs_ops.finalize_state(runner.fold_job_facts(facts))

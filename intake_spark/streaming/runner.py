@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.intake import append_ledger
+from ..operators.jobs import return_code
 
 MIN_TRIGGER_S = 1
 
@@ -44,10 +46,15 @@ def drop_version(spark, path: str) -> None:
         fs.delete(jpath, True)
 
 
-def _read_or_empty(spark, path: str, schema: str) -> DataFrame:
+def read_table(spark, path: str, schema: str, may_be_missing: bool) -> DataFrame:
+    """A state or ledger table with a known schema. Only a path that isn't
+    there yet, where the caller allows it, is an empty table; any other read
+    error stops the batch."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - first batch: no ledger yet
+    except AnalysisException as e:
+        if not may_be_missing or e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -62,7 +69,7 @@ def ledger_dedup_handler(ledger_path: str, keys: tuple[str, ...] = ("name", "siz
 
     def handle(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        ledger = _read_or_empty(spark, ledger_path, schema).filter(F.col("batch_id") != batch_id)
+        ledger = read_table(spark, ledger_path, schema, True).filter(F.col("batch_id") != batch_id)
         new = df.select(*keys).dropDuplicates(list(keys)).join(ledger.select(*keys), list(keys), "left_anti")
         append_ledger(new, ledger_path, batch_id)
     return handle
@@ -80,11 +87,11 @@ def job_state_stream(events: DataFrame) -> DataFrame:
     """T6 incremental: per-job aggregate in update mode (one row per changed job)."""
     def at(name: str):
         return F.max(F.when(F.col("event") == name, F.col("ts")))
-    rc = F.max_by(F.when(F.col("event") == "returncode", F.col("value")),
-                  F.when(F.col("event") == "returncode", F.col("seq")))
+    code = return_code()
+    rc = F.max_by(code, F.when(code.isNotNull(), F.col("seq")))
     return events.groupBy("job").agg(
         at("ready").alias("ready_ts"), at("started").alias("started_ts"), at("finished").alias("finished_ts"),
-        rc.cast("bigint").alias("rc"), F.max(F.when(F.col("event") == "error", 1).otherwise(0)).alias("n_err"))
+        rc.alias("rc"), F.max(F.when(F.col("event") == "error", 1).otherwise(0)).alias("n_err"))
 
 
 def versioned_sink_handler(path: str):
@@ -103,50 +110,55 @@ def latest_version(df: DataFrame, key: str = "job") -> DataFrame:
     return df.groupBy(key).agg(w.alias("_v")).select(key, *[F.col(f"_v.{c}") for c in cols])
 
 
+def fold_job_facts(rows: DataFrame) -> DataFrame:
+    """Per-job facts from any number of versions of them, in any order. Every
+    fact only grows, so an event that comes after its job has left the state
+    adds to the job's earlier versions instead of replacing them."""
+    return rows.groupBy("job").agg(
+        F.max("ready_ts").alias("ready_ts"), F.max("started_ts").alias("started_ts"),
+        F.max("finished_ts").alias("finished_ts"),
+        F.max_by("rc", F.when(F.col("rc").isNotNull(), F.col("rc_seq"))).alias("rc"),
+        F.max("rc_seq").alias("rc_seq"), F.max("n_err").alias("n_err"))
+
+
 JOB_STATE_SCHEMA = ("job long, ready_ts timestamp_ntz, started_ts timestamp_ntz, finished_ts timestamp_ntz, "
                     "rc long, rc_seq long, n_err int")
 
 
-def merge_job_events(events: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """T6 for one micro-batch: fold new events into the in-flight job rows.
-
-    Returns ``(changed, new_state)``: ``changed`` has one row per job touched
-    by the batch (its merged facts); ``new_state`` keeps only jobs that are
-    not final yet, so finished and failed jobs leave the state.
-    """
+def merge_job_events(events: DataFrame, state: DataFrame) -> DataFrame:
+    """T6 for one micro-batch: the merged facts of every job that the batch
+    touches, from its new events and its in-flight row."""
     def at(name: str):
         return F.max(F.when(F.col("event") == name, F.col("ts")))
-    is_rc = F.col("event") == "returncode"
+    code = return_code()
+    code_seq = F.when(code.isNotNull(), F.col("seq"))
     fresh = events.groupBy("job").agg(
         at("ready").alias("ready_ts"), at("started").alias("started_ts"), at("finished").alias("finished_ts"),
-        F.max_by(F.when(is_rc, F.col("value")), F.when(is_rc, F.col("seq"))).cast("long").alias("rc"),
-        F.max(F.when(is_rc, F.col("seq"))).alias("rc_seq"),
+        F.max_by(code, code_seq).alias("rc"), F.max(code_seq).alias("rc_seq"),
         F.max(F.when(F.col("event") == "error", 1).otherwise(0)).alias("n_err"))
     touched = fresh.select("job")
     prior = state.join(touched, "job", "left_semi")
-    both = fresh.unionByName(prior)
-    changed = both.groupBy("job").agg(
-        F.max("ready_ts").alias("ready_ts"), F.max("started_ts").alias("started_ts"),
-        F.max("finished_ts").alias("finished_ts"),
-        F.max_by("rc", F.when(F.col("rc").isNotNull(), F.col("rc_seq"))).alias("rc"),
-        F.max("rc_seq").alias("rc_seq"), F.max("n_err").alias("n_err"))
+    changed = fold_job_facts(fresh.unionByName(prior))
+    return changed
+
+
+def next_job_state(changed: DataFrame, state: DataFrame) -> DataFrame:
+    """The state after a batch: jobs that aren't final yet. ``changed`` is what
+    the batch has written, so it isn't computed again."""
     final = (F.col("n_err") > 0) | F.col("rc").isNotNull()
-    new_state = state.join(touched, "job", "left_anti").unionByName(changed.filter(~final))
-    return changed, new_state
+    return (state.join(changed.select("job"), "job", "left_anti")
+            .unionByName(changed.select(*state.columns).filter(~final)))
 
 
 def job_state_table_handler(state_path: str, out_path: str):
     """``foreachBatch`` handler for T6 with bounded state (in-flight jobs only)."""
     def handle(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        try:
-            prev = spark.read.parquet(f"{state_path}/batch_id={batch_id - 1}")
-        except Exception:  # noqa: BLE001 - first batch: empty state
-            prev = spark.createDataFrame([], JOB_STATE_SCHEMA)
-        changed, new_state = merge_job_events(df, prev)
-        (changed.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        prev = read_table(spark, f"{state_path}/batch_id={batch_id - 1}", JOB_STATE_SCHEMA, batch_id == 0)
+        (merge_job_events(df, prev).withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(out_path))
-        new_state.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
+        written = spark.read.schema(JOB_STATE_SCHEMA).parquet(f"{out_path}/batch_id={batch_id}")
+        next_job_state(written, prev).write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
         drop_version(spark, f"{state_path}/batch_id={batch_id - 2}")  # a retry of this batch needs n-1 only
     return handle

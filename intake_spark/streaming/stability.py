@@ -9,7 +9,9 @@ newer than its key's state is a replay or late arrival: it is reported with
 * ``advance_counts`` / ``state_table_handler`` (used by the registered
   stream and the incremental batch query): the state is a versioned table;
   each batch seeds the blocked W1 of ``operators.stability`` with it - JVM
-  only, skew-safe, and the state keeps just the files of the latest scan.
+  only, skew-safe, and the state keeps just the files of the latest scan and
+  each watch's highest scan. A scan is landed as one file, so rows at or below
+  that scan are replays, also of files that have gone since.
 * ``stream_counts``: the same rule in ``applyInPandasWithState``, rows
   sorted by scan inside each group; keys idle longer than ``idle_timeout``
   are evicted so dead files do not accumulate in the state store.
@@ -26,7 +28,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.paths import MAX_STABLE_COUNT, row_key
 from ..operators.stability import MIN_STABLE_SCANS, stability_counts
-from .runner import drop_version
+from .runner import drop_version, read_table
 
 OUTPUT_SCHEMA = "watch string, scan_no long, name string, size long, count long, late boolean"
 STATE_SCHEMA = "scan_no long, size long, cnt long"
@@ -95,20 +97,19 @@ def advance_counts(batch: DataFrame, state: DataFrame) -> DataFrame:
     """T2-T4 for one micro-batch (or one incremental batch run): counted rows.
 
     ``state(watch, name, scan_no, size, cnt)`` holds each live file's last
-    observation and run length. Each state row joins the new rows as a seed
-    whose run began at ``scan_no - cnt + 1``; the blocked W1 of
-    ``operators.stability`` then counts seed + new rows, so a file seen in
-    many new scans is still split over tasks. Rows not newer than their
-    key's state are replays: ``late = true``, no count.
+    observation and run length, and each watch's highest scan (null name).
+    Each file's row joins the new rows as a seed whose run began at ``scan_no -
+    cnt + 1``; the blocked W1 of ``operators.stability`` then counts seed + new
+    rows, so a file seen in many new scans is still split over tasks. Rows not
+    newer than their watch's highest scan are replays: ``late = true``, no count.
     """
     b = batch.select("watch", "name", "scan_no", "size")
-    seed = state.select("watch", "name", F.col("scan_no").alias("_s0"))
-    b = b.join(seed, ["watch", "name"], "left")
+    b = b.join(state.groupBy("watch").agg(F.max("scan_no").alias("_s0")), "watch", "left")
     late = F.col("_s0").isNotNull() & (F.col("scan_no") <= F.col("_s0"))
     fresh = b.filter(~late).select("watch", "name", "scan_no", "size",
                                    F.lit(None).cast("long").alias("_start"))
-    seeds = state.select("watch", "name", "scan_no", "size",
-                         (F.col("scan_no") - F.col("cnt") + 1).alias("_start"))
+    seeds = state.filter(F.col("name").isNotNull()).select(
+        "watch", "name", "scan_no", "size", (F.col("scan_no") - F.col("cnt") + 1).alias("_start"))
     rows = stability_counts(fresh.unionByName(seeds), start_col="_start")
     return (rows.filter(F.col("_start").isNull())
             .select("watch", "scan_no", "name", "size", F.col("count").cast("long"), F.lit(False).alias("late"))
@@ -118,7 +119,7 @@ def advance_counts(batch: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def next_state(counted: DataFrame, state: DataFrame) -> DataFrame:
-    """State after a batch: each file's last row, kept only if it is in its watch's latest scan.
+    """State after a batch: the files of each watch's latest scan, and that scan.
 
     Built from the batch's counted rows (already written by the handler, so
     the run lengths are not recomputed) and the previous state.
@@ -126,11 +127,11 @@ def next_state(counted: DataFrame, state: DataFrame) -> DataFrame:
     fresh = counted.filter(~F.col("late")).select("watch", "name", "scan_no", "size",
                                                    F.col("count").alias("cnt"))
     rows = fresh.unionByName(state.select("watch", "name", "scan_no", "size", "cnt"))
-    last = rows.groupBy("watch", "name").agg(F.max_by(F.struct("scan_no", "size", "cnt"), F.col("scan_no")).alias("_l"))
-    latest = rows.groupBy("watch").agg(F.max("scan_no").alias("_latest"))
-    return (last.join(latest, "watch").filter(F.col("_l.scan_no") == F.col("_latest"))
-            .select("watch", "name", F.col("_l.scan_no").alias("scan_no"), F.col("_l.size").alias("size"),
-                    F.col("_l.cnt").cast("long").alias("cnt")))
+    top = rows.groupBy("watch").agg(F.max("scan_no").alias("scan_no"))
+    mark = top.select("watch", F.lit(None).cast("string").alias("name"), "scan_no",
+                      F.lit(None).cast("long").alias("size"), F.lit(0).cast("long").alias("cnt"))
+    live = rows.filter(F.col("name").isNotNull()).join(top, ["watch", "scan_no"])
+    return live.select("watch", "name", "scan_no", "size", F.col("cnt").cast("long").alias("cnt")).unionByName(mark)
 
 
 def state_table_handler(state_path: str, out_path: str):
@@ -142,14 +143,11 @@ def state_table_handler(state_path: str, out_path: str):
     """
     def handle(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        try:
-            prev = spark.read.parquet(f"{state_path}/batch_id={batch_id - 1}")
-        except Exception:  # noqa: BLE001 - first batch: empty state
-            prev = spark.createDataFrame([], STATE_TABLE_SCHEMA)
+        prev = read_table(spark, f"{state_path}/batch_id={batch_id - 1}", STATE_TABLE_SCHEMA, batch_id == 0)
         (advance_counts(df, prev).withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(out_path))
-        written = spark.read.parquet(f"{out_path}/batch_id={batch_id}")
+        written = spark.read.schema(OUTPUT_SCHEMA).parquet(f"{out_path}/batch_id={batch_id}")
         next_state(written, prev).write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
         drop_version(spark, f"{state_path}/batch_id={batch_id - 2}")  # a retry of this batch needs n-1 only
     return handle

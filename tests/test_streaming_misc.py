@@ -52,7 +52,7 @@ def test_hook_failures_are_swallowed(spark):
 def test_job_state_table_evicts_final_jobs(spark, tmp_path):
     import os
     from intake_spark.operators.jobs import finalize_state, parse_markers
-    from intake_spark.streaming.runner import JOB_EVENT_SCHEMA, job_state_table_handler, latest_version
+    from intake_spark.streaming.runner import JOB_EVENT_SCHEMA, fold_job_facts, job_state_table_handler
     src, st, out = (str(tmp_path / x) for x in ("src", "state", "out"))
     batches = [
         [(1, "2024-01-01T00:00:00\nstarted: 2024-01-01T01:00:00"), (2, "2024-01-01T00:00:00")],
@@ -65,7 +65,49 @@ def test_job_state_table_evicts_final_jobs(spark, tmp_path):
              .option("checkpointLocation", os.path.join(str(tmp_path), "ck")).trigger(availableNow=True).start())
         q.awaitTermination()
     res = {r.job: (r.state, r.run_s) for r in finalize_state(
-        latest_version(spark.read.parquet(out).drop("rc_seq"))).collect()}
+        fold_job_facts(spark.read.parquet(out))).collect()}
     assert res == {1: ("finish", 7200), 2: ("ready", None)}
     last_state = sorted(os.listdir(st))[-1]
     assert [r.job for r in spark.read.parquet(os.path.join(st, last_state)).collect()] == [2]  # job 1 evicted
+
+
+def test_late_event_adds_to_a_finished_job(spark, tmp_path):
+    import datetime as dt
+    from intake_spark.operators.jobs import finalize_state
+    from intake_spark.streaming.runner import JOB_EVENT_SCHEMA, fold_job_facts, job_state_table_handler
+    handle = job_state_table_handler(str(tmp_path / "state"), str(tmp_path / "out"))
+    t = lambda h: dt.datetime(2024, 1, 1, h)
+    batches = [[(1, 0, "ready", t(1), None), (1, 4, "returncode", None, "0"), (2, 0, "ready", t(2), None)],
+               [(1, 3, "finished", t(5), None), (1, 5, "returncode", None, "None")], [(1, 1, "started", t(3), None)]]
+    for i, rows in enumerate(batches):
+        handle(spark.createDataFrame(rows, JOB_EVENT_SCHEMA), i)
+    got = {r.job: r for r in finalize_state(fold_job_facts(spark.read.parquet(str(tmp_path / "out")))).collect()}
+    assert (got[1].state, got[1].rc, got[1].ready_ts, got[1].run_s) == ("finish", 0, t(1), 7200)
+    assert got[2].state == "ready"
+
+
+def test_replayed_scans_count_nothing_and_lost_state_stops(spark, tmp_path):
+    import pytest
+    from intake_spark.streaming.stability import OUTPUT_SCHEMA, state_table_handler, stream_candidates
+    out = str(tmp_path / "out")
+    handle = state_table_handler(str(tmp_path / "state"), out)
+    scans = {1: ["a", "b"], 2: ["a", "b"], 3: ["b"]}
+    rows = lambda ns: spark.createDataFrame([("w", n, f, 5) for n in ns for f in scans[n]],
+                                            "watch string, scan_no long, name string, size long")
+    for i, ns in enumerate([(1,), (2, 3), (1, 2), (3,)]):
+        handle(rows(ns), i)
+    got = sorted((r.scan_no, r.name, r["count"]) for r in stream_candidates(spark.read.schema(OUTPUT_SCHEMA).parquet(out), 2).collect())
+    assert got == [(2, "a", 2), (2, "b", 2), (3, "b", 3)]
+    with pytest.raises(Exception):
+        handle(rows((3,)), 9)  # the state of batch 8 isn't there
+
+
+def test_registered_streams_run_several_batches(spark, monkeypatch, tmp_path):
+    import os
+    from intake_spark.plans import streams
+    from conftest import SF
+    for key in ("stream_stability", "stream_dedup", "stream_jobs"):
+        base = str(tmp_path / key)
+        monkeypatch.setattr(streams, "scratch_path", lambda s, n, base=base: base)
+        assert getattr(streams, key)(spark, SF["0.001"]).count() > 0
+        assert len([f for f in os.listdir(f"{base}/ckpt/commits") if not f.startswith(".")]) == streams.LANDINGS

@@ -1,6 +1,9 @@
 """Connected components against union-find."""
 import random
 
+import pytest
+
+from intake_spark.llm import components
 from intake_spark.llm.components import connected_components
 
 
@@ -23,7 +26,9 @@ def run(spark, edges, kind="long"):
     return {r.id: r.component for r in got}
 
 
-def test_paths_stars_and_random_graphs(spark):
+@pytest.mark.parametrize("small", [0, 100, 10**6])
+def test_paths_stars_and_random_graphs(spark, monkeypatch, small):
+    monkeypatch.setattr(components, "SMALL", small)
     rnd = random.Random(1)
     path = [(i, i + 1) for i in range(300)]
     star = [(1000, i) for i in range(1001, 1400)]

@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import target_name
+from ..functions.paths import ERROR_LOG_SUFFIX, target_name
+from .intake import ledger_new_rows
 from .ordering import row_number_within
 
 
@@ -35,31 +36,46 @@ def reference_file(files: DataFrame, grp: str) -> DataFrame:
 
 def job_outputs(artifacts: DataFrame) -> DataFrame:
     """A3 + A4: per job the best artifact by (mtime, size) and the existence flags."""
-    is_art = F.col("kind") == "artifact"
+    is_art, is_log = F.col("kind") == "artifact", F.col("kind") == "log"
     order = F.struct("mtime", "size", "path")
     best = F.max_by(F.when(is_art, F.struct("path", "mtime", "size")), F.when(is_art, order))
     return (artifacts.groupBy("job")
             .agg(best.alias("_b"),
+                 F.max_by(F.when(is_log, F.col("path")), F.when(is_log, order)).alias("log"),
                  F.count_if(is_art).alias("n_artifacts"),
                  F.bool_or(is_art).alias("has_artifact"),
-                 F.bool_or(F.col("kind") == "log").alias("has_log"))
+                 F.bool_or(is_log).alias("has_log"))
             .select("job", F.col("_b.path").alias("artifact"), F.col("_b.mtime").alias("artifact_mtime"),
-                    F.col("_b.size").alias("artifact_size"), "n_artifacts", "has_artifact", "has_log"))
+                    F.col("_b.size").alias("artifact_size"), "log", "n_artifacts", "has_artifact", "has_log"))
 
 
-def delivery_manifest(delivered: DataFrame, final_root_col: str = "final_root") -> DataFrame:
+def delivery_manifest(finished: DataFrame, final_root_col: str = "final_root") -> DataFrame:
     """K4 + F10: one row per target file; a later-finishing job overwrites an earlier one.
 
-    ``delivered(job, src_name, artifact, finished_ts, final_root)``.
+    ``finished(job, outcome, src_name, artifact, log, finished_ts, final_root)``:
+    a delivered job's best artifact goes to ``<stem><artifact suffix>``, the log
+    of a job that failed without one to ``<stem>.error.log``; other outcomes
+    have no target.
     """
-    tgt = F.concat(F.col(final_root_col), F.lit("/"), target_name(F.col("src_name"), F.col("job")))
-    winner = F.max_by(F.struct("job", "artifact", "finished_ts"), F.struct("finished_ts", "job"))
-    return (delivered.withColumn("target", tgt).groupBy("target")
+    ok, failed = F.col("outcome") == "delivered", F.col("outcome") == "failed_with_log"
+    name = F.when(ok, target_name(F.col("src_name"), F.col("job"))) \
+        .when(failed, target_name(F.col("src_name"), F.col("job"), ERROR_LOG_SUFFIX))
+    tgt = F.concat(F.col(final_root_col), F.lit("/"), name)
+    winner = F.max_by(F.struct("job", "file", "finished_ts"), F.struct("finished_ts", "job"))
+    return (finished.withColumn("target", tgt).filter(F.col("target").isNotNull())
+            .withColumn("file", F.when(ok, F.col("artifact")).otherwise(F.col("log"))).groupBy("target")
             .agg(winner.alias("_w"), F.count(F.lit(1)).alias("n_writers"))
-            .select("target", F.col("_w.job").alias("job"), F.col("_w.artifact").alias("artifact"),
+            .select("target", F.col("_w.job").alias("job"), F.col("_w.file").alias("artifact"),
                     F.col("_w.finished_ts").alias("finished_ts"), "n_writers"))
 
 
+def delivery_ledger(finished: DataFrame, ledger_lines: DataFrame) -> DataFrame:
+    """K2 on delivery: source names of delivered jobs that the ledger doesn't
+    hold yet, each once. ``finished(outcome, src_name)``."""
+    names = finished.filter(F.col("outcome") == "delivered").select(F.col("src_name").alias("name"))
+    return ledger_new_rows(names, ledger_lines)
+
+
 def unique_names(requests: DataFrame, existing: DataFrame, run_ts_text: str) -> DataFrame:
     """Collision-free names ``base``, ``base-<ts>``, ``base-2``, ``base-3``, ...
 

@@ -23,6 +23,10 @@ LEVEL_RX = r"^\[(\w+)\] "
 # a job reference is one word that ": " or " -> " follows; other lines are free text
 REF_RX = r"^\[\w+\] ([^ :]+)(?:: | -> )"
 ISO_RX = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d$"
+# Keys that a configuration must have (a deployment adds its own,
+# such as the workflow's path), and its list of watches.
+REQUIRED_KEYS = ("interval_minutes", "default_pattern")
+PAIRS_KEY = "io_pairs"
 TIMED = ("ready", "started", "finished")
 EVENT_RX = r"^(\w+): (.*)$"
 
@@ -108,20 +112,23 @@ def resolve_spec(jobs: DataFrame, spec_files: DataFrame) -> DataFrame:
     """
     files = spec_files.select("path").distinct()
     own = files.select(F.col("path").alias("own_spec"), F.col("path").alias("_own"))
-    meta = files.select(F.col("path").alias("meta_spec"), F.col("path").alias("_meta"))
-    return (jobs.join(own, "own_spec", "left").join(meta, "meta_spec", "left")
-            .withColumn("spec_path", F.coalesce("_own", "_meta")).drop("_own", "_meta"))
+    meta = files.select(F.col("path").alias("_mkey"), F.col("path").alias("_meta"))
+    # jobs without a recorded path are spread by job: one null key would be one task's
+    key = F.coalesce("meta_spec", F.concat(F.lit("\0"), F.col("job").cast("string")))
+    return (jobs.join(own, "own_spec", "left").withColumn("_mkey", key).join(meta, "_mkey", "left")
+            .withColumn("spec_path", F.coalesce("_own", "_meta")).drop("_own", "_meta", "_mkey"))
 
 
 def classify(jobs: DataFrame) -> DataFrame:
     """Outcome class, final marker and whether the processed ledger is updated.
 
-    Expects ``status, spec_path, launch_error, has_metadata, rc, has_artifact, has_log``.
+    Expects ``state, spec_path, launch_error, has_metadata, rc, has_artifact,
+    has_log``; a job that never launched has no return code, whatever ``rc`` says.
     """
     rc = F.col("rc")
     art = F.coalesce("has_artifact", F.lit(False))
     log = F.coalesce("has_log", F.lit(False))
-    outcome = (F.when(F.col("status") == "O", F.lit("pending"))
+    outcome = (F.when(F.col("state").isin("ready", "working"), F.lit("pending"))
                .when(F.col("spec_path").isNull(), F.lit("missing_inputs"))
                .when(F.col("launch_error"), F.lit("start_failed"))
                .when(~F.col("has_metadata"), F.lit("bad_metadata"))
@@ -130,11 +137,14 @@ def classify(jobs: DataFrame) -> DataFrame:
                .when(art, F.lit("failed_with_artifact"))
                .when(log, F.lit("failed_with_log"))
                .otherwise(F.lit("failed_no_log")))
-    marker = (F.when(F.col("outcome") == "pending", F.lit(MARKER_READY))
+    marker = (F.when(F.col("state") == "working", F.lit(MARKER_WORKING))
+              .when(F.col("outcome") == "pending", F.lit(MARKER_READY))
               .when(F.col("outcome").isin("missing_inputs", "start_failed"), F.lit(MARKER_ERROR))
               .when(rc == 0, F.lit(MARKER_FINISH))
               .otherwise(F.lit(MARKER_ERROR)))
+    launched = ~F.col("outcome").isin("pending", "missing_inputs", "start_failed")
     return (jobs.withColumn("outcome", outcome).withColumn("marker", marker)
+            .withColumn("rc", F.when(launched, rc))
             .withColumn("ledger_updated", F.col("outcome") == "delivered"))
 
 
@@ -144,6 +154,17 @@ def free_capacity(states: DataFrame, max_parallel: int) -> DataFrame:
         .select("running", F.greatest(F.lit(0), F.lit(max_parallel) - F.col("running")).alias("capacity"))
 
 
+def validate_config(config: dict, required: tuple[str, ...] = REQUIRED_KEYS) -> list[str]:
+    """P7 for the configuration itself (driver-side, before any definition is
+    read): required keys and a non-empty list of watches."""
+    problems = [f"missing_{k}" for k in required
+                if config.get(k) is None or not str(config[k]).strip()]
+    pairs = config.get(PAIRS_KEY)
+    if not isinstance(pairs, list) or not pairs:
+        problems.append("no_watches")
+    return problems
+
+
 def validate_definitions(defs: DataFrame, default_pattern: str) -> DataFrame:
     """P7 + F10: per definition the problems found and the effective settings."""
     checks = F.array(

@@ -141,6 +141,25 @@ def scan_counts(scans: DataFrame, counted: DataFrame, min_stable: int = MIN_STAB
                     F.coalesce("max_count", F.lit(0)).cast("bigint").alias("max_count")))
 
 
+def scan_events(attempts: DataFrame, candidates: DataFrame) -> DataFrame:
+    """K1 T4: one event per scan attempt: ``snapshot`` with its number of
+    candidates, ``empty`` without any, ``error`` (no scan number) when it failed.
+
+    ``attempts(watch, scan_ts, status, message)``; failed attempts take no
+    number, so run lengths go on over them.
+    """
+    ok = number_scans(attempts)
+    per = candidates.groupBy("watch", "scan_no").agg(F.count(F.lit(1)).alias("n_candidates"))
+    n = F.coalesce("n_candidates", F.lit(0)).cast("bigint")
+    good = ok.join(per, ["watch", "scan_no"], "left").select(
+        "watch", "scan_ts", F.when(n > 0, F.lit("snapshot")).otherwise(F.lit("empty")).alias("kind"), "scan_no",
+        n.alias("n_candidates"), F.lit(None).cast("string").alias("message"))
+    bad = attempts.filter(F.coalesce(F.col("status"), F.lit("ok")) != "ok").select(
+        "watch", "scan_ts", F.lit("error").alias("kind"), F.lit(None).cast("bigint").alias("scan_no"),
+        F.lit(0).cast("bigint").alias("n_candidates"), "message")
+    return good.unionByName(bad)
+
+
 def write_snapshots(candidates: DataFrame, scans: DataFrame, path: str) -> None:
     """K1: one snapshot per scan, empty snapshots included.
 

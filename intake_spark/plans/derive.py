@@ -20,6 +20,7 @@ WATCH_ROOT = "/data"
 TMP_ROOT = "/srv/intake/tmp"
 SHARED_ROOT = "/srv/intake/shared"
 FINAL_ROOT = "/srv/intake/out"
+WORKING_EVERY = 997  # open jobs with such a key are running
 REFERENCE_EPOCH = "2024-01-01"
 INPUT_ROOT = "/data/in"
 CONFIG_ROOT = "/srv/intake/config"
@@ -50,6 +51,17 @@ def scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return number_scans(s, "scan_ts")
 
 
+def scan_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(watch, scan_day, scan_ts, status, message): the scans, and a failed
+    attempt at noon of every day whose number in the month is a multiple of 5."""
+    ok = (observations(spark, sf_dir).select("watch", "scan_day").distinct()
+          .withColumn("scan_ts", F.col("scan_day").cast("timestamp_ntz")))
+    failed = (ok.filter(F.dayofmonth("scan_day") % 5 == 0)
+              .withColumn("scan_ts", F.col("scan_ts") + F.make_dt_interval(hours=F.lit(12)))
+              .withColumn("status", F.lit("error")).withColumn("message", F.lit("folder not reachable")))
+    return ok.withColumn("status", F.lit("ok")).withColumn("message", F.lit(None).cast("string")).unionByName(failed)
+
+
 def scan_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(watch, scan_no, scan_ts, name, size): the append-only observation log."""
     s = scans(spark, sf_dir).select("watch", "scan_day", "scan_no", "scan_ts")
@@ -111,6 +123,8 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("job"),
         F.col("o_custkey").alias("cust"),
         st.alias("status"),
+        F.when(st != "O", F.lit("done")).when(k % WORKING_EVERY == 0, F.lit("working"))
+        .otherwise(F.lit("ready")).alias("state"),
         F.col("o_orderdate").alias("ready_ts"),
         F.when(st == "F", F.lit(0)).when(st == "P", F.lit(1)).cast("bigint").alias("rc"),
         (k % 50 != 0).alias("has_spec"),
@@ -141,11 +155,11 @@ def job_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("job")
     started = F.col("ready_ts") + F.make_dt_interval(hours=(k % 7) + 1)
     finished = started + F.make_dt_interval(hours=(F.col("cust") % 5) + 1)
-    launched = F.col("status") != "O"
+    launched = F.col("state") == "done"
     no_inputs = launched & ~(F.col("has_spec") | ((k % 3 == 0) & F.col("has_metadata")))
     lines = F.array(
         iso_seconds(F.col("ready_ts")),
-        F.when(launched, F.concat(F.lit("started: "), iso_seconds(started))),
+        F.when(F.col("state") != "ready", F.concat(F.lit("started: "), iso_seconds(started))),
         F.when(no_inputs, F.lit("error: inputs incomplete")),
         F.when(launched & ~no_inputs, F.concat(F.lit("cmd: run -params-file "), F.lit(TMP_ROOT + "/"),
                                                 k.cast("string"), F.lit("/spec.json"))),
@@ -166,7 +180,7 @@ def status_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("job").cast("string")
     main = (F.when(F.col("status") == "F", F.concat(F.lit("[OK] "), k, F.lit(" -> .finish (rc=0)")))
             .when(F.col("status") == "P", F.concat(F.lit("[ERR] "), k, F.lit(" -> .error (rc=1)")))
-            .otherwise(F.concat(F.lit("[RUN] "), k, F.lit(": PID "), F.col("cust").cast("string"))))
+            .when(F.col("state") == "working", F.concat(F.lit("[RUN] "), k, F.lit(": PID "), F.col("cust").cast("string"))))
     warn = F.when((F.col("status") != "O") & ~F.col("has_metadata"),
                   F.concat(F.lit("[WARN] "), k, F.lit(": no usable description, nothing delivered")))
     # free text: the words after the level are no job reference
@@ -177,12 +191,13 @@ def status_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(job, kind, path, mtime, size): outputs ('artifact') and logs ('log') per job."""
+    """(job, kind, path, mtime, size): outputs ('artifact'), logs ('log') and
+    whatever else ('other') lies in a job's folder."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate", "l_extendedprice")
-    li = li.filter(F.col("l_returnflag").isin("R", "A"))
-    kind = F.when(F.col("l_returnflag") == "R", F.lit("artifact")).otherwise(F.lit("log"))
-    ext = F.when(F.col("l_returnflag") == "R", F.lit(".hdf5")).otherwise(F.lit(".log"))
+    flag = F.col("l_returnflag")
+    kind = F.when(flag == "R", F.lit("artifact")).when(flag == "A", F.lit("log")).otherwise(F.lit("other"))
+    ext = F.when(flag == "R", F.lit(".hdf5")).when(flag == "A", F.lit(".log")).otherwise(F.lit(".tmp"))
     return li.select(
         F.col("l_orderkey").alias("job"), kind.alias("kind"),
         F.concat(F.lit(TMP_ROOT + "/"), F.col("l_orderkey").cast("string"), F.lit("/output/part"),

@@ -210,11 +210,14 @@ j AS (
          'S' || CAST(o_custkey AS VARCHAR) || '_std.raw' AS src_name
   FROM orders),
 arts AS (
-  SELECT l_orderkey AS job, CASE WHEN l_returnflag = 'R' THEN 'artifact' ELSE 'log' END AS kind,
+  SELECT l_orderkey AS job, CASE l_returnflag WHEN 'R' THEN 'artifact' WHEN 'A' THEN 'log' ELSE 'other' END AS kind,
          '/srv/intake/tmp/' || CAST(l_orderkey AS VARCHAR) || '/output/part' || CAST(l_linenumber AS VARCHAR)
-           || CASE WHEN l_returnflag = 'R' THEN '.hdf5' ELSE '.log' END AS path,
+           || CASE l_returnflag WHEN 'R' THEN '.hdf5' WHEN 'A' THEN '.log' ELSE '.tmp' END AS path,
          l_shipdate AS mtime, CAST(round(l_extendedprice * 100) AS BIGINT) AS size
-  FROM lineitem WHERE l_returnflag IN ('R', 'A')),
+  FROM lineitem),
+logs AS (
+  SELECT job, path, row_number() OVER (PARTITION BY job ORDER BY mtime DESC, size DESC, path DESC) AS rn
+  FROM arts WHERE kind = 'log'),
 best AS (
   SELECT job, path, mtime, size,
          row_number() OVER (PARTITION BY job ORDER BY mtime DESC, size DESC, path DESC) AS rn
@@ -243,7 +246,7 @@ c AS (
 tl1 AS (
   SELECT *, status <> 'O' AS launched, (has_spec OR (job % 3 = 0 AND has_metadata)) AS resolvable FROM j),
 tl2 AS (
-  SELECT *, CASE WHEN launched THEN ready_ts + to_hours(CAST(job % 7 + 1 AS BIGINT)) END AS started_ts,
+  SELECT *, CASE WHEN launched OR job % 997 = 0 THEN ready_ts + to_hours(CAST(job % 7 + 1 AS BIGINT)) END AS started_ts,
          launched AND (NOT resolvable OR launch_error) AS err
   FROM tl1),
 tl3 AS (
@@ -262,9 +265,10 @@ v AS (
 SQL["job_outcomes"] = rf"""
 WITH {JOBS}
 SELECT job, outcome,
-       CASE WHEN outcome = 'pending' THEN '.ready' WHEN outcome IN ('missing_inputs', 'start_failed') THEN '.error'
+       CASE WHEN outcome = 'pending' AND job % 997 = 0 THEN '.working' WHEN outcome = 'pending' THEN '.ready' WHEN outcome IN ('missing_inputs', 'start_failed') THEN '.error'
             WHEN rc = 0 THEN '.finish' ELSE '.error' END AS marker,
-       outcome = 'delivered' AS ledger_updated, CAST(rc AS BIGINT) AS rc, spec_path
+       outcome = 'delivered' AS ledger_updated,
+       CASE WHEN outcome NOT IN ('pending', 'missing_inputs', 'start_failed') THEN CAST(rc AS BIGINT) END AS rc, spec_path
 FROM c
 """
 
@@ -292,7 +296,7 @@ m AS (
   SELECT CASE status WHEN 'F' THEN '[OK] ' || CAST(job AS VARCHAR) || ' -> .finish (rc=0)'
                      WHEN 'P' THEN '[ERR] ' || CAST(job AS VARCHAR) || ' -> .error (rc=1)'
                      ELSE '[RUN] ' || CAST(job AS VARCHAR) || ': PID ' || CAST(cust AS VARCHAR) END AS message
-  FROM j
+  FROM j WHERE status <> 'O' OR job % 997 = 0
   UNION ALL
   SELECT '[WARN] ' || CAST(job AS VARCHAR) || ': no usable description, nothing delivered'
   FROM j WHERE status <> 'O' AND NOT has_metadata
@@ -337,21 +341,22 @@ SELECT grp, name, mtime, size FROM (
 SQL["best_artifact"] = rf"""
 WITH {JOBS}
 SELECT g.job, b.path AS artifact, b.mtime AS artifact_mtime, b.size AS artifact_size,
-       g.n_artifacts, g.has_artifact, g.has_log
-FROM agg_art g LEFT JOIN best b ON b.job = g.job AND b.rn = 1
+       l.path AS log, g.n_artifacts, g.has_artifact, g.has_log
+FROM agg_art g LEFT JOIN best b ON b.job = g.job AND b.rn = 1 LEFT JOIN logs l ON l.job = g.job AND l.rn = 1
 """
 
 SQL["delivery_manifest"] = rf"""
 WITH {JOBS},
 d AS (
-  SELECT c.job, c.src_name, b.path AS artifact, v.finished_ts,
+  SELECT c.job, c.src_name, CASE WHEN outcome = 'delivered' THEN b.path ELSE l.path END AS artifact, v.finished_ts,
+         CASE WHEN outcome = 'delivered' THEN '.hdf5' ELSE '.error.log' END AS suffix,
          '/srv/intake/out/c' || CAST(c.cust % 10 AS VARCHAR) AS final_root
-  FROM c JOIN best b ON b.job = c.job AND b.rn = 1 JOIN v ON v.job = c.job
-  WHERE c.outcome = 'delivered'),
+  FROM c JOIN v ON v.job = c.job LEFT JOIN best b ON b.job = c.job AND b.rn = 1 LEFT JOIN logs l ON l.job = c.job AND l.rn = 1
+  WHERE c.outcome IN ('delivered', 'failed_with_log')),
 t AS (
   SELECT *, final_root || '/' ||
             coalesce(CASE WHEN coalesce(src_name, '') <> '' THEN regexp_replace(src_name, '^(.+)\.[^.]+$', '\1') END,
-                     CAST(job AS VARCHAR)) || '.hdf5' AS target
+                     CAST(job AS VARCHAR)) || suffix AS target
   FROM d)
 SELECT target, job, artifact, finished_ts, n_writers FROM (
   SELECT *, row_number() OVER (PARTITION BY target ORDER BY finished_ts DESC, job DESC) AS rn,
@@ -359,6 +364,23 @@ SELECT target, job, artifact, finished_ts, n_writers FROM (
   FROM t) WHERE rn = 1
 """
 
+SQL["delivery_ledger"] = rf"""
+WITH {JOBS}
+SELECT DISTINCT src_name AS name FROM c
+WHERE outcome = 'delivered' AND src_name NOT IN (SELECT src_name FROM j WHERE job % 9 = 0)
+"""
+
+SQL["scan_events"] = f"""
+WITH {SCAN_LOG},
+per AS (SELECT watch, scan_no, count(*) AS n FROM counted WHERE cnt >= 2 GROUP BY watch, scan_no)
+SELECT s.watch, CAST(s.scan_day AS TIMESTAMP) AS scan_ts, CASE WHEN p.n > 0 THEN 'snapshot' ELSE 'empty' END AS kind,
+       CAST(s.scan_no AS BIGINT) AS scan_no, CAST(coalesce(p.n, 0) AS BIGINT) AS n_candidates, CAST(NULL AS VARCHAR) AS message
+FROM scans s LEFT JOIN per p ON p.watch = s.watch AND p.scan_no = s.scan_no
+UNION ALL
+SELECT watch, CAST(scan_day AS TIMESTAMP) + INTERVAL 12 HOUR, 'error', NULL, 0, 'folder not reachable'
+FROM scans WHERE day(scan_day) % 5 = 0
+"""
+
 REFS = r"""
 ref AS (SELECT p_brand AS grp, p_name AS name, CAST(DATE '2024-01-01' + p_size AS TIMESTAMP) AS mtime,
                p_partkey AS size FROM part),

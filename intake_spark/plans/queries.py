@@ -47,6 +47,12 @@ def scan_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.scan_counts(D.scans(spark, sf_dir), counted)
 
 
+def scan_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 T4: snapshot, empty and error events of every scan attempt."""
+    cands = st.stable_candidates(st.stability_counts(D.scan_log(spark, sf_dir)))
+    return st.scan_events(D.scan_attempts(spark, sf_dir), cands)
+
+
 # --------------------------------------------------------------------------- inventory
 
 # The include configuration of the test watches (per-watch
@@ -190,9 +196,11 @@ LEDGER_HEADER = ["# processed files", ""]
 def ledger_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: names of this batch that the ledger does not hold yet (each once)."""
     cands = _content_candidates(spark, sf_dir)
-    ledger = (spark.createDataFrame([(x,) for x in LEDGER_HEADER], "value string")
-              .unionByName(cands.filter(F.col("processed")).select(F.col("name").alias("value"))))
-    return intake.ledger_new_rows(cands.select("name"), ledger)
+    # the ledger here comes from the same documents, so both sides are one
+    # aggregate: a name is new if none of its rows is processed
+    old = F.bool_or(F.col("processed"))
+    names = cands.groupBy("name").agg(old.alias("_old")).filter(~F.col("_old")).select("name")
+    return intake.ledger_new_rows(names, spark.createDataFrame([(x,) for x in LEDGER_HEADER], "value string"))
 
 
 # Mount roots of the test deployment (host and host/language prefixes).
@@ -288,14 +296,23 @@ def best_artifact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def delivery_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Target file per delivered job; later finishers overwrite earlier ones."""
-    facts = jobs_ops.classify(_job_facts(spark, sf_dir)).filter(F.col("outcome") == "delivered")
+    """Target file per delivered or failed job; later finishers overwrite earlier ones."""
+    facts = jobs_ops.classify(_job_facts(spark, sf_dir))
     times = job_timeline(spark, sf_dir).select("job", "finished_ts")
     root = F.concat(F.lit(D.FINAL_ROOT + "/c"), (F.col("cust") % 10).cast("string"))
-    d = facts.join(times, "job").select("job", "src_name", "artifact", "finished_ts", root.alias("final_root"))
+    d = facts.join(times, "job").select("job", "outcome", "src_name", "artifact", "log", "finished_ts",
+                                        root.alias("final_root"))
     return delivery.delivery_manifest(d)
 
 
+def delivery_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger rows for delivered jobs; every ninth job's source is in the ledger already."""
+    facts = jobs_ops.classify(_job_facts(spark, sf_dir))
+    done = D.jobs(spark, sf_dir).filter(F.col("job") % 9 == 0).select(F.col("src_name").alias("value"))
+    header = spark.createDataFrame([(x,) for x in LEDGER_HEADER], "value string")
+    return delivery.delivery_ledger(facts, header.unionByName(done))
+
+
 # --------------------------------------------------------------------------- job spec / metadata
 
 FASTA_GROUP, SPIKE_GROUP = "Brand#1", "Brand#2"

@@ -11,6 +11,7 @@ QUERIES = {
     "stable_candidates_incremental": Q.stable_candidates_incremental,
     "latest_snapshot": Q.latest_snapshot,
     "scan_counts": Q.scan_counts,
+    "scan_events": Q.scan_events,
     "include_match": Q.include_match,
     "ignore_filter": Q.ignore_filter,
     "dir_size_rollup": Q.dir_size_rollup,
@@ -30,6 +31,7 @@ QUERIES = {
     "newest_reference": Q.newest_reference,
     "best_artifact": Q.best_artifact,
     "delivery_manifest": Q.delivery_manifest,
+    "delivery_ledger": Q.delivery_ledger,
     "job_spec": Q.job_spec,
     "job_metadata": Q.job_metadata,
     "unique_target_names": Q.unique_target_names,

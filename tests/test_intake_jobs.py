@@ -65,18 +65,19 @@ def test_unique_names_equals_sequential_model(spark):
 
 
 def test_every_outcome_class(spark):
-    cols = "job long, status string, spec_path string, launch_error boolean, has_metadata boolean, " \
+    cols = "job long, state string, spec_path string, launch_error boolean, has_metadata boolean, " \
            "rc long, has_artifact boolean, has_log boolean"
     rows = [
-        (1, "O", "s", False, True, None, None, None),
-        (2, "F", None, False, True, 0, True, True),
-        (3, "P", "s", True, True, 1, None, None),
-        (4, "F", "s", False, False, 0, True, False),
-        (5, "F", "s", False, True, 0, True, False),
-        (6, "F", "s", False, True, 0, False, False),
-        (7, "P", "s", False, True, 1, True, True),
-        (8, "P", "s", False, True, 1, False, True),
-        (9, "P", "s", False, True, 1, None, None),
+        (1, "ready", "s", False, True, None, None, None),
+        (2, "done", None, False, True, 0, True, True),
+        (3, "done", "s", True, True, 1, None, None),
+        (4, "done", "s", False, False, 0, True, False),
+        (5, "done", "s", False, True, 0, True, False),
+        (6, "done", "s", False, True, 0, False, False),
+        (7, "done", "s", False, True, 1, True, True),
+        (8, "done", "s", False, True, 1, False, True),
+        (9, "done", "s", False, True, 1, None, None),
+        (10, "working", "s", False, True, None, None, None),
     ]
     got = {r.job: (r.outcome, r.marker, r.ledger_updated)
            for r in jobs.classify(spark.createDataFrame(rows, cols)).collect()}
@@ -85,7 +86,7 @@ def test_every_outcome_class(spark):
         3: ("start_failed", ".error", False), 4: ("bad_metadata", ".finish", False),
         5: ("delivered", ".finish", True), 6: ("finished_no_artifact", ".finish", False),
         7: ("failed_with_artifact", ".error", False), 8: ("failed_with_log", ".error", False),
-        9: ("failed_no_log", ".error", False)}
+        9: ("failed_no_log", ".error", False), 10: ("pending", ".working", False)}
 
 
 def test_marker_parse_and_state(spark):
@@ -152,3 +153,20 @@ def test_not_processed_anti_join_and_fused_form_agree(spark):
     ledger = df.filter("processed").select("name", "size")
     anti = {(r.name, r.size, r.watch, r.doc_id) for r in intake.not_processed(first, ledger).collect()}
     assert fused == anti == {("b", 2, "w1", 13), ("c", 3, "w3", 14), ("a", 2, "w3", 15)}
+
+
+def test_config_level_problems():
+    good = {k: "x" for k in jobs.REQUIRED_KEYS} | {jobs.PAIRS_KEY: [{"input": "/a"}]}
+    assert jobs.validate_config(good) == []
+    assert jobs.validate_config({}) == [f"missing_{k}" for k in jobs.REQUIRED_KEYS] + ["no_watches"]
+    assert jobs.validate_config(good | {jobs.REQUIRED_KEYS[0]: " ", jobs.PAIRS_KEY: []}) == [
+        f"missing_{jobs.REQUIRED_KEYS[0]}", "no_watches"]
+
+
+def test_delivering_twice_adds_no_ledger_rows(spark):
+    done = spark.createDataFrame([("delivered", "a.raw"), ("delivered", "a.raw"), ("pending", "b.raw"), ("delivered", "c.raw")],
+                                 "outcome string, src_name string")
+    ledger = spark.createDataFrame([("# head",), ("c.raw",)], "value string")
+    new = delivery.delivery_ledger(done, ledger)
+    assert [r.name for r in new.collect()] == ["a.raw"]
+    assert delivery.delivery_ledger(done, ledger.unionByName(new.select(F.col("name").alias("value")))).count() == 0

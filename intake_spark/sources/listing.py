@@ -4,9 +4,16 @@ Spark's file readers skip ``.``/``_`` names and have no rows for empty
 directories, but an intake listing must see both (a dot-file can match ``*``,
 an empty ``.d`` directory is an entry of size 0). This source lists folders
 visible to the executors (local or mounted shares): the driver lists only
-the first level of each root to plan one partition per sub-directory, and
-each task walks its own subtree. Rows are stat results; no file content is
-read.
+the first level of each root to plan the partitions - one per sub-directory,
+and one per ``CHUNK`` names of the root's own entries, so a flat folder is
+spread over tasks too - and each task stats its own part. Rows are stat
+results; no file content is read. Links are followed, as the watched folders
+may be links themselves; a linked directory that leads back to one of its
+parents is listed but not entered.
+
+A root that is missing or can't be read raises: a lost mount must not look
+like an empty scan. So does a sub-directory that can't be read, unless it has
+gone since the scan began.
 
     spark.dataSource.register(ListingDataSource)
     spark.read.format("intake_listing").option("roots", "/a,/b").load()
@@ -15,6 +22,7 @@ read.
 from __future__ import annotations
 
 import os
+import stat
 from datetime import datetime
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -22,10 +30,13 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 SCHEMA = "watch string, rel string, name string, abs string, is_dir boolean, size long, mtime timestamp_ntz"
 
 
+CHUNK = 10_000  # of a root's own entries in one partition
+
+
 class _Part(InputPartition):
-    def __init__(self, root: str, sub: str | None):
-        super().__init__((root, sub))
-        self.root, self.sub = root, sub
+    def __init__(self, root: str, names: list[str], descend: bool):
+        super().__init__((root, names, descend))
+        self.root, self.names, self.descend = root, names, descend
 
 
 class ListingReader(DataSourceReader):
@@ -36,38 +47,49 @@ class ListingReader(DataSourceReader):
     def partitions(self):
         parts = []
         for root in self.roots:
-            parts.append(_Part(root, None))  # the root's own entries
-            if self.recursive and os.path.isdir(root):
-                with os.scandir(root) as it:
-                    parts.extend(_Part(root, e.name) for e in it if e.is_dir(follow_symlinks=False))
-        return parts
+            with os.scandir(root) as it:  # raises for a missing root
+                entries = [(e.name, e.is_dir()) for e in it]
+            names = [n for n, _ in entries]
+            parts.extend(_Part(root, names[i: i + CHUNK], False) for i in range(0, len(names), CHUNK))
+            if self.recursive:
+                parts.extend(_Part(root, [n], True) for n, is_dir in entries if is_dir)
+        return parts or [_Part("", [], False)]
 
     def read(self, partition):
         root = partition.root
-        if partition.sub is None:
-            yield from self._entries(root, root, descend=False)
-        else:
-            yield from self._entries(root, os.path.join(root, partition.sub), descend=True)
-
-    def _entries(self, root: str, folder: str, descend: bool):
-        stack = [folder]
+        if not partition.descend:
+            for name in partition.names:
+                row = self._row(root, os.path.join(root, name))
+                if row is not None:
+                    yield row
+            return
+        stack = [(os.path.join(root, partition.names[0]), (os.path.realpath(root),))] if partition.names else []
         while stack:
-            d = stack.pop()
+            folder, above = stack.pop()
+            real = os.path.realpath(folder)
+            if real in above:
+                continue
             try:
-                it = list(os.scandir(d))
-            except OSError:
+                names = os.listdir(folder)
+            except FileNotFoundError:
                 continue
-            for e in it:
-                try:
-                    st = e.stat(follow_symlinks=False)
-                except OSError:
-                    continue  # an entry that cannot be stat'ed is skipped
-                is_dir = e.is_dir(follow_symlinks=False)
-                rel = os.path.relpath(e.path, root)
-                yield (root, rel, e.name, e.path, is_dir, 0 if is_dir else int(st.st_size),
-                       datetime.fromtimestamp(st.st_mtime))
-                if is_dir and descend:
-                    stack.append(e.path)
+            for name in names:
+                row = self._row(root, os.path.join(folder, name))
+                if row is not None:
+                    yield row
+                    if row[4]:
+                        stack.append((row[3], (*above, real)))
+
+    @staticmethod
+    def _row(root: str, path: str):
+        """One entry; None if it has gone, or is a link to nothing."""
+        try:
+            st = os.stat(path)
+        except FileNotFoundError:
+            return None
+        is_dir = stat.S_ISDIR(st.st_mode)
+        return (root, os.path.relpath(path, root), os.path.basename(path), path, is_dir,
+                0 if is_dir else int(st.st_size), datetime.fromtimestamp(st.st_mtime))
 
 
 class ListingDataSource(DataSource):

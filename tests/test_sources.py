@@ -84,3 +84,31 @@ def test_markers_from_files(spark, tmp_path):
     ev = read_markers(spark, str(tmp_path / "jobs" / "*" / "*.marker"))
     assert sorted((r.job, r.event) for r in ev.collect()) == [("h9", "ready"), ("h9", "returncode"),
                                                               ("h9", "started")]
+
+
+def test_listing_follows_links_and_raises_for_a_lost_root(spark, tmp_path, monkeypatch):
+    import os
+    import pytest
+    from intake_spark.sources import listing
+    spark.dataSource.register(listing.ListingDataSource)
+    root, other = tmp_path / "root", tmp_path / "other"
+    (other / "run.d").mkdir(parents=True)
+    (other / "big.raw").write_bytes(b"x" * 1000)
+    (other / "run.d" / "f").write_bytes(b"yy")
+    root.mkdir()
+    os.symlink(other / "big.raw", root / "link.raw")
+    os.symlink(other / "run.d", root / "linked.d")
+    os.symlink(root, root / "loop")
+    os.symlink(other / "gone", root / "dangling")
+    for i in range(25):
+        (root / f"flat{i}").write_bytes(b"z")
+    monkeypatch.setattr(listing, "CHUNK", 10)
+    read = lambda r: spark.read.format("intake_listing").option("roots", str(r)).load()
+    got = {r.rel: (r.is_dir, r.size) for r in read(root).collect()}
+    assert got["link.raw"] == (False, 1000) and got["linked.d"] == (True, 0) and got["linked.d/f"] == (False, 2)
+    assert got["loop"] == (True, 0) and not any(r.startswith("loop/") for r in got) and "dangling" not in got
+    assert sum(r.startswith("flat") for r in got) == 25
+    with pytest.raises(Exception):
+        read(tmp_path / "nowhere").collect()
+    (tmp_path / "empty").mkdir()
+    assert read(tmp_path / "empty").count() == 0

@@ -12,6 +12,14 @@ Content is the sequence of lower-cased words with the sentence ends, so
 punctuation and spacing don't matter. Pieces without words belong to the
 sentence before (or the first one).
 
+With ``long_words`` (the pipeline's ``clean``; ``digest`` is the rule that its
+SQL states) a sentence of at least so many words is also a run of its own, and
+one of more is cut before the word of the least hash (the last of equal ones) of
+each ``CUT_WINDOW`` words in a row: the pieces count as sentences. The places
+depend on the words around them alone, so a passage inside text without sentence
+marks is cut alike wherever it stands, but for its first and last
+``CUT_WINDOW - 1`` words; any 51 words in a row of one sentence hold a run.
+
 Defined results: a null text stays null, an empty one empty; a text of fewer
 sentences or words than a run has none; a text may become empty, its row stays;
 rows with equal ids are documents of their own, in order of their text; null
@@ -35,6 +43,8 @@ from .textbytes import MIX_A, U64, Prefix, blocks, mix, words
 
 MIN_SENTENCES = 2
 MIN_WORDS = 12
+LONG_WORDS = 25
+CUT_WINDOW = 8
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -44,9 +54,11 @@ _END[[ord(c) for c in ".!?"]] = True
 WIDE_ENDS = (b"\xe3\x80\x82", b"\xef\xbc\x81", b"\xef\xbc\x9f")
 
 
-def sentences(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def sentences(data: np.ndarray, off: np.ndarray,
+              long_words: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(byte starts, offsets by text, content hash, words) of the sentences of
-    a block. A text without words has none."""
+    a block, those over ``long_words`` words in pieces. A text without words
+    has none."""
     n = len(data)
     cut = np.zeros(n + 1, bool)
     if n:
@@ -63,7 +75,19 @@ def sentences(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     cut[off] = True
     starts = np.flatnonzero(cut[:n])
     # pieces without words join the piece before, within the text
-    wh, _, piece_off = words(data, np.append(starts, n))
+    wh, word_at, piece_off = words(data, np.append(starts, n))
+    if long_words is not None:
+        per = np.diff(piece_off)
+        inner = np.zeros(len(wh), bool)
+        at = np.flatnonzero(np.repeat(per > long_words, per))  # windows start here
+        at = at[at + CUT_WINDOW <= np.repeat(piece_off[1:], per)[at]]
+        least = at
+        for k in range(1, CUT_WINDOW):
+            least = np.where(wh[at + k] <= wh[least], at + k, least)
+        inner[least] = True
+        inner[piece_off[:-1][per > 0]] = False
+        starts = np.sort(np.concatenate([starts, word_at[inner]]))
+        piece_off = np.searchsorted(word_at, np.append(starts, n))
     piece_first, count = piece_off[:-1], np.diff(piece_off)
     text = np.searchsorted(off, starts, "right") - 1
     have = count > 0
@@ -77,9 +101,9 @@ def sentences(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def runs(soff: np.ndarray, content: np.ndarray, count: np.ndarray, min_sentences: int,
-         min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+         min_words: int, long_words: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first sentence, end, hash) of the shortest runs from each sentence
-    forwards and backwards, each once."""
+    forwards and backwards, and of each of ``long_words`` words; each once."""
     n = len(content)
     if n == 0:
         z = np.zeros(0, np.int64)
@@ -91,22 +115,23 @@ def runs(soff: np.ndarray, content: np.ndarray, count: np.ndarray, min_sentences
     fwd = end <= soff[text + 1]
     begin = np.minimum(np.searchsorted(total, total[i + 1] - min_words, "right") - 1, i + 1 - min_sentences)
     back = (begin >= soff[text]) & (total[i + 1] >= min_words)
-    a = np.concatenate([i[fwd], begin[back]])
-    b = np.concatenate([end[fwd], i[back] + 1])
+    alone = i[count >= long_words] if long_words is not None else i[:0]
+    a = np.concatenate([i[fwd], begin[back], alone])
+    b = np.concatenate([end[fwd], i[back] + 1, alone + 1])
     u = np.unique(a << 32 | b)
     a, b = u >> 32, u & 0xFFFFFFFF
     h = mix(Prefix(content * MIX_A + U64(1)).span(a, b) + (b - a).astype(U64))
     return a, b, h
 
 
-def repeated_runs(rows: DataFrame, min_sentences: int, min_words: int) -> DataFrame:
+def repeated_runs(rows: DataFrame, min_sentences: int, min_words: int, long_words: int | None = None) -> DataFrame:
     """(row, a, b): sentence ranges that repeat an earlier run."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             number = batch.column("row").to_numpy()
             for lo, hi, data, off in blocks(batch.column("text")):
-                _, soff, content, count = sentences(data, off)
-                a, b, h = runs(soff, content, count, min_sentences, min_words)
+                _, soff, content, count = sentences(data, off, long_words)
+                a, b, h = runs(soff, content, count, min_sentences, min_words, long_words)
                 text = np.searchsorted(soff, a, "right") - 1
                 row = number[lo:hi][text]
                 a, b = a - soff[text], b - soff[text]
@@ -141,11 +166,11 @@ def repeated_runs(rows: DataFrame, min_sentences: int, min_words: int) -> DataFr
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", min_sentences: int = MIN_SENTENCES,
-          min_words: int = MIN_WORDS) -> DataFrame:
+          min_words: int = MIN_WORDS, long_words: int | None = None) -> DataFrame:
     """``kept`` (the columns of ``docs``), new_text, n_sentences, n_removed."""
     rows = numbered(docs, key)
     texts = rows.select(F.col(ROW).alias("row"), F.col("kept.text").alias("text"))
-    ranges = stored(docs.sparkSession, repeated_runs(texts, min_sentences, min_words), "ranges")
+    ranges = stored(docs.sparkSession, repeated_runs(texts, min_sentences, min_words, long_words), "ranges")
     joined = (rows.withColumnRenamed(ROW, "row").join(ranges_by_row(ranges), "row", "left")
               .select("kept", F.col("kept.text").alias("text"), "ranges"))
     kind = rows.schema["kept"].dataType.simpleString()
@@ -154,7 +179,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", min_sentences: int = MIN_SENTENC
         for batch in batches:
             spans = batch.column("ranges")
             for lo, hi, data, off in blocks(batch.column("text")):
-                starts, soff, _, _ = sentences(data, off)
+                starts, soff, _, _ = sentences(data, off, long_words)
                 part = spans.slice(lo, hi - lo)
                 per = np.nan_to_num(part.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
                 flat = part.flatten()
@@ -189,7 +214,7 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame) -> DataFrame:
-    """``docs`` with the repeated sentences removed from ``text``; ``n_chars``
-    follows the text."""
+    """``docs`` with the repeated sentences, and pieces of long ones, removed
+    from ``text``; ``n_chars`` follows the text."""
     fresh = {"text": F.col("new_text"), "n_chars": F.length("new_text").cast("long")}
-    return dedup(docs).select(*[fresh[c].alias(c) if c in fresh else F.col(f"kept.`{c}`") for c in docs.columns])
+    return dedup(docs, long_words=LONG_WORDS).select(*[fresh[c].alias(c) if c in fresh else F.col(f"kept.`{c}`") for c in docs.columns])

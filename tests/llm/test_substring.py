@@ -100,3 +100,33 @@ def test_other_columns_are_kept(spark):
     assert out.columns == docs.columns
     assert sorted(map(str, out.drop("text", "n_chars").collect())) == sorted(map(str, docs.drop("text", "n_chars").collect()))
     assert out.where("n_chars <> length(text)").isEmpty()
+
+
+def test_clean_drops_repeats_of_one_sentence_and_inside_text_without_marks(spark):
+    rnd = fresh(9)
+
+    def unmarked(name, n, sep=" "):
+        return sep.join(f"{name}{i}{rnd.choice('abcdefgh')}" for i in range(n))
+
+    one, passage = unmarked("one", 120), unmarked("cell", 60, " | ")
+    rows = [(0, one), (1, one.upper()), (2, f"{unmarked('x', 40, ' | ')} | {passage} | {unmarked('y', 30, ' | ')}"),
+            (3, f"{unmarked('z', 70, ' | ')} | {passage} | {unmarked('w', 50, ' | ')}"), (4, unmarked("short", 11)),
+            (5, unmarked("own", 90)), (6, one + ". " + unmarked("tail", 5))]
+    rows.append((7, rows[4][1]))
+    out = {r.doc_id: r.text for r in S.clean(documents(spark, rows)).collect()}
+    assert all(out[i] == rows[i][1] for i in (0, 2, 4, 5, 7))
+    assert out[1] == "" and "one" not in out[6] and "tail4" in out[6]
+    left = set(WORD.findall(out[3]))
+    gone = set(WORD.findall(rows[3][1])) - left
+    assert gone <= set(WORD.findall(passage)) and len(gone) >= 30
+
+
+def test_one_sentence_runs_equal_a_plain_count(spark):
+    rnd = fresh(11)
+    pool = [" ".join(prose(rnd, 1, ["ab", "cd", "ef", "gh"]) + str(i) for i in range(rnd.randint(25, 60))) for _ in range(12)]
+    rows = [(i, rnd.choice(pool)) for i in range(60)]
+    seen, want = set(), {}
+    for i, t in rows:
+        want[i] = "" if t in seen else t
+        seen.add(t)
+    assert {r.doc_id: r.text for r in S.clean(documents(spark, rows)).collect()} == want

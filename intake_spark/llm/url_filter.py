@@ -7,12 +7,16 @@ allow takes precedence over any block), else blocked if a rule blocks one,
 else allowed. Aliases are the connected components of all edges.
 
 Edges come from the pages' ``<link rel=canonical href>`` and ``<meta
-http-equiv=refresh content="..url=">`` (the first of each), resolved against
-the page's address, and from an optional table of redirects.
+http-equiv=refresh content="..url=">`` (the first of each), and from an optional
+table of redirects. Attributes may be unquoted, ``rel`` a list. Targets are
+resolved against the page's first ``<base href>`` or else its address, as RFC 3986
+has it: relative to the path or query, dot segments removed. Targets of another
+kind (``mailto:``) give no edge.
 
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z in lower
 case. Path: from there up to ``?``, ``#`` or the end. Scheme and fragment aren't
-part of an address. A rule (verdict, host, path) fits its host and all its
+part of an address, and an empty path is ``/`` there (not in the path returned
+and that rules see). A rule (verdict, host, path) fits its host and all its
 subdomains if the path starts with the rule's; the longest ``host + path`` wins,
 an allow before a block of the same length.
 
@@ -24,6 +28,8 @@ are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,11 +37,18 @@ from .components import connected_components
 from .files import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Where links stand in a page.
+# Where links stand in a page; CANONICAL and HREF, of quoted
+# attributes only, are the SQL's.
 CANONICAL = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
 REFRESH = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
 HREF = r"""(?is)\bhref\s*=\s*["']([^"']*)["']"""
 GOTO = r"""(?is)\burl\s*=\s*["']?([^"'>\s]+)"""
+CANONICAL_LINK = (r"""(?is)<link\b(?=[^>]*?(?<![\w:-])rel\s*=\s*(?:"(?:[^">]*\s)?canonical(?:\s[^">]*)?"|"""
+                  r"""'(?:[^'>]*\s)?canonical(?:\s[^'>]*)?'|canonical(?=[\s>]|/>)))[^>]*>""")
+BASE = r"""(?is)<base\b[^>]*>"""
+ANY_HREF = r"""(?is)(?<![\w:-])href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
+DOTS = r"/\.\.?(/|$)"
 SPLIT = r"(?s)^.*?://([^/?#]*)([^?#]*)([^#]*)"
 
 
@@ -48,29 +61,62 @@ def path_of(url: Column) -> Column:
 
 
 def address_of(url: Column) -> Column:
-    """host, path and query; null without a host."""
-    host = host_of(url)
-    return F.when(host != "", F.concat(host, path_of(url), F.regexp_extract(url, SPLIT, 3)))
+    """host, path (``/`` for an empty one) and query; null without a host."""
+    host, path = host_of(url), path_of(url)
+    return F.when(host != "", F.concat(host, F.when(path == "", "/").otherwise(path), F.regexp_extract(url, SPLIT, 3)))
+
+
+def _let(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f(x), with x computed once instead of written out wherever f uses it."""
+    return F.element_at(F.transform(F.array(x), f), 1)
+
+
+def without_dots(path: Column) -> Column:
+    """A path from ``/`` with its segments ``.`` and ``..`` worked in."""
+    def joined(parts: Column) -> Column:
+        left = F.aggregate(F.slice(parts, 2, F.size(parts)), F.array().cast("array<string>"), lambda acc, x: (
+            F.when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).when(x == ".", acc)
+            .otherwise(F.concat(acc, F.array(x)))))
+        return _let(left, lambda got: F.concat(F.lit("/"), F.array_join(got, "/"), F.when(
+            F.element_at(parts, -1).isin(".", "..") & (F.size(got) > 0), "/").otherwise("")))
+
+    return F.when(path.rlike(DOTS), _let(F.split(path, "/"), joined)).otherwise(path)
 
 
 def resolve(target: Column, url: Column) -> Column:
-    """An absolute, scheme-relative or root-relative link target as a URL;
-    null for others."""
-    return (F.when(target.contains("://"), target)
-            .when(target.startswith("//"), F.concat(F.lit("x:"), target))
-            .when(target.startswith("/"), F.concat(F.lit("x://"), host_of(url), target)))
+    """A link target as a URL; null for none, and for schemes without a host."""
+    def whole(at: Column) -> Column:
+        t, root, path = at["t"], F.concat(F.lit("x://"), at["host"]), at["path"]
+        return (F.when(t.rlike(SCHEME + "//"), t)
+                .when(t.rlike(SCHEME) | (t == "") | t.startswith("#"), F.lit(None))
+                .when(t.startswith("//"), F.concat(F.lit("x:"), t))
+                .when(t.startswith("/"), F.concat(root, t))
+                .when(t.startswith("?"), F.concat(root, F.when(path == "", "/").otherwise(path), t))
+                .otherwise(F.concat(root, F.when(path == "", "/").otherwise(F.regexp_replace(path, "[^/]*$", "")), t)))
+
+    at = F.struct(target.alias("t"), host_of(url).alias("host"), path_of(url).alias("path"))
+    return _let(_let(at, whole), lambda w: F.when(w.isNotNull(), F.concat(
+        F.lit("x://"), host_of(w), _let(path_of(w), without_dots), F.regexp_extract(w, SPLIT, 3))))
+
+
+def _href(tag: Column) -> Column:
+    return F.trim(F.concat(*[F.regexp_extract(tag, ANY_HREF, i) for i in (1, 2, 3)]), F.lit(" \t\n\r\f"))
 
 
 def page_edges(pages: DataFrame) -> DataFrame:
     """(a, b, to_url): address of a page, and of what it points to."""
-    found = pages.select("url", F.explode(F.array(
-        F.regexp_extract(F.regexp_extract("html", CANONICAL, 0), HREF, 1),
-        F.regexp_extract(F.regexp_extract("html", REFRESH, 0), GOTO, 1))).alias("target"))
-    return _edges(found.select("url", resolve(F.col("target"), F.col("url")).alias("to_url")))
+    url = F.col("url")
+    base = F.coalesce(resolve(_href(F.regexp_extract("html", BASE, 0)), url), url)
+    found = (pages.select("url", "html", F.array(
+        _href(F.regexp_extract("html", CANONICAL_LINK, 0)),
+        F.regexp_extract(F.regexp_extract("html", REFRESH, 0), GOTO, 1)).alias("targets"))
+        .where(F.exists("targets", lambda x: x != ""))
+        .select("url", base.alias("base"), F.explode("targets").alias("target")))
+    return _edges(found.select("url", resolve(F.col("target"), F.col("base")).alias("to_url")))
 
 
 def _edges(links: DataFrame) -> DataFrame:
-    return (links.select(address_of(F.col("url")).alias("a"), address_of(F.col("to_url")).alias("b"), "to_url")
+    return (links.select(address_of(F.col("url")).alias("a"), _let(F.col("to_url"), address_of).alias("b"), "to_url")
             .where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))).distinct())
 
 
@@ -100,7 +146,7 @@ def judge(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None
     spark = pages.sparkSession
     edges = page_edges(pages)
     if redirects is not None:
-        edges = edges.union(_edges(redirects.select("url", "to_url")))
+        edges = edges.union(_edges(redirects.select("url", resolve(F.col("to_url"), F.col("url")).alias("to_url"))))
     edges = stored(spark, edges, "links")
     url = F.col("url")
     rows = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), address_of(url).alias("address"))
@@ -109,9 +155,14 @@ def judge(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None
     starts = ends.select("host", "path", "address").limit(0)
     if redirects is not None:
         starts = redirects.select(host_of(url).alias("host"), path_of(url).alias("path"), address_of(url).alias("address"))
-    known = rows.select("host", "path", "address").union(ends).union(starts).distinct()
+    known = rows.select("host", "path", "address").union(ends).union(starts)
+    # an address with an empty path is the one with "/", with or without edges
+    alone = known.where((F.col("path") == "") & F.col("address").isNotNull()).select(F.col("address").alias("id")).distinct()
+    known = known.union(known.where((F.col("path") == "") & (F.col("host") != "")).withColumn("path", F.lit("/"))).distinct()
     ruled = stored(spark, apply_rules(known, rules), "ruled")
     classes = connected_components(edges)
+    classes = stored(spark, classes.select("id", "component").union(
+        alone.join(classes, "id", "left_anti").select("id", F.col("id").alias("component"))), "classes")
     decided = (classes.join(known.withColumnRenamed("address", "id"), "id").join(ruled, ["host", "path"], "left")
                .groupBy("component").agg(
                    F.max(F.coalesce(F.col("verdict") == "allow", F.lit(False))).alias("allowed"),

@@ -80,3 +80,38 @@ def test_empty_tables(spark):
     assert judge(spark, []) == []
     assert [r.verdict for r in judge(spark, [(1, "http://x.com/de/", None)], rules=[])] == ["allow"]
     assert one(spark, None) == ("", "", None, "allow")
+
+
+def test_targets_resolve_against_the_page(spark):
+    base = "http://H.net/a/b/c?q=1#f"
+    cases = {"page2.html": "h.net/a/b/page2.html", "../d": "h.net/a/d", "?id=1": "h.net/a/b/c?id=1", "./": "h.net/a/b/",
+             "..": "h.net/a/", "../../../x": "h.net/x", "/y/./z/../w?k=..": "h.net/y/w?k=..", "//o.net/p/../q": "o.net/q",
+             "https://O.net": "o.net/", "https://o.net?x": "o.net/?x", "n?u=http://e.net/": "h.net/a/b/n?u=http://e.net/",
+             "/l?u=http://e.net/": "h.net/l?u=http://e.net/", "mailto:a@b.net": None, "#top": None, "": None}
+    df = spark.createDataFrame([(base, t) for t in cases], "url string, t string")
+    got = df.select("t", U.address_of(U.resolve(df.t, df.url)).alias("a")).collect()
+    assert {r.t: r.a for r in got} == cases
+    top = spark.createDataFrame([("http://h.net", t) for t in ("x", "?x")], "url string, t string")
+    assert {r.a for r in top.select(U.address_of(U.resolve(top.t, top.url)).alias("a")).collect()} == {"h.net/x", "h.net/?x"}
+
+
+def test_aliases_by_relative_unquoted_and_listed_links(spark):
+    pages = [
+        (1, "http://a.net/d/1", "<link rel=canonical href=page2.html>"),
+        (2, "http://a.net/d/page2.html", "<link href=http://x.com/de/2 rel=canonical>"),
+        (3, "http://b.net/d/e/3", "<link rel='alternate canonical' href='../up'>"),
+        (4, "http://b.net/d/up", "<LINK REL=\"canonical nofollow\" href=' http://x.com/de/4 '>"),
+        (5, "http://c.net/5", '<meta http-equiv=refresh content="0; url=?id=1">'),
+        (6, "http://c.net/5?id=1", "<link rel=canonical href='http://x.com/de/6'/>"),
+        (7, "http://d.net", None),
+        (8, "http://d.net/", "<link rel=canonical href=http://x.com/de/8>"),
+        (9, "http://e.net/9", "<base href='//d.net/k/'><link rel=canonical href=../>"),
+        (10, "http://f.net/10", "<link rel=canonical-x href=http://x.com/de/1><link rel='not' href='http://x.com/de/2'>"),
+        (11, "http://g.net/11", "<link rel=stylesheet href=http://x.com/de/1><link rel=canonical href='http://g.net/ok'>"),
+        (12, "http://z.com", None),
+    ]
+    got = {r.page_id: r for r in judge(spark, pages, rules=URL_RULES + [("block", "z.com", "/")])}
+    assert {i for i, r in got.items() if r.verdict == "block"} == {1, 2, 3, 4, 5, 6, 7, 8, 9, 12}
+    assert (got[7].path, got[8].path, got[7].aliases, got[12].aliases) == ("", "/", got[8].aliases, 0)
+    moved = judge(spark, [(1, "http://m.net/a", None)], redirects=[("http://m.net/a", "b"), ("http://m.net/b", "//y.com/de/")])
+    assert [r.verdict for r in moved] == ["block"]

@@ -9,6 +9,7 @@ version too.
 
 from __future__ import annotations
 
+from . import mixing
 from .decontam import WINDOW
 from .substring_dedup import MIN_SENTENCES, MIN_WORDS
 from .url_filter import CANONICAL, GOTO, HREF, LOWER, REFRESH, SPLIT, UPPER
@@ -49,6 +50,49 @@ FROM docs LEFT JOIN n_hit h USING (r) LEFT JOIN n_items t USING (r)
 """
 
 
+def op11() -> str:
+    weights = ", ".join(str(w) for w in mixing.WEIGHTS)
+    quality = " ".join(f"WHEN {v} THEN {w}" for v, w in mixing.QUALITY.items())
+    most = mixing.MAX_EPOCHS
+    return f"""
+WITH quality AS (
+  SELECT doc_id, max(quality) AS q FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), docs AS (
+  SELECT d.doc_id, d.source, coalesce(len(regexp_extract_all(d.text, '{mixing.WORD}')), 0)::BIGINT AS size, d.text,
+         -ln((('0x' || substr(md5('{mixing.SEED}' || coalesce(d.doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5) / {1 << 52}.0)
+           / coalesce(CASE q.q {quality} ELSE 1.0 END, 1.0)::DOUBLE AS late
+  FROM documents d LEFT JOIN quality q ON d.doc_id = q.doc_id
+), sources AS (
+  SELECT source, sum(size)::HUGEINT AS source_size,
+         [{weights}][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)} + 1]::HUGEINT AS weight
+  FROM docs GROUP BY source
+), ratios AS (  -- the limits are reached in the order of size a unit of weight
+  SELECT *, {most} * source_size AS cap, sum(source_size) OVER () AS total,
+         coalesce(sum({most} * source_size) OVER w, 0) AS capped, sum(weight) OVER () - coalesce(sum(weight) OVER w, 0) AS rest
+  FROM sources
+  WINDOW w AS (ORDER BY source_size::DOUBLE / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), reached AS (
+  SELECT *, (total - capped) * weight >= cap * rest AS full_up FROM ratios
+), shares AS (
+  SELECT max(total) - coalesce(sum(cap) FILTER (full_up), 0) AS words, sum(weight) FILTER (NOT full_up) AS units FROM reached
+), targets AS (
+  SELECT source, source_size::BIGINT AS source_size,
+         CASE WHEN full_up THEN cap::DOUBLE ELSE (weight * words)::DOUBLE / units::DOUBLE END AS target
+  FROM reached, shares
+), placed AS (
+  SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
+         CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS epochs,
+         coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.late, d.doc_id, d.size
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+), taken AS (
+  SELECT *, (epochs + (target - epochs * source_size > 0 AND 2 * before + size <= 2 * (target - epochs * source_size))::INT)::BIGINT AS copies
+  FROM placed
+)
+SELECT doc_id, source, size, source_size, target, copies, (size * copies)::BIGINT AS taken FROM taken
+"""
+
+
 def op7(rules: list[tuple[str, str, str]]) -> str:
     values = ", ".join(f"({q(v)}, {q(h)}, {q(p)})" for v, h, p in rules)
 

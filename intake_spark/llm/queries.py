@@ -13,6 +13,7 @@ from . import (
     embed_dedup,
     id_store,
     langid,
+    mixing,
     oracle,
     piece_codec,
     substring_dedup,
@@ -92,6 +93,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document of ``documents`` a mix of the sources takes."""
+    return mixing.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_piece_codec": op2_piece_codec,
@@ -103,10 +109,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_weighted_minhash": op8_weighted_minhash,
     "op9_decontam": op9_decontam,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_mixing": op11_mixing,
 }
 ORACLE: dict[str, str] = {
     "op1_substring_dedup": oracle.OP1,
     "op5_embed_dedup": oracle.OP5,
     "op7_url_filter": oracle.op7(URL_RULES),
     "op9_decontam": oracle.op9(),
+    "op11_mixing": oracle.op11(),
 }

@@ -47,7 +47,7 @@ def test_awkward_rows_and_empty_tables(spark, tmp_path):
 def test_every_operator_is_registered():
     names = set(E.queries())
     assert "pipeline" in names
-    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 11))
+    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 14))
     assert set(E.oracle_sql()) <= names
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import (
+    cross_align,
     decontam,
     embed_dedup,
     id_store,
@@ -98,6 +99,12 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_cross_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two tokenizers' ids of every whole text of ``documents`` line up."""
+    return cross_align.digest(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                              tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_piece_codec": op2_piece_codec,
@@ -110,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontam": op9_decontam,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_mixing": op11_mixing,
+    "op13_cross_align": op13_cross_align,
 }
 ORACLE: dict[str, str] = {
     "op1_substring_dedup": oracle.OP1,

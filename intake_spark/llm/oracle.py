@@ -9,7 +9,7 @@ version too.
 
 from __future__ import annotations
 
-from . import mixing
+from . import collocations, mixing
 from .decontam import WINDOW
 from .substring_dedup import MIN_SENTENCES, MIN_WORDS
 from .url_filter import CANONICAL, GOTO, HREF, LOWER, REFRESH, SPLIT, UPPER
@@ -93,6 +93,42 @@ SELECT doc_id, source, size, source_size, target, copies, (size * copies)::BIGIN
 """
 
 
+def op12() -> str:
+    c = collocations
+    return f"""
+WITH pieces AS (
+  SELECT coalesce(lang, '{c.UND}') AS lang, unnest(string_split_regex({low("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
+), occurrences AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda s: array_to_string(w[s : s + m - 1], ' '))) AS phrase
+  FROM words, (SELECT unnest([1, 2, 3]) AS m)
+), f AS (
+  SELECT lang, m, phrase, count(*)::HUGEINT AS a, string_split(phrase, ' ') AS w FROM occurrences GROUP BY ALL
+), n AS (
+  SELECT lang, sum(a) AS n FROM f WHERE m = 1 GROUP BY lang
+), candidates AS (
+  SELECT * FROM f WHERE m > 1 AND a >= {c.MIN_COUNT}
+), cuts AS (
+  SELECT c.lang, c.phrase, c.m, c.a, k, l.a AS l, r.a AS r, (1000000 * c.a * c.a) // (l.a * r.a) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[: c.k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.k + 1 :], ' ')
+), scored AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, array_to_string(w[s : s + 1], ' ') AS phrase, max(a) AS longer
+  FROM candidates, (SELECT unnest([1, 2]) AS s) WHERE m = 3 GROUP BY ALL
+), ranked AS (
+  SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank, s.phrase, a, l, r, score
+  FROM scored s LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase
+  WHERE longer IS NULL OR 100 * longer < {c.SHARE} * a
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= {c.TOP}
+"""
+
+
 def op7(rules: list[tuple[str, str, str]]) -> str:
     values = ", ".join(f"({q(v)}, {q(h)}, {q(p)})" for v, h, p in rules)
 

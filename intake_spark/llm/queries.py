@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import (
+    collocations,
     cross_align,
     decontam,
     embed_dedup,
@@ -99,6 +100,11 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first phrases of each language of ``documents`` by collocation score."""
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 def op13_cross_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How two tokenizers' ids of every whole text of ``documents`` line up."""
     return cross_align.digest(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
@@ -117,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontam": op9_decontam,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_mixing": op11_mixing,
+    "op12_collocations": op12_collocations,
     "op13_cross_align": op13_cross_align,
 }
 ORACLE: dict[str, str] = {
@@ -125,4 +132,5 @@ ORACLE: dict[str, str] = {
     "op7_url_filter": oracle.op7(URL_RULES),
     "op9_decontam": oracle.op9(),
     "op11_mixing": oracle.op11(),
+    "op12_collocations": oracle.op12(),
 }

@@ -44,4 +44,12 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def drop_stored(df: DataFrame) -> None:
+    """Delete a table of ``stored`` that nothing reads any more."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_path)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from . import collocations, mixing
 from .decontam import WINDOW
-from .substring_dedup import MIN_SENTENCES, MIN_WORDS
+from .substring_dedup import CUT_WINDOW, LONG_WORDS, MIN_SENTENCES, MIN_WORDS
 from .url_filter import CANONICAL, GOTO, HREF, LOWER, REFRESH, SPLIT, UPPER
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BLANK = r"[ \t\n\v\f\r]"
 
 
@@ -204,9 +205,26 @@ WITH docs AS (
         FROM docs WHERE text IS NOT NULL), unnest(range(1, len(p) + 1)) AS u(pos)
 ), numbered AS (
   SELECT *, greatest(1, sum((n > 0)::INT) OVER (PARTITION BY r ORDER BY pos))::BIGINT AS s FROM pieces
+), whole AS (
+  SELECT r, s, string_agg(piece, '' ORDER BY pos) AS body, sum(n) AS n FROM numbered GROUP BY r, s HAVING sum(n) > 0
+), tokens AS (  -- each word with what follows it; the first also with what stands before
+  SELECT r, s, n, t[1] AS lead, t[2:] AS t
+  FROM (SELECT r, s, n, string_split(regexp_replace(body, '({ANY_WORD})', chr(1) || '\\1', 'g'), chr(1)) AS t FROM whole)
+), heads AS (
+  SELECT *, list_transform(t, lambda x: left(hex(encode(regexp_extract({low("x")}, '^{WORD}'))), 16)) AS h FROM tokens
+), cuts AS (
+  SELECT r, s, 1 AS c FROM tokens
+  UNION
+  SELECT r, s, i + {CUT_WINDOW} - list_position(list_reverse(h[i : i + {CUT_WINDOW - 1}]), list_min(h[i : i + {CUT_WINDOW - 1}])) AS c
+  FROM heads, unnest(range(1, len(t) - {CUT_WINDOW - 2})) AS u(i) WHERE n > {LONG_WORDS}
+), parts AS (
+  SELECT r, s, c, coalesce(lead(c) OVER (PARTITION BY r, s ORDER BY c), n + 1) AS e, lead, t
+  FROM cuts JOIN tokens USING (r, s)
 ), sentences AS (
-  SELECT r, s, string_agg(piece, '' ORDER BY pos) AS body, sum(n) AS n, max(content) AS content
-  FROM numbered GROUP BY r, s HAVING sum(n) > 0
+  SELECT r, row_number() OVER (PARTITION BY r ORDER BY s, c) AS s, (e - c)::BIGINT AS n,
+         CASE WHEN c = 1 THEN lead ELSE '' END || array_to_string(t[c : e - 1], '') AS body,
+         array_to_string(list_transform(t[c : e - 1], lambda x: regexp_extract({low("x")}, '^{WORD}')), ' ') AS content
+  FROM parts
 ), lists AS (
   SELECT r, list(n ORDER BY s) AS ns, list(content ORDER BY s) AS cs, count(*) AS m FROM sentences GROUP BY r
 ), forward AS (
@@ -216,7 +234,8 @@ WITH docs AS (
   SELECT r, max(i) AS a, e AS b FROM lists, unnest(range(1, m + 1)) AS y(e), unnest(range(greatest(1, e - 40), e - {MIN_SENTENCES} + 2)) AS x(i)
   WHERE list_sum(ns[i : e]) >= {MIN_WORDS} GROUP BY r, e
 ), runs AS (
-  SELECT r, a, b, cs[a : b] AS content FROM (SELECT * FROM forward UNION SELECT * FROM backward) JOIN lists USING (r)
+  SELECT r, a, b, cs[a : b] AS content
+  FROM (SELECT * FROM forward UNION SELECT * FROM backward UNION SELECT r, s, s FROM sentences WHERE n >= {LONG_WORDS}) JOIN lists USING (r)
 ), repeats AS (
   SELECT r, a, b FROM runs QUALIFY row_number() OVER (PARTITION BY content ORDER BY r, a) > 1
 ), gone AS (SELECT DISTINCT r, unnest(range(a, b + 1)) AS s FROM repeats),

@@ -12,10 +12,10 @@ Content is the sequence of lower-cased words with the sentence ends, so
 punctuation and spacing don't matter. Pieces without words belong to the
 sentence before (or the first one).
 
-With ``long_words`` (the pipeline's ``clean``; ``digest`` is the rule that its
-SQL states) a sentence of at least so many words is also a run of its own, and
-one of more is cut before the word of the least hash (the last of equal ones) of
-each ``CUT_WINDOW`` words in a row: the pieces count as sentences. The places
+With ``long_words`` (``digest`` and ``clean`` give ``LONG_WORDS``) a sentence of
+at least so many words is also a run of its own, and one of more is cut before
+the least word (by its first eight bytes in lower case; the last of equal ones)
+of each ``CUT_WINDOW`` words in a row: the pieces count as sentences. The places
 depend on the words around them alone, so a passage inside text without sentence
 marks is cut alike wherever it stands, but for its first and last
 ``CUT_WINDOW - 1`` words; any 51 words in a row of one sentence hold a run.
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from .files import stored
 from .rows import ROW, numbered
 from .spans import by_content, first_in_block, merge_ranges, ranges_by_row
-from .textbytes import MIX_A, U64, Prefix, blocks, mix, words
+from .textbytes import IS_WORD, LOWER, MIX_A, U64, Prefix, blocks, mix, words
 
 MIN_SENTENCES = 2
 MIN_WORDS = 12
@@ -54,6 +54,17 @@ _END[[ord(c) for c in ".!?"]] = True
 WIDE_ENDS = (b"\xe3\x80\x82", b"\xef\xbc\x81", b"\xef\xbc\x9f")
 
 
+def _heads(data: np.ndarray, off: np.ndarray, word_at: np.ndarray) -> np.ndarray:
+    """The first eight bytes of words in lower case, in the order of bytes."""
+    end = off[np.searchsorted(off, word_at, "right")]
+    inside, out = np.ones(len(word_at), bool), np.zeros(len(word_at), U64)
+    for k in range(8):
+        low = LOWER[data[np.minimum(word_at + k, len(data) - 1)]]
+        inside &= (word_at + k < end) & IS_WORD[low]
+        out = out << U64(8) | np.where(inside, low, 0).astype(U64)
+    return out
+
+
 def sentences(data: np.ndarray, off: np.ndarray,
               long_words: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(byte starts, offsets by text, content hash, words) of the sentences of
@@ -80,10 +91,12 @@ def sentences(data: np.ndarray, off: np.ndarray,
         per = np.diff(piece_off)
         inner = np.zeros(len(wh), bool)
         at = np.flatnonzero(np.repeat(per > long_words, per))  # windows start here
+        head = np.zeros(len(wh), U64)
+        head[at] = _heads(data, off, word_at[at])
         at = at[at + CUT_WINDOW <= np.repeat(piece_off[1:], per)[at]]
         least = at
         for k in range(1, CUT_WINDOW):
-            least = np.where(wh[at + k] <= wh[least], at + k, least)
+            least = np.where(head[at + k] <= head[least], at + k, least)
         inner[least] = True
         inner[piece_off[:-1][per > 0]] = False
         starts = np.sort(np.concatenate([starts, word_at[inner]]))
@@ -210,7 +223,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", min_sentences: int = MIN_SENTENC
 
 def digest(docs: DataFrame) -> DataFrame:
     """doc_id, n_sentences, n_removed and the text left of every document."""
-    return dedup(docs).select("kept.doc_id", "n_sentences", "n_removed", F.col("new_text").alias("text"))
+    return dedup(docs, long_words=LONG_WORDS).select("kept.doc_id", "n_sentences", "n_removed", F.col("new_text").alias("text"))
 
 
 def clean(docs: DataFrame) -> DataFrame:

@@ -1,9 +1,13 @@
 """Operator 1 against a brute-force version."""
 import re
 
+from conftest import SF
 from llm_data import awkward, documents, fresh, prose, repeated
 
+import __spark_entry__ as E
+
 from intake_spark.llm import substring_dedup as S
+from tools.compare import digest
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -14,9 +18,19 @@ def split(text):
     cuts = [0] + [m.end() for m in CUT.finditer(text)] + [len(text)]
     out = []
     for a, b in zip(cuts, cuts[1:]):
-        w = tuple(WORD.findall(text[a:b].translate(LOW)))
+        found = list(WORD.finditer(text[a:b].translate(LOW)))
+        w = tuple(m[0] for m in found)
         if w:
-            out.append([a, w])
+            places = {0}
+            if len(w) > S.LONG_WORDS:
+                head = [x.encode()[:8] for x in w]
+                for i in range(len(w) - S.CUT_WINDOW + 1):
+                    window = range(i, i + S.CUT_WINDOW)
+                    least = min(head[j] for j in window)
+                    places.add(max(j for j in window if head[j] == least))
+            places = sorted(places)
+            for x, y in zip(places, [*places[1:], len(w)]):
+                out.append([a + found[x].start() if x else a, w[x:y]])
     if out:
         out[0][0] = 0
     return out
@@ -29,6 +43,8 @@ def brute(rows, n=S.MIN_SENTENCES, m=S.MIN_WORDS):
         s = split(t or "")
         runs = set()
         for i in range(len(s)):
+            if len(s[i][1]) >= S.LONG_WORDS:
+                runs.add((i, i + 1))
             size = 0
             for e in range(i, len(s)):
                 size += len(s[e][1])
@@ -130,3 +146,21 @@ def test_one_sentence_runs_equal_a_plain_count(spark):
         want[i] = "" if t in seen else t
         seen.add(t)
     assert {r.doc_id: r.text for r in S.clean(documents(spark, rows)).collect()} == want
+
+
+def test_query_equals_its_sql(spark, duck):
+    sf = SF["0.001"]
+    got = E.queries()["op1_substring_dedup"](spark, sf).toPandas()
+    want = duck(sf).execute(E.oracle_sql()["op1_substring_dedup"]).df()
+    assert digest(got) == digest(want)
+
+
+def test_long_sentences_equal_a_plain_count(spark):
+    rnd = fresh(12)
+    pool = [" | ".join(prose(rnd, 1, ["Ab", "cd", "éf", "abcdefghij"]).strip(".!?\n") + str(rnd.randrange(30)) for _ in range(70)) for _ in range(5)]
+    rows = []
+    for i in range(60):
+        w = rnd.choice(pool).split(" | ")
+        a = rnd.randrange(20)
+        rows.append((i, rnd.choice([" ", " | ", ", "]).join(w[a: a + rnd.randrange(20, 60)])))
+    check(spark, rows)

@@ -13,9 +13,10 @@ with empty places; so counts of pairs are sums of windows with the same first
 two words, and one shuffle of windows, dealt by their first two words, gives
 pairs and triples.
 
-A word's number is a 64-bit hash of language and word. Words are also counted
-by a second hash; two words of one number would show there, and then all
-numbers are made anew from another seed, so counts are exact but for an accident of 128 bits.
+A word's number is a 64-bit hash of language and word. Distinct words are
+counted by their text; if two of a corpus have one number, all numbers are made
+anew from another seed. So counts are exact but for words of one block that
+agree in 128 bits.
 
 Scores: cutting a phrase after its first k words gives
 ``floor(1000000 * a * a / (l * r))``; the lowest counts (ties: the smallest k).
@@ -47,7 +48,8 @@ MIN_COUNT = 10
 SHARE = 50              # percent
 TOP = 2000
 UND = "und"
-HELD_WINDOWS = 1 << 20  # that a task combines before it hands them on
+HELD_WINDOWS = 1 << 21  # that a task combines before it hands them on
+HELD_WORDS = 1 << 19
 SALTS = 16              # of a language's candidates, before the last ranking
 SEEDS = 4               # for word numbers
 
@@ -161,48 +163,68 @@ def _counted_once(chunk: np.ndarray, last: np.ndarray) -> np.ndarray:
     return last[chunk] | (left > LONGEST - 1)
 
 
-def _combined(cols: list[np.ndarray], n: np.ndarray, order: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Equal neighbours, in an order, added up."""
-    cols, n = [c[order] for c in cols], n[order]
+def _combined_by(keys: list[np.ndarray], values: list[np.ndarray], n: np.ndarray,
+                 order: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Neighbours of equal keys, in an order: the first one's values, and the sum."""
+    keys, n = [k[order] for k in keys], n[order]
     new = np.ones(len(n), bool)
-    new[1:] = reduce(np.logical_or, [c[1:] != c[:-1] for c in cols])
+    new[1:] = reduce(np.logical_or, [k[1:] != k[:-1] for k in keys])
     at = np.flatnonzero(new)
-    return [c[at] for c in cols], np.add.reduceat(n, at) if len(at) else n
+    return [v[order[at]] for v in values], np.add.reduceat(n, at) if len(at) else n
 
 
 def count_words(chunks: DataFrame, seed: int = 0) -> DataFrame:
-    """(lang, number, check, word, n) of every word."""
+    """(lang, number, word, n) of every word. Words are combined by two hashes
+    in the task, and by their text in the shuffle; their numbers are put beside
+    the distinct words afterwards."""
+    def flush(held: list[list]) -> pa.RecordBatch:
+        langs = pa.chunked_array([x[0] for x in held]).combine_chunks()
+        words = pa.chunked_array([x[1] for x in held]).combine_chunks()
+        h, check, n = (np.concatenate([x[i] for x in held]) for i in (2, 3, 4))
+        order = np.lexsort((check, h))
+        (place,), total = _combined_by([h, check], [np.arange(len(h))], n, order)
+        return pa.RecordBatch.from_arrays([langs.take(pa.array(place)), words.take(pa.array(place)), pa.array(total)],
+                                          names=["lang", "word", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for batch in batches:
             last, times = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("last", "n"))
             for lo, data, a, b, h, check, chunk in _numbered(batch, seed):
-                own = _counted_once(chunk, last[lo: lo + chunk[-1] + 1])
-                at = np.flatnonzero(own)
+                at = np.flatnonzero(_counted_once(chunk, last[lo: lo + chunk[-1] + 1]))
                 order = np.lexsort((check[at], h[at]))
-                place = at[order]
-                (h_, check_), n = _combined([h[at], check[at]], times[lo:][chunk[at]], order)
-                new = np.ones(len(place), bool)
-                new[1:] = (h[place[1:]] != h[place[:-1]]) | (check[place[1:]] != check[place[:-1]])
-                place = place[new]
+                (place,), n = _combined_by([h[at], check[at]], [at], times[lo:][chunk[at]], order)
                 size = b[place] - a[place]
                 words = pa.LargeStringArray.from_buffers(
                     len(place), pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int64)),
                     pa.py_buffer(np.ascontiguousarray(data[ragged(a[place], size)]))).cast(pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("lang").slice(lo).take(pa.array(chunk[place])), pa.array(h_.view(np.int64)),
-                     pa.array(check_.view(np.int64)), words, pa.array(n)], names=["lang", "number", "check", "word", "n"])
+                held.append([batch.column("lang").slice(lo).take(pa.array(chunk[place])), words, h[place], check[place], n])
+                rows += len(place)
+                if rows >= HELD_WORDS:
+                    yield flush(held)
+                    held, rows = [], 0
+        if held:
+            yield flush(held)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                chunks = batch.rename_columns(["lang", "chunk", "n"])
+                h = np.concatenate([x[4] for x in _numbered(chunks, seed)])
+                yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(h.view(np.int64)), batch.column("word"), batch.column("n")],
+                                                 names=["lang", "number", "word", "n"])
 
-    return (chunks.mapInArrow(run, "lang string, number long, check long, word string, n long")
-            .groupBy("lang", "number", "check", "word").agg(F.sum("n").alias("n")))
+    return (chunks.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+            .mapInArrow(number, "lang string, number long, word string, n long"))
 
 
 def count_windows(chunks: DataFrame, seed: int = 0) -> DataFrame:
-    """(w1, w2, w3, n): windows of three word numbers; 0 after a piece's end.
-    Dealt by the first two words, so sums of them need no other shuffle."""
+    """(w1, w2, w3, n): windows of three word numbers, w3 = 0 after a piece's
+    end; a piece's last word has none. Dealt by the first two words, so sums of them need no other shuffle."""
     def flush(held: list[list[np.ndarray]]) -> pa.RecordBatch:
         w1, w2, w3, n = (np.concatenate(x) for x in zip(*held))
         order = np.argsort(mix(w1 * MIX_A + w2) * MIX_A + w3)
-        cols, n = _combined([w1, w2, w3], n, order)
+        cols, n = _combined_by([w1, w2, w3], [w1, w2, w3], n, order)
         return pa.RecordBatch.from_arrays([*(pa.array(c.view(np.int64)) for c in cols), pa.array(n)], names=["w1", "w2", "w3", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,6 +238,7 @@ def count_windows(chunks: DataFrame, seed: int = 0) -> DataFrame:
                     same = np.zeros(len(h), bool)
                     same[:-k] = chunk[k:] == chunk[:-k]
                     after.append(np.where(same, np.append(h[k:], np.zeros(k, U64)), U64(0)))
+                own &= after[0] != 0  # single words are counted already
                 held.append([h[own], after[0][own], after[1][own], times[lo:][chunk[own]]])
                 rows += int(own.sum())
                 if rows >= HELD_WINDOWS:
@@ -231,9 +254,8 @@ def count_windows(chunks: DataFrame, seed: int = 0) -> DataFrame:
 def count_phrases(windows: DataFrame, min_count: int) -> DataFrame:
     """(w1, w2, w3, a): pairs (w3 = 0) and triples that occur ``min_count``
     times or more. Both read the same shuffle."""
-    triples = windows.withColumn("a", F.when((F.col("w2") != 0) & (F.col("w3") != 0), F.col("n")).otherwise(F.lit(0)))
-    pairs = windows.groupBy("w1", "w2").agg(F.sum("n").alias("n")).withColumn(
-        "a", F.when(F.col("w2") != 0, F.col("n")).otherwise(F.lit(0)))
+    triples = windows.withColumn("a", F.when(F.col("w3") != 0, F.col("n")).otherwise(F.lit(0)))
+    pairs = windows.groupBy("w1", "w2").agg(F.sum("n").alias("a"))
     return (triples.where(F.col("a") >= min_count).select("w1", "w2", "w3", "a")
             .union(pairs.where(F.col("a") >= min_count).select("w1", "w2", F.lit(0).cast("long"), "a")))
 

@@ -83,7 +83,7 @@ def test_numbers_that_clash_get_another_seed(spark, monkeypatch):
         seeds.append(seed)
         rows = count(chunks, seed)
         if seed < 2:
-            rows = rows.withColumn("number", rows.number.bitwiseAND(3))
+            rows = rows.withColumn("number", rows["number"].bitwiseAND(3))
         return rows
 
     monkeypatch.setattr(C, "count_words", clash)

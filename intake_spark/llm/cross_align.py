@@ -28,6 +28,7 @@ from __future__ import annotations
 import functools
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +38,13 @@ from pyspark.sql import functions as F
 from . import sorted_parts
 from .files import stored
 from .id_store import ByteBpe
-from .piece_codec import codec
+from .piece_codec import PieceBpe
+from .segments import SegmentTable
 from .textbytes import blocks, ragged
 
-BLOCK = 1 << 19         # bytes of text, or ids, handled at once
-HELD_PAIRS = 1 << 20    # distinct pairs that a task combines before it hands them on
+BLOCK = 1 << 18         # bytes of text, or ids, handled at once
+HELD_PAIRS = 1 << 18    # distinct pairs that a task combines before it hands them on
+HELD_SEGMENTS = 300_000 # encodings that a tokenizer remembers in a worker
 
 
 # ---------------------------------------------------------------- vocabularies
@@ -63,6 +66,7 @@ def byte_tokenizer(path: str) -> tuple[ByteBpe, list[bytes]]:
     enc = ByteBpe(path)
     enc.special = []
     enc.lib.encode_special_tokens = True
+    enc.table = SegmentTable(enc._encode, [enc.dtype], HELD_SEGMENTS)
     byte_of = {c: b for b, c in enc._chars.items()}
     names = [""] * enc.lib.get_vocab_size()
     for name, i in enc.lib.get_vocab().items():
@@ -70,23 +74,36 @@ def byte_tokenizer(path: str) -> tuple[ByteBpe, list[bytes]]:
     return enc, [bytes(byte_of[c] for c in n) if all(c in byte_of for c in n) else n.encode() for n in names]
 
 
+@functools.lru_cache(maxsize=2)
+def piece_tokenizer(path: str) -> PieceBpe:
+    enc = PieceBpe(path)
+    enc.table = SegmentTable(enc._segments, [np.uint32, np.uint8], HELD_SEGMENTS)
+    return enc
+
+
 def piece_entries(path: str) -> list[bytes]:
-    enc = codec(path)
+    enc = piece_tokenizer(path)
     return [bytes([enc.byte_of[i]]) if i in enc.byte_of else enc.plain.get(i, b"") for i in range(len(enc.pieces))]
 
 
-@functools.lru_cache(maxsize=2)
 def identity(a_path: str, b_path: str) -> np.ndarray:
     """The B id of the same bytes for each A id, or -1. Where a byte piece and
     a plain piece have the same byte, the plain one, as the encoder prefers it."""
-    enc = codec(b_path)
+    enc = piece_tokenizer(b_path)
     by_bytes = {bytes([b]): i for i, b in enc.byte_of.items()} | {p: i for i, p in enc.plain.items()}
     return np.array([by_bytes.get(e, -1) if e else -1 for e in byte_tokenizer(a_path)[1]], np.int64)
 
 
+class Pair(NamedTuple):
+    """What the tasks after the encoding need of both vocabularies."""
+    a: Vocabulary
+    b: Vocabulary
+    same: np.ndarray    # the B id of the same bytes, by A id
+
+
 @functools.lru_cache(maxsize=2)
-def vocabularies(a_path: str, b_path: str) -> tuple[Vocabulary, Vocabulary]:
-    return Vocabulary(byte_tokenizer(a_path)[1]), Vocabulary(piece_entries(b_path))
+def pair_of(a_path: str, b_path: str) -> Pair:
+    return Pair(Vocabulary(byte_tokenizer(a_path)[1]), Vocabulary(piece_entries(b_path)), identity(a_path, b_path))
 
 
 # -------------------------------------------------------------------- encoding
@@ -99,10 +116,10 @@ def encode_block(data: np.ndarray, off: np.ndarray, a_path: str, b_path: str):
     soff = off + np.concatenate([[0], np.cumsum(filled)])
     a, n = byte_tokenizer(a_path)[0].encode(spaced, soff)
     aoff = np.concatenate([[0], np.cumsum(n)])
-    b, boff, _, _ = codec(b_path).encode_block(data, off)
+    b, boff, _, _ = piece_tokenizer(b_path).encode_block(data, off)
     a, b = a.astype(np.int64), b.astype(np.int64)
     same = filled
-    for ids, ioff, vocabulary in zip((a, b), (aoff, boff), vocabularies(a_path, b_path)):
+    for ids, ioff, vocabulary in zip((a, b), (aoff, boff), pair_of(a_path, b_path)):
         ends = np.concatenate([[0], np.cumsum(vocabulary.size[ids])])[ioff]
         text = vocabulary.text(ids)
         if len(text) == len(spaced) and np.array_equal(ends, soff) and np.array_equal(text, spaced):
@@ -137,15 +154,14 @@ def encode_both(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id",
 class Aligned:
     """Links and groups of consecutive documents, all in one byte line."""
 
-    def __init__(self, a: np.ndarray, aoff: np.ndarray, b: np.ndarray, boff: np.ndarray, a_path: str, b_path: str) -> None:
-        va, vb = vocabularies(a_path, b_path)
-        ends_a, ends_b = np.cumsum(va.size[a]), np.cumsum(vb.size[b])
+    def __init__(self, a: np.ndarray, aoff: np.ndarray, b: np.ndarray, boff: np.ndarray, pair: Pair) -> None:
+        ends_a, ends_b = np.cumsum(pair.a.size[a]), np.cumsum(pair.b.size[b])
         ends = np.union1d(ends_a, ends_b)
         self.of_a, self.of_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
         self.a, self.b = a[self.of_a], b[self.of_b]  # the link that ends here
         self.cut = (ends_a[self.of_a] == ends_b[self.of_b]) if len(ends) else np.zeros(0, bool)
         alone = self.cut & np.concatenate([[True], self.cut[:-1]]) if len(ends) else self.cut
-        self.plain = alone & (identity(a_path, b_path)[self.a] == self.b)
+        self.plain = alone & (pair.same[self.a] == self.b)
         # links by document: a document's last end is an end of both
         last = np.where(np.diff(aoff) > 0, aoff[1:] - 1, -1)
         until = np.where(last >= 0, np.searchsorted(ends, ends_a[last]) + 1 if len(ends) else 0, 0)
@@ -163,12 +179,13 @@ def _blocks_of_ids(batch: pa.RecordBatch):
     for c in ("a", "b"):
         lists = batch.column(c)
         off = lists.offsets.to_numpy().astype(np.int64)
-        cols.append((lists.values.to_numpy().astype(np.int64), off))
+        cols.append((lists.values.to_numpy(), off))
     (a, aoff), (b, boff) = cols
     both, lo = aoff + boff, 0
     while lo < batch.num_rows:
         hi = min(batch.num_rows, max(lo + 1, int(np.searchsorted(both, both[lo] + BLOCK, "right")) - 1))
-        yield (lo, hi, a[aoff[lo]: aoff[hi]], aoff[lo: hi + 1] - aoff[lo], b[boff[lo]: boff[hi]], boff[lo: hi + 1] - boff[lo])
+        yield (lo, hi, a[aoff[lo]: aoff[hi]].astype(np.int64), aoff[lo: hi + 1] - aoff[lo],
+               b[boff[lo]: boff[hi]].astype(np.int64), boff[lo: hi + 1] - boff[lo])
         lo = hi
 
 
@@ -176,11 +193,14 @@ def _packed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a << 32 | b
 
 
-def count_links(encoded: DataFrame, a_path: str, b_path: str) -> DataFrame:
+def count_links(encoded: DataFrame, pair: Pair) -> DataFrame:
     """(a, b, n): how many links hold an id pair; rows with b = -1 are the
     summed vector of groups of one token each with the same bytes."""
+    shared = encoded.sparkSession.sparkContext.broadcast(pair)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vector = np.zeros(len(identity(a_path, b_path)), np.int64)
+        pair = shared.value
+        vector = np.zeros(len(pair.same), np.int64)
         keys, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
         def rows(a, b, n):
@@ -189,7 +209,7 @@ def count_links(encoded: DataFrame, a_path: str, b_path: str) -> DataFrame:
 
         for batch in batches:
             for _, _, *ids in _blocks_of_ids(batch):
-                al = Aligned(*ids, a_path, b_path)
+                al = Aligned(*ids, pair)
                 vector += np.bincount(al.a[al.plain], minlength=len(vector))
                 own, m = np.unique(_packed(al.a[~al.plain], al.b[~al.plain]), return_counts=True)
                 merged, at = np.unique(np.concatenate([keys, own]), return_inverse=True)
@@ -210,8 +230,8 @@ class Counts:
     """Corpus counts of id pairs: of plain groups by A id, and the highest by
     B id, as vectors; of the other pairs in sorted parts."""
 
-    def __init__(self, spark: SparkSession, links: DataFrame, a_path: str, b_path: str) -> None:
-        same = identity(a_path, b_path)
+    def __init__(self, spark: SparkSession, links: DataFrame, pair: Pair) -> None:
+        same = pair.same
         self.plain = np.zeros(len(same), np.int64)      # count of (a, same bytes), by a
         for r in links.where("b = -1").toLocalIterator():   # at most one row an A id
             self.plain[r["a"]] = r["n"]
@@ -222,7 +242,7 @@ class Counts:
                        .groupBy("a", "b").agg(F.sum("n").alias("n"), (F.max(F.col("b") == F.col("to"))).alias("same")), "pairs")
         for r in whole.where("same").toLocalIterator():     # plain pairs, with their irregular links
             self.plain[r["a"]] = r["n"]
-        self.highest = np.zeros(len(vocabularies(a_path, b_path)[1].size), np.int64)
+        self.highest = np.zeros(len(pair.b.size), np.int64)
         for r in whole.groupBy("b").agg(F.max("n").alias("n")).toLocalIterator():   # at most one row a B id
             self.highest[r["b"]] = r["n"]
         key = F.shiftleft(F.col("a").cast("long"), 32).bitwiseOR(F.col("b").cast("long"))
@@ -264,18 +284,18 @@ def _group_text(al: Aligned, a: np.ndarray, aoff: np.ndarray, b: np.ndarray, bof
     return out.tobytes(), np.concatenate([[0], ends])[aoff + boff]
 
 
-def align(encoded: DataFrame, counts: Counts, a_path: str, b_path: str, with_groups: bool = False) -> DataFrame:
+def align(encoded: DataFrame, counts: Counts, pair: Pair, with_groups: bool = False) -> DataFrame:
     """One row a document: id, n_a, n_b, n_groups, n_links, n_best, count_sum,
     groups_sha256, and the groups' text on request."""
-    held = encoded.sparkSession.sparkContext.broadcast(counts)
+    held = encoded.sparkSession.sparkContext.broadcast((counts, pair))
     schema = (f"id {encoded.schema['id'].dataType.simpleString()}, n_a long, n_b long, n_groups long, n_links long, "
               "n_best long, count_sum long, groups_sha256 string" + ", groups string" * with_groups)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = held.value
+        c, pair = held.value
         for batch in batches:
             for lo, hi, *ids in _blocks_of_ids(batch):
-                al = Aligned(*ids, a_path, b_path)
+                al = Aligned(*ids, pair)
                 n = c.of(al)
                 text, off = _group_text(al, *ids)
                 off, view = off.tolist(), memoryview(text)
@@ -298,8 +318,9 @@ def cross_align(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id",
     """Encode, count and judge every text of ``docs``."""
     spark = docs.sparkSession
     encoded = stored(spark, encode_both(docs, a_path, b_path, key, text), "both-ids")
-    links = stored(spark, count_links(encoded, a_path, b_path), "links")
-    return align(encoded, Counts(spark, links, a_path, b_path), a_path, b_path, with_groups)
+    pair = pair_of(a_path, b_path)
+    links = stored(spark, count_links(encoded, pair), "links")
+    return align(encoded, Counts(spark, links, pair), pair, with_groups)
 
 
 def digest(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:

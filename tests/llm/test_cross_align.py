@@ -95,7 +95,7 @@ def test_query_over_whole_documents(spark):
 def test_only_irregular_groups_enter_the_pair_rows(spark):
     docs = spark.createDataFrame([(i, "the house and the tree") for i in range(30)], "doc_id long, text string")
     encoded = cross_align.encode_both(docs, A, B)
-    rows = cross_align.count_links(encoded, A, B).collect()
+    rows = cross_align.count_links(encoded, cross_align.pair_of(A, B)).collect()
     assert rows and all(r.b == -1 and r.n % 30 == 0 for r in rows)
 
 

@@ -62,6 +62,17 @@ def scan_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ok.withColumn("status", F.lit("ok")).withColumn("message", F.lit(None).cast("string")).unionByName(failed)
 
 
+def all_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(watch, scan_day, scan_ts, status, message, mid_day): the attempts, and a
+    last one of each watch that finds an empty folder; ``mid_day`` halves them."""
+    made = scan_attempts(spark, sf_dir)
+    ends = made.groupBy("watch").agg(F.min("scan_day").alias("_a"), F.max("scan_day").alias("_b"))
+    empty = ends.select("watch", F.date_add("_b", 1).alias("scan_day"), F.date_add("_b", 1).cast("timestamp_ntz").alias("scan_ts"),
+                        F.lit("ok").alias("status"), F.lit(None).cast("string").alias("message"))
+    mid = ends.select("watch", F.date_add("_a", F.floor(F.datediff("_b", "_a") / 2).cast("int")).alias("mid_day"))
+    return made.unionByName(empty).join(mid, "watch")
+
+
 def scan_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(watch, scan_no, scan_ts, name, size): the append-only observation log."""
     s = scans(spark, sf_dir).select("watch", "scan_day", "scan_no", "scan_ts")

@@ -447,6 +447,30 @@ SELECT r.req_id, r.base,
 FROM req r JOIN ft ON ft.base = r.base LEFT JOIN free f ON f.base = r.base AND f.r = r.i - ft.ft
 """
 
+SQL["stream_scans"] = f"""
+WITH {SCAN_LOG},
+attempts AS (
+  SELECT watch, scan_day, CAST(scan_day AS TIMESTAMP) AS scan_ts, 'ok' AS status, NULL AS message FROM scans
+  UNION ALL
+  SELECT watch, scan_day, CAST(scan_day AS TIMESTAMP) + INTERVAL 12 HOUR, 'error', 'folder not reachable'
+  FROM scans WHERE day(scan_day) % 5 = 0
+  UNION ALL
+  SELECT watch, max(scan_day) + 1, CAST(max(scan_day) + 1 AS TIMESTAMP), 'ok', NULL FROM scans GROUP BY watch),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY watch ORDER BY scan_ts) AS attempt,
+         CASE WHEN status = 'ok' THEN count(*) FILTER (WHERE status = 'ok') OVER (PARTITION BY watch ORDER BY scan_ts) END AS scan_no
+  FROM attempts),
+per AS (SELECT watch, scan_no, count(*) AS n_files, count(*) FILTER (WHERE cnt >= 2) AS n_candidates, sum(cnt) AS n_counts
+        FROM counted GROUP BY 1, 2),
+landed AS (SELECT watch, (SELECT count(*) FROM log l WHERE l.watch = n.watch) + count(*) AS n_landed FROM numbered n GROUP BY watch)
+SELECT n.watch, CAST(n.attempt AS BIGINT) AS attempt, n.scan_ts,
+       CASE WHEN n.status <> 'ok' THEN 'error' WHEN p.n_candidates > 0 THEN 'snapshot' ELSE 'empty' END AS kind,
+       CAST(n.scan_no AS BIGINT) AS scan_no, CAST(coalesce(p.n_files, 0) AS BIGINT) AS n_files,
+       CAST(coalesce(p.n_candidates, 0) AS BIGINT) AS n_candidates, CAST(coalesce(p.n_counts, 0) AS BIGINT) AS n_counts,
+       n.message, n_landed
+FROM numbered n LEFT JOIN per p ON p.watch = n.watch AND p.scan_no = n.scan_no JOIN landed l ON l.watch = n.watch
+"""
+
 SQL["stream_dedup"] = r"""
 SELECT DISTINCT md5(text) || '.raw' AS name, n_chars AS size FROM documents
 """

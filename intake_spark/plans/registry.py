@@ -36,6 +36,7 @@ QUERIES = {
     "job_metadata": Q.job_metadata,
     "unique_target_names": Q.unique_target_names,
     "stream_stability": S.stream_stability,
+    "stream_scans": S.stream_scans,
     "stream_dedup": S.stream_dedup,
     "stream_jobs": S.stream_jobs,
 }

@@ -3,13 +3,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import jobs as jobs_ops
 from ..session import scratch_path
 from ..streaming import runner
+from ..streaming import scans as scn
 from ..streaming import stability as sst
+from ..streaming.commits import BatchTables
 from . import derive as D
 from .queries import _content_candidates
 
@@ -59,6 +61,48 @@ def stream_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sst.stream_candidates(spark.read.schema(sst.OUTPUT_SCHEMA).parquet(f"{base}/out"))
 
 
+def scan_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, manifests) of all scan attempts, failed ones, and an empty one
+    after each watch's last, with the landing (0 to 3) that each comes in: the
+    rows of a scan come in three landings, its manifest in one of these."""
+    attempts = D.all_attempts(spark, sf_dir)
+    late = (F.col("scan_day") > F.col("mid_day")).cast("int")
+    number = F.row_number().over(Window.partitionBy("watch").orderBy("scan_ts")).cast("long")
+    attempts = attempts.withColumn("attempt", number)
+    obs = D.observations(spark, sf_dir)
+    per = obs.groupBy("watch", "scan_day").agg(F.count(F.lit(1)).alias("n_rows"))
+    manifests = attempts.join(per, ["watch", "scan_day"], "left").withColumn(
+        "n_rows", F.when(F.col("status") == "ok", F.coalesce("n_rows", F.lit(0))))
+    rows = (obs.join(attempts.filter(F.col("status") == "ok").select("watch", "scan_day", "mid_day", "attempt"), ["watch", "scan_day"])
+            .withColumn("landing", late + F.pmod(F.xxhash64("name"), F.lit(3)).cast("int")))
+    told = manifests.withColumn("landing", late + F.pmod("attempt", F.lit(3)).cast("int"))
+    keep = ["landing"]
+    return (rows.select(*keep, *[F.col(c) for c in ("watch", "attempt", "name", "size")]),
+            told.select(*keep, "watch", "attempt", "status", "n_rows", "scan_ts", "message"))
+
+
+def stream_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every scan comes in three batches and counts when its
+    manifest is fulfilled; events of all attempts, failed and empty ones
+    included. A hook before each batch lands how many rows it has."""
+    base = scratch_path(spark, "scans")
+    rows, told = scan_parts(spark, sf_dir)
+    both = scn.rows_of(rows.drop("landing")).limit(0)
+    for i in range(4):
+        part = scn.rows_of(rows.filter(F.col("landing") == i)).unionByName(scn.manifests_of(told.filter(F.col("landing") == i)))
+        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    src = spark.readStream.schema(both.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+
+    def count_rows(df: DataFrame, batch_id: int) -> None:
+        (df.groupBy("watch").agg(F.count(F.lit(1)).alias("n_rows")).write.mode("overwrite").parquet(f"{base}/seen/batch_id={batch_id}"))
+
+    _run(src, runner.with_hook(scn.scan_handler(f"{base}/tables"), count_rows), base)
+    events = scn.read_events(BatchTables(spark, f"{base}/tables"))
+    seen = spark.read.schema("watch string, n_rows long, batch_id long").parquet(f"{base}/seen")
+    landed = seen.groupBy("watch").agg(F.sum("n_rows").alias("n_landed"))
+    return events.join(landed, "watch").select("watch", "attempt", "scan_ts", "kind", "scan_no", "n_files", "n_candidates", "n_counts", "message", "n_landed")
+
+
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate keys de-duplicated against a ledger table in ``foreachBatch``."""
     base = scratch_path(spark, "dedup")

@@ -155,9 +155,8 @@ def job_state_table_handler(state_path: str, out_path: str):
     def handle(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         prev = read_table(spark, f"{state_path}/batch_id={batch_id - 1}", JOB_STATE_SCHEMA, batch_id == 0)
-        (merge_job_events(df, prev).withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(out_path))
+        # a folder of its own, so that a batch without events leaves its schema there
+        merge_job_events(df, prev).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
         written = spark.read.schema(JOB_STATE_SCHEMA).parquet(f"{out_path}/batch_id={batch_id}")
         next_job_state(written, prev).write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
         drop_version(spark, f"{state_path}/batch_id={batch_id - 2}")  # a retry of this batch needs n-1 only

@@ -9,9 +9,10 @@ newer than its key's state is a replay or late arrival: it is reported with
 * ``advance_counts`` / ``state_table_handler`` (used by the registered
   stream and the incremental batch query): the state is a versioned table;
   each batch seeds the blocked W1 of ``operators.stability`` with it - JVM
-  only, skew-safe, and the state keeps just the files of the latest scan and
-  each watch's highest scan. A scan is landed as one file, so rows at or below
-  that scan are replays, also of files that have gone since.
+  only, skew-safe, and the state keeps just the files of the two latest scans
+  and each watch's highest scan. Rows below that scan are replays, also of
+  files that have gone since; a scan may be split over consecutive batches, as
+  long as it comes whole before the next one (``streaming.scans`` needs no such order).
 * ``stream_counts``: the same rule in ``applyInPandasWithState``, rows
   sorted by scan inside each group; keys idle longer than ``idle_timeout``
   are evicted so dead files do not accumulate in the state store.
@@ -95,21 +96,27 @@ STATE_TABLE_SCHEMA = "watch string, name string, scan_no long, size long, cnt lo
 
 def advance_counts(batch: DataFrame, state: DataFrame) -> DataFrame:
     """T2-T4 for one micro-batch (or one incremental batch run): counted rows.
+    A scan may go on in the next batch; then its new names count there.
 
     ``state(watch, name, scan_no, size, cnt)`` holds each live file's last
     observation and run length, and each watch's highest scan (null name).
     Each file's row joins the new rows as a seed whose run began at ``scan_no -
     cnt + 1``; the blocked W1 of ``operators.stability`` then counts seed + new
-    rows, so a file seen in many new scans is still split over tasks. Rows not
-    newer than their watch's highest scan are replays: ``late = true``, no count.
+    rows, so a file seen in many new scans is still split over tasks. Rows of a
+    scan below their watch's highest one, or of that scan and a name that the
+    state has there, are replays: ``late = true``, no count.
     """
     b = batch.select("watch", "name", "scan_no", "size")
     b = b.join(state.groupBy("watch").agg(F.max("scan_no").alias("_s0")), "watch", "left")
-    late = F.col("_s0").isNotNull() & (F.col("scan_no") <= F.col("_s0"))
+    known = state.filter(F.col("name").isNotNull())
+    here = known.groupBy("watch", "name").agg(F.max("scan_no").alias("_s1"))
+    b = b.join(here, ["watch", "name"], "left")
+    late = F.coalesce((F.col("scan_no") < F.col("_s0")) | (F.col("scan_no") <= F.col("_s1")), F.lit(False))
     fresh = b.filter(~late).select("watch", "name", "scan_no", "size",
                                    F.lit(None).cast("long").alias("_start"))
-    seeds = state.filter(F.col("name").isNotNull()).select(
-        "watch", "name", "scan_no", "size", (F.col("scan_no") - F.col("cnt") + 1).alias("_start"))
+    last = F.max_by(F.struct("size", "cnt"), F.col("scan_no"))
+    seeds = known.groupBy("watch", "name").agg(F.max("scan_no").alias("scan_no"), last.alias("_l")).select(
+        "watch", "name", "scan_no", "_l.size", (F.col("scan_no") - F.col("_l.cnt") + 1).alias("_start"))
     rows = stability_counts(fresh.unionByName(seeds), start_col="_start")
     return (rows.filter(F.col("_start").isNull())
             .select("watch", "scan_no", "name", "size", F.col("count").cast("long"), F.lit(False).alias("late"))
@@ -119,7 +126,8 @@ def advance_counts(batch: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def next_state(counted: DataFrame, state: DataFrame) -> DataFrame:
-    """State after a batch: the files of each watch's latest scan, and that scan.
+    """State after a batch: the files of each watch's two latest scans (the last
+    one may go on in the next batch), and the number of the last.
 
     Built from the batch's counted rows (already written by the handler, so
     the run lengths are not recomputed) and the previous state.
@@ -130,23 +138,24 @@ def next_state(counted: DataFrame, state: DataFrame) -> DataFrame:
     top = rows.groupBy("watch").agg(F.max("scan_no").alias("scan_no"))
     mark = top.select("watch", F.lit(None).cast("string").alias("name"), "scan_no",
                       F.lit(None).cast("long").alias("size"), F.lit(0).cast("long").alias("cnt"))
-    live = rows.filter(F.col("name").isNotNull()).join(top, ["watch", "scan_no"])
+    live = rows.filter(F.col("name").isNotNull()).join(top.withColumnRenamed("scan_no", "_top"), "watch")
+    live = live.filter(F.col("scan_no") >= F.col("_top") - 1)
     return live.select("watch", "name", "scan_no", "size", F.col("cnt").cast("long").alias("cnt")).unionByName(mark)
 
 
 def state_table_handler(state_path: str, out_path: str):
     """``foreachBatch`` handler: read state v(n-1), write rows and state v(n).
 
-    Both writes are keyed by batch id with dynamic partition overwrite, so a
-    retried batch recomputes from the same previous state and replaces its
-    own output. Only the two newest state versions are kept.
+    Both writes go to a folder of the batch id, so a retried batch recomputes
+    from the same previous state and replaces its own output. Only the two
+    newest state versions are kept. ``streaming.scans`` is the form for logs
+    with manifests: there a scan counts once it is complete.
     """
     def handle(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         prev = read_table(spark, f"{state_path}/batch_id={batch_id - 1}", STATE_TABLE_SCHEMA, batch_id == 0)
-        (advance_counts(df, prev).withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(out_path))
+        # a folder of its own, so that a batch without rows leaves its schema there
+        advance_counts(df, prev).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
         written = spark.read.schema(OUTPUT_SCHEMA).parquet(f"{out_path}/batch_id={batch_id}")
         next_state(written, prev).write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
         drop_version(spark, f"{state_path}/batch_id={batch_id - 2}")  # a retry of this batch needs n-1 only

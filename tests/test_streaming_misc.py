@@ -111,3 +111,28 @@ def test_registered_streams_run_several_batches(spark, monkeypatch, tmp_path):
         monkeypatch.setattr(streams, "scratch_path", lambda s, n, base=base: base)
         assert getattr(streams, key)(spark, SF["0.001"]).count() > 0
         assert len([f for f in os.listdir(f"{base}/ckpt/commits") if not f.startswith(".")]) == streams.LANDINGS
+
+
+def test_empty_batches_and_scans_split_over_batches(spark, tmp_path):
+    from intake_spark.streaming.stability import OUTPUT_SCHEMA, state_table_handler, stream_candidates
+    out = str(tmp_path / "out")
+    handle = state_table_handler(str(tmp_path / "state"), out)
+    batches = [[], [(1, "a")], [(1, "b")], [], [(2, "b")], [(2, "a"), (1, "b")], [(3, "a"), (3, "b"), (2, "c")], []]
+    for i, rows in enumerate(batches):
+        handle(spark.createDataFrame([("w", s, n, 5) for s, n in rows], "watch string, scan_no long, name string, size long"), i)
+    res = spark.read.schema(OUTPUT_SCHEMA).parquet(out)
+    got = sorted((r.scan_no, r.name, r["count"]) for r in stream_candidates(res, 2).collect())
+    assert got == [(2, "a", 2), (2, "b", 2), (3, "a", 3), (3, "b", 3)]
+    assert [(r.scan_no, r.name) for r in res.filter("late").collect() if r.name != "c"] == [(1, "b")]
+
+
+def test_job_state_takes_empty_batches(spark, tmp_path):
+    import datetime as dt
+    from intake_spark.operators.jobs import finalize_state
+    from intake_spark.streaming.runner import JOB_EVENT_SCHEMA, JOB_STATE_SCHEMA, fold_job_facts, job_state_table_handler
+    handle = job_state_table_handler(str(tmp_path / "state"), str(tmp_path / "out"))
+    t = dt.datetime(2024, 1, 1)
+    for i, rows in enumerate([[], [(1, 0, "ready", t, None)], [], [(1, 4, "returncode", None, "0")], []]):
+        handle(spark.createDataFrame(rows, JOB_EVENT_SCHEMA), i)
+    facts = spark.read.schema(JOB_STATE_SCHEMA).parquet(str(tmp_path / "out"))
+    assert [(r.job, r.state) for r in finalize_state(fold_job_facts(facts)).collect()] == [(1, "finish")]

@@ -40,7 +40,7 @@ from .files import stored
 from .id_store import ByteBpe
 from .piece_codec import PieceBpe
 from .segments import SegmentTable
-from .textbytes import blocks, ragged
+from .textbytes import blocks, ragged, text_buffers
 
 BLOCK = 1 << 18         # bytes of text, or ids, handled at once
 HELD_PAIRS = 1 << 18    # distinct pairs that a task combines before it hands them on
@@ -94,6 +94,10 @@ def identity(a_path: str, b_path: str) -> np.ndarray:
     return np.array([by_bytes.get(e, -1) if e else -1 for e in byte_tokenizer(a_path)[1]], np.int64)
 
 
+def id_type(vocabulary: Vocabulary) -> np.dtype:
+    return np.dtype("<u2" if len(vocabulary.size) <= 1 << 16 else "<u4")
+
+
 class Pair(NamedTuple):
     """What the tasks after the encoding need of both vocabularies."""
     a: Vocabulary
@@ -134,7 +138,9 @@ def encode_block(data: np.ndarray, off: np.ndarray, a_path: str, b_path: str):
 
 
 def encode_both(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, a, b (array<int>): the ids of both tokenizers for every text."""
+    """id, a, b: the ids of both tokenizers for every text, as unsigned
+    little-endian numbers of ``id_type`` one after another (binary)."""
+    kinds = [id_type(v) for v in pair_of(a_path, b_path)[:2]]
     rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,10 +149,13 @@ def encode_both(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id",
                 a, aoff, b, boff = encode_block(data, off, a_path, b_path)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").slice(lo, hi - lo),
-                     *(pa.ListArray.from_arrays(pa.array(o, pa.int32()), pa.array(x.astype(np.int32))) for x, o in ((a, aoff), (b, boff)))],
-                    names=["id", "a", "b"])
+                     *(_binary(x.astype(kind), o) for x, o, kind in zip((a, b), (aoff, boff), kinds))], names=["id", "a", "b"])
+
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, a binary, b binary")
+
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, a array<int>, b array<int>")
+def _binary(ids: np.ndarray, off: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(off) - 1, [None, pa.py_buffer((off * ids.itemsize).astype(np.int32)), pa.py_buffer(ids)])
 
 
 # ------------------------------------------------------------------- alignment
@@ -172,14 +181,16 @@ class Aligned:
         return total[self.off[1:]] - total[self.off[:-1]]
 
 
-def _blocks_of_ids(batch: pa.RecordBatch):
+def _blocks_of_ids(batch: pa.RecordBatch, pair: Pair):
     """(lo, hi, a, aoff, b, boff) over consecutive rows of at most ``BLOCK``
     ids, at least one row each."""
+    if not batch.num_rows:
+        return
     cols = []
-    for c in ("a", "b"):
-        lists = batch.column(c)
-        off = lists.offsets.to_numpy().astype(np.int64)
-        cols.append((lists.values.to_numpy(), off))
+    for c, v in (("a", pair.a), ("b", pair.b)):
+        data, off = text_buffers(batch.column(c))
+        kind = id_type(v)
+        cols.append((data[off[0]: off[-1]].view(kind), (off - off[0]) // kind.itemsize))
     (a, aoff), (b, boff) = cols
     both, lo = aoff + boff, 0
     while lo < batch.num_rows:
@@ -208,7 +219,7 @@ def count_links(encoded: DataFrame, pair: Pair) -> DataFrame:
                                               names=["a", "b", "n"])
 
         for batch in batches:
-            for _, _, *ids in _blocks_of_ids(batch):
+            for _, _, *ids in _blocks_of_ids(batch, pair):
                 al = Aligned(*ids, pair)
                 vector += np.bincount(al.a[al.plain], minlength=len(vector))
                 own, m = np.unique(_packed(al.a[~al.plain], al.b[~al.plain]), return_counts=True)
@@ -294,7 +305,7 @@ def align(encoded: DataFrame, counts: Counts, pair: Pair, with_groups: bool = Fa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, pair = held.value
         for batch in batches:
-            for lo, hi, *ids in _blocks_of_ids(batch):
+            for lo, hi, *ids in _blocks_of_ids(batch, pair):
                 al = Aligned(*ids, pair)
                 n = c.of(al)
                 text, off = _group_text(al, *ids)

@@ -10,10 +10,8 @@ per *pattern*; patterns come from configuration, not from the data volume.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Characters a pattern list string is split on, the suffix that
 # gets a directory twin, and that twin's suffix.
@@ -142,10 +140,3 @@ def combined_regex(regexes: list[str]) -> str | None:
     if not regexes:
         return None
     return "|".join(f"(?:{r})" for r in regexes)
-
-
-@F.pandas_udf(T.StringType())
-def path_glob_regex_udf(p: pd.Series, recursive: pd.Series) -> pd.Series:
-    """P1 compile step for a pattern *column* (configuration-sized tables only)."""
-    return pd.Series([None if s is None else path_glob_regex(s, bool(r))
-                      for s, r in zip(p, recursive)])

@@ -1,41 +1,78 @@
 """Inventory operators: include (J1/U2), ignore (J2/U1), entry kind (P3),
 directory roll-up (A1) and last-wins listing (A6).
 
-Include patterns come from watch definitions. Whatever their number, there is
-one path: each watch's patterns are normalised (F1) and compiled to one regular
-expression, the table (one row a watch) is joined to the entries on the watch,
-and a watch that the table doesn't list uses the default's expression.
-
-Ignore lists have two origins. Lines that people wrote may hold wildcards;
-these few lines are compiled into regex filters. The processed ledger grows by
-one name a file and is matched literally: its names, and the literal lines,
-become equi anti-joins, each literal routed to the one column (name, rel or
-abs) it can equal.
+Patterns come from configuration: watch definitions and lines that people
+wrote. No pattern is ever compiled for a row:
+
+* few of them (``FEW`` expressions or watches, as in most deployments) become
+  literal regex predicates, which stay in generated JVM code;
+* many go into an automaton over the literals that their matches must contain
+  (``functions.globset``), built once a worker; a name is scanned once, and only
+  globs whose literal it has are tried. The list is sent to the workers in parts
+  of at most ``GLOBS_A_SET``, so a part's size is bounded.
+
+Both give the same results. The processed ledger grows by one name a file and is
+matched literally: its names, and the literal lines, become equi anti-joins,
+each literal routed to the one column (name, rel or abs) it can equal.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.globset import glob_set
 from ..functions.patterns import (combined_regex, fnmatch_regex, is_glob, normalize_patterns,
-                                  path_glob_regex_udf, strip_ws)
+                                  path_glob_regex, strip_ws)
 from ..functions.paths import entry_kind_ok
 
-GLOBS_A_REGEX = 200  # wildcard lines compiled into one expression; more lines make more filters
-NO_MATCH = "(?!)"
+FEW = 64              # expressions, watches or lines that become literal predicates
+GLOBS_A_SET = 50_000  # globs in one automaton
 
 
 # --------------------------------------------------------------------------- include
 
-def compiled_patterns(patterns: DataFrame, recursive: bool) -> DataFrame:
-    """``(watch, pattern)`` -> ``(watch, rx)``: one expression a watch."""
-    globs = patterns.select("watch", F.explode_outer(normalize_patterns(F.col("pattern"))).alias("glob"))
-    rx = globs.withColumn("rx", path_glob_regex_udf(F.col("glob"), F.lit(recursive)))
-    every = F.array_sort(F.collect_set(F.concat(F.lit("(?:"), F.col("rx"), F.lit(")"))))
-    return rx.groupBy("watch").agg(F.array_join(every, "|").alias("rx")) \
-        .withColumn("rx", F.when(F.col("rx") == "", F.lit(NO_MATCH)).otherwise(F.col("rx")))
+def watch_globs(config: DataFrame, default: str) -> tuple[dict[str, tuple[str, ...]], tuple[str, ...]]:
+    """F1 over ``(watch, pattern)``: each watch's globs, and the default's. One
+    row a watch, read by the driver as configuration is."""
+    blank = F.coalesce(strip_ws(F.col("pattern")), F.lit("")) == ""
+    own = config.filter(F.col("watch").isNotNull()).select(
+        "watch", F.when(blank, F.lit(default)).otherwise(F.col("pattern")).alias("pattern"))
+    fallback = config.sparkSession.range(1).select(F.lit(None).cast("string").alias("watch"), F.lit(default).alias("pattern"))
+    globs: dict[str | None, dict[str, None]] = defaultdict(dict)
+    for r in own.unionByName(fallback).select("watch", normalize_patterns(F.col("pattern")).alias("globs")).toLocalIterator():
+        globs[r["watch"]].update(dict.fromkeys(r["globs"]))
+    whole = {w: tuple(g) for w, g in globs.items()}
+    return whole, whole.pop(None)
+
+
+def in_globs(df: DataFrame, globs: list[tuple[str | None, str]], columns: list[str], owner: Column | None,
+             path_rules: bool, recursive: bool, keep: bool) -> DataFrame:
+    """The rows of which one of ``columns`` matches (``keep``) or none does."""
+    shared = df.sparkSession.sparkContext.broadcast(tuple(globs))
+    names = [f"_t{i}" for i in range(len(columns))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = glob_set(shared.value, path_rules, recursive)
+        for batch in batches:
+            owners = batch.column("_o").to_pylist()
+            hit = [False] * batch.num_rows
+            for n in names:
+                for i, text in enumerate(batch.column(n).to_pylist()):
+                    if text is not None and not hit[i]:
+                        hit[i] = found.match(text, owners[i])
+            yield pa.RecordBatch.from_arrays([batch.column("_row")], names=["_row"]).filter(pa.array([h == keep for h in hit]))
+
+    asked = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"),
+                      (F.lit(None).cast("string") if owner is None else owner).alias("_o"),
+                      *[F.col(c).alias(n) for c, n in zip(columns, names)])
+    kind = asked.schema["_row"].dataType.simpleString()
+    return asked.mapInArrow(run, f"_row {kind}").select("_row.*")
 
 
 def include_filter(entries: DataFrame, config: dict[str, str] | DataFrame, default: str,
@@ -49,14 +86,32 @@ def include_filter(entries: DataFrame, config: dict[str, str] | DataFrame, defau
     spark = entries.sparkSession
     if isinstance(config, dict):
         config = spark.createDataFrame(list(config.items()), "watch string, pattern string")
-    blank = F.coalesce(strip_ws(F.col("pattern")), F.lit("")) == ""
-    own = config.select("watch", F.when(blank, F.lit(default)).otherwise(F.col("pattern")).alias("pattern"))
-    fallback = spark.range(1).select(F.lit("").alias("watch"), F.lit(default).alias("pattern"))
-    rx = compiled_patterns(own, recursive).withColumnsRenamed({"watch": "_pw", "rx": "_rx"})
-    dflt = compiled_patterns(fallback, recursive).select("rx").scalar()
-    joined = entries.join(rx, F.col("watch") == F.col("_pw"), "left")
-    keep = F.regexp_like(F.col("rel"), F.coalesce("_rx", dflt))
-    return joined.filter(keep & entry_kind_ok(F.col("is_dir"), F.col("name"))).select(*entries.columns)
+    own, other = watch_globs(config, default)
+    entries = entries.filter(entry_kind_ok(F.col("is_dir"), F.col("name")))
+    if len(own) <= FEW:
+        by_globs = defaultdict(list)
+        for w, globs in own.items():
+            by_globs[globs].append(w)
+        keep = _any_glob(other, recursive) & ~F.coalesce(F.col("watch").isin(*own), F.lit(False)) if own else _any_glob(other, recursive)
+        for globs, watches in by_globs.items():
+            keep = keep | (F.col("watch").isin(*watches) & _any_glob(globs, recursive))
+        return entries.filter(keep)
+    # watches that aren't listed have the default's globs, under no owner
+    listed = spark.createDataFrame([(w,) for w in own], "_w string")
+    marked = entries.join(listed, F.col("watch") == F.col("_w"), "left")
+    pairs = [(None, g) for g in other] + [(w, g) for w, globs in own.items() for g in globs]
+    parts = [in_globs(marked, [p for p in pairs[i: i + GLOBS_A_SET]], ["rel"], F.col("_w"), True, recursive, True)
+             for i in range(0, len(pairs), GLOBS_A_SET)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    out = out.select(*entries.columns)
+    return out if len(parts) == 1 else out.distinct()
+
+
+def _any_glob(globs: tuple[str, ...], recursive: bool) -> Column:
+    rx = combined_regex([path_glob_regex(g, recursive) for g in globs])
+    return F.lit(False) if rx is None else F.col("rel").rlike(rx)
 
 
 # --------------------------------------------------------------------------- ignore
@@ -116,9 +171,11 @@ def ignore_filter(entries: DataFrame, user: DataFrame, ledger: DataFrame | None
     literal = pats.filter(~is_glob(F.col("pattern")))
     out = drop_literals(entries, literal if ledger is None else literal.unionByName(ledger.select("pattern")))
     globs = sorted(r.pattern for r in pats.filter(is_glob(F.col("pattern"))).toLocalIterator())
-    for i in range(0, len(globs), GLOBS_A_REGEX):
-        rx = combined_regex([fnmatch_regex(p) for p in globs[i: i + GLOBS_A_REGEX]])
-        out = out.filter(~(F.col("rel").rlike(rx) | F.col("name").rlike(rx) | F.col("abs").rlike(rx)))
+    if len(globs) <= FEW:
+        rx = combined_regex([fnmatch_regex(p) for p in globs])
+        return out if rx is None else out.filter(~(F.col("rel").rlike(rx) | F.col("name").rlike(rx) | F.col("abs").rlike(rx)))
+    for i in range(0, len(globs), GLOBS_A_SET):
+        out = in_globs(out, [(None, g) for g in globs[i: i + GLOBS_A_SET]], ["name", "rel", "abs"], None, False, False, False)
     return out
 
 

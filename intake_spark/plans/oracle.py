@@ -471,6 +471,15 @@ SELECT n.watch, CAST(n.attempt AS BIGINT) AS attempt, n.scan_ts,
 FROM numbered n LEFT JOIN per p ON p.watch = n.watch AND p.scan_no = n.scan_no JOIN landed l ON l.watch = n.watch
 """
 
+SQL["stream_intake"] = rf"""
+WITH {CONTENT_CANDIDATES},
+f AS (SELECT *, sha1(name || CAST(size AS VARCHAR)) AS hash FROM c
+      QUALIFY row_number() OVER (PARTITION BY name, size ORDER BY doc_id % 3, watch_idx, doc_id) = 1)
+SELECT name, size, watch, doc_id, hash, '/srv/intake/tmp/' || hash || '/input' AS input_folder,
+       '/data/in/' || watch || '/' || name AS source_path, CAST(doc_id % 3 AS BIGINT) AS batch_id
+FROM f
+"""
+
 SQL["stream_dedup"] = r"""
 SELECT DISTINCT md5(text) || '.raw' AS name, n_chars AS size FROM documents
 """

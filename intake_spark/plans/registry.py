@@ -38,6 +38,7 @@ QUERIES = {
     "stream_stability": S.stream_stability,
     "stream_scans": S.stream_scans,
     "stream_dedup": S.stream_dedup,
+    "stream_intake": S.stream_intake,
     "stream_jobs": S.stream_jobs,
 }
 

@@ -6,8 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import jsonfmt
 from ..operators import jobs as jobs_ops
 from ..session import scratch_path
+from ..streaming import ledger as led
 from ..streaming import runner
 from ..streaming import scans as scn
 from ..streaming import stability as sst
@@ -104,13 +106,51 @@ def stream_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candidate keys de-duplicated against a ledger table in ``foreachBatch``."""
+    """Candidate keys de-duplicated against a ledger whose buckets a batch opens in
+    part; it is folded on the way."""
     base = scratch_path(spark, "dedup")
     keys = _content_candidates(spark, sf_dir).select("name", "size", "doc_id")
     files = _land([p.drop("doc_id") for p in _split(keys, F.pmod("doc_id", F.lit(LANDINGS)))], f"{base}/in")
     src = spark.readStream.schema("name string, size long").option("maxFilesPerTrigger", files).parquet(f"{base}/in")
-    _run(src, runner.with_hook(runner.ledger_dedup_handler(f"{base}/ledger")), base)
-    return spark.read.parquet(f"{base}/ledger").select("name", "size")
+    _run(src, runner.with_hook(led.dedup_handler(f"{base}/ledger", fold_every=2)), base)
+    return led.Ledger(BatchTables(spark, f"{base}/ledger")).read()
+
+
+CANDIDATE_SCHEMA = "name string, size long, watch string, watch_idx long, doc_id long"
+
+
+def _job_specs(new: DataFrame) -> DataFrame:
+    """(hash, json) of new jobs."""
+    folder = F.concat(F.lit(D.TMP_ROOT + "/"), F.col("hash"))
+    return new.select("hash", jsonfmt.fill_io(F.lit(jsonfmt.JOB_TEMPLATE), F.concat(folder, F.lit("/input")),
+                                              F.concat(folder, F.lit("/output"))).alias("json"))
+
+
+def _job_metadata(new: DataFrame) -> DataFrame:
+    """F8: (hash, json) of new jobs."""
+    source = F.struct(F.col("name"), F.concat(F.lit(D.INPUT_ROOT + "/"), F.col("watch"), F.lit("/"), F.col("name")).alias("absolute_path"),
+                      F.col("size").alias("size_bytes"), F.lit(False).alias("is_dir"))
+    return new.select("hash", jsonfmt.metadata_json(F.struct("hash", source.alias("source"))).alias("json"))
+
+
+def stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates come in three landings, the stream
+    starting anew for each; candidates, specs, metadata and ledger lines of a
+    batch are committed together and read back."""
+    base = scratch_path(spark, "intake")
+    cands = _content_candidates(spark, sf_dir).drop("processed")
+    handler = led.intake_handler(f"{base}/tables", ["watch_idx", "doc_id"], {"specs": _job_specs, "metadata": _job_metadata}, fold_every=2)
+    for part in _split(cands, F.pmod("doc_id", F.lit(LANDINGS))):
+        part.select("name", "size", "watch", "watch_idx", "doc_id").write.mode("append").parquet(f"{base}/in")
+        _run(spark.readStream.schema(CANDIDATE_SCHEMA).parquet(f"{base}/in"), runner.with_hook(handler), base)
+    tables = BatchTables(spark, f"{base}/tables")
+    new = tables.read("candidates", f"{CANDIDATE_SCHEMA}, hash string")
+    spec = tables.read("specs", "hash string, json string").select("hash", F.get_json_object("json", "$.main_input_folder").alias("input_folder"))
+    meta = tables.read("metadata", "hash string, json string").select(
+        "hash", F.get_json_object("json", "$.source.absolute_path").alias("source_path"))
+    known = led.Ledger(tables).read()
+    return (new.join(spec, "hash").join(meta, "hash").join(known, ["name", "size"], "left_semi")
+            .select("name", "size", "watch", "doc_id", "hash", "input_folder", "source_path", "batch_id"))
 
 
 def stream_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -150,3 +150,74 @@ def test_unreadable_ignore_list_raises(spark, tmp_path):
     assert read_ignore_list(spark, str(tmp_path / "none.txt")).count() == 0
     with pytest.raises(Exception):
         read_ignore_list(spark, "nosuchscheme://x/y").count()
+
+
+def test_automaton_equals_one_pattern_at_a_time():
+    from intake_spark.functions.globset import GlobSet, required_literal
+    cases = _random_cases(21, 600)
+    globs = sorted({p for p, _ in cases})
+    names = sorted({n for _, n in cases})
+    found = GlobSet([(None, g) for g in globs])
+    for n in names:
+        assert found.match(n) == any(fnmatch.fnmatchcase(n, g) for g in globs)
+    for g in globs:
+        one, literal = GlobSet([(None, g)]), required_literal(g, False)
+        for n in names:
+            hit = fnmatch.fnmatchcase(n, g)
+            assert one.match(n) == hit and (not hit or literal in n)
+
+
+def test_path_automaton_equals_pathlib():
+    from intake_spark.functions.globset import GlobSet, required_literal
+
+    def fine(x):
+        parts = x.split("/")
+        return x and "//" not in x and not x.startswith("/") and not x.endswith("/") and ".." not in parts and "." not in parts
+    pairs = [(p, n) for p, n in _random_cases(22, 900) if fine(p) and fine(n)]
+    for g, n in pairs:
+        hit = PurePosixPath(n).full_match(g)
+        assert GlobSet([(None, g)], True).match(n) == hit, (g, n)
+        assert not hit or required_literal(g, True) in n
+        deep = PurePosixPath(n).full_match(g) or PurePosixPath(n).full_match("**/" + g)
+        assert GlobSet([(None, g)], True, True).match(n) == deep, (g, n)
+
+
+def test_owners_have_their_own_globs():
+    from intake_spark.functions.globset import GlobSet
+    found = GlobSet([("a", "*.raw"), ("b", "*.tdf"), (None, "?"), ("a", "[xy]*")])
+    assert found.match("f.raw", "a") and not found.match("f.raw", "b") and not found.match("f.raw")
+    assert found.match("x", None) and found.match("y1", "a") and not found.match("y1", "b")
+
+
+def test_many_lines_and_watches_cost_little_more_than_ten(spark):
+    import time
+    from intake_spark.operators import inventory as I
+    entries = spark.range(60_000).selectExpr("concat('w', id % 6000) as watch", "concat('run', id % 97, '/sample_', id, '.raw') as rel",
+                                             "concat('sample_', id, '.raw') as name", "concat('/in/run', id % 97, '/sample_', id, '.raw') as abs",
+                                             "false as is_dir").cache()
+    entries.count()
+
+    def took(make):
+        make().count()  # compiled, workers started
+        best = 1e9
+        for _ in range(2):
+            t = time.perf_counter()
+            make().write.format("noop").mode("overwrite").save()
+            best = min(best, time.perf_counter() - t)
+        return best
+
+    def lines(n):
+        pats = spark.createDataFrame([(f"*sample_{i}7?.raw",) for i in range(n)] + [("*.tmp",)], "pattern string").cache()
+        return took(lambda: I.in_globs(entries, [(None, r.pattern) for r in pats.collect()], ["name", "rel", "abs"], None, False, False, False))
+
+    def watches(n):
+        config = {f"w{i}": f"*_{i}*.raw, other{i}*" for i in range(n)}
+        return took(lambda: I.include_filter(entries, config, "*.d", True))
+
+    few = I.FEW
+    try:
+        I.FEW = 0  # the same path for both
+        assert lines(10_000) < 3 * lines(10) + 0.5
+        assert watches(5_000) < 3 * watches(10) + 0.5
+    finally:
+        I.FEW = few

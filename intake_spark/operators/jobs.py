@@ -62,6 +62,18 @@ def _marker_lines(markers: DataFrame) -> DataFrame:
     return ev.withColumn("ts", ts)
 
 
+def parse_marker_lines(lines: DataFrame) -> DataFrame:
+    """S5 for markers that are read line by line: ``(job, pos, text)`` ->
+    ``job_events``; ``seq`` is the line's position. A line that is a time alone is
+    the ready time, as only a marker's first line is."""
+    ready = F.col("text").rlike(ISO_RX)
+    event = F.when(ready, F.lit("ready")).otherwise(F.regexp_extract("text", EVENT_RX, 1))
+    value = F.when(ready, F.col("text")).otherwise(F.regexp_extract("text", EVENT_RX, 2))
+    ev = lines.select("job", F.col("pos").alias("seq"), event.alias("event"), value.alias("value")).filter(F.col("event") != "")
+    ts = F.when(F.col("event").isin(*TIMED) & F.col("value").rlike(ISO_RX), F.col("value").try_cast("timestamp_ntz"))
+    return ev.select("job", "seq", "event", ts.alias("ts"), "value")
+
+
 def return_code():
     """The return code of an event row; null for other events and for text that
     is no number (the last code that is one counts)."""

@@ -185,6 +185,11 @@ def job_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(k, F.concat_ws("\n", F.array_join(F.filter(lines, lambda x: x.isNotNull()), "\n"), odd).alias("text"))
 
 
+def marker_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(job, seq, line): the lines of every job's marker, in order."""
+    return job_markers(spark, sf_dir).select("job", F.posexplode(F.split("text", "\n")).alias("seq", "line"))
+
+
 def status_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(seq, message): the runner's status lines (S6 input)."""
     j = jobs(spark, sf_dir)

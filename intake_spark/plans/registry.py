@@ -39,6 +39,7 @@ QUERIES = {
     "stream_scans": S.stream_scans,
     "stream_dedup": S.stream_dedup,
     "stream_intake": S.stream_intake,
+    "stream_markers": S.stream_markers,
     "stream_jobs": S.stream_jobs,
 }
 
@@ -46,6 +47,6 @@ QUERIES = {
 SQL = dict(SQL)
 SQL["stream_stability"] = SQL["stable_candidates"]
 SQL["stable_candidates_incremental"] = SQL["stable_candidates"]
-SQL["stream_jobs"] = SQL["job_timeline"]
+SQL["stream_jobs"] = SQL["stream_markers"] = SQL["job_timeline"]
 
 ORACLE = {k: v for k, v in SQL.items() if k in QUERIES}

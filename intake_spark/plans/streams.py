@@ -3,12 +3,16 @@
 
 from __future__ import annotations
 
+import os
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import jsonfmt
 from ..operators import jobs as jobs_ops
-from ..session import scratch_path
+from ..session import local_path, scratch_path
+from ..sources.growing import GrowingDataSource
 from ..streaming import ledger as led
 from ..streaming import runner
 from ..streaming import scans as scn
@@ -133,6 +137,51 @@ def _job_metadata(new: DataFrame) -> DataFrame:
     return new.select("hash", jsonfmt.metadata_json(F.struct("hash", source.alias("source"))).alias("json"))
 
 
+JOBS_A_FILE = 2000
+
+
+def _growing_files(lines: DataFrame, folder: str, n_files: int, upto: int) -> None:
+    """Write files of ``job<TAB>line`` rows with the lines of the first ``upto``
+    of ``LANDINGS`` parts; each call makes the files longer. All but the last
+    call leave half a line at the end. A task writes one file at a time."""
+    os.makedirs(folder, exist_ok=True)
+
+    def write(key, group):
+        group = group.sort_values(["part", "job", "seq"])
+        text = "".join(f"{j}\t{x}\n" for j, x in zip(group["job"], group["line"])).encode()
+        name = f"{folder}/markers-{key[0]}.txt"
+        with open(f"{name}.part", "wb") as f:
+            f.write(text if upto == LANDINGS else text[:-4])
+        os.replace(f"{name}.part", name)
+        return pd.DataFrame({"n": [len(group)]})
+
+    part = F.least(F.floor(F.col("seq") / 2), F.lit(LANDINGS - 1)).cast("int")
+    (lines.withColumn("part", part).filter(F.col("part") < upto).withColumn("file", F.pmod("job", F.lit(n_files)))
+     .groupBy("file").applyInPandas(write, "n long").agg(F.sum("n")).collect())
+
+
+def stream_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marker files that grow between batches, read from where the last
+    batch ended, half lines held back; folded into job states."""
+    base = scratch_path(spark, "markers")
+    folder = local_path(f"{base}/files")
+    spark.dataSource.register(GrowingDataSource)
+    lines = D.marker_lines(spark, sf_dir)
+    lines.write.parquet(f"{base}/lines")
+    lines = spark.read.schema(lines.schema).parquet(f"{base}/lines")
+    n_files = 1 + lines.filter("seq = 0").count() // JOBS_A_FILE
+    handler = runner.job_state_table_handler(f"{base}/state", f"{base}/out")
+    for upto in range(1, LANDINGS + 1):
+        _growing_files(lines, folder, n_files, upto)
+        rows = spark.readStream.format("intake_growing").option("path", folder).option("suffix", ".txt").load()
+        parts = F.split("line", "\t", 2)
+        # a job's lines are in order in its file; its first is the ready time
+        marked = rows.select(parts[0].cast("long").alias("job"), "pos", parts[1].alias("text"))
+        _run(jobs_ops.parse_marker_lines(marked), runner.with_hook(handler), base)
+    facts = spark.read.schema(runner.JOB_STATE_SCHEMA).parquet(f"{base}/out")
+    return jobs_ops.finalize_state(runner.fold_job_facts(facts))
+
+
 def stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates come in three landings, the stream
     starting anew for each; candidates, specs, metadata and ledger lines of a

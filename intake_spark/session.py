@@ -70,6 +70,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/intake-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file, if it is there (Hadoop file system: any shared store)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(jpath):
+        fs.delete(jpath, True)
+
+
 def local_path(p: str) -> str:
     """Strip a ``file:`` scheme for the few helpers that list local test folders."""
     if p.startswith("file:"):

@@ -26,6 +26,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import delete
+
 RECORD_SCHEMA = "batch_id long, attempt string, tables array<string>"
 
 
@@ -60,12 +62,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    jpath, fs = _path(spark, path)
-    if fs.exists(jpath):
-        fs.delete(jpath, True)
-
-
 def names(spark: SparkSession, path: str) -> list[str]:
     """Names of a folder's entries; none if it isn't there."""
     jpath, fs = _path(spark, path)

@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import row_key
 from ..operators.intake import first_per_key
-from .commits import BatchTables, Step, delete, names, put_if_absent
+from ..session import delete
+from .commits import BatchTables, Step, names, put_if_absent
 
 KEYS = ["name", "size"]
 KEY_SCHEMA = "name string, size long"

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators.intake import append_ledger
 from ..operators.jobs import return_code
+from ..session import delete
 
 MIN_TRIGGER_S = 1
 
@@ -38,14 +39,6 @@ def with_hook(handler: Callable[[DataFrame, int], None],
     return run
 
 
-def drop_version(spark, path: str) -> None:
-    """Delete one superseded state version (Hadoop FileSystem; works on any shared store)."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(jpath):
-        fs.delete(jpath, True)
-
-
 def read_table(spark, path: str, schema: str, may_be_missing: bool) -> DataFrame:
     """A state or ledger table with a known schema. Only a path that isn't
     there yet, where the caller allows it, is an empty table; any other read
@@ -159,5 +152,5 @@ def job_state_table_handler(state_path: str, out_path: str):
         merge_job_events(df, prev).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
         written = spark.read.schema(JOB_STATE_SCHEMA).parquet(f"{out_path}/batch_id={batch_id}")
         next_job_state(written, prev).write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
-        drop_version(spark, f"{state_path}/batch_id={batch_id - 2}")  # a retry of this batch needs n-1 only
+        delete(spark, f"{state_path}/batch_id={batch_id - 2}")  # a retry of this batch needs n-1 only
     return handle

@@ -29,7 +29,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.paths import MAX_STABLE_COUNT, row_key
 from ..operators.stability import MIN_STABLE_SCANS, stability_counts
-from .runner import drop_version, read_table
+from ..session import delete
+from .runner import read_table
 
 OUTPUT_SCHEMA = "watch string, scan_no long, name string, size long, count long, late boolean"
 STATE_SCHEMA = "scan_no long, size long, cnt long"
@@ -158,5 +159,5 @@ def state_table_handler(state_path: str, out_path: str):
         advance_counts(df, prev).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
         written = spark.read.schema(OUTPUT_SCHEMA).parquet(f"{out_path}/batch_id={batch_id}")
         next_state(written, prev).write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
-        drop_version(spark, f"{state_path}/batch_id={batch_id - 2}")  # a retry of this batch needs n-1 only
+        delete(spark, f"{state_path}/batch_id={batch_id - 2}")  # a retry of this batch needs n-1 only
     return handle

@@ -102,7 +102,7 @@ def test_listing_follows_links_and_raises_for_a_lost_root(spark, tmp_path, monke
     os.symlink(other / "gone", root / "dangling")
     for i in range(25):
         (root / f"flat{i}").write_bytes(b"z")
-    monkeypatch.setattr(listing, "CHUNK", 10)
+    monkeypatch.setattr(listing, "SLICES", 3)
     read = lambda r: spark.read.format("intake_listing").option("roots", str(r)).load()
     got = {r.rel: (r.is_dir, r.size) for r in read(root).collect()}
     assert got["link.raw"] == (False, 1000) and got["linked.d"] == (True, 0) and got["linked.d/f"] == (False, 2)

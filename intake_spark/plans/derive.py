@@ -185,6 +185,23 @@ def job_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(k, F.concat_ws("\n", F.array_join(F.filter(lines, lambda x: x.isNotNull()), "\n"), odd).alias("text"))
 
 
+def job_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(job, template): a job template for every order, of its own size and
+    content; every eleventh isn't JSON, every thirteenth is no object."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    k, job = F.col("o_orderkey"), F.col("o_orderkey").cast("string")
+    q = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    items = F.transform(F.sequence(F.lit(0), (k % 4).cast("int")),
+                        lambda i: F.when(i % 2 == 0, F.lit('"%%%FASTA%%%%"')).otherwise(q(F.concat(job, F.lit("-"), i.cast("string")))))
+    text = F.concat(
+        F.when(k % 3 == 0, F.lit('{"main_fasta_file": "%%%FASTA%%%", ')).otherwise(F.lit('{"main_fasta_file": ["old"], ')),
+        F.lit('"job": '), job, F.lit(', "deep": {"list": ['), F.array_join(items, ", "),
+        F.lit('], "inner": {"spike": "%%%SPIKE%%%", "note": '), q(F.concat(F.lit('say \\"%%%FASTA%%%\\" for '), "o_orderpriority")),
+        F.lit('}, "size": '), F.col("o_totalprice").cast("string"), F.lit('}, "keys": {"%%%FASTA%%%": '), (k % 5).cast("string"), F.lit("}}"))
+    return o.select(k.alias("job"), F.when(k % 11 == 0, F.substr(text, F.lit(1), F.length(text) - 2))
+                    .when(k % 13 == 0, F.lit('["%%%FASTA%%%"]')).otherwise(text).alias("template"))
+
+
 def marker_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(job, seq, line): the lines of every job's marker, in order."""
     return job_markers(spark, sf_dir).select("job", F.posexplode(F.split("text", "\n")).alias("seq", "line"))

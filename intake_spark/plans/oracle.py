@@ -406,6 +406,21 @@ SELECT o_orderkey AS job,
 FROM orders
 """
 
+SQL["job_templates"] = rf"""
+WITH {REFS},
+o AS (SELECT o_orderkey AS job, o_orderpriority AS p, o_totalprice AS t, o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 AS odd,
+             (SELECT f FROM fa) AS fa, (SELECT f FROM sp) AS sp FROM orders)
+SELECT job, odd AS unchanged,
+       CASE WHEN NOT odd THEN fa END AS main_fasta_file, CASE WHEN NOT odd THEN sp END AS main_spike_file,
+       CASE WHEN NOT odd THEN job END AS own_job,
+       CASE WHEN NOT odd THEN array_to_string(list_transform(range(0, job % 4 + 1), lambda i:
+            CASE WHEN i % 2 = 0 THEN fa ELSE CAST(job AS VARCHAR) || '-' || CAST(i AS VARCHAR) END), '|') END AS list,
+       CASE WHEN NOT odd THEN sp END AS spike, CASE WHEN NOT odd THEN 'say "%%%FASTA%%%" for ' || p END AS note,
+       CASE WHEN NOT odd THEN t END AS size,
+       CASE WHEN NOT odd THEN '{{"%%%FASTA%%%":' || CAST(job % 5 AS VARCHAR) || '}}' END AS keys
+FROM o
+"""
+
 SQL["job_metadata"] = rf"""
 WITH {REFS},
 s AS (SELECT o_orderkey AS job, o_custkey AS cust, o_orderstatus AS status, o_orderdate AS ready_ts,

@@ -17,6 +17,7 @@ from ..operators import jobs as jobs_ops
 from ..operators import inventory as inv_ops
 from ..operators import prefix
 from ..operators import stability as st
+from ..session import scratch_path
 from . import derive as D
 
 
@@ -261,8 +262,11 @@ def _ready_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queue_position(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FIFO position of every ready job by (ready time, job)."""
-    return ordering.global_row_number(_ready_jobs(spark, sf_dir), ["ready_ts", "job"])
+    """FIFO position of every ready job by (ready time, job). The ready jobs
+    are written once: the ranges are sampled and sorted from there."""
+    ready, path = _ready_jobs(spark, sf_dir), scratch_path(spark, "ready")
+    ready.write.parquet(path)
+    return ordering.global_row_number(spark.read.schema(ready.schema).parquet(path), ["ready_ts", "job"])
 
 
 def dispatch_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -360,6 +364,25 @@ def job_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("s.retry.attempts").alias("attempts"))
 
 
+TEMPLATE_FIELDS = ("main_fasta_file string, main_spike_file string, job bigint, deep struct<list: array<string>, "
+                   "inner: struct<spike: string, note: string>, size: double>")
+
+
+def job_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every job has a nested template of its own, some no JSON; fields
+    read back from the filled text."""
+    fasta, spike = _reference_paths(spark, sf_dir)
+    j = D.job_templates(spark, sf_dir).select("job", "template", fasta.alias("_fasta"), spike.alias("_spike"))
+    spec = jsonfmt.set_reference(F.col("template"), F.col("_fasta"), jsonfmt.FASTA_PHS, jsonfmt.FASTA_KEY)
+    j = j.withColumn("spec", spec)
+    j = j.withColumn("spec", jsonfmt.set_reference(F.col("spec"), F.col("_spike"), jsonfmt.SPIKE_PHS, jsonfmt.SPIKE_KEY))
+    s = j.select("job", (F.col("spec") == F.col("template")).alias("unchanged"), F.from_json("spec", TEMPLATE_FIELDS).alias("s"),
+                 F.get_json_object("spec", "$.keys").alias("keys"))
+    return s.select("job", "unchanged", "s.main_fasta_file", "s.main_spike_file", F.col("s.job").alias("own_job"),
+                    F.array_join("s.deep.list", "|").alias("list"), F.col("s.deep.inner.spike").alias("spike"),
+                    F.col("s.deep.inner.note").alias("note"), F.col("s.deep.size").alias("size"), "keys")
+
+
 def job_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata JSON for every new job hash (existing ones kept); fields read back."""
     fasta, spike = _reference_paths(spark, sf_dir)

@@ -33,6 +33,7 @@ QUERIES = {
     "delivery_manifest": Q.delivery_manifest,
     "delivery_ledger": Q.delivery_ledger,
     "job_spec": Q.job_spec,
+    "job_templates": Q.job_templates,
     "job_metadata": Q.job_metadata,
     "unique_target_names": Q.unique_target_names,
     "stream_stability": S.stream_stability,

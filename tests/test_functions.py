@@ -93,3 +93,61 @@ def test_seconds_between_is_zone_free(spark):
         assert (r.ab, r.ac) == (3600, 2 * 86400 - 1800 + 5)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_spec_values_with_control_characters_and_placeholders(spark):
+    values = ["a\x01b\x0bc", "%%%OUTPUT%%%", "é \u2028 \\ \"", "tab\tline\n", "", None]
+    tmpl = '{"i": "%%%INPUT%%%", "o": "%%%OUTPUT%%%", "both": "%%%INPUT%%%/%%%OUTPUT%%%"}'
+    df = spark.createDataFrame([(v, "%%%INPUT%%%") for v in values], "i string, o string")
+    rows = df.select("i", jsonfmt.fill_io(F.lit(tmpl), F.col("i"), F.col("o")).alias("spec")).collect()
+    for r in rows:
+        assert r.spec is None if r.i is None else json.loads(r.spec) == {
+            "i": r.i, "o": "%%%INPUT%%%", "both": f"{r.i}/%%%INPUT%%%"}
+
+
+def plain_reference(spec, path, placeholders, field):
+    """F7 by walking the parsed text."""
+    if path is None:
+        return spec
+    try:
+        doc = json.loads(spec)
+    except ValueError:
+        return spec
+    if not isinstance(doc, dict):
+        return spec
+    doc[field] = path
+
+    def walk(v):
+        if isinstance(v, dict):
+            return {k: walk(x) for k, x in v.items()}
+        return [walk(x) for x in v] if isinstance(v, list) else path if isinstance(v, str) and v in placeholders else v
+    return walk(doc)
+
+
+def test_every_row_has_a_template_of_its_own(spark):
+    import random
+    rnd = random.Random(4)
+    texts = ["%%%FASTA%%%", "%%%FASTA%%%%", "x %%%FASTA%%%", '"%%%FASTA%%%"', '\\', '\\"%%%FASTA%%%', "é", "", "a\nb", "%%%FASTA%%%%%", "}", ":"]
+
+    def value(depth):
+        k = rnd.randrange(8 if depth else 5)
+        if k < 4:
+            return rnd.choice(texts)
+        if k == 4:
+            return rnd.choice([1, 2.5, True, None, -7])
+        if k == 5:
+            return [value(depth - 1) for _ in range(rnd.randrange(4))]
+        return {rnd.choice(texts) + str(i): value(depth - 1) for i in range(rnd.randrange(4))}
+
+    specs = []
+    for i in range(120):
+        doc = {f"k{j}": value(3) for j in range(rnd.randrange(4))} | ({"main": value(1)} if i % 3 == 0 else {})
+        specs.append(json.dumps(doc, ensure_ascii=bool(i % 2), indent=rnd.choice([None, 2])))
+    specs += ['"%%%FASTA%%%"', '["%%%FASTA%%%"]', "no json", "{", "null", "", '{"a": "\\u0025%%FASTA%%%"}']
+    paths = ["/ref/$1\\a \"b\".fasta", None, "/r", "%%%FASTA%%%"]
+    df = spark.createDataFrame([(s, paths[i % 4]) for i, s in enumerate(specs)], "s string, p string")
+    out = df.select("s", "p", jsonfmt.set_reference(F.col("s"), F.col("p"), jsonfmt.FASTA_PHS, "main").alias("o"))
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    for r in out.collect():
+        want = plain_reference(r.s, r.p, jsonfmt.FASTA_PHS, "main")
+        assert (r.o == want) if isinstance(want, str) else json.loads(r.o) == want, (r.s, r.p, r.o)

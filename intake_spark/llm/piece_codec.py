@@ -145,14 +145,15 @@ class PieceBpe:
             if hit[0] > best[n - 1 - end][0]:
                 best[n - 1 - end] = hit
         size, pairs, shorter = self.size, self._pairs, self.shorter
-        open_ends = (1 << n + 1) - 1
+        failed = bytearray(n // 8 + 1)  # a bit a position
         out: list[int] = []
         pos, cand = 0, best[0][1]
         while True:
             last = out[-1] if out else -1
             while cand >= 0:
                 k = size[cand]
-                if open_ends >> (pos + k) & 1:
+                end = pos + k
+                if not failed[end >> 3] >> (end & 7) & 1:
                     fits = pairs.get((last + 1) << 32 | cand)
                     if self.compatible(last, cand) if fits is None else fits:
                         break
@@ -164,7 +165,7 @@ class PieceBpe:
                     return out
                 cand = best[pos][1]
             else:
-                open_ends &= ~(1 << pos)
+                failed[pos >> 3] |= 1 << (pos & 7)
                 cand = out.pop()
                 pos -= size[cand]
 

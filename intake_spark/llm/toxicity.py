@@ -4,10 +4,11 @@ A text's features are its distinct words, hashed to ``BUCKETS``. The score is
 
     sigmoid(w0 + sum_i w_i + (|sum_i v_i|^2 - sum_i |v_i|^2) / (2 n))
 
-over the n distinct terms i: the weights of single terms, and the inner
-products of the terms' factors, which learn pairs (an insult next to a mention
-of a group) that no single weight can. The pair sum is divided by n so that
-long texts don't drown in it.
+over the n distinct terms i that training has seen often enough: the weights of
+single terms, and the inner products of the terms' factors, which learn pairs (an
+insult next to a mention of a group) that no single weight can. The pair sum is
+divided by n so that long texts don't drown in it. Other terms count nowhere, so
+adding unseen words changes no score.
 
 Training reads a sample of at most about ``TRAIN_ROWS`` labelled rows, chosen
 by a hash of the key (all rows where there are fewer); their terms come to the
@@ -61,11 +62,15 @@ class Model:
     factor: np.ndarray   # by term and factor
     scale: float = 1.0   # of the margin, fitted on rows that the factors haven't seen
     shift: float = 0.0
+    known: np.ndarray | None = None  # by term: whether it counts (None: all do)
 
     def scores(self, idx: np.ndarray, off: np.ndarray) -> np.ndarray:
         return sigmoid(self.scale * self.margins(idx, off) + self.shift)
 
     def margins(self, idx: np.ndarray, off: np.ndarray) -> np.ndarray:
+        if self.known is not None:
+            counts = self.known[idx]
+            idx, off = idx[counts], np.concatenate([[0], np.cumsum(counts)])[off]
         n = np.diff(off)
         out = np.full(len(n), self.bias)
         some = n > 0
@@ -111,13 +116,14 @@ def fit(idx: np.ndarray, off: np.ndarray, label: np.ndarray) -> Model:
 
 def fit_factors(idx: np.ndarray, off: np.ndarray, label: np.ndarray, seed: int = 11) -> Model:
     """Mini-batch fit with per-parameter step sizes."""
-    common = np.bincount(idx, minlength=BUCKETS)[idx] >= min(MIN_TEXTS, 1 + len(label) // 50)
+    known = np.bincount(idx, minlength=BUCKETS) >= min(MIN_TEXTS, 1 + len(label) // 50)
+    common = known[idx]
     off = np.concatenate([[0], np.cumsum(common)])[off]
     idx = idx[common]
     rng = np.random.default_rng(seed)
     rate = (label.sum() + 1) / (len(label) + 2)
     m = Model(float(np.log(rate / (1 - rate))), np.zeros(BUCKETS, np.float32),
-              rng.normal(0, 0.02, (BUCKETS, FACTORS)).astype(np.float32))
+              np.where(known[:, None], rng.normal(0, 0.02, (BUCKETS, FACTORS)), 0).astype(np.float32), known=known)
     sum_w, sum_v = np.full(BUCKETS, DAMP, np.float32), np.full((BUCKETS, FACTORS), DAMP, np.float32)
     n_all = np.diff(off)
     for epoch in range(EPOCHS):

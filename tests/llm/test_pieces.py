@@ -84,3 +84,15 @@ def test_documents(spark, lib):
         assert r.decoded == lib.decode(list(r.ids))
         assert r.decoded_sha256 == hashlib.sha256(r.decoded.encode()).hexdigest()
     assert encode_documents(documents(spark, []), MODEL).count() == 0
+
+
+def test_long_texts_without_spaces_take_time_in_proportion():
+    import time
+    enc = PieceBpe(P.path("piece_bpe_32k.model"))
+    took = []
+    for n in (20_000, 160_000):
+        t = time.perf_counter()
+        ids = enc.encode_segment("ab" * n)
+        took.append(time.perf_counter() - t)
+        assert sum(len(enc.pieces[i]) for i in ids) == 2 * n
+    assert took[1] < 20 * took[0] + 0.5

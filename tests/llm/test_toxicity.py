@@ -65,3 +65,19 @@ def test_awkward_rows(spark):
     assert len(same) == 1  # no terms: the base rate
     assert {r.score for r in T.predict(docs, labels.limit(0)).collect()} == {0.0}
     assert T.predict(documents(spark, []), labels).count() == 0
+
+
+def test_unseen_words_change_no_score():
+    rng = np.random.default_rng(5)
+    texts = [" ".join([f"w{rng.integers(40)}" for _ in range(12)] + ["bad"] * (i % 2)) for i in range(900)]
+    (_, _, d, o), = blocks(pa.array(texts))
+    m = T.fit(*T.terms(d, o), np.arange(900) % 2.0)
+    plain = texts[:20]
+    noisy = [t + "".join(f" new{i}x{j}" for j in range(60)) for i, t in enumerate(plain)]
+    (_, _, d, o), = blocks(pa.array(plain + noisy))
+    idx, off = T.terms(d, o)
+    unseen = ~m.known[idx]
+    assert unseen.sum() >= 20 * 55  # but for hashes that meet a known word's
+    s = m.scores(*T.terms(d, o))
+    same = np.array([m.known[idx[off[20 + i]: off[21 + i]]].sum() == m.known[idx[off[i]: off[i + 1]]].sum() for i in range(20)])
+    assert same.sum() >= 15 and np.array_equal(s[:20][same], s[20:][same])

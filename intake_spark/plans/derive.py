@@ -122,6 +122,17 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("bigint").alias("size"))
 
 
+def member_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(scan, path, size): the members as three scans see them; files come, go
+    and grow between them."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    k, n, scan = F.col("l_orderkey"), F.col("l_linenumber"), F.col("scan")
+    path = F.concat(F.lit("run"), k.cast("string"), F.lit(".d/f"), n.cast("string"), F.lit(".bin"))
+    size = F.col("l_quantity").cast("bigint") + F.when(F.col("l_partkey") % 3 == 0, scan).otherwise(F.lit(0))
+    return (li.withColumn("scan", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))).filter((k + n + scan) % 5 != 0)
+            .groupBy("scan", path.alias("path")).agg(F.sum(size).cast("bigint").alias("size")))
+
+
 # --------------------------------------------------------------------------- jobs
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -495,6 +495,13 @@ SELECT name, size, watch, doc_id, hash, '/srv/intake/tmp/' || hash || '/input' A
 FROM f
 """
 
+SQL["stream_rollup"] = r"""
+SELECT 'run' || CAST(l_orderkey AS VARCHAR) || '.d' AS dir,
+       CAST(sum(CAST(trunc(l_quantity) AS BIGINT) + CASE WHEN l_partkey % 3 = 0 THEN 3 ELSE 0 END) AS BIGINT) AS size,
+       count(DISTINCT l_linenumber) AS n_files
+FROM lineitem WHERE (l_orderkey + l_linenumber + 3) % 5 <> 0 GROUP BY l_orderkey
+"""
+
 SQL["stream_dedup"] = r"""
 SELECT DISTINCT md5(text) || '.raw' AS name, n_chars AS size FROM documents
 """

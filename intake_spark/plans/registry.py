@@ -40,6 +40,7 @@ QUERIES = {
     "stream_scans": S.stream_scans,
     "stream_dedup": S.stream_dedup,
     "stream_intake": S.stream_intake,
+    "stream_rollup": S.stream_rollup,
     "stream_markers": S.stream_markers,
     "stream_jobs": S.stream_jobs,
 }

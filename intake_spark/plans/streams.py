@@ -14,7 +14,7 @@ from ..operators import jobs as jobs_ops
 from ..session import local_path, scratch_path
 from ..sources.growing import GrowingDataSource
 from ..streaming import ledger as led
-from ..streaming import runner
+from ..streaming import rollup, runner
 from ..streaming import scans as scn
 from ..streaming import stability as sst
 from ..streaming.commits import BatchTables
@@ -137,6 +137,20 @@ def _job_metadata(new: DataFrame) -> DataFrame:
     return new.select("hash", jsonfmt.metadata_json(F.struct("hash", source.alias("source"))).alias("json"))
 
 
+def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: directory sizes after three scans, kept up from the changes between
+    them; a batch opens the sums of the directories that it touches."""
+    base = scratch_path(spark, "rollup")
+    D.member_scans(spark, sf_dir).write.partitionBy("scan").parquet(f"{base}/scans")
+    seen = spark.read.schema("path string, size long, scan int").parquet(f"{base}/scans")
+    handler = runner.with_hook(rollup.rollup_handler(f"{base}/tables"))
+    for scan in range(1, 4):
+        change = rollup.scan_changes(*[seen.filter(F.col("scan") == s) for s in (scan - 1, scan)])
+        change.write.mode("append").parquet(f"{base}/changes")
+        _run(spark.readStream.schema(rollup.CHANGE_SCHEMA).parquet(f"{base}/changes"), handler, base)
+    return rollup.read_sums(BatchTables(spark, f"{base}/tables"))
+
+
 JOBS_A_FILE = 2000
 
 

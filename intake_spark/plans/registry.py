@@ -41,6 +41,7 @@ QUERIES = {
     "stream_dedup": S.stream_dedup,
     "stream_intake": S.stream_intake,
     "stream_rollup": S.stream_rollup,
+    "stream_queue": S.stream_queue,
     "stream_markers": S.stream_markers,
     "stream_jobs": S.stream_jobs,
 }
@@ -49,6 +50,7 @@ QUERIES = {
 SQL = dict(SQL)
 SQL["stream_stability"] = SQL["stable_candidates"]
 SQL["stable_candidates_incremental"] = SQL["stable_candidates"]
+SQL["stream_queue"] = SQL["queue_position"]
 SQL["stream_jobs"] = SQL["stream_markers"] = SQL["job_timeline"]
 
 ORACLE = {k: v for k, v in SQL.items() if k in QUERIES}

@@ -14,7 +14,7 @@ from ..operators import jobs as jobs_ops
 from ..session import local_path, scratch_path
 from ..sources.growing import GrowingDataSource
 from ..streaming import ledger as led
-from ..streaming import rollup, runner
+from ..streaming import queue, rollup, runner
 from ..streaming import scans as scn
 from ..streaming import stability as sst
 from ..streaming.commits import BatchTables
@@ -151,6 +151,25 @@ def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.read_sums(BatchTables(spark, f"{base}/tables"))
 
 
+def stream_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jobs come into the queue and leave it in three batches; positions are
+    read from the order index, which the batches change only where they fall."""
+    base = scratch_path(spark, "queue")
+    states = jobs_ops.job_state(jobs_ops.parse_markers(D.job_markers(spark, sf_dir))).select("job", "ready_ts", "state")
+    landing = F.pmod("job", F.lit(LANDINGS))
+    comes = states.select("ready_ts", "job", F.lit(False).alias("leaves"), landing.alias("landing"))
+    goes = states.filter("state <> 'ready'").select("ready_ts", "job", F.lit(True).alias("leaves"),
+                                                    F.least(landing + F.pmod("job", F.lit(2)), F.lit(LANDINGS - 1)).alias("landing"))
+    comes.unionByName(goes).write.partitionBy("landing").parquet(f"{base}/all")
+    events = spark.read.schema(f"{queue.EVENT_SCHEMA}, landing long").parquet(f"{base}/all")
+    handler = runner.with_hook(queue.queue_handler(f"{base}/tables", RANGE_JOBS))
+    for part in _split(events, F.col("landing")):
+        part.drop("landing").write.mode("append").parquet(f"{base}/in")
+        _run(spark.readStream.schema(queue.EVENT_SCHEMA).parquet(f"{base}/in"), handler, base)
+    return queue.positions(BatchTables(spark, f"{base}/tables"))
+
+
+RANGE_JOBS = 2000
 JOBS_A_FILE = 2000
 
 

@@ -298,6 +298,7 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that aren't contaminated, unchanged. Rows are
     matched by id and text, so rows with equal ids are judged apart."""
     row = F.concat_ws(":", F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))
-    bad = (hits(docs.select(row.alias("__row"), "text"), items, key="__row")
-           .where("contaminated").select("__row").distinct())
-    return docs.withColumn("__row", row).join(bad, "__row", "left_anti").select(*docs.columns)
+    bad = (hits(docs.select(row.alias("row"), "text"), items, key="row")
+           .where("contaminated").select("row").distinct())
+    kept = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept")
+    return docs.select(kept, row.alias("row")).join(bad, "row", "left_anti").select("kept.*")

@@ -90,3 +90,11 @@ def test_empty_tables_and_clean_rows(spark):
     bad = [r[0] for r in brute(repeated(rows), items) if r[5]]
     assert out.count() == docs.count() - len(bad)
     assert bad and not {r.doc_id for r in out.collect()} & set(bad)
+
+
+def test_clean_keeps_columns_of_any_name(spark):
+    phrase = " ".join(f"w{i}" for i in range(13))
+    docs = spark.createDataFrame([(1, phrase, "x", "k"), (2, "a clean text", "y", "l")], "doc_id long, text string, row string, __row string")
+    items = spark.createDataFrame([("i", phrase)], "item_id string, text string")
+    out = D.clean(docs, items)
+    assert out.columns == docs.columns and [tuple(r) for r in out.collect()] == [(2, "a clean text", "y", "l")]

@@ -95,8 +95,8 @@ class ByteBpe:
             return np.concatenate([np.zeros(0, self.dtype), *ids]), np.array([len(x) for x in ids], np.int64)
         cps, coff = code_points(data, off)
         starts = pretoken_starts(cps, coff)
-        ids, lens = self.table.pools[0].gather(self.table.slots(cps, starts)) if len(starts) else (
-            np.zeros(0, self.dtype), np.zeros(0, np.int64))
+        slots = self.table.slots(cps, starts)  # may empty the table and replace its pools
+        ids, lens = self.table.pools[0].gather(slots)
         total = np.concatenate([[0], np.cumsum(lens)])
         ends = total[np.searchsorted(starts, coff)]
         counts = np.diff(ends)

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import sentencepiece as spm
 from conftest import SF
 from llm_data import awkward, documents, fresh, repeated
@@ -11,6 +12,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as E
 from intake_spark.llm import cross_align, sorted_parts
+from intake_spark.llm.textbytes import blocks
 
 A, B = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
 COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
@@ -86,6 +88,24 @@ def test_awkward_texts(spark, monkeypatch):
     assert cross_align.digest(docs.limit(0), A, B).count() == 0
 
 
+def test_a_full_table_of_encodings_is_emptied_between_blocks(monkeypatch):
+    # many distinct words in one worker: the table of the byte tokenizer is emptied
+    monkeypatch.setattr(cross_align, "HELD_SEGMENTS", 40)
+    cross_align.byte_tokenizer.cache_clear()
+    cross_align.piece_tokenizer.cache_clear()
+    a_lib, b_lib = Tokenizer.from_file(A), spm.SentencePieceProcessor(model_file=B)
+    try:
+        for i in range(30):
+            texts = [f"w{i}q{j} und{j * i} x" for j in range(20)]
+            for *_, data, off in blocks(pa.array(texts)):
+                a, _, b, _ = cross_align.encode_block(data, off, A, B)
+                assert a.tolist() == [x for t in texts for x in a_lib.encode(" " + t, add_special_tokens=False).ids]
+                assert b.tolist() == [x for t in texts for x in b_lib.encode(t)]
+    finally:
+        cross_align.byte_tokenizer.cache_clear()
+        cross_align.piece_tokenizer.cache_clear()
+
+
 def test_query_over_whole_documents(spark):
     sf = SF["0.001"]
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]

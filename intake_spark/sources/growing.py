@@ -8,7 +8,9 @@ it is complete. A file that is shorter than before was cut or replaced: it is
 read from its start again, its rows ``restarted``.
 
 The driver lists the folder (names and sizes) once a trigger; contents are read
-in tasks, long appendices in pieces of ``PIECE`` bytes. An offset has an entry a
+in tasks, long appendices in pieces of ``PIECE`` bytes. A task reads short pieces
+one after another, up to ``TASK_BYTES`` together, as starting a task costs as much
+as reading some thousand lines. Rows leave a task in batches. An offset has an entry a
 file, so files should leave the folder when their jobs are done, or be older than
 ``max_age_s``, which leaves them out once they were quiet for so long.
 
@@ -21,18 +23,26 @@ from __future__ import annotations
 import os
 import time
 from collections.abc import Iterator
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 SCHEMA = "file string, pos long, line string, restarted boolean"
+NAMES = ["file", "pos", "line", "restarted"]
+TYPES = [pa.string(), pa.int64(), pa.string(), pa.bool_()]
 PIECE = 32 << 20
+TASK_BYTES = 4 << 20  # of pieces that are shorter than this; a longer one has its own task
+BATCH_ROWS = 10_000
 BACK = 1 << 16  # bytes looked at at once for the start of a line
 
 
-class _Piece(InputPartition):
-    def __init__(self, name: str, start: int, end: int, restarted: bool):
-        super().__init__((name, start, end, restarted))
-        self.name, self.start, self.end, self.restarted = name, start, end, restarted
+class _Pieces(InputPartition):
+    """What one task reads: (name, start, end, restarted) of each piece."""
+
+    def __init__(self, pieces: list[tuple[str, int, int, bool]]):
+        super().__init__(pieces)
+        self.pieces = pieces
 
 
 def _line_start(f, at: int) -> int:
@@ -79,22 +89,31 @@ class GrowingReader(DataSourceStreamReader):
         return found
 
     def partitions(self, start, end):
-        out = []
+        out, room = [], 0
         for name, size in sorted(end.items()):
             seen = start.get(name, 0)
             restarted = size < seen
             for lo in range(0 if restarted else seen, size, PIECE):
-                out.append(_Piece(name, lo, min(size, lo + PIECE), restarted))
-        return out or [_Piece("", 0, 0, False)]
+                hi = min(size, lo + PIECE)
+                if not out or hi - lo > room:
+                    out.append(_Pieces([]))
+                    room = TASK_BYTES
+                out[-1].pieces.append((name, lo, hi, restarted))
+                room -= hi - lo
+        return out or [_Pieces([])]
 
     def read(self, partition):
-        if not partition.name:
-            return
-        try:
-            for pos, text in lines(os.path.join(self.path, partition.name), partition.start, partition.end):
-                yield partition.name, pos, text, partition.restarted
-        except FileNotFoundError:  # its job is gone
-            return
+        rows = self._rows(partition.pieces)
+        while batch := list(islice(rows, BATCH_ROWS)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*batch), TYPES)], names=NAMES)
+
+    def _rows(self, pieces) -> Iterator[tuple[str, int, str, bool]]:
+        for name, start, end, restarted in pieces:
+            try:
+                for pos, text in lines(os.path.join(self.path, name), start, end):
+                    yield name, pos, text, restarted
+            except FileNotFoundError:  # its job is gone
+                continue
 
 
 class GrowingDataSource(DataSource):

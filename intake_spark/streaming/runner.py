@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.intake import append_ledger
@@ -103,15 +103,16 @@ def latest_version(df: DataFrame, key: str = "job") -> DataFrame:
     return df.groupBy(key).agg(w.alias("_v")).select(key, *[F.col(f"_v.{c}") for c in cols])
 
 
-def fold_job_facts(rows: DataFrame) -> DataFrame:
+def fold_job_facts(rows: DataFrame, *more: Column) -> DataFrame:
     """Per-job facts from any number of versions of them, in any order. Every
     fact only grows, so an event that comes after its job has left the state
-    adds to the job's earlier versions instead of replacing them."""
+    adds to the job's earlier versions instead of replacing them. ``more`` are
+    further aggregates."""
     return rows.groupBy("job").agg(
         F.max("ready_ts").alias("ready_ts"), F.max("started_ts").alias("started_ts"),
         F.max("finished_ts").alias("finished_ts"),
         F.max_by("rc", F.when(F.col("rc").isNotNull(), F.col("rc_seq"))).alias("rc"),
-        F.max("rc_seq").alias("rc_seq"), F.max("n_err").alias("n_err"))
+        F.max("rc_seq").alias("rc_seq"), F.max("n_err").alias("n_err"), *more)
 
 
 JOB_STATE_SCHEMA = ("job long, ready_ts timestamp_ntz, started_ts timestamp_ntz, finished_ts timestamp_ntz, "
@@ -129,9 +130,9 @@ def merge_job_events(events: DataFrame, state: DataFrame) -> DataFrame:
         at("ready").alias("ready_ts"), at("started").alias("started_ts"), at("finished").alias("finished_ts"),
         F.max_by(code, code_seq).alias("rc"), F.max(code_seq).alias("rc_seq"),
         F.max(F.when(F.col("event") == "error", 1).otherwise(0)).alias("n_err"))
-    touched = fresh.select("job")
-    prior = state.join(touched, "job", "left_semi")
-    changed = fold_job_facts(fresh.unionByName(prior))
+    # the batch is read once: a job is touched if one of its rows comes from it
+    rows = fresh.withColumn("new", F.lit(True)).unionByName(state.withColumn("new", F.lit(False)))
+    changed = fold_job_facts(rows, F.bool_or("new").alias("new")).filter("new").drop("new")
     return changed
 
 

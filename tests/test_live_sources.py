@@ -79,6 +79,25 @@ def test_any_cut_of_a_file_gives_each_line_once(tmp_path, monkeypatch):
         assert [x for a, b in zip(cuts, cuts[1:]) for x in growing.lines(str(path), a, b)] == want
 
 
+def test_short_files_share_a_task(tmp_path, monkeypatch):
+    monkeypatch.setattr(growing, "TASK_BYTES", 20)
+    monkeypatch.setattr(growing, "PIECE", 50)
+    monkeypatch.setattr(growing, "BATCH_ROWS", 3)
+    want, sizes = [], {}
+    for i in range(12):
+        text = f"{i} a\n{i} b\n" if i != 5 else "a longer line\n" * 10
+        (tmp_path / f"{i:02}.txt").write_bytes(text.encode())
+        sizes[f"{i:02}.txt"] = len(text)
+        want += [(f"{i:02}.txt", x) for x in text.splitlines()]
+    reader = growing.GrowingReader({"path": str(tmp_path)})
+    parts = reader.partitions({}, {**sizes, "gone.txt": 5})
+    assert len(parts) < 12 and all(len(p.pieces) == 1 or sum(b - a for _, a, b, _ in p.pieces) <= 20 for p in parts)
+    batches = [b for p in parts for b in reader.read(p)]
+    assert max(b.num_rows for b in batches) == 3
+    assert [(r["file"], r["line"]) for b in batches for r in b.to_pylist()] == want
+    assert [list(reader.read(p)) for p in reader.partitions(sizes, sizes)] == [[]]
+
+
 def test_landing_a_scan_again_replaces_it_and_empty_scans_stay(spark, tmp_path):
     path = str(tmp_path / "log")
     rows = lambda *r: spark.createDataFrame(list(r), "watch string, name string, size long")

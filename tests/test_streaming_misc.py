@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 
 from intake_spark.operators.stability import (number_scans, stability_counts, stable_candidates,
                                               write_snapshots)
-from intake_spark.streaming.runner import interval_trigger, with_hook
+from intake_spark.streaming.runner import (JOB_EVENT_SCHEMA, JOB_STATE_SCHEMA, interval_trigger,
+                                           job_state_table_handler, with_hook)
 
 
 def test_failed_scans_take_no_number_and_runs_continue(spark):
@@ -136,3 +137,23 @@ def test_job_state_takes_empty_batches(spark, tmp_path):
         handle(spark.createDataFrame(rows, JOB_EVENT_SCHEMA), i)
     facts = spark.read.schema(JOB_STATE_SCHEMA).parquet(str(tmp_path / "out"))
     assert [(r.job, r.state) for r in finalize_state(fold_job_facts(facts)).collect()] == [(1, "finish")]
+
+
+def test_a_batch_of_job_events_is_read_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = [(1, 1, "ready", None, None), (2, 5, "returncode", None, "0"), (None, 2, "started", None, None)]
+    handle = job_state_table_handler(str(tmp_path / "state"), str(tmp_path / "out"))
+    for batch_id in range(3):
+        events = spark.createDataFrame(rows, JOB_EVENT_SCHEMA).coalesce(1)
+        handle(events.mapInArrow(count, JOB_EVENT_SCHEMA), batch_id)
+    assert seen.value == 9
+    got = spark.read.schema(JOB_STATE_SCHEMA).parquet(str(tmp_path / "out"))
+    assert sorted((r.job or 0, r.rc or 0) for r in got.collect()) == [(0, 0)] * 3 + [(1, 0)] * 3 + [(2, 0)] * 3
+    left = spark.read.schema(JOB_STATE_SCHEMA).parquet(str(tmp_path / "state/batch_id=2"))
+    assert {r.job for r in left.collect()} == {1, None}

@@ -35,12 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .held import begin, keeps
 from .segments import SegmentTable
-from .textbytes import blocks, code_points
+from .textbytes import SMALL_BLOCK, blocks, code_points
 
 SPACE = "▁"
 DENSE = 512            # code points whose pairs are looked up when cutting
 MAX_PAIRS = 400_000    # remembered compatibility checks
+HELD_SEGMENTS = 500_000
 
 
 class PieceBpe:
@@ -93,7 +95,7 @@ class PieceBpe:
                 if ord(a) < DENSE and ord(b) < DENSE:
                     self.joined[ord(a), ord(b)] = True
         self.cut_at_space = not space_inside
-        self.table = SegmentTable(self._segments, [np.uint32, np.uint8])
+        self.table = SegmentTable(self._segments, [np.uint32, np.uint8], HELD_SEGMENTS)
 
     # -- merging (for pairs of pieces and tied runs)
 
@@ -285,6 +287,9 @@ def codec(path: str) -> PieceBpe:
     return PieceBpe(path)
 
 
+keeps("piece_codec", codec.cache_clear)
+
+
 def _decimals(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of ``id,`` for each id, and the running number of bytes."""
     digits = np.full(len(ids), 1, np.int64)
@@ -311,9 +316,10 @@ def encode_documents(docs: DataFrame, model: str, key: str = "doc_id", text: str
     schema += ", ids array<int>" * with_ids + ", decoded string" * with_text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("piece_codec")
         enc = codec(model)
         for batch in batches:
-            for lo, hi, data, off in blocks(batch.column("text")):
+            for lo, hi, data, off in blocks(batch.column("text"), SMALL_BLOCK):
                 ids, ioff, dec, doff = enc.encode_block(data, off)
                 digits, ends = _decimals(ids)
                 digits, dec = digits.data, np.ascontiguousarray(dec).data

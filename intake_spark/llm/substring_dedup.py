@@ -37,9 +37,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .files import stored
+from .held import begin
 from .rows import ROW, numbered
 from .spans import by_content, first_in_block, merge_ranges, ranges_by_row
-from .textbytes import IS_WORD, LOWER, MIX_A, U64, Prefix, blocks, mix, words
+from .textbytes import IS_WORD, LOWER, MIX_A, SMALL_BLOCK, U64, Prefix, blocks, mix, words
 
 MIN_SENTENCES = 2
 MIN_WORDS = 12
@@ -140,9 +141,10 @@ def runs(soff: np.ndarray, content: np.ndarray, count: np.ndarray, min_sentences
 def repeated_runs(rows: DataFrame, min_sentences: int, min_words: int, long_words: int | None = None) -> DataFrame:
     """(row, a, b): sentence ranges that repeat an earlier run."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("substring_dedup")
         for batch in batches:
             number = batch.column("row").to_numpy()
-            for lo, hi, data, off in blocks(batch.column("text")):
+            for lo, hi, data, off in blocks(batch.column("text"), SMALL_BLOCK):
                 _, soff, content, count = sentences(data, off, long_words)
                 a, b, h = runs(soff, content, count, min_sentences, min_words, long_words)
                 text = np.searchsorted(soff, a, "right") - 1
@@ -191,7 +193,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", min_sentences: int = MIN_SENTENC
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spans = batch.column("ranges")
-            for lo, hi, data, off in blocks(batch.column("text")):
+            for lo, hi, data, off in blocks(batch.column("text"), SMALL_BLOCK):
                 starts, soff, _, _ = sentences(data, off, long_words)
                 part = spans.slice(lo, hi - lo)
                 per = np.nan_to_num(part.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)

@@ -14,10 +14,12 @@ The language with the lowest cross-entropy per character wins (ties: the first
 by name). ``score`` is the posterior under equal priors with the evidence of at
 most ``EVIDENCE`` characters. A text is rejected if its cross-entropy is above
 a limit of its language: half way from the usual value of that language's texts
-to what the next best model gives them, plus a deviation that 99.9 % of the
-calibration rows stay under, by text length (``spread / sqrt(characters)``).
-Calibration reads about ``CALIBRATION_ROWS`` labelled rows, and at most
-``CALIBRATION_SHARE`` of them, chosen by a hash of the text; they aren't counted.
+to what the next best model gives them, plus a deviation that 99.9 % of its
+rows stay under, by text length (``spread / sqrt(characters)``).
+Every labelled row is counted, and every one calibrates: it is scored by a model
+that counts the rows of the other of ``FOLDS`` parts only (a hash of the text
+deals them, so copies stay together). Deviations are rounded up to whole
+``1 / SPREAD_BINS`` and counted by value before their percentile is taken.
 
 Text form: letters in lower case, with the marks that follow them; everything
 else one space between words, three spaces in front.
@@ -44,14 +46,15 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .files import make_folder, read_file, stored, write_file
-from .textbytes import U64, blocks, code_points, ragged
+from .held import begin, keeps
+from .textbytes import SMALL_BLOCK, U64, blocks, code_points, ragged
 
 ORDER = 4
 PART_ROWS = 1 << 18
-CACHE_BYTES = 128 << 20
+CACHE_BYTES = 64 << 20
 EVIDENCE = 32
-CALIBRATION_ROWS = 20_000
-CALIBRATION_SHARE = 0.1     # of the labelled rows, at most; they aren't counted
+FOLDS = 2                   # parts of the labelled rows that calibrate each other
+SPREAD_BINS = 1024
 SCORE_BYTES = 1 << 18       # of texts scored at once
 SCORE_CELLS = 1 << 19       # n-grams times languages looked up at once
 UND = "und"
@@ -132,11 +135,12 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 def count_grams(rows: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, gram, n) over all rows with a text and a language."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("langid")
         held: dict[str, list] = {}
         for batch in batches:
             langs = batch.column("lang").dictionary_encode()
             names, code = langs.dictionary.to_pylist(), langs.indices.to_numpy()
-            for lo, hi, data, off in blocks(batch.column("text")):
+            for lo, hi, data, off in blocks(batch.column("text"), SMALL_BLOCK):
                 g, goff, _ = grams(data, off)
                 by = np.repeat(code[lo:hi], np.diff(goff))
                 for i in np.unique(by).tolist():
@@ -236,6 +240,7 @@ def build_model(counts: dict[str, tuple[np.ndarray, np.ndarray]], order: int) ->
 
 
 _PARTS: OrderedDict[tuple[str, str], tuple[np.ndarray, ...]] = OrderedDict()
+keeps("langid", _PARTS.clear)
 
 
 def _part(uri: str, name: str) -> tuple[np.ndarray, ...]:
@@ -264,6 +269,7 @@ class StoredModel:
     uri: str
     floor: np.ndarray                                   # log-probability of an unseen character
     index: dict[int, tuple[np.ndarray, list[str]]]      # by table: first n-grams and names of its parts
+    number: int = 0                                     # of this model among those in the folder
     limit: np.ndarray | None = None                     # of the cross-entropy, by language
     spread: np.ndarray | None = None                    # added to it, times sqrt(characters)
 
@@ -308,7 +314,7 @@ class StoredModel:
     def _find(self, table: int, keys: np.ndarray) -> np.ndarray:
         """Values of sorted n-grams by language; NaN where there is none."""
         out = np.full((len(keys), len(self.langs)), np.nan, np.float32)
-        first, names = self.index[table]
+        first, names = self.index[table_of(self.number, table)]
         part = np.searchsorted(first, keys, "right") - 1
         cuts = np.searchsorted(part, np.arange(len(names) + 1))
         for i in np.flatnonzero(np.diff(cuts)).tolist():
@@ -322,37 +328,49 @@ class StoredModel:
         return out
 
 
-def model_rows(counts: DataFrame, langs: list[str]) -> tuple[DataFrame, int]:
+def table_of(number: int, table: int) -> int:
+    """A model's table among those of all models in a folder."""
+    return table + ORDER * number if table > 0 else table - ORDER * number
+
+
+def model_rows(counts: DataFrame, langs: list[str], models: int) -> tuple[DataFrame, list[int]]:
     """(table, gram, l, v): log-probabilities (table n) of the n-grams that a
-    language has, and the log of the weight left after its contexts (table -n);
-    and the size of the alphabet."""
+    language has, and the log of the weight left after its contexts (table -n),
+    with ``table_of`` the model; and the sizes of the models' alphabets.
+    ``counts`` are (m, lang, gram, n), m the number of a model."""
     spark = counts.sparkSession
-    grams_of = {ORDER: counts.select((F.array_position(F.lit(langs), F.col("lang")) - 1).cast("int").alias("l"), "gram", "n")}
-    for k in range(ORDER - 1, 0, -1):
-        grams_of[k] = stored(spark, grams_of[k + 1].groupBy("l", F.col("gram").bitwiseAND((1 << 16 * k) - 1).alias("gram"))
-                             .agg(F.count("*").alias("n")), f"grams{k}")
-    alphabet = grams_of[1].select("gram").distinct().count() + 1
-    kinds = reduce(DataFrame.union, [g.select(F.lit(k).alias("k"), "l", "n") for k, g in grams_of.items()])
-    discount = {k: [0.5] * len(langs) for k in grams_of}
-    for x in kinds.groupBy("k", "l").agg(F.count_if(F.col("n") == 1).alias("one"), F.count_if(F.col("n") == 2).alias("two")).collect():
+    # k numbers a model's language
+    number = (F.col("m") * len(langs) + F.array_position(F.lit(langs), F.col("lang")) - 1).cast("int").alias("k")
+    grams_of = {ORDER: counts.select(number, "gram", "n")}
+    for n in range(ORDER - 1, 0, -1):
+        grams_of[n] = stored(spark, grams_of[n + 1].groupBy("k", F.col("gram").bitwiseAND((1 << 16 * n) - 1).alias("gram"))
+                             .agg(F.count("*").alias("n")), f"grams{n}")
+    m, lang = F.floor(F.col("k") / len(langs)).cast("int"), (F.col("k") % len(langs)).cast("int").alias("l")
+    alphabet = [1] * models
+    for x in grams_of[1].select(m.alias("m"), "gram").distinct().groupBy("m").count().collect():
+        alphabet[x["m"]] = x["count"] + 1
+    kinds = reduce(DataFrame.union, [g.select(F.lit(n).alias("order"), "k", "n") for n, g in grams_of.items()])
+    discount = {n: [0.5] * (models * len(langs)) for n in grams_of}
+    for x in kinds.groupBy("order", "k").agg(F.count_if(F.col("n") == 1).alias("one"), F.count_if(F.col("n") == 2).alias("two")).collect():
         if x["one"] and x["two"]:
-            discount[x["k"]][x["l"]] = x["one"] / (x["one"] + 2 * x["two"])
+            discount[x["order"]][x["k"]] = x["one"] / (x["one"] + 2 * x["two"])
     lower, out = None, []
     context = F.shiftrightunsigned("gram", 16).alias("context")
-    for k in range(1, ORDER + 1):
-        d = F.element_at(F.lit(discount[k]), F.col("l") + 1)
-        own = grams_of[k].select("l", "gram", "n", context)
-        per = own.groupBy("l", "context").agg(F.sum("n").alias("total"), (d * F.count("*") / F.sum("n")).alias("left"))
-        found = own.join(per, ["l", "context"])
+    for n in range(1, ORDER + 1):
+        d = F.element_at(F.lit(discount[n]), F.col("k") + 1)
+        own = grams_of[n].select("k", "gram", "n", context)
+        per = own.groupBy("k", "context").agg(F.sum("n").alias("total"), (d * F.count("*") / F.sum("n")).alias("left"))
+        found = own.join(per, ["k", "context"])
         if lower is None:
-            found = found.withColumn("base", F.lit(1.0 / alphabet))
+            found = found.withColumn("base", F.element_at(F.lit([1.0 / a for a in alphabet]), m + 1))
         else:
-            found = (found.withColumn("suffix", F.col("gram").bitwiseAND((1 << 16 * (k - 1)) - 1))
-                     .join(lower.select("l", F.col("gram").alias("suffix"), F.col("p").alias("base")), ["l", "suffix"]))
-        lower = stored(spark, found.select("l", "gram", (F.greatest(F.col("n") - d, F.lit(0.0)) / F.col("total")
-                                                         + F.col("left") * F.col("base")).alias("p")), f"probabilities{k}")
-        out += [lower.select(F.lit(k).alias("table"), "gram", "l", F.log("p").cast("float").alias("v")),
-                per.select(F.lit(-k).alias("table"), F.col("context").alias("gram"), "l", F.log("left").cast("float").alias("v"))]
+            found = (found.withColumn("suffix", F.col("gram").bitwiseAND((1 << 16 * (n - 1)) - 1))
+                     .join(lower.select("k", F.col("gram").alias("suffix"), F.col("p").alias("base")), ["k", "suffix"]))
+        lower = stored(spark, found.select("k", "gram", (F.greatest(F.col("n") - d, F.lit(0.0)) / F.col("total")
+                                                         + F.col("left") * F.col("base")).alias("p")), f"probabilities{n}")
+        out += [lower.select((F.lit(n) + ORDER * m).alias("table"), "gram", lang, F.log("p").cast("float").alias("v")),
+                per.select((F.lit(-n) - ORDER * m).alias("table"), F.col("context").alias("gram"), lang,
+                           F.log("left").cast("float").alias("v"))]
     return reduce(DataFrame.union, out), alphabet
 
 
@@ -399,26 +417,39 @@ def write_parts(rows: DataFrame, uri: str, part_rows: int) -> dict[int, tuple[np
     return index
 
 
+def fold(text: str) -> Column:
+    return F.pmod(F.xxhash64(text), F.lit(FOLDS))
+
+
 def train(rows: DataFrame, text: str = "text", lang: str = "lang", part_rows: int = PART_ROWS) -> StoredModel | None:
     """Model of all labelled rows, calibrated; None without labelled text."""
     spark = rows.sparkSession
     labelled = rows.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    share = min(CALIBRATION_SHARE, CALIBRATION_ROWS / max(1, labelled.count()))
-    aside = F.pmod(F.xxhash64(text), F.lit(1_000_000)) < int(share * 1_000_000)
-    counts = stored(spark, count_grams(labelled.where(~aside), text, lang), "grams")
-    langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    # model 0 counts all rows, model 1 + i those that aren't in part i
+    parts = [stored(spark, count_grams(labelled.where(fold(text) == i), text, lang), f"grams-of-part{i}")
+             .withColumn("m", F.explode(F.lit([0] + [1 + j for j in range(FOLDS) if j != i]))) for i in range(FOLDS)]
+    counts = stored(spark, reduce(DataFrame.union, parts).groupBy("m", "lang", "gram").agg(F.sum("n").alias("n")), "grams")
+    found = counts.select("m", "lang").distinct().collect()
+    langs = sorted({r["lang"] for r in found})
     if not langs:
         return None
-    entries, alphabet = model_rows(counts, langs)
+    entries, alphabet = model_rows(counts, langs, 1 + FOLDS)
     uri = scratch_path(spark, "model")
-    model = StoredModel(langs, uri, np.full(len(langs), -np.log(alphabet), np.float32), write_parts(entries, uri, part_rows))
-    calibrate(model, labelled.where(aside), text, lang)
-    return model
-
-
-def calibrate(model: StoredModel, sample: DataFrame, text: str, lang: str) -> None:
-    """Rejection limits by language, from labelled rows that weren't counted."""
-    got = stored(sample.sparkSession, score_rows(sample, model, [lang], text)
+    index = write_parts(entries, uri, part_rows)
+    models = {m: StoredModel(langs, uri, np.full(len(langs), -np.log(alphabet[m]), np.float32), index, m)
+              for m in sorted({r["m"] for r in found})}
+    calibrate(models[0], labelled, text, lang, {m - 1: x for m, x in models.items() if m})
+    return models[0]
+
+
+def calibrate(model: StoredModel, rows: DataFrame, text: str, lang: str, others: dict[int, StoredModel]) -> None:
+    """Rejection limits by language, from all labelled rows: those of part i
+    are scored by ``others[i]``, which doesn't count them. A part without such a
+    model (there are no other texts) tells nothing."""
+    scored = [score_rows(rows.where(fold(text) == i), m, [lang], text) for i, m in others.items()]
+    if not scored:
+        scored = [score_rows(rows.limit(0), model, [lang], text)]
+    got = stored(rows.sparkSession, reduce(DataFrame.union, scored)
                  .where((F.col("best") == F.col("kept")[lang]) & (F.col("n") > 0))
                  .select(F.col("best").alias("l"), "xent", "rival", "n"), "calibration")
     mean = {r["l"]: (r["x"], r["r"]) for r in got.groupBy("l").agg(
@@ -426,11 +457,14 @@ def calibrate(model: StoredModel, sample: DataFrame, text: str, lang: str) -> No
         (F.sum(F.col("rival") * F.col("n")) / F.sum("n")).alias("r")).toLocalIterator()}
     uniform = -float(model.floor[0])
     model.limit = np.array([sum(mean.get(x, (uniform, uniform))) / 2 for x in model.langs])
-    usual = F.lit(None).cast("double")
-    for name, (x, _) in mean.items():
-        usual = F.when(F.col("l") == name, F.lit(x)).otherwise(usual)
-    off = got.withColumn("off", (F.col("xent") - usual) * F.sqrt("n"))
-    spread = {r["l"]: r["s"] for r in off.groupBy("l").agg(F.percentile("off", 0.999).alias("s")).toLocalIterator()}
+    limit = F.lit(None).cast("double")
+    for name, x in zip(model.langs, model.limit.tolist()):
+        limit = F.when(F.col("l") == name, F.lit(x)).otherwise(limit)
+    # above the limit, as the limit leaves room for most of a language's texts:
+    # long texts on odd subjects would give short ones a room that fits anything
+    off = (F.ceil((F.col("xent") - limit) * F.sqrt("n") * SPREAD_BINS) / SPREAD_BINS).alias("off")
+    by_value = got.select("l", off).groupBy("l", "off").agg(F.count("*").alias("n"))
+    spread = {r["l"]: r["s"] for r in by_value.groupBy("l").agg(F.percentile("off", 0.999, F.col("n")).alias("s")).toLocalIterator()}
     model.spread = np.array([max(spread.get(x, 0.0), 1.0) for x in model.langs])
 
 
@@ -445,6 +479,7 @@ def score_rows(rows: DataFrame, model: StoredModel, keep: list[str], text: str =
     fields = ", ".join(f"`{c}`: {rows.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("langid")
         m = held.value
         names = np.array(m.langs, object)
         for batch in batches:

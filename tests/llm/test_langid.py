@@ -147,6 +147,31 @@ def test_sums_in_portions_equal_the_whole(spark, monkeypatch):
             assert np.allclose(model.text_sums(g, goff), want)
 
 
+def test_all_labelled_rows_are_counted_and_all_calibrate(spark):
+    texts = {k: [f"{w} {a}{b}" for a in "abcdefghij" for b in "klmnopqrst"] for k, w in (("x", "abra cadabra"), ("y", "öl und mädchen"))}
+    rows = spark.createDataFrame([(t, k) for k, ts in texts.items() for t in ts], "text string, lang string")
+    scored, score = [], langid.score_rows
+    try:
+        langid.score_rows = lambda r, *a: scored.append([x.text for x in r.collect()]) or score(r, *a)
+        model = langid.train(rows)
+    finally:
+        langid.score_rows = score
+    assert sorted(t for s in scored for t in s) == sorted(t for ts in texts.values() for t in ts)
+    plain = {k: plain_model(v) for k, v in texts.items()}
+    alphabet = len({c for ts in texts.values() for t in ts for c in padded(t)[3:]}) + 1
+    probe = texts["x"][:50] + texts["y"][:50]
+    want = [[math.log(plain_prob(plain[k], tuple(padded(t)[i: i + 4]), alphabet)) for k in model.langs]
+            for t in probe for i in range(len(padded(t)) - 3)]
+    for *_, d, o in blocks(pa.array(probe)):
+        assert np.allclose(model.log_probs(langid.grams(d, o)[0]), want, rtol=1e-4)
+    assert (model.limit < -model.floor).all()  # both languages calibrated
+
+
+def test_one_text_alone_teaches_its_language(spark):
+    docs = documents(spark, [(1, "abra cadabra abra")] * 3).withColumn("lang", F.lit("x"))
+    assert langid.keep_known(docs).count() == 3
+
+
 def test_calibration_rows_are_not_counted(spark):
     rows = spark.createDataFrame([(f"word{i} " + "abcdefg"[i % 7] * 5, "x") for i in range(400)], "text string, lang string")
     seen = []
